@@ -50,7 +50,73 @@ def _event_cells(latest: bool) -> str:
     return "WITH " + _EVENTS + ",\nc AS (\n" + "\nUNION ALL\n".join(sel) + ")\n" + _last("c")
 
 
+_DIRTY = r"""
+d AS (
+  SELECT CAST(event_id AS VARCHAR) AS row_key, event_id,
+    CASE event_id % 19
+      WHEN 0 THEN CAST(value AS VARCHAR) WHEN 1 THEN 'abc'
+      WHEN 2 THEN CAST(value AS VARCHAR) || '元' WHEN 3 THEN 'null' WHEN 4 THEN ''
+      WHEN 5 THEN NULL WHEN 6 THEN ' ' || CAST(user_id AS VARCHAR) WHEN 7 THEN '1e3'
+      WHEN 8 THEN '-0.5' WHEN 9 THEN 'NaN' WHEN 10 THEN 'inf'
+      WHEN 11 THEN CAST(user_id + 2147483648 AS VARCHAR) WHEN 12 THEN '1.0'
+      WHEN 13 THEN '+' || CAST(user_id AS VARCHAR) WHEN 14 THEN '.5'
+      WHEN 15 THEN CAST(value AS VARCHAR) WHEN 16 THEN '9223372036854775808'
+      WHEN 17 THEN ' ' || CAST(value AS VARCHAR) || ' ' WHEN 18 THEN '.'
+    END AS r,
+    (['true', 'True', 'FALSE', '有货', '无货', '0', '1', '休息中', '自营', 'maybe', 'null'])
+      [event_id % 11 + 1] AS flag
+  FROM events),
+dr AS (
+  SELECT *, CASE WHEN event_id % 97 = 0 THEN 'bad_data_json'
+                 WHEN r = '.' THEN 'int_only_dots'
+                 WHEN flag = 'maybe' THEN 'bad_boolean' END AS reason
+  FROM d),
+ok AS (SELECT * FROM dr WHERE reason IS NULL AND r IS NOT NULL AND r NOT IN ('', 'null'))"""
+
+_FP_GUARD = ("CASE WHEN regexp_matches(r, '(?i)^\\s*[+-]?(inf|infinity|nan)\\s*$') "
+             "AND NOT regexp_matches(r, '^\\s*[+-]?(NaN|Infinity)\\s*$') THEN NULL "
+             "ELSE TRY_CAST(r AS {t}) END")
+
+
+def _dirty(qualifier: str, parsed: str, vtype: str, slot: str, text: str = "r") -> str:
+    return f"""WITH {_DIRTY},
+p AS (SELECT row_key, r, {parsed} AS x FROM ok)
+SELECT row_key, 'content' AS family, '{qualifier}' AS qualifier,
+  CASE WHEN x IS NULL THEN 'string' ELSE '{vtype}' END AS vtype,
+  CASE WHEN x IS NULL THEN {text} END AS v_string,
+  {'x' if slot == 'v_int' else 'NULL::INTEGER'} AS v_int,
+  {'x' if slot == 'v_long' else 'NULL::BIGINT'} AS v_long,
+  {'CAST(x AS DOUBLE)' if slot == 'v_float' else 'NULL::DOUBLE'} AS v_float,
+  {'x' if slot == 'v_double' else 'NULL::DOUBLE'} AS v_double,
+  NULL::BOOLEAN AS v_bool
+FROM p"""
+
+
+_TRUNC = "CASE WHEN strpos(r, '.') > 0 THEN split_part(r, '.', 1) ELSE r END"
+_INT_OF = ("CASE WHEN regexp_matches({t}, '^[+-]?[0-9]+$') THEN TRY_CAST({t} AS {typ}) END")
+
 ORACLE = {
     "clean_latest": _event_cells(latest=True),
     "clean_history": _event_cells(latest=False),
+    "coerce_int": _dirty("asInt", _INT_OF.format(t=_TRUNC, typ="INTEGER"), "int", "v_int",
+                         text=_TRUNC),
+    "coerce_long": _dirty("asLong", _INT_OF.format(t="r", typ="BIGINT"), "long", "v_long"),
+    "coerce_float": _dirty("asFloat", _FP_GUARD.format(t="FLOAT"), "float", "v_float"),
+    "coerce_double": _dirty("asDouble", _FP_GUARD.format(t="DOUBLE"), "double", "v_double"),
+    "coerce_string": f"""WITH {_DIRTY}
+SELECT row_key, 'content' AS family, 'asString' AS qualifier, {_vals('string', 'v_string', 'r')}
+FROM ok""",
+    "coerce_boolean": f"""
+WITH o AS (SELECT CAST(o_orderkey AS VARCHAR) AS row_key, o_orderstatus AS st,
+                  o_orderkey % 3 AS m
+           FROM orders WHERE o_orderstatus IN ('F', 'O'))
+SELECT row_key, 'content' AS family, 'statusFlag' AS qualifier,
+       {_vals('boolean', 'v_bool', "st = 'F'")} FROM o
+UNION ALL
+SELECT row_key, 'content', 'soldOut', {_vals('boolean', 'v_bool', 'm <> 1')} FROM o""",
+    "rejects": f"""WITH {_DIRTY}
+SELECT row_key AS source_key, 'dirty' AS page_model, 0 AS item_pos,
+       CASE reason WHEN 'int_only_dots' THEN 'as_int' WHEN 'bad_boolean' THEN 'flag' END
+         AS source_field, reason
+FROM dr WHERE reason IS NOT NULL""",
 }

@@ -30,7 +30,59 @@ def clean_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.cell_values(merge.history(_events_clean(spark, sf_dir).cells))
 
 
+def _dirty_clean(spark: SparkSession, sf_dir: str):
+    pages = views.dirty_pages(spark, sf_dir)
+    return run_spec({"dirty_pages": pages}, specs.DIRTY)["dirty_clean"]
+
+
+def _coerced(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    cells = _dirty_clean(spark, sf_dir).cells.where(F.col("qualifier") == name)
+    return merge.cell_values(merge.latest(cells))
+
+
+def coerce_int(spark, sf_dir):
+    """Dirty texts typed int: truncation at the dot, strict parse, text fallback."""
+    return _coerced(spark, sf_dir, "asInt")
+
+
+def coerce_long(spark, sf_dir):
+    return _coerced(spark, sf_dir, "asLong")
+
+
+def coerce_float(spark, sf_dir):
+    return _coerced(spark, sf_dir, "asFloat")
+
+
+def coerce_double(spark, sf_dir):
+    return _coerced(spark, sf_dir, "asDouble")
+
+
+def coerce_string(spark, sf_dir):
+    return _coerced(spark, sf_dir, "asString")
+
+
+def coerce_boolean(spark, sf_dir):
+    """Boolean words by vocabulary (incl. a special key) on order pages."""
+    pages = views.order_pages(spark, sf_dir)
+    res = run_spec({"order_pages": pages}, specs.BOOL_WORDS)["order_flags"]
+    return merge.cell_values(merge.latest(res.cells))
+
+
+def rejects(spark, sf_dir):
+    """Items the cleaning contract cannot store: malformed JSON, dots-only
+    int text, unknown boolean word."""
+    r = _dirty_clean(spark, sf_dir).rejects
+    return r.select("source_key", "page_model", "item_pos", "source_field", "reason")
+
+
 QUERIES = {
     "clean_latest": clean_latest,
     "clean_history": clean_history,
+    "coerce_int": coerce_int,
+    "coerce_long": coerce_long,
+    "coerce_float": coerce_float,
+    "coerce_double": coerce_double,
+    "coerce_string": coerce_string,
+    "coerce_boolean": coerce_boolean,
+    "rejects": rejects,
 }
