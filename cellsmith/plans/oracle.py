@@ -95,6 +95,132 @@ FROM p"""
 _TRUNC = "CASE WHEN strpos(r, '.') > 0 THEN split_part(r, '.', 1) ELSE r END"
 _INT_OF = ("CASE WHEN regexp_matches({t}, '^[+-]?[0-9]+$') THEN TRY_CAST({t} AS {typ}) END")
 
+def _union(src: str, rows: list[tuple]) -> str:
+    """Cell rows (family, qualifier, vtype, slot, value, where) of one source CTE."""
+    sel = []
+    for seq, (fam, qual, vtype, slot, val, where) in enumerate(rows):
+        w = f" WHERE {where}" if where else ""
+        sel.append(f"SELECT row_key, {fam} AS family, {qual} AS qualifier, "
+                   f"{_vals(vtype, slot, val)}, dt, sk, pos, {seq} AS seq FROM {src}{w}")
+    return "\nUNION ALL\n".join(sel)
+
+
+def _fl(c: str) -> str:
+    return f"CAST(CAST({c} AS FLOAT) AS DOUBLE)"
+
+
+_MENU = """
+li AS (
+  SELECT l.*, CAST(l.l_orderkey AS VARCHAR) AS sk, (epoch_us(o.o_orderdate) // 1000) AS dt,
+         strftime(o.o_orderdate, '%Y-%m-%d') AS day, CAST(l.l_partkey AS VARCHAR) AS row_key,
+         o.o_custkey, o.o_orderstatus, o.o_orderpriority,
+         row_number() OVER (PARTITION BY l.l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
+           l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus,
+           l_shipdate) - 1 AS pos
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
+
+# (clean name, vtype, slot, value, where, history)
+_MENU_COLS = [
+    ("sortIndex", "int", "v_int", "l_linenumber", None, True),
+    ("productScore", "float", "v_float", _fl("l_discount"), None, True),
+    ("imageName", "string", "v_string", "'img/' || l_partkey || '.jpg'", None, True),
+    ("commentCount", "int", "v_int", "CAST(trunc(l_quantity) AS INTEGER)", None, True),
+    ("productDesc", "string", "v_string", "l_returnflag || l_linestatus", None, True),
+    ("monthSale", "int", "v_int", "CAST(l_suppkey AS INTEGER)", None, True),
+    ("goodCommentCount", "int", "v_int", "CAST(trunc(l_quantity) AS INTEGER)", "l_tax > 0", True),
+    ("goodCommentRate", "float", "v_float", _fl("l_tax"), None, True),
+    ("categoryId", "string", "v_string", "l_returnflag", None, False),
+    ("shopRawId", "string", "v_string", "CAST(l_suppkey AS VARCHAR)", None, False),
+    ("productName", "string", "v_string", "'food ' || l_partkey", None, True),
+]
+_MENU_SUBS = [
+    ("originalPrice", "double", "v_double", "l_extendedprice", "l_discount <> 0"),
+    ("packingFee", "double", "v_double", "l_tax", None),
+    ("recentRating", "float", "v_float", _fl("l_discount"), None),
+    ("promotionStock", "int", "v_int", "-1", None),
+    ("currentPrice", "double", "v_double", "l_extendedprice", None),
+    ("recentPopularity", "int", "v_int", "CAST(l_quantity AS INTEGER)", None),
+    ("stock", "int", "v_int", "l_linenumber * 10", "l_linenumber <> 7"),
+    ("sku", "string", "v_string",
+     "CASE WHEN l_linenumber = 2 THEN CAST(l_partkey AS VARCHAR) "
+     "ELSE CAST(l_suppkey AS VARCHAR) END", None),
+]
+
+
+def _menu(rows: list[tuple]) -> str:
+    return "WITH " + _MENU + ",\nc AS (\n" + _union("li", rows) + ")\n" + _last("c")
+
+
+_SHOP = """
+cu AS (
+  SELECT c.*, n.n_name, CAST(c_custkey AS VARCHAR) AS row_key, CAST(c_custkey AS VARCHAR) AS sk,
+         0 AS pos, 1704067200000 + c_custkey * 3600000 AS dt
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey),
+sl AS (
+  SELECT c.*, n.n_name, CAST(c_custkey AS VARCHAR) AS row_key,
+         'nation-' || c_nationkey || '-' || CAST(floor(c_custkey / 50) AS BIGINT) AS sk,
+         (row_number() OVER (PARTITION BY c_nationkey, floor(c_custkey / 50)
+                             ORDER BY c_custkey)) - 1 AS pos,
+         1704067200000 + c_nationkey * 86400000 AS dt
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey)"""
+
+_L = "'content'"
+_SHOP_DETAIL_ROWS = [
+    (_L, "'shopNameDetail'", "string", "v_string",
+     "CASE WHEN c_custkey % 3 = 0 THEN '店铺' || c_name ELSE c_name END", None),
+    (_L, "'shopRawId'", "string", "v_string", "CAST(c_custkey AS VARCHAR)", None),
+    (_L, "'address'", "string", "v_string", "n_name || ' road ' || c_custkey", None),
+    (_L, "'deliveryFee'", "double", "v_double", "c_acctbal", None),
+    (_L, "'startPrice'", "double", "v_double", "CAST(c_nationkey AS DOUBLE)", None),
+    (_L, "'isNewShop'", "boolean", "v_bool", "c_custkey % 5 IN (0, 2, 3)", None),
+    (_L, "'isBrandShop'", "boolean", "v_bool", "c_mktsegment = 'BUILDING'", None),
+    (_L, "'latitude'", "double", "v_double", "CAST(c_nationkey AS DOUBLE)", None),
+    (_L, "'phone'", "string", "v_string", "'+86-' || c_custkey", None),
+    (_L, "'shopScore'", "float", "v_float", _fl("c_acctbal"), None),
+    (_L, "'commentCount'", "int", "v_int", "c_nationkey", None),
+    (_L, "'monthSale'", "int", "v_int", "CAST(c_custkey % 1000 AS INTEGER)", None),
+    (_L, "'status'", "int", "v_int", "1", None),
+    (_L, "'deliveryType'", "string", "v_string", "c_mktsegment", None),
+    (_L, "'deliveryTime'", "string", "v_string", "c_nationkey || '分钟'", None),
+    (_L, "'businessHours'", "string", "v_string",
+     "'08:00-12:00 ' || lpad(CAST(c_nationkey % 24 AS VARCHAR), 2, '0') || ':00-22:00 '",
+     "c_custkey % 4 <> 0"),
+    (_L, "'shopType'", "string", "v_string",
+     "n_name || '/' || CASE WHEN c_custkey % 7 = 0 THEN 'null' ELSE c_mktsegment END", None),
+    (_L, "'commitment'", "string", "v_string", "c_mktsegment || '/fast ' || c_nationkey", None),
+]
+_SHOP_LIST_ROWS = [
+    (_L, "'address'", "string", "v_string", "'nation ' || n_name", None),
+    (_L, "'shopNameList'", "string", "v_string", "c_name", None),
+    (_L, "'imagePath'", "string", "v_string", "'shop/' || c_custkey || '.png'", None),
+    (_L, "'deliveryLimitation'", "int", "v_int", "c_nationkey + 30", None),
+    (_L, "'promotions'", "string", "v_string", "c_mktsegment", None),
+]
+
+
+def _shop(detail_rows: list[tuple], list_rows: list[tuple] | None = None) -> str:
+    body = _union("cu", detail_rows)
+    if list_rows:
+        body += "\nUNION ALL\n" + _union("sl", list_rows)
+    return "WITH " + _SHOP + ",\nc AS (\n" + body + ")\n" + _last("c")
+
+
+def _shop_one(name: str) -> str:
+    return _shop([r for r in _SHOP_DETAIL_ROWS if r[1] == f"'{name}'"])
+
+
+_WIDE = ["shopNameDetail", "shopNameList", "address", "commentCount", "phone", "businessHours"]
+
+
+def _wide() -> str:
+    cells = _shop(_SHOP_DETAIL_ROWS, _SHOP_LIST_ROWS)
+    cols = ",\n  ".join(
+        f"max(coalesce(v_string, CAST(v_int AS VARCHAR))) FILTER (WHERE qualifier = '{n}') AS {n}"
+        for n in _WIDE)
+    names = ", ".join(f"'{n}'" for n in _WIDE)
+    return f"SELECT row_key,\n  {cols}\nFROM ({cells}) t WHERE qualifier IN ({names}) GROUP BY row_key"
+
+
 ORACLE = {
     "clean_latest": _event_cells(latest=True),
     "clean_history": _event_cells(latest=False),
@@ -114,6 +240,31 @@ SELECT row_key, 'content' AS family, 'statusFlag' AS qualifier,
        {_vals('boolean', 'v_bool', "st = 'F'")} FROM o
 UNION ALL
 SELECT row_key, 'content', 'soldOut', {_vals('boolean', 'v_bool', 'm <> 1')} FROM o""",
+    "list_items": _menu([(_L, f"'{n}'", t, sl, v, w) for n, t, sl, v, w, _ in _MENU_COLS]),
+    "list_history": _menu([(f"'{n}'", "day", t, sl, v, w)
+                           for n, t, sl, v, w, h in _MENU_COLS if h]),
+    "list_properties": _menu([
+        (_L, "'shop_id'", "string", "v_string", "CAST(o_custkey AS VARCHAR)", None),
+        (_L, "'status'", "string", "v_string", "o_orderstatus", None),
+        (_L, "'priority'", "string", "v_string", "o_orderpriority", None),
+        (_L, "'remark'", "string", "v_string", "'null'", None)]),
+    "regex_key": f"WITH {_MENU} SELECT sk AS source_key, CAST(pos AS INTEGER) AS item_pos, row_key FROM li",
+    "subfields": _menu([(f"'{n}'", "day", t, sl, v, w) for n, t, sl, v, w in _MENU_SUBS]),
+    "subfield_bool": _menu([(_L, "'isAvailable'", "boolean", "v_bool", "l_linestatus = 'F'", None)]),
+    "download_time_cells": "WITH " + _MENU + "," + _SHOP + ",\nc AS (\n"
+        + _union("li", [("'downloadTime'", "day", "long", "v_long", "dt", None)])
+        + "\nUNION ALL\n"
+        + _union("cu", [("'downloadTime'", "strftime(epoch_ms(dt), '%Y-%m-%d')", "long",
+                         "v_long", "dt", None)])
+        + ")\n" + _last("c"),
+    "model_fanin": _shop(_SHOP_DETAIL_ROWS, _SHOP_LIST_ROWS),
+    "cjk_key_md5": """SELECT CAST(c_custkey AS VARCHAR) AS source_key,
+  CASE WHEN c_custkey % 3 = 0 THEN substr(md5('店铺' || c_name), 9, 16) ELSE c_name END AS row_key
+FROM customer""",
+    "array_spaced": _shop_one("businessHours"),
+    "array_names": _shop_one("shopType"),
+    "array_descriptions": _shop_one("commitment"),
+    "latest_wide": _wide(),
     "rejects": f"""WITH {_DIRTY}
 SELECT row_key AS source_key, 'dirty' AS page_model, 0 AS item_pos,
        CASE reason WHEN 'int_only_dots' THEN 'as_int' WHEN 'bad_boolean' THEN 'flag' END

@@ -75,6 +75,113 @@ def rejects(spark, sf_dir):
     return r.select("source_key", "page_model", "item_pos", "source_field", "reason")
 
 
+MENU_COLUMNS = ["sortIndex", "productScore", "imageName", "commentCount", "productDesc",
+                "monthSale", "goodCommentCount", "goodCommentRate", "categoryId", "shopRawId",
+                "productName"]
+MENU_PROPERTIES = ["shop_id", "status", "priority", "note", "remark"]
+SUBFIELD_NAMES = ["originalPrice", "packingFee", "recentRating", "promotionStock",
+                  "currentPrice", "recentPopularity", "stock", "sku"]
+
+
+def _menu_clean(spark: SparkSession, sf_dir: str, spec=None):
+    pages = views.menu_pages(spark, sf_dir)
+    return run_spec({"menu_pages": pages}, spec or specs.MENU_LIST)["product"]
+
+
+def list_items(spark, sf_dir):
+    """List pages exploded into items, keyed by regex, typed, merged (latest)."""
+    cells = _menu_clean(spark, sf_dir).cells.where(F.col("qualifier").isin(MENU_COLUMNS))
+    return merge.cell_values(merge.latest(cells))
+
+
+def list_history(spark, sf_dir):
+    """History cells of the ``isMulti`` list columns only."""
+    cells = _menu_clean(spark, sf_dir).cells.where(F.col("family").isin(MENU_COLUMNS))
+    return merge.cell_values(merge.history(cells))
+
+
+def list_properties(spark, sf_dir):
+    """Page properties melted onto every item (empty texts dropped)."""
+    cells = _menu_clean(spark, sf_dir).cells.where(F.col("qualifier").isin(MENU_PROPERTIES))
+    return merge.cell_values(merge.latest(cells))
+
+
+def regex_key(spark, sf_dir):
+    """Row key of every item: group 1 of the last regex match in the item text."""
+    return _menu_clean(spark, sf_dir).items.select("source_key", "item_pos", "row_key")
+
+
+def subfields(spark, sf_dir):
+    """Token sub-fields of the first ``specfoods`` text, strictly typed (history)."""
+    cells = _menu_clean(spark, sf_dir).cells.where(F.col("family").isin(SUBFIELD_NAMES))
+    return merge.cell_values(merge.history(cells))
+
+
+def subfield_bool(spark, sf_dir):
+    """Negated boolean sub-field (``sold_out`` -> ``isAvailable``), latest."""
+    cells = _menu_clean(spark, sf_dir).cells.where(F.col("qualifier") == "isAvailable")
+    return merge.cell_values(merge.latest(cells))
+
+
+def download_time_cells(spark, sf_dir):
+    """``downloadTime:<day>`` cells: list pages with ``recordTime`` and detail pages."""
+    menu = _menu_clean(spark, sf_dir, specs.MENU_LIST_TIMED).cells
+    shop = _shop_detail_clean(spark, sf_dir).cells
+    cells = menu.unionByName(shop).where(F.col("family") == "downloadTime")
+    return merge.cell_values(merge.history(cells))
+
+
+def _shop_detail_clean(spark: SparkSession, sf_dir: str):
+    pages = views.shop_detail_pages(spark, sf_dir)
+    return run_spec({"shop_detail_pages": pages}, specs.SHOPS[:1])["shop"]
+
+
+def _shop_clean(spark: SparkSession, sf_dir: str):
+    pages = {"shop_detail_pages": views.shop_detail_pages(spark, sf_dir),
+             "shop_list_pages": views.shop_list_pages(spark, sf_dir)}
+    return run_spec(pages, specs.SHOPS)["shop"]
+
+
+def model_fanin(spark, sf_dir):
+    """Shop detail and shop list pages (two sources, two models) -> one shop table."""
+    return merge.cell_values(merge.latest(_shop_clean(spark, sf_dir).cells))
+
+
+def cjk_key_md5(spark, sf_dir):
+    """Composite key of the shop name; keys with CJK text become a 16-char MD5."""
+    pages = views.shop_detail_pages(spark, sf_dir)
+    res = run_spec({"shop_detail_pages": pages}, specs.SHOP_BY_NAME)["shop_by_name"]
+    return res.items.select("source_key", "row_key")
+
+
+def _shop_column(spark, sf_dir, name: str) -> DataFrame:
+    cells = _shop_detail_clean(spark, sf_dir).cells.where(F.col("qualifier") == name)
+    return merge.cell_values(merge.latest(cells))
+
+
+def array_spaced(spark, sf_dir):
+    """Array of texts -> every element followed by one space (empty array: no cell)."""
+    return _shop_column(spark, sf_dir, "businessHours")
+
+
+def array_names(spark, sf_dir):
+    """Array of objects -> ``name`` of each joined by ``/`` (missing: ``null``)."""
+    return _shop_column(spark, sf_dir, "shopType")
+
+
+def array_descriptions(spark, sf_dir):
+    return _shop_column(spark, sf_dir, "commitment")
+
+
+WIDE_NAMES = ["shopNameDetail", "shopNameList", "address", "commentCount", "phone",
+              "businessHours"]
+
+
+def latest_wide(spark, sf_dir):
+    """What a reader of each shop row sees: one text column per name."""
+    return merge.latest_wide(_shop_clean(spark, sf_dir).cells, WIDE_NAMES)
+
+
 QUERIES = {
     "clean_latest": clean_latest,
     "clean_history": clean_history,
@@ -85,4 +192,17 @@ QUERIES = {
     "coerce_string": coerce_string,
     "coerce_boolean": coerce_boolean,
     "rejects": rejects,
+    "list_items": list_items,
+    "list_history": list_history,
+    "list_properties": list_properties,
+    "regex_key": regex_key,
+    "subfields": subfields,
+    "subfield_bool": subfield_bool,
+    "download_time_cells": download_time_cells,
+    "model_fanin": model_fanin,
+    "cjk_key_md5": cjk_key_md5,
+    "array_spaced": array_spaced,
+    "array_names": array_names,
+    "array_descriptions": array_descriptions,
+    "latest_wide": latest_wide,
 }

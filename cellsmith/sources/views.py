@@ -120,3 +120,128 @@ def order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(F.col("o_orderkey") % 3 == 1, F.lit("休息中")).otherwise(F.lit("营业中"))
     data = _obj(F.col("o_orderkey").alias("id"), word.alias("status_word"), sold.alias("sold_out"))
     return _pages(o, F.col("o_orderkey"), F.lit("order"), data, F.lit(None), epoch_ms("o_orderdate"))
+
+
+# ---------------------------------------------------------------------------
+# menu (list) pages: one page per order, one item per line item
+# ---------------------------------------------------------------------------
+_ITEM_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+               "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+def _token_text() -> Column:
+    """A ``key:value`` token text in the two-space format of menu items."""
+    s = lambda c: F.col(c).cast("string")
+    sold = F.when(F.col("l_linestatus") == "F", F.lit("False")).otherwise(F.lit("True"))
+    stock = F.when(F.col("l_linenumber") == 7, F.lit("")) \
+             .otherwise((F.col("l_linenumber") * 10).cast("string"))
+    orig = F.when(F.col("l_discount") == 0, F.lit("")).otherwise(s("l_extendedprice"))
+    parts = [
+        F.concat(F.lit("original_price:"), orig),
+        F.concat(F.lit("sku_id:"), s("l_suppkey")),
+        F.concat(F.lit("name:food "), s("l_partkey")),
+        F.concat(F.lit("virtual_food_id:"), s("l_suppkey")),
+        F.concat(F.lit("food_id:"), s("l_partkey")),
+        F.concat(F.lit("packing_fee:"), s("l_tax")),
+        F.concat(F.lit("recent_rating:"), s("l_discount")),
+        F.lit("promotion_stock:-1"),
+        F.concat(F.lit("price:"), s("l_extendedprice")),
+        F.concat(F.lit("sold_out:"), sold),
+        F.concat(F.lit("recent_popularity:"), F.col("l_quantity").cast("int").cast("string")),
+        F.lit("is_essential:False"),
+        F.concat(F.lit("specs:    name:规格  value:"), F.col("l_returnflag")),
+        F.lit("partial_reduce_activity_id:"),
+        F.concat(F.lit("stock:"), stock),
+    ]
+    text = F.concat_ws("  ", *parts)
+    # a repeated key: the later token wins
+    return F.when(F.col("l_linenumber") == 2,
+                  F.concat(text, F.lit("  sku_id:"), s("l_partkey"))).otherwise(text)
+
+
+def menu_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """List pages: ``{"foods": [item, ...]}`` per order, items in line order."""
+    li = table(spark, sf_dir, "lineitem")
+    o = table(spark, sf_dir, "orders")
+    item = _obj(
+        F.col("l_linenumber").alias("index"), F.col("l_discount").alias("rating"),
+        F.concat(F.lit("img/"), F.col("l_partkey").cast("string"), F.lit(".jpg")).alias("image_path"),
+        F.col("l_quantity").alias("rating_count"),
+        F.concat(F.col("l_returnflag"), F.col("l_linestatus")).alias("description"),
+        F.col("l_suppkey").alias("month_sales"),
+        F.when(F.col("l_tax") > 0, F.col("l_quantity")).alias("satisfy_count"),
+        F.col("l_tax").alias("satisfy_rate"), F.col("l_returnflag").alias("category_id"),
+        F.col("l_suppkey").alias("restaurant_id"),
+        F.concat(F.lit("food "), F.col("l_partkey").cast("string")).alias("name"),
+        F.array(_token_text()).alias("specfoods"))
+    items = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(
+        F.struct(*[F.col(c) for c in _ITEM_ORDER], item.alias("item")))).alias("items"))
+    pages = items.join(o, items["l_orderkey"] == o["o_orderkey"])
+    data = F.concat(F.lit('{"foods":['),
+                    F.array_join(F.transform("items", lambda x: x["item"]), ","), F.lit("]}"))
+    props = _obj(F.col("o_custkey").alias("shop_id"), F.col("o_orderstatus").alias("status"),
+                 F.col("o_orderpriority").alias("priority"), F.lit("").alias("note"),
+                 F.lit("null").alias("remark"))
+    return _pages(pages, F.col("o_orderkey"), F.lit("menu"), data, props, epoch_ms("o_orderdate"))
+
+
+# ---------------------------------------------------------------------------
+# shop pages: detail page per customer, list pages of at most 50 shops
+# ---------------------------------------------------------------------------
+SHOP_EPOCH_MS = 1704067200000
+_NEW_SHOP_WORDS = ["true", "false", "有货", "0", "1"]
+
+
+def shop_detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer")
+    n = table(spark, sf_dir, "nation")
+    x = c.join(n, c["c_nationkey"] == n["n_nationkey"])
+    key = F.col("c_custkey")
+    name = F.when(key % 3 == 0, F.concat(F.lit("店铺"), F.col("c_name"))).otherwise(F.col("c_name"))
+    hours = F.when(key % 4 == 0, F.array().cast("array<string>")).otherwise(F.array(
+        F.lit("08:00-12:00"),
+        F.concat(F.lpad((F.col("c_nationkey") % 24).cast("string"), 2, "0"), F.lit(":00-22:00"))))
+    flavors = F.array(F.create_map(F.lit("name"), F.col("n_name")),
+                      F.when(key % 7 == 0, F.create_map(F.lit("other"), F.col("c_mktsegment")))
+                      .otherwise(F.create_map(F.lit("name"), F.col("c_mktsegment"))))
+    supports = F.array(F.create_map(F.lit("description"), F.col("c_mktsegment")),
+                       F.create_map(F.lit("description"),
+                                    F.concat(F.lit("fast "), F.col("c_nationkey").cast("string"))))
+    words = F.array(*[F.lit(w) for w in _NEW_SHOP_WORDS])
+    data = _obj(
+        key.alias("id"), name.alias("name"),
+        F.concat(F.col("n_name"), F.lit(" road "), key.cast("string")).alias("address"),
+        F.col("c_acctbal").alias("配送费"), F.col("c_nationkey").alias("起送价"),
+        F.element_at(words, (key % 5 + 1).cast("int")).alias("新店"),
+        F.when(F.col("c_mktsegment") == "BUILDING", F.lit("自营")).otherwise(F.lit("false")).alias("品牌"),
+        F.col("c_nationkey").alias("latitude"),
+        F.concat(F.lit("+86-"), key.cast("string")).alias("phone"),
+        F.col("c_acctbal").alias("rating"), F.col("c_nationkey").alias("rating_count"),
+        (key % 1000).alias("recent_order_num"), F.lit(1).alias("status"),
+        F.col("c_mktsegment").alias("配送"),
+        F.concat(F.col("c_nationkey").cast("string"), F.lit("分钟")).alias("平均配送时长"),
+        hours.alias("opening_hours"), flavors.alias("flavors"), supports.alias("supports"))
+    dt = F.lit(SHOP_EPOCH_MS) + key * F.lit(3600000)
+    return _pages(x, key, F.lit("shop_detail"), data, F.lit(None), dt)
+
+
+SHOPS_PER_LIST_PAGE = 50
+
+
+def shop_list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer")
+    n = table(spark, sf_dir, "nation")
+    shop = _obj(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+                F.concat(F.lit("shop/"), F.col("c_custkey").cast("string"), F.lit(".png")).alias("image"),
+                (F.col("c_nationkey") + 30).alias("配送时效"), F.col("c_mktsegment").alias("促销活动"))
+    page_no = F.floor(F.col("c_custkey") / SHOPS_PER_LIST_PAGE)
+    pages = (c.groupBy("c_nationkey", page_no.alias("page_no"))
+             .agg(F.sort_array(F.collect_list(F.struct("c_custkey", shop.alias("shop")))).alias("shops")))
+    pages = pages.join(n, pages["c_nationkey"] == n["n_nationkey"])
+    data = F.concat(F.lit('{"shops":['),
+                    F.array_join(F.transform("shops", lambda x: x["shop"]), ","), F.lit("]}"))
+    props = _obj(F.concat(F.lit("nation "), F.col("n_name")).alias("address"))
+    sk = F.concat(F.lit("nation-"), F.col("n_nationkey").cast("string"), F.lit("-"),
+                  F.col("page_no").cast("string"))
+    dt = F.lit(SHOP_EPOCH_MS) + F.col("n_nationkey") * F.lit(86400000)
+    return _pages(pages, sk, F.lit("shop_list"), data, props, dt)
