@@ -1,4 +1,4 @@
-"""Array and ``key:value`` token-text functions (built-in higher-order functions)."""
+"""Array and ``key:value`` token-text functions (SQL higher-order functions)."""
 
 from __future__ import annotations
 
@@ -7,46 +7,48 @@ from pyspark.sql import functions as F
 
 from cellsmith import fixed
 from cellsmith.functions.jsontext import parse_object_array, parse_text_array, unmark
+from cellsmith.functions.sqltext import ident, q
 
 
-def join_spaced(marked: Column) -> tuple[Column, Column]:
-    """Array text -> every element's text followed by one space (the last too).
+def join_spaced(arr: str) -> str:
+    """Parsed text array -> every element's text followed by one space (the
+    last too); empty text for an empty array."""
+    return (f"(CASE WHEN size({arr}) > 0 THEN "
+            f"concat(array_join(transform({arr}, e -> {unmark('e')}), ' '), ' ') ELSE '' END)")
 
-    Returns ``(text, reason)``; the text is empty for an empty array.
-    """
-    arr = parse_text_array(marked)
-    text = F.when(F.size(arr) > 0,
-                  F.concat(F.array_join(F.transform(arr, unmark), " "), F.lit(" "))
-                  ).otherwise(F.lit(""))
-    return text, _array_reason(arr)
-
-
-def join_field(marked: Column, key: str, sep: str = "/") -> tuple[Column, Column]:
-    """Array of objects -> ``key`` of each joined by ``sep``; a missing key is ``null``."""
-    arr = parse_object_array(marked, key)
-    names = F.transform(arr, lambda x: F.coalesce(unmark(x[key]), F.lit("null")))
-    return F.array_join(names, sep), _array_reason(arr)
 
+def join_field(arr: str, key: str, sep: str = "/") -> str:
+    """Parsed object array -> ``key`` of each joined by ``sep``; missing -> ``null``."""
+    return f"array_join(transform({arr}, e -> coalesce({unmark('e.' + ident(key))}, 'null')), {q(sep)})"
 
-def check_array(marked: Column) -> Column:
-    """Reason for a value that is not a JSON array (NULL when it is one)."""
-    return _array_reason(parse_text_array(marked))
 
+def array_reason(arr: str) -> str:
+    """Why a parsed array cannot be stored (NULL when it can)."""
+    return (f"(CASE WHEN {arr} IS NULL THEN 'bad_array' "
+            f"WHEN exists({arr}, e -> e IS NULL) THEN 'null_array_element' END)")
 
-def _array_reason(arr: Column) -> Column:
-    return (F.when(arr.isNull(), F.lit("bad_array"))
-            .when(F.exists(arr, lambda x: x.isNull()), F.lit("null_array_element")))
 
-
-def split_tokens(text: Column, skip_commas: bool = False) -> Column:
-    """``key:value`` tokens divided by two spaces -> array<struct<key, val>>.
+def split_tokens(text: str, skip_commas: bool = False) -> str:
+    """``key:value`` tokens divided by two spaces -> array<struct<key, val, pos>>.
 
     A token counts only if it splits into exactly two parts at ``:`` once its
     trailing colons are dropped (``a:b:`` counts, ``a:`` and ``a:b:c`` do not).
     """
-    toks = F.split(text, fixed.TOKEN_SEPARATOR)
+    toks = f"split({text}, {q(fixed.TOKEN_SEPARATOR)})"
     if skip_commas:
-        toks = F.filter(toks, lambda x: ~F.contains(x, F.lit(",")))
-    parts = F.transform(toks, lambda x: F.split(F.regexp_replace(x, ":+$", ""), ":"))
-    pairs = F.filter(parts, lambda p: F.size(p) == 2)
-    return F.transform(pairs, lambda p: F.struct(p[0].alias("key"), p[1].alias("val")))
+        toks = f"filter({toks}, t -> NOT contains(t, ','))"
+    parts = f"transform({toks}, t -> split(regexp_replace(t, ':+$', ''), ':'))"
+    pairs = f"filter({parts}, p -> size(p) = 2)"
+    return f"transform({pairs}, p -> named_struct('key', p[0], 'val', p[1]))"
+
+
+def parse_array(marked: str) -> str:
+    return parse_text_array(marked)
+
+
+def parse_objects(marked: str, key: str) -> str:
+    return parse_object_array(marked, key)
+
+
+def split_tokens_col(c: str, skip_commas: bool = False) -> Column:
+    return F.expr(split_tokens(ident(c), skip_commas))

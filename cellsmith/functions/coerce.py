@@ -1,4 +1,4 @@
-"""Typed coercion of field text into a cell value.
+"""Typed coercion of field text into a cell value (SQL expression text).
 
 A cell value is ``struct<vtype, v_string, v_int, v_long, v_float, v_double,
 v_bool>`` with exactly one ``v_*`` set; ``vtype`` names it. A number that does
@@ -12,10 +12,9 @@ reject). Spark's casts accept more than the JVM number parsers (padded ints,
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cellsmith.functions.sqltext import isin, q
 from cellsmith.spec import Vocab
 
 VALUE_FIELDS = [
@@ -27,6 +26,8 @@ VALUE_FIELDS = [
     ("v_double", T.DoubleType()),
     ("v_bool", T.BooleanType()),
 ]
+_SQL_TYPE = {"v_string": "STRING", "v_int": "INT", "v_long": "BIGINT", "v_float": "FLOAT",
+             "v_double": "DOUBLE", "v_bool": "BOOLEAN"}
 _SLOT = {"string": "v_string", "int": "v_int", "long": "v_long", "float": "v_float",
          "double": "v_double", "boolean": "v_bool"}
 
@@ -34,110 +35,105 @@ _SLOT = {"string": "v_string", "int": "v_int", "long": "v_long", "float": "v_flo
 INT_TEXT = r"^[+-]?[0-9]+$"
 _SPARK_ONLY_SPECIAL = r"(?i)^\s*[+-]?(inf|infinity|nan)\s*$"
 _JVM_SPECIAL = r"^\s*[+-]?(NaN|Infinity)\s*$"
+NO_REASON = "CAST(NULL AS STRING)"
 
 
-def value(vtype: str, v: Column) -> Column:
+def value(vtype: str, v: str) -> str:
     """A cell value holding ``v`` in the slot of ``vtype``."""
     slot = _SLOT[vtype]
-    return F.struct(*[F.lit(vtype).alias(n) if n == "vtype" else
-                      (v.cast(t) if n == slot else F.lit(None).cast(t)).alias(n)
-                      for n, t in VALUE_FIELDS])
+    parts = [f"'vtype', {q(vtype)}"]
+    for n, t in _SQL_TYPE.items():
+        parts.append(f"'{n}', CAST({v if n == slot else 'NULL'} AS {t})")
+    return f"named_struct({', '.join(parts)})"
 
 
-def number_or_text(parsed: Column, vtype: str, text: Column) -> Column:
-    """The parsed number, or the text when it did not parse."""
+def number_or_text(parsed: str, vtype: str, text: str) -> str:
+    """The parsed number, or the text when it did not parse (``parsed`` is
+    referenced three times, so callers pass a column name)."""
     slot = _SLOT[vtype]
-    return F.struct(*[
-        (F.when(parsed.isNull(), F.lit("string")).otherwise(F.lit(vtype)) if n == "vtype" else
-         F.when(parsed.isNull(), text) if n == "v_string" else
-         parsed.cast(t) if n == slot else F.lit(None).cast(t)).alias(n)
-        for n, t in VALUE_FIELDS])
+    parts = [f"'vtype', CASE WHEN {parsed} IS NULL THEN 'string' ELSE {q(vtype)} END"]
+    for n, t in _SQL_TYPE.items():
+        if n == "v_string":
+            v = f"CASE WHEN {parsed} IS NULL THEN {text} END"
+        elif n == slot:
+            v = parsed
+        else:
+            v = "NULL"
+        parts.append(f"'{n}', CAST({v} AS {t})")
+    return f"named_struct({', '.join(parts)})"
 
 
-def parse_int(t: Column) -> Column:
-    return F.when(t.rlike(INT_TEXT), t.try_cast("int"))
+def parse_int(t: str) -> str:
+    return f"CASE WHEN {t} RLIKE {q(INT_TEXT)} THEN try_cast({t} AS INT) END"
 
 
-def parse_long(t: Column) -> Column:
-    return F.when(t.rlike(INT_TEXT), t.try_cast("bigint"))
+def parse_long(t: str) -> str:
+    return f"CASE WHEN {t} RLIKE {q(INT_TEXT)} THEN try_cast({t} AS BIGINT) END"
 
 
-def _parse_fp(t: Column, spark_type: str) -> Column:
-    spark_only = t.rlike(_SPARK_ONLY_SPECIAL) & ~t.rlike(_JVM_SPECIAL)
-    return F.when(~spark_only, t.try_cast(spark_type))
+def _parse_fp(t: str, sql_type: str) -> str:
+    return (f"CASE WHEN NOT ({t} RLIKE {q(_SPARK_ONLY_SPECIAL)} AND NOT {t} RLIKE {q(_JVM_SPECIAL)}) "
+            f"THEN try_cast({t} AS {sql_type}) END")
 
 
-def parse_float(t: Column) -> Column:
-    return _parse_fp(t, "float")
+def parse_float(t: str) -> str:
+    return _parse_fp(t, "FLOAT")
 
 
-def parse_double(t: Column) -> Column:
-    return _parse_fp(t, "double")
+def parse_double(t: str) -> str:
+    return _parse_fp(t, "DOUBLE")
 
 
-def truncate_at_dot(v: Column) -> Column:
+def truncate_at_dot(v: str) -> str:
     """Text before the first ``.`` (the whole text when there is none)."""
-    return F.when(F.contains(v, F.lit(".")), F.substring_index(v, ".", 1)).otherwise(v)
+    return f"CASE WHEN contains({v}, '.') THEN substring_index({v}, '.', 1) ELSE {v} END"
 
 
-def coerce_string(v: Column) -> tuple[Column, Column]:
-    return value("string", v), F.lit(None).cast("string")
-
-
-def coerce_int(v: Column) -> tuple[Column, Column]:
-    """Truncate at the first dot by text, then parse strictly; else keep the
-    truncated text. Text made only of dots cannot be truncated: a reject."""
-    t = truncate_at_dot(v)
-    reason = F.when(v.rlike(r"^\.+$"), F.lit("int_only_dots"))
-    return number_or_text(parse_int(t), "int", t), reason
-
-
-def coerce_long(v: Column) -> tuple[Column, Column]:
-    return number_or_text(parse_long(v), "long", v), F.lit(None).cast("string")
-
-
-def coerce_float(v: Column) -> tuple[Column, Column]:
-    return number_or_text(parse_float(v), "float", v), F.lit(None).cast("string")
-
-
-def coerce_double(v: Column) -> tuple[Column, Column]:
-    return number_or_text(parse_double(v), "double", v), F.lit(None).cast("string")
+def parsed_number(v: str, ctype: str) -> str | None:
+    """The parse step of a numeric spec type (None for non-numeric types)."""
+    if ctype == "int":
+        return parse_int(f"({truncate_at_dot(v)})")
+    if ctype == "long":
+        return parse_long(v)
+    if ctype == "float":
+        return parse_float(v)
+    if ctype == "double":
+        return parse_double(v)
+    return None
 
 
-def vocab_boolean(v: Column, source_key: str, vocab: Vocab) -> Column:
+def vocab_boolean(v: str, source_key: str, vocab: Vocab) -> str:
     """Boolean by vocabulary, in order: true words, false words, a special key
     (any other text means true), then case-insensitive ``true``/``false``."""
-    b = (F.when(v.isin(*vocab.true_words), F.lit(True))
-         .when(v.isin(*vocab.false_words), F.lit(False)))
+    head = (f"WHEN {isin(v, vocab.true_words)} THEN true "
+            f"WHEN {isin(v, vocab.false_words)} THEN false")
     if source_key in vocab.special_bool_keys:
-        return b.otherwise(F.lit(True))
-    low = F.lower(v)
-    return b.when(low == "true", F.lit(True)).when(low == "false", F.lit(False))
-
+        return f"(CASE {head} ELSE true END)"
+    return (f"(CASE {head} WHEN lower({v}) = 'true' THEN true "
+            f"WHEN lower({v}) = 'false' THEN false END)")
 
-def coerce_boolean(v: Column, source_key: str, vocab: Vocab) -> tuple[Column, Column]:
-    b = vocab_boolean(v, source_key, vocab)
-    return value("boolean", b), F.when(b.isNull(), F.lit("bad_boolean"))
 
+def coerce(v: str, parsed: str | None, ctype: str, source_key: str, vocab: Vocab
+           ) -> tuple[str, str]:
+    """Field text (known non-blank) to ``(value, reason)`` by spec type.
 
-def coerce(v: Column, ctype: str, source_key: str, vocab: Vocab) -> tuple[Column, Column]:
-    """Field text (already known non-blank) to ``(value, reason)`` by spec type."""
+    ``parsed`` names a column holding :func:`parsed_number` (numeric types)
+    or :func:`vocab_boolean` (boolean).
+    """
     if ctype == "String":
-        return coerce_string(v)
+        return value("string", v), NO_REASON
     if ctype == "int":
-        return coerce_int(v)
-    if ctype == "long":
-        return coerce_long(v)
-    if ctype == "float":
-        return coerce_float(v)
-    if ctype == "double":
-        return coerce_double(v)
+        t = f"({truncate_at_dot(v)})"
+        why = f"CASE WHEN {v} RLIKE '^[.]+$' THEN 'int_only_dots' END"
+        return number_or_text(parsed, "int", t), why
+    if ctype in ("long", "float", "double"):
+        return number_or_text(parsed, ctype, v), NO_REASON
     if ctype == "boolean":
-        return coerce_boolean(v, source_key, vocab)
+        return value("boolean", parsed), f"CASE WHEN {parsed} IS NULL THEN 'bad_boolean' END"
     raise ValueError(f"not a scalar type: {ctype}")
 
 
-def strict_parse(v: Column, stype: str) -> Column:
+def strict_parse(v: str, stype: str) -> str:
     """Sub-field value, strictly typed; NULL when it does not parse.
 
     No truncation and no text fallback; a boolean is stored negated
@@ -145,17 +141,9 @@ def strict_parse(v: Column, stype: str) -> Column:
     """
     if stype == "String":
         return value("string", v)
-    if stype == "int":
-        p = parse_int(v)
-        return F.when(p.isNotNull(), value("int", p))
-    if stype == "float":
-        p = parse_float(v)
-        return F.when(p.isNotNull(), value("float", p))
-    if stype == "double":
-        p = parse_double(v)
-        return F.when(p.isNotNull(), value("double", p))
     if stype == "boolean":
-        low = F.lower(v)
-        neg = F.when(low == "true", F.lit(False)).when(low == "false", F.lit(True))
-        return F.when(neg.isNotNull(), value("boolean", neg))
-    raise ValueError(f"not a sub-field type: {stype}")
+        neg = f"(CASE WHEN lower({v}) = 'true' THEN false WHEN lower({v}) = 'false' THEN true END)"
+        return f"CASE WHEN {neg} IS NOT NULL THEN {value('boolean', neg)} END"
+    p = {"int": parse_int, "float": parse_float, "double": parse_double}[stype](v)
+    vt = {"int": "int", "float": "float", "double": "double"}[stype]
+    return f"CASE WHEN ({p}) IS NOT NULL THEN {value(vt, p)} END"

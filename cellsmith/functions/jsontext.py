@@ -5,14 +5,17 @@ would change what text-based coercion sees. So before parsing, every bare JSON
 number is wrapped as a string carrying a U+0002 mark: ``1.50`` becomes
 ``"\\u00021.50"``. Parsing then yields the exact source text, and
 :func:`unmark` strips the mark again (for a nested object or array it puts the
-number back unquoted). All of it is built-in expressions, JVM-side.
+number back unquoted). All of it is built-in SQL, JVM-side.
+
+Functions here build SQL expression text; ``*_col`` variants return Columns.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from cellsmith.functions.sqltext import ident, q
 
 NUM_MARK = "\u0002"
 _OPEN = "\u0001"
@@ -26,65 +29,67 @@ _ESCAPED_MARK = "\\u0002"
 _MARKED_NUMBER_IN_JSON = r'"\\u0002([^"]*)"'
 
 CORRUPT = "_corrupt"
-PARSE_OPTIONS = {
-    "allowUnquotedControlChars": "true",
-    "columnNameOfCorruptRecord": CORRUPT,
-    "mode": "PERMISSIVE",
-}
+_OPTS = "map('allowUnquotedControlChars', 'true')"
+_RECORD_OPTS = ("map('allowUnquotedControlChars', 'true', 'mode', 'PERMISSIVE', "
+                f"'columnNameOfCorruptRecord', {q(CORRUPT)})")
 
 
-def mark_numbers(c: Column) -> Column:
+def mark_numbers(x: str) -> str:
     """Quote every bare number of a JSON text, prefixed with the number mark."""
-    x = F.regexp_replace(c, _TOKEN, "$1" + _OPEN + "$2" + _CLOSE)
-    x = F.replace(x, F.lit(_OPEN + _CLOSE), F.lit(""))  # after a string: nothing
-    x = F.replace(x, F.lit(_OPEN), F.lit('"' + NUM_MARK))
-    return F.replace(x, F.lit(_CLOSE), F.lit('"'))
+    s = f"regexp_replace({x}, {q(_TOKEN)}, {q('$1' + _OPEN + '$2' + _CLOSE)})"
+    s = f"replace({s}, {q(_OPEN + _CLOSE)}, '')"  # after a string: nothing
+    s = f"replace({s}, {q(_OPEN)}, {q(chr(34) + NUM_MARK)})"
+    return f"replace({s}, {q(_CLOSE)}, {q(chr(34))})"
 
 
-def unmark(c: Column) -> Column:
+def unmark(x: str) -> str:
     """Field text as the source had it: number text without its mark."""
-    return (F.when(F.startswith(c, F.lit(NUM_MARK)), F.substring(c, 2, 2147483647))
-            .when(F.contains(c, F.lit(_ESCAPED_MARK)),
-                  F.regexp_replace(c, _MARKED_NUMBER_IN_JSON, "$1"))
-            .otherwise(c))
+    return (f"(CASE WHEN startswith({x}, {q(NUM_MARK)}) THEN substring({x}, 2) "
+            f"WHEN contains({x}, {q(_ESCAPED_MARK)}) "
+            f"THEN regexp_replace({x}, {q(_MARKED_NUMBER_IN_JSON)}, '$1') ELSE {x} END)")
 
 
-def record_schema(keys: list[str]) -> T.StructType:
-    """All wanted keys as text, plus the corrupt-record column."""
-    fields = [T.StructField(k, T.StringType()) for k in keys]
-    return T.StructType(fields + [T.StructField(CORRUPT, T.StringType())])
+def record_ddl(keys: list[str]) -> str:
+    return "struct<" + ", ".join(f"{ident(k)}: string" for k in keys + [CORRUPT]) + ">"
 
 
-def parse_record(marked: Column, keys: list[str]) -> Column:
-    """Parse a marked JSON object into a struct of the wanted keys (as text).
+def parse_record(marked: str, keys: list[str]) -> str:
+    """A marked JSON object as a struct of the wanted keys (as text).
 
     A repeated key keeps its last value. Malformed text or a non-object fills
     ``_corrupt``.
     """
-    return F.from_json(marked, record_schema(keys), PARSE_OPTIONS)
+    return f"from_json({marked}, {q(record_ddl(keys))}, {_RECORD_OPTS})"
 
 
-def parse_items(marked: Column, data_paths: list[str]) -> Column:
-    """Parse the page object keeping each item array as an array of item texts."""
-    fields = [T.StructField(p, T.ArrayType(T.StringType())) for p in data_paths]
-    schema = T.StructType(fields + [T.StructField(CORRUPT, T.StringType())])
-    return F.from_json(marked, schema, PARSE_OPTIONS)
+def parse_items(marked: str, data_paths: list[str]) -> str:
+    """The page object keeping each item array as an array of item texts."""
+    ddl = "struct<" + ", ".join(f"{ident(p)}: array<string>" for p in data_paths) \
+          + f", {ident(CORRUPT)}: string>"
+    return f"from_json({marked}, {q(ddl)}, {_RECORD_OPTS})"
 
 
-def parse_text_map(marked: Column) -> Column:
+def parse_text_map(marked: str) -> str:
     """A flat JSON object as map<string,string>; NULL when malformed."""
-    return F.from_json(marked, T.MapType(T.StringType(), T.StringType()),
-                       {"allowUnquotedControlChars": "true"})
+    return f"from_json({marked}, 'map<string,string>', {_OPTS})"
 
 
-def parse_text_array(marked: Column) -> Column:
+def parse_text_array(marked: str) -> str:
     """A JSON array as array<string> (elements as text); NULL when not an array."""
-    arr = F.from_json(marked, T.ArrayType(T.StringType()), {"allowUnquotedControlChars": "true"})
-    return F.when(F.startswith(F.ltrim(marked), F.lit("[")), arr)
+    return (f"(CASE WHEN startswith(ltrim({marked}), '[') "
+            f"THEN from_json({marked}, 'array<string>', {_OPTS}) END)")
 
 
-def parse_object_array(marked: Column, key: str) -> Column:
+def parse_object_array(marked: str, key: str) -> str:
     """A JSON array of objects as array<struct<key:string>>; NULL otherwise."""
-    schema = T.ArrayType(T.StructType([T.StructField(key, T.StringType())]))
-    arr = F.from_json(marked, schema, {"allowUnquotedControlChars": "true"})
-    return F.when(F.startswith(F.ltrim(marked), F.lit("[")), arr)
+    ddl = f"array<struct<{ident(key)}: string>>"
+    return (f"(CASE WHEN startswith(ltrim({marked}), '[') "
+            f"THEN from_json({marked}, {q(ddl)}, {_OPTS}) END)")
+
+
+def mark_numbers_col(c: str) -> Column:
+    return F.expr(mark_numbers(ident(c)))
+
+
+def unmark_col(c: str) -> Column:
+    return F.expr(unmark(ident(c)))

@@ -1,10 +1,12 @@
-"""Scalar text predicates and helpers (all built-in expressions)."""
+"""Scalar text predicates and helpers (built-in SQL; ``*_col`` give Columns)."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from cellsmith.functions.sqltext import ident, q
+
 # --- fixed values: character classes ----------------------------------------
 # CJK unified ideographs U+4E00..U+9FA5.
 CJK_CLASS = "[一-龥]"
@@ -13,54 +15,65 @@ CJK_CLASS = "[一-龥]"
 JVM_WHITESPACE = r"[\s\x1c-\x1f\p{Z}&&[^\u00a0\u2007\u202f]]"
 
 
-def is_blank(c: Column) -> Column:
+def is_blank(x: str) -> str:
     """NULL, the text ``null`` or the empty text; whitespace-only is not blank."""
-    return c.isNull() | c.isin("null", "")
+    return f"({x} IS NULL OR {x} IN ('null', ''))"
 
 
-def is_empty(c: Column) -> Column:
-    return c.isNull() | (F.length(c) == 0)
+def is_empty(x: str) -> str:
+    return f"({x} IS NULL OR length({x}) = 0)"
 
 
-def contains_blanks(c: Column) -> Column:
+def contains_blanks(x: str) -> str:
     """True iff the text holds any JVM whitespace character; false on NULL."""
-    return F.coalesce(c.rlike(JVM_WHITESPACE), F.lit(False))
+    return f"coalesce({x} RLIKE {q(JVM_WHITESPACE)}, false)"
 
 
-def contains_cjk(c: Column) -> Column:
-    return c.rlike(CJK_CLASS)
+def contains_cjk(x: str) -> str:
+    return f"({x} RLIKE {q(CJK_CLASS)})"
 
 
-def md5_16(c: Column) -> Column:
+def md5_16(x: str) -> str:
     """Middle 16 hex characters (8..23) of the lower-case MD5 of the UTF-8 text."""
-    return F.substring(F.md5(c), 9, 16)
+    return f"substring(md5({x}), 9, 16)"
 
 
-def day_of(ms: Column, zone: str | None = None) -> Column:
+def day_of(ms: str, zone: str | None = None) -> str:
     """``yyyy-MM-dd`` of an epoch-millisecond time.
 
     With no zone the day is UTC and computed arithmetically; otherwise the
     wall-clock day in ``zone``. Neither depends on the session time zone.
     """
     if zone is None or zone.upper() in ("UTC", "Z", "GMT"):
-        days = F.floor(ms / F.lit(86400000)).cast("int")
-        return F.date_from_unix_date(days).cast("string")
-    utc = F.make_timestamp_ntz(F.lit(1970), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)) \
-        + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), ms / F.lit(1000))
-    local = F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
-    return F.date_format(local, "yyyy-MM-dd")
+        return f"CAST(date_from_unix_date(CAST(floor({ms} / 86400000) AS INT)) AS STRING)"
+    utc = f"(TIMESTAMP_NTZ'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {ms} / 1000))"
+    return f"date_format(convert_timezone('UTC', {q(zone)}, {utc}), 'yyyy-MM-dd')"
 
 
-def normalize_timestamp(c: Column) -> Column:
+def normalize_timestamp(x: str) -> str:
     """``yyyy-MM-dd HH:mm:ss`` from loose date-time text, else NULL.
 
     Every character that is not a digit or ``:`` counts as a separator; the
     text must then read ``year month day hour:minute:second``.
     """
-    spaced = F.regexp_replace(c, r"[^\d:]", " ")
-    pat = r"^\s*(\d+)\s+(\d+)\s+(\d+)\s+(\d+):(\d+):(\d+)"
-    parts = [F.regexp_extract(spaced, pat, i) for i in range(1, 7)]
-    ok = spaced.rlike(pat)
-    nums = [F.when(ok, p).try_cast("int") for p in parts]
-    ts = F.try_make_timestamp_ntz(nums[0], nums[1], nums[2], nums[3], nums[4], nums[5])
-    return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+    spaced = f"regexp_replace({x}, {q(r'[^0-9:]')}, ' ')"
+    pat = q(r"^\s*([0-9]+)\s+([0-9]+)\s+([0-9]+)\s+([0-9]+):([0-9]+):([0-9]+)")
+    parts = [f"try_cast(regexp_extract({spaced}, {pat}, {i}) AS INT)" for i in range(1, 7)]
+    ts = f"try_make_timestamp_ntz({', '.join(parts)})"
+    return f"date_format({ts}, 'yyyy-MM-dd HH:mm:ss')"
+
+
+def _wrap(fn):
+    def col_fn(c: str, *args) -> Column:
+        return F.expr(fn(ident(c), *args))
+    col_fn.__doc__ = fn.__doc__
+    return col_fn
+
+
+is_blank_col = _wrap(is_blank)
+is_empty_col = _wrap(is_empty)
+contains_blanks_col = _wrap(contains_blanks)
+contains_cjk_col = _wrap(contains_cjk)
+md5_16_col = _wrap(md5_16)
+day_of_col = _wrap(day_of)
+normalize_timestamp_col = _wrap(normalize_timestamp)

@@ -22,8 +22,10 @@ from pyspark.sql import types as T
 
 from cellsmith import fixed
 from cellsmith.functions import arrays, coerce as co
-from cellsmith.functions.jsontext import (CORRUPT, mark_numbers, parse_items, parse_record,
-                                          parse_text_array, parse_text_map, unmark, NUM_MARK)
+from cellsmith.functions.jsontext import (CORRUPT, NUM_MARK, mark_numbers, parse_items,
+                                          parse_object_array, parse_record, parse_text_array,
+                                          parse_text_map, unmark)
+from cellsmith.functions.sqltext import field, ident, isin, q
 from cellsmith.functions.text import day_of, is_blank
 from cellsmith.operators.keys import concat_key, regex_key, safe_key
 from cellsmith.spec import ColumnSpec, ModelSpec, SubField, Vocab
@@ -48,25 +50,20 @@ class CleanResult:
     rejects: DataFrame
 
 
-def _cell(family: Column | str, qualifier: Column | str, val: Column) -> Column:
-    fam = F.lit(family) if isinstance(family, str) else family
-    qual = F.lit(qualifier) if isinstance(qualifier, str) else qualifier
-    return F.struct(fam.alias("family"), qual.alias("qualifier"),
-                    *[val[n].alias(n) for n, _ in co.VALUE_FIELDS])
+def _cell(family: str, qualifier: str, val: str) -> str:
+    """SQL of one cell struct; ``val`` is a value struct expression."""
+    vals = ", ".join(f"'{n}', {val}.{n}" for n, _ in co.VALUE_FIELDS)
+    return f"named_struct('family', {family}, 'qualifier', {qualifier}, {vals})"
 
 
-def _reason(code: Column | str, source_field: str | None, raw: Column | None) -> Column:
-    c = F.lit(code) if isinstance(code, str) else code
-    return F.struct(c.alias("reason"), F.lit(source_field).cast("string").alias("source_field"),
-                    (raw if raw is not None else F.lit(None)).cast("string").alias("raw"))
+def _reason(code: str, source_field: str | None, raw: str | None) -> str:
+    return (f"named_struct('reason', {code}, 'source_field', CAST({q(source_field)} AS STRING), "
+            f"'raw', CAST({raw or 'NULL'} AS STRING))")
 
 
-def _empty_cells() -> Column:
-    return F.array().cast(T.ArrayType(CELL_TYPE))
-
-
-def _field(i: int, key: str) -> str:
-    return f"_f{i}__{key}"
+_EMPTY_CELLS = ("CAST(array() AS array<struct<family: string, qualifier: string, vtype: string, "
+                "v_string: string, v_int: int, v_long: bigint, v_float: float, v_double: double, "
+                "v_bool: boolean>>)")
 
 
 # ---------------------------------------------------------------------------
@@ -75,193 +72,211 @@ def _field(i: int, key: str) -> str:
 def item_frame(pages: DataFrame, models: list[ModelSpec], zone: str | None = None) -> DataFrame:
     """One row per item (list models) or per page (detail models).
 
-    Columns: source_key, page_model, download_time, day, item_pos, item (raw
+    Columns: source_key, page_model, download_time, day, item_pos, item (marked
     item text), rec (struct of every key any model reads, as marked text),
     props (map, list models), page_reason.
     """
     names = [m.name for m in models]
     list_models = [m for m in models if m.is_list]
     p = pages.select(*PAGE_COLUMNS).where(F.col("page_model").isin(names))
-    p = p.select("source_key", "page_model", "download_time", "propertys",
-                 mark_numbers(F.col("data")).alias("mdata"))
+    p = p.selectExpr("source_key", "page_model", "download_time", "propertys",
+                     f"{mark_numbers('data')} AS mdata")
 
-    list_names = [m.name for m in list_models]
-    is_list = F.col("page_model").isin(list_names) if list_names else F.lit(False)
+    null_data = ("mdata IS NULL", _reason("'null_data'", None, None))
+    null_dt = ("download_time IS NULL", _reason("'null_download_time'", None, None))
     if list_models:
+        is_list = isin("page_model", [m.name for m in list_models])
         paths = sorted({m.data_path for m in list_models})
-        page_doc = F.when(is_list, parse_items(F.col("mdata"), paths))
-        mprops = mark_numbers(F.col("propertys"))
-        props = F.when(is_list & F.col("propertys").isNotNull(), parse_text_map(mprops))
-        p = p.select("*", page_doc.alias("page_doc"), props.alias("props"))
-        items = F.when(~is_list, F.array(F.col("mdata")))
-        for m in list_models:
-            # An item may be an object or a string holding one; marking again is
-            # a no-op on the first and keeps number text exact in the second.
-            items = items.when(F.col("page_model") == m.name,
-                               F.transform(F.col("page_doc")[m.data_path], mark_numbers))
-        bad_props = (F.col("propertys").isNotNull() & F.col("props").isNull()
-                     & (F.trim(F.col("propertys")) != "null"))
-        page_reason = (
-            F.when(F.col("mdata").isNull(), _reason("null_data", None, None))
-            .when(F.col("download_time").isNull(), _reason("null_download_time", None, None))
-            .when(is_list & F.col("page_doc")[CORRUPT].isNotNull(),
-                  _reason("bad_data_json", None, F.col("page_doc")[CORRUPT]))
-            .when(is_list & bad_props, _reason("bad_propertys_json", "propertys",
-                                               F.col("propertys")))
-            .when(is_list & F.exists(F.map_values(F.col("props")), lambda v: v.isNull()),
-                  _reason("null_property", "propertys", F.col("propertys"))))
+        p = p.selectExpr(
+            "*", f"CASE WHEN {is_list} THEN {parse_items('mdata', paths)} END AS page_doc",
+            f"CASE WHEN {is_list} AND propertys IS NOT NULL "
+            f"THEN {parse_text_map(mark_numbers('propertys'))} END AS props")
+        # An item may be an object or a string holding one; marking again is
+        # a no-op on the first and keeps number text exact in the second.
+        items = "CASE " + " ".join(
+            f"WHEN page_model = {q(m.name)} THEN transform(page_doc.{ident(m.data_path)}, "
+            f"t -> {mark_numbers('t')})" for m in list_models) + " ELSE array(mdata) END"
+        bad_props = "(propertys IS NOT NULL AND props IS NULL AND trim(propertys) <> 'null')"
+        branches = [
+            null_data, null_dt,
+            (f"{is_list} AND page_doc.{CORRUPT} IS NOT NULL",
+             _reason("'bad_data_json'", None, unmark(f"page_doc.{CORRUPT}"))),
+            (f"{is_list} AND {bad_props}", _reason("'bad_propertys_json'", "propertys", "propertys")),
+            (f"{is_list} AND exists(map_values(props), v -> v IS NULL)",
+             _reason("'null_property'", "propertys", "propertys")),
+        ]
     else:
-        p = p.select("*", F.lit(None).cast(T.MapType(T.StringType(), T.StringType())).alias("props"))
-        items = F.array(F.col("mdata"))
-        page_reason = (
-            F.when(F.col("mdata").isNull(), _reason("null_data", None, None))
-            .when(F.col("download_time").isNull(), _reason("null_download_time", None, None)))
-
-    x = p.select("source_key", "page_model", "download_time", "props",
-                 page_reason.alias("page_reason"),
-                 F.posexplode_outer(items).alias("item_pos", "item"))
+        p = p.selectExpr("*", "CAST(NULL AS map<string,string>) AS props")
+        items = "array(mdata)"
+        branches = [null_data, null_dt]
+    page_reason = "CASE " + " ".join(f"WHEN {c} THEN {v}" for c, v in branches) + " END"
+
+    x = p.selectExpr("source_key", "page_model", "download_time", "props",
+                     f"{page_reason} AS page_reason",
+                     f"posexplode_outer({items}) AS (item_pos, item)")
     # Pages with no items and nothing wrong write nothing.
-    x = x.where(F.col("item_pos").isNotNull() | F.col("page_reason").isNotNull())
-
+    x = x.where("item_pos IS NOT NULL OR page_reason IS NOT NULL")
     keys = list(dict.fromkeys(k for m in models for k in m.field_keys()))
-    rec = parse_record(F.col("item"), keys)
-    x = x.select("source_key", "page_model", "download_time", "props", "page_reason",
-                 F.col("item_pos").cast("int").alias("item_pos"), "item",
-                 day_of(F.col("download_time"), zone).alias("day"), rec.alias("rec"))
-    return x
+    return x.selectExpr("source_key", "page_model", "download_time", "props", "page_reason",
+                        "CAST(item_pos AS INT) AS item_pos", "item",
+                        f"{day_of('download_time', zone)} AS day",
+                        f"{parse_record('item', keys)} AS rec")
 
 
 # ---------------------------------------------------------------------------
 # per-model expressions, in layers so each coercion runs once per item
 # ---------------------------------------------------------------------------
-def _typed_name(i: int, j: int, what: str) -> str:
-    return f"_{what}{i}_{j}"
-
-
-def _sub_case(t: Column, subs: tuple[SubField, ...], pick) -> Column:
-    expr = None
-    for s in subs:
-        v = pick(s)
-        expr = F.when(t["key"] == s.source, v) if expr is None else expr.when(t["key"] == s.source, v)
-    return expr
-
-
-def _column_values(i: int, m: ModelSpec, j: int, c: ColumnSpec, vocab: Vocab
-                   ) -> list[Column]:
-    """Layer 3: the typed value / reason of one column as named columns."""
-    text = F.col(_field(i, c.source))
-    present = ~is_blank(text)
-    on = (F.col("page_model") == m.name) & present
-    raw_marked = F.col("rec")[c.source]
-    out: list[Column] = []
-    if c.type != "Array":
-        val, why = co.coerce(text, c.type, c.source, vocab)
-        out.append(F.when(on, val).alias(_typed_name(i, j, "v")))
-        out.append(F.when(on & why.isNotNull(), _reason(why, c.source, text))
-                   .alias(_typed_name(i, j, "r")))
-        return out
-    bad_array = arrays.check_array(raw_marked)
-    if m.is_list:
-        if c.source == fixed.SUBFIELD_ARRAY_KEY and c.sub_columns:
-            arr = parse_text_array(raw_marked)
-            first = arr[0]
-            toks = arrays.split_tokens(first)
-            keys = [s.source for s in c.sub_columns]
-            wanted = F.filter(toks, lambda t: ~is_blank(t["val"]) & t["key"].isin(keys))
-            typed = F.transform(wanted, lambda t: F.struct(
-                _sub_case(t, c.sub_columns, lambda s: F.lit(s.name)).alias("name"),
-                _sub_case(t, c.sub_columns, lambda s: co.strict_parse(t["val"], s.type)).alias("val")))
-            out.append(F.when(on & (F.size(arr) > 0), typed).alias(_typed_name(i, j, "s")))
-            why = (F.when(arr.isNull(), F.lit("bad_array"))
-                   .when(F.size(arr) == 0, F.lit(None))
-                   .when(first.isNull() | F.startswith(first, F.lit(NUM_MARK)),
-                         F.lit("bad_subfield_text")))
-            out.append(F.when(on & why.isNotNull(), _reason(why, c.source, text))
-                       .alias(_typed_name(i, j, "r")))
-            return out
-        out.append(F.when(on & bad_array.isNotNull(), _reason(bad_array, c.source, text))
-                   .alias(_typed_name(i, j, "r")))
-        return out
-    if c.source in vocab.array_keys:
-        joined, why = arrays.join_spaced(raw_marked)
-    elif c.source in fixed.JOIN_FIELD_KEYS:
-        joined, why = arrays.join_field(raw_marked, fixed.JOIN_FIELD_KEYS[c.source], "/")
-    else:
-        joined, why = F.lit(""), bad_array
-    out.append(F.when(on & why.isNull() & (joined != ""), co.value("string", joined))
-               .alias(_typed_name(i, j, "v")))
-    out.append(F.when(on & why.isNotNull(), _reason(why, c.source, text))
-               .alias(_typed_name(i, j, "r")))
+class _Names:
+    """Column names of the typed layers."""
+
+    def __init__(self, models: list[ModelSpec]):
+        keys = list(dict.fromkeys(k for m in models for k in m.field_keys()))
+        self.key_index = {k: n for n, k in enumerate(keys)}
+
+    def text(self, key: str) -> str:          # unmarked field text
+        return f"_t{self.key_index[key]}"
+
+    @staticmethod
+    def pre(i: int, j: int) -> str:           # parsed number / boolean / array
+        return f"_p{i}_{j}"
+
+    @staticmethod
+    def val(i: int, j: int) -> str:           # value struct (or typed tokens)
+        return f"_v{i}_{j}"
+
+    @staticmethod
+    def why(i: int, j: int) -> str:           # column reject reason
+        return f"_r{i}_{j}"
+
+
+def _present(nm: _Names, m: ModelSpec, c: ColumnSpec) -> str:
+    return f"(page_model = {q(m.name)} AND NOT {is_blank(nm.text(c.source))})"
+
+
+def _pre_layer(nm: _Names, i: int, m: ModelSpec, vocab: Vocab) -> list[str]:
+    """Parse steps referenced more than once later (numbers, words, arrays)."""
+    out = []
+    for j, c in enumerate(m.columns):
+        on = _present(nm, m, c)
+        t = nm.text(c.source)
+        if c.type in ("int", "long", "float", "double"):
+            out.append(f"CASE WHEN {on} THEN {co.parsed_number(t, c.type)} END AS {nm.pre(i, j)}")
+        elif c.type == "boolean":
+            out.append(f"CASE WHEN {on} THEN {co.vocab_boolean(t, c.source, vocab)} END "
+                       f"AS {nm.pre(i, j)}")
+        elif c.type == "Array":
+            raw = field("rec", c.source)
+            if not m.is_list and c.source not in vocab.array_keys \
+                    and c.source in fixed.JOIN_FIELD_KEYS:
+                arr = parse_object_array(raw, fixed.JOIN_FIELD_KEYS[c.source])
+            else:
+                arr = parse_text_array(raw)
+            out.append(f"CASE WHEN {on} THEN {arr} END AS {nm.pre(i, j)}")
     return out
 
 
-def _column_cells(i: int, m: ModelSpec, j: int, c: ColumnSpec
-                  ) -> tuple[list[Column], Column | None, list[Column]]:
-    """Layer 4: (fixed cell slots, variable cell array, reasons) of one column."""
-    reasons = [F.col(_typed_name(i, j, "r"))]
-    if c.type == "Array" and m.is_list:
-        if c.source == fixed.SUBFIELD_ARRAY_KEY and c.sub_columns:
-            typed = F.col(_typed_name(i, j, "s"))
-            cells = F.flatten(F.transform(typed, lambda x: F.array(
-                _cell(fixed.LATEST_FAMILY, x["name"], x["val"]),
-                _cell(x["name"], F.col("day"), x["val"]))))
-            bad = F.when(F.exists(typed, lambda x: x["val"].isNull()),
-                         _reason("bad_subfield", c.source, F.col(_field(i, c.source))))
-            return [], cells, reasons + [bad]
-        return [], None, reasons
-    v = F.col(_typed_name(i, j, "v"))
-    latest = F.when(v.isNotNull(), _cell(fixed.LATEST_FAMILY, c.name, v))
-    hist = F.when(v.isNotNull(), _cell(c.name, F.col("day"), v))
-    if m.is_list:
-        return ([latest, hist] if c.is_multi else [latest]), None, reasons
-    return [hist, latest], None, reasons
+def _value_layer(nm: _Names, i: int, m: ModelSpec, vocab: Vocab) -> list[str]:
+    """Value struct and reject reason of every column."""
+    out = []
+    for j, c in enumerate(m.columns):
+        on = _present(nm, m, c)
+        t = nm.text(c.source)
+        pre = nm.pre(i, j)
+        if c.type != "Array":
+            val, why = co.coerce(t, pre, c.type, c.source, vocab)
+            out.append(f"CASE WHEN {on} THEN {val} END AS {nm.val(i, j)}")
+            out.append(f"CASE WHEN {on} AND ({why}) IS NOT NULL THEN "
+                       f"{_reason(why, c.source, t)} END AS {nm.why(i, j)}")
+            continue
+        bad = arrays.array_reason(pre)
+        if m.is_list and c.source == fixed.SUBFIELD_ARRAY_KEY and c.sub_columns:
+            first = f"{pre}[0]"
+            keys = [s.source for s in c.sub_columns]
+            wanted = (f"filter({arrays.split_tokens(first)}, "
+                      f"k -> NOT {is_blank('k.val')} AND {isin('k.key', keys)})")
+            name = "CASE " + " ".join(f"WHEN k.key = {q(s.source)} THEN {q(s.name)}"
+                                      for s in c.sub_columns) + " END"
+            typed = "CASE " + " ".join(f"WHEN k.key = {q(s.source)} THEN {co.strict_parse('k.val', s.type)}"
+                                       for s in c.sub_columns) + " END"
+            toks = f"transform({wanted}, k -> named_struct('name', {name}, 'val', {typed}))"
+            out.append(f"CASE WHEN {on} AND {pre} IS NOT NULL AND size({pre}) > 0 THEN {toks} END "
+                       f"AS {nm.val(i, j)}")
+            why = (f"CASE WHEN {pre} IS NULL THEN 'bad_array' WHEN size({pre}) = 0 THEN NULL "
+                   f"WHEN {first} IS NULL OR startswith({first}, {q(NUM_MARK)}) "
+                   f"THEN 'bad_subfield_text' END")
+        elif m.is_list:
+            why = bad
+        else:
+            if c.source in vocab.array_keys:
+                joined = arrays.join_spaced(pre)
+            elif c.source in fixed.JOIN_FIELD_KEYS:
+                joined = arrays.join_field(pre, fixed.JOIN_FIELD_KEYS[c.source], "/")
+            else:
+                joined = "''"
+            out.append(f"CASE WHEN {on} AND ({bad}) IS NULL AND {joined} <> '' THEN "
+                       f"{co.value('string', joined)} END AS {nm.val(i, j)}")
+            why = bad
+        out.append(f"CASE WHEN {on} AND ({why}) IS NOT NULL THEN "
+                   f"{_reason(why, c.source, t)} END AS {nm.why(i, j)}")
+    return out
 
 
-def model_key(i: int, m: ModelSpec) -> Column:
+def model_key(nm: _Names, m: ModelSpec) -> str:
     """Row key of model ``m``: regex over the item text, else composite + CJK hash."""
     if m.uses_regex_key:
-        return regex_key(unmark(F.col("item")), m.rowkey_regex)
-    return safe_key(concat_key([F.col(_field(i, k)) for k in m.rowkey_columns]))
+        return regex_key(unmark("item"), m.rowkey_regex)
+    return safe_key(concat_key([nm.text(k) for k in m.rowkey_columns]))
 
 
-def model_exprs(i: int, m: ModelSpec) -> tuple[Column, Column, Column]:
-    """(row_key, cells array, reason) of model ``m`` over the typed layers."""
-    key = F.col(f"_key{i}")
-    parts: list[Column] = []
-    slots: list[Column] = []
-    reasons: list[Column] = []
+def model_cells(nm: _Names, i: int, m: ModelSpec) -> tuple[str, str]:
+    """(cells array, reason) of model ``m`` over the typed layers, in write order."""
+    parts: list[str] = []
+    slots: list[str] = []
+    reasons: list[str] = []
 
     def flush():
         if slots:
-            parts.append(F.array(*slots))
+            parts.append("array(" + ", ".join(slots) + ")")
             slots.clear()
 
+    day = "day"
     if m.record_time or not m.is_list:
-        slots.append(_cell(fixed.DOWNLOAD_TIME_FAMILY, F.col("day"),
-                           co.value("long", F.col("download_time"))))
+        slots.append(_cell(q(fixed.DOWNLOAD_TIME_FAMILY), day,
+                           co.value("long", "download_time")))
     if m.is_list:
         flush()
-        props = F.filter(F.map_entries(F.col("props")), lambda e: e["value"] != "")
-        parts.append(F.coalesce(F.transform(props, lambda e: _cell(
-            fixed.LATEST_FAMILY, e["key"], co.value("string", unmark(e["value"])))),
-            _empty_cells()))
+        props = "filter(map_entries(props), e -> e.value <> '')"
+        prop_cell = _cell(q(fixed.LATEST_FAMILY), "e.key", co.value("string", unmark("e.value")))
+        parts.append(f"coalesce(transform({props}, e -> {prop_cell}), {_EMPTY_CELLS})")
+    latest = q(fixed.LATEST_FAMILY)
     for j, c in enumerate(m.columns):
-        s, var, why = _column_cells(i, m, j, c)
-        slots.extend(s)
-        if var is not None:
-            flush()
-            parts.append(F.coalesce(var, _empty_cells()))
-        reasons.extend(why)
+        v, why = nm.val(i, j), nm.why(i, j)
+        reasons.append(why)
+        if c.type == "Array" and m.is_list:
+            if c.source == fixed.SUBFIELD_ARRAY_KEY and c.sub_columns:
+                flush()
+                cells = (f"flatten(transform({v}, x -> array({_cell(latest, 'x.name', 'x.val')}, "
+                         f"{_cell('x.name', day, 'x.val')})))")
+                parts.append(f"coalesce({cells}, {_EMPTY_CELLS})")
+                reasons.append(f"CASE WHEN exists({v}, x -> x.val IS NULL) THEN "
+                               f"{_reason(q('bad_subfield'), c.source, nm.text(c.source))} END")
+            continue
+        lat = f"CASE WHEN {v} IS NOT NULL THEN {_cell(latest, q(c.name), v)} END"
+        hist = f"CASE WHEN {v} IS NOT NULL THEN {_cell(q(c.name), day, v)} END"
+        if m.is_list:
+            slots.extend([lat, hist] if c.is_multi else [lat])
+        else:
+            slots.extend([hist, lat])
     flush()
-    cells = F.filter(F.concat(*parts) if len(parts) > 1 else parts[0], lambda x: x.isNotNull())
+    joined = parts[0] if len(parts) == 1 else "concat(" + ", ".join(parts) + ")"
+    cells = f"filter({joined}, x -> x IS NOT NULL)"
 
-    item_corrupt = F.col("rec")[CORRUPT]
-    item_reason = (F.when(F.col("item").isNull(), _reason("null_item", None, None))
-                   .when(item_corrupt.isNotNull(),
-                         _reason("bad_item_json" if m.is_list else "bad_data_json",
-                                 None, item_corrupt)))
-    key_reason = F.when(key == "", _reason("empty_row_key", None, None))
-    return key, cells, F.coalesce(item_reason, key_reason, *reasons)
+    corrupt = f"rec.{CORRUPT}"
+    item_reason = (f"CASE WHEN item IS NULL THEN {_reason(q('null_item'), None, None)} "
+                   f"WHEN {corrupt} IS NOT NULL THEN "
+                   f"{_reason(q('bad_item_json' if m.is_list else 'bad_data_json'), None, unmark(corrupt))} END")
+    key_reason = f"CASE WHEN _key{i} = '' THEN {_reason(q('empty_row_key'), None, None)} END"
+    return cells, "coalesce(" + ", ".join([item_reason, key_reason] + reasons) + ")"
 
 
 def clean(pages: DataFrame, models: list[ModelSpec], vocab: Vocab | None = None,
@@ -275,51 +290,51 @@ def clean(pages: DataFrame, models: list[ModelSpec], vocab: Vocab | None = None,
         raise ValueError("on_error must be 'reject' or 'fail'")
     vocab = vocab or Vocab()
     models = list(models)
+    nm = _Names(models)
     x = item_frame(pages, models, zone)
-    fields = [F.when(F.col("page_model") == m.name, unmark(F.col("rec")[k])).alias(_field(i, k))
-              for i, m in enumerate(models) for k in m.field_keys()]
-    x = x.select("*", *fields)
-    typed = [col for i, m in enumerate(models) for j, c in enumerate(m.columns)
-             for col in _column_values(i, m, j, c, vocab)]
-    keys = [F.when(F.col("page_model") == m.name, model_key(i, m)).alias(f"_key{i}")
+    x = x.selectExpr("*", *[f"{unmark(field('rec', k))} AS {nm.text(k)}" for k in nm.key_index])
+    keys = [f"CASE WHEN page_model = {q(m.name)} THEN {model_key(nm, m)} END AS _key{i}"
             for i, m in enumerate(models)]
-    x = x.select("*", *typed, *keys)
+    x = x.selectExpr("*", *keys, *[e for i, m in enumerate(models) for e in _pre_layer(nm, i, m, vocab)])
+    x = x.selectExpr("*", *[e for i, m in enumerate(models) for e in _value_layer(nm, i, m, vocab)])
 
     # One column per model for each output; only one is non-null per row, so
     # combining them is a cheap coalesce over column references.
     per_model = []
     for i, m in enumerate(models):
-        _, cells, reason = model_exprs(i, m)
-        is_m = F.col("page_model") == m.name
-        per_model += [F.when(is_m, cells).alias(f"_cells{i}"), F.when(is_m, reason).alias(f"_why{i}")]
-    x = x.select("source_key", "page_model", "download_time", "item_pos", "page_reason",
-                 *[f"_key{i}" for i in range(len(models))], *per_model)
-
+        cells, reason = model_cells(nm, i, m)
+        is_m = f"page_model = {q(m.name)}"
+        per_model += [f"CASE WHEN {is_m} THEN {cells} END AS _cells{i}",
+                      f"CASE WHEN {is_m} THEN {reason} END AS _why{i}"]
     n = len(models)
-    reject = F.coalesce(F.col("page_reason"), *[F.col(f"_why{i}") for i in range(n)])
+    x = x.selectExpr("source_key", "page_model", "download_time", "item_pos", "page_reason",
+                     *[f"_key{i}" for i in range(n)], *per_model)
+
+    reject = "coalesce(page_reason, " + ", ".join(f"_why{i}" for i in range(n)) + ")"
     if on_error == "fail":
-        reject = F.when(reject.isNotNull(), F.raise_error(F.concat(
-            F.lit("cannot clean item: "), reject["reason"], F.lit(" source_key="),
-            F.coalesce(F.col("source_key"), F.lit("null"))))).cast(REASON_TYPE)
-    row_key = F.when(F.col("page_reason").isNull(), F.coalesce(*[F.col(f"_key{i}") for i in range(n)]))
-    x = x.select("source_key", "page_model", "download_time", "item_pos",
-                 reject.alias("reject"), row_key.alias("row_key"),
-                 F.coalesce(*[F.col(f"_cells{i}") for i in range(n)]).alias("_cells"))
-    items = x.select("source_key", "page_model", "download_time", "item_pos", "reject", "row_key",
-                     F.when(F.col("reject").isNull(), F.col("_cells")).alias("cells"))
+        reject = (f"CAST(CASE WHEN {reject} IS NOT NULL THEN raise_error(concat('cannot clean item: ', "
+                  f"{reject}.reason, ' source_key=', coalesce(source_key, 'null'))) END "
+                  f"AS struct<reason: string, source_field: string, raw: string>)")
+    row_key = ("CASE WHEN page_reason IS NULL THEN "
+               + ("coalesce(" + ", ".join(f"_key{i}" for i in range(n)) + ")" if n > 1 else "_key0")
+               + " END")
+    x = x.selectExpr("source_key", "page_model", "download_time", "item_pos",
+                     f"{reject} AS reject", f"{row_key} AS row_key",
+                     ("coalesce(" + ", ".join(f"_cells{i}" for i in range(n)) + ")" if n > 1
+                      else "_cells0") + " AS _cells")
+    items = x.selectExpr("source_key", "page_model", "download_time", "item_pos", "reject",
+                         "row_key", "CASE WHEN reject IS NULL THEN _cells END AS cells")
 
     # A rejected item has NULL cells, so no filter is needed before the
     # generator (a filter there would be pushed down and repeat the reason
     # expression). posexplode_outer also avoids the size(cells) > 0 filter
     # Catalyst infers for a plain generator.
-    cells = items.select("row_key", "download_time", "source_key", "item_pos",
-                         F.posexplode_outer("cells").alias("put_seq", "cell"))
-    cells = cells.where(F.col("put_seq").isNotNull()).select(
-        "row_key", *[F.col("cell")[n].alias(n) for n, _ in CELL_FIELDS],
-        "download_time", "source_key", "item_pos", F.col("put_seq").cast("int").alias("put_seq"))
-
-    rejects = items.where(F.col("reject").isNotNull()).select(
-        "source_key", "page_model", "item_pos",
-        F.col("reject")["source_field"].alias("source_field"),
-        F.col("reject")["raw"].alias("raw"), F.col("reject")["reason"].alias("reason"))
+    cells = items.selectExpr("row_key", "download_time", "source_key", "item_pos",
+                             "posexplode_outer(cells) AS (put_seq, cell)")
+    cells = cells.where("put_seq IS NOT NULL").selectExpr(
+        "row_key", *[f"cell.{n} AS {n}" for n, _ in CELL_FIELDS],
+        "download_time", "source_key", "item_pos", "CAST(put_seq AS INT) AS put_seq")
+    rejects = items.where("reject IS NOT NULL").selectExpr(
+        "source_key", "page_model", "item_pos", "reject.source_field AS source_field",
+        "reject.raw AS raw", "reject.reason AS reason")
     return CleanResult(items=items, cells=cells, rejects=rejects)

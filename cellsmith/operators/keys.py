@@ -1,30 +1,34 @@
-"""Row keys: composite, regex, CJK-hashed."""
+"""Row keys: composite, regex, CJK-hashed (SQL text; ``*_col`` give Columns)."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cellsmith.functions.sqltext import ident, q
 from cellsmith.functions.text import contains_cjk, md5_16
 
 
-def concat_key(fields: list[Column]) -> Column:
+def concat_key(fields: list[str]) -> str:
     """Key fields' texts concatenated, no separator; a missing field adds ``null``."""
-    return F.concat(*[F.coalesce(f, F.lit("null")) for f in fields])
+    return "concat(" + ", ".join(f"coalesce({f}, 'null')" for f in fields) + ")"
 
 
-def safe_key(k: Column) -> Column:
+def safe_key(k: str) -> str:
     """A key holding a CJK character is replaced by its 16-character MD5."""
-    return F.when(contains_cjk(k), md5_16(k)).otherwise(k)
+    return f"(CASE WHEN {contains_cjk(k)} THEN {md5_16(k)} ELSE {k} END)"
 
 
-def regex_key(text: Column, regex: str) -> Column:
+def regex_key(text: str, regex: str) -> str:
     """Group 1 of the *last* match of ``regex`` in ``text``; empty text if none."""
-    last = F.try_element_at(F.regexp_extract_all(text, F.lit(regex), F.lit(1)), F.lit(-1))
-    return F.coalesce(last, F.lit(""))
+    return f"coalesce(try_element_at(regexp_extract_all({text}, {q(regex)}, 1), -1), '')"
+
+
+def regex_key_col(c: str, regex: str) -> Column:
+    return F.expr(regex_key(ident(c), regex))
 
 
 def regex_matches(df: DataFrame, text_col: str, regex: str, out: str = "match") -> DataFrame:
     """One row per match of ``regex`` (group 1) in ``text_col``, with its position."""
-    return df.select("*", F.posexplode(
-        F.regexp_extract_all(F.col(text_col), F.lit(regex), F.lit(1))).alias("match_pos", out))
+    gen = f"posexplode(regexp_extract_all({ident(text_col)}, {q(regex)}, 1)) AS (match_pos, {ident(out)})"
+    return df.selectExpr("*", gen)
