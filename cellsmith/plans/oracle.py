@@ -221,6 +221,58 @@ def _wide() -> str:
     return f"SELECT row_key,\n  {cols}\nFROM ({cells}) t WHERE qualifier IN ({names}) GROUP BY row_key"
 
 
+_TOKEN_HISTORY = r"""
+p AS (SELECT *, CAST(p_partkey AS VARCHAR) AS row_key FROM part),
+h AS (
+  SELECT row_key, '2024-01-' || lpad(CAST(p_size % 28 + 1 AS VARCHAR), 2, '0') AS day,
+    'original_price:' || CAST(p_retailprice AS VARCHAR) || '  sku_id:' || p_partkey
+    || '  name:' || p_name || '  packing_fee:' || (p_size % 3)
+    || '  recent_rating:' || (p_size % 5) || '.5  promotion_stock:-1  price:'
+    || CAST(p_retailprice AS VARCHAR) || '  sold_out:'
+    || CASE WHEN p_size % 2 = 0 THEN 'False' ELSE 'True' END
+    || '  recent_popularity:' || p_size || '  item_id:' || p_partkey
+    || '  specs:    name:规格  value:' || p_type
+    || '  stock:' || CASE WHEN p_size = 13 THEN '1.0' ELSE CAST(p_size AS VARCHAR) END
+    || CASE WHEN p_size % 7 = 0 THEN '  price:1,2' ELSE '' END AS text
+  FROM p
+  UNION ALL
+  SELECT row_key, '2024-02-01', 'price:' || p_size || '  stock:' || (p_size + 1)
+    || '  sold_out:true  recent_rating:' || p_size || '  item_id:' || p_brand FROM p),
+t AS (
+  SELECT row_key, day, i, regexp_replace(tok, ':+$', '') AS tok FROM (
+    SELECT row_key, day, unnest(string_split(text, '  ')) AS tok,
+           generate_subscripts(string_split(text, '  '), 1) AS i FROM h)
+  WHERE NOT contains(tok, ',')),
+kv AS (
+  SELECT row_key, day, i, string_split(tok, ':')[1] AS k, string_split(tok, ':')[2] AS v
+  FROM t WHERE len(string_split(tok, ':')) = 2),
+m AS (SELECT * FROM (VALUES
+  ('original_price', 'originalPrice', 'double'), ('packing_fee', 'packingFee', 'double'),
+  ('recent_rating', 'recentRating', 'float'), ('promotion_stock', 'promotionStock', 'int'),
+  ('price', 'currentPrice', 'double'), ('sold_out', 'isAvailable', 'boolean'),
+  ('recent_popularity', 'recentPopularity', 'int'), ('item_id', 'productRawId', 'String'),
+  ('stock', 'stock', 'int')) AS m(k, name, typ)),
+typed AS (
+  SELECT kv.row_key, kv.day, kv.i, m.name, m.typ, kv.v,
+    CASE WHEN m.typ = 'int' AND regexp_matches(kv.v, '^[+-]?[0-9]+$') THEN TRY_CAST(kv.v AS INTEGER) END AS iv,
+    CASE WHEN m.typ = 'double' THEN TRY_CAST(kv.v AS DOUBLE) END AS dv,
+    CASE WHEN m.typ = 'float' THEN CAST(TRY_CAST(kv.v AS FLOAT) AS DOUBLE) END AS fv,
+    CASE WHEN m.typ = 'boolean' THEN CASE lower(kv.v) WHEN 'true' THEN false WHEN 'false' THEN true END END AS bv
+  FROM kv JOIN m ON kv.k = m.k),
+bad AS (
+  SELECT DISTINCT row_key, day FROM typed
+  WHERE (typ = 'int' AND iv IS NULL) OR (typ = 'double' AND dv IS NULL)
+     OR (typ = 'float' AND fv IS NULL) OR (typ = 'boolean' AND bv IS NULL)),
+c AS (
+  SELECT t.row_key, t.name AS family, t.day AS qualifier,
+    CASE typ WHEN 'String' THEN 'string' ELSE typ END AS vtype,
+    CASE WHEN typ = 'String' THEN v END AS v_string, iv AS v_int, NULL::BIGINT AS v_long,
+    fv AS v_float, dv AS v_double, bv AS v_bool, 0 AS dt, '' AS sk, 0 AS pos, i AS seq
+  FROM typed t ANTI JOIN bad b ON t.row_key = b.row_key AND t.day = b.day)"""
+
+_JVM_WS_DUCK = ("[\\t\\n\\x0b\\f\\r\\x1c-\\x1f \\x{1680}\\x{2000}-\\x{2006}"
+                "\\x{2008}-\\x{200a}\\x{2028}\\x{2029}\\x{205f}\\x{3000}]")
+
 ORACLE = {
     "clean_latest": _event_cells(latest=True),
     "clean_history": _event_cells(latest=False),
@@ -265,6 +317,37 @@ FROM customer""",
     "array_names": _shop_one("shopType"),
     "array_descriptions": _shop_one("commitment"),
     "latest_wide": _wide(),
+    "backfill_tokens": "WITH " + _TOKEN_HISTORY + _last("c"),
+    "upsert_merge": "WITH " + _EVENTS + ",\nc AS (\n"
+        + _event_cells(latest=True).split("c AS (\n", 1)[1].split(")\n\nSELECT", 1)[0]
+        + "\nUNION ALL\n"
+        + _event_cells(latest=False).split("c AS (\n", 1)[1].split(")\n\nSELECT", 1)[0]
+        + ")\n" + _last("c"),
+    "history_lookup": "SELECT * FROM (" + _event_cells(latest=False)
+        + ") WHERE row_key = '0click' AND family = 'amount'",
+    "regex_matches": """
+SELECT doc_id, CAST(i - 1 AS INTEGER) AS match_pos, m AS match FROM (
+  SELECT doc_id, unnest(regexp_extract_all(text, '(\\d+)', 1)) AS m,
+         generate_subscripts(regexp_extract_all(text, '(\\d+)', 1), 1) AS i
+  FROM documents)""",
+    "sort_records": """
+SELECT o_orderkey, o_totalprice,
+       row_number() OVER (ORDER BY o_totalprice DESC NULLS LAST, o_orderkey) AS rank
+FROM orders""",
+    "distinct_sorted": """
+SELECT p_name, row_number() OVER (ORDER BY p_name NULLS LAST) AS rank
+FROM (SELECT DISTINCT p_name FROM part)""",
+    "normalize_timestamp": """
+SELECT o_orderkey, CASE WHEN o_orderkey % 10 IN (0, 1) THEN NULL
+                        ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS ts
+FROM orders""",
+    "blank_tests": f"""
+SELECT doc_id, (text IS NULL OR text IN ('null', '')) AS text_blank,
+       (text IS NULL OR length(text) = 0) AS text_empty,
+       coalesce(regexp_matches(text, '{_JVM_WS_DUCK}'), false) AS text_has_blanks,
+       regexp_matches(text, '[一-龥]') AS text_has_cjk,
+       coalesce(regexp_matches(source, '{_JVM_WS_DUCK}'), false) AS source_has_blanks
+FROM documents""",
     "rejects": f"""WITH {_DIRTY}
 SELECT row_key AS source_key, 'dirty' AS page_model, 0 AS item_pos,
        CASE reason WHEN 'int_only_dots' THEN 'as_int' WHEN 'bad_boolean' THEN 'flag' END

@@ -9,7 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellsmith.operators import merge
+from cellsmith import fixed
+from cellsmith.functions import text as tx
+from cellsmith.functions.sqltext import ident
+from cellsmith.operators import merge, records
+from cellsmith.operators.backfill import backfill
+from cellsmith.operators.keys import regex_matches as _regex_matches
+from cellsmith.sources.pages import read_history
+from cellsmith.spec import parse_subfields
 from cellsmith.plans import specs
 from cellsmith.plans.job import run_spec
 from cellsmith.sources import views
@@ -182,6 +189,71 @@ def latest_wide(spark, sf_dir):
     return merge.latest_wide(_shop_clean(spark, sf_dir).cells, WIDE_NAMES)
 
 
+def backfill_tokens(spark, sf_dir):
+    """Stored token-text history -> typed history cells on the same days."""
+    hist = read_history(views.token_history_cells(spark, sf_dir), fixed.SUBFIELD_ARRAY_KEY)
+    res = backfill(hist, parse_subfields(fixed.BACKFILL_SUBFIELDS))
+    return merge.cell_values(merge.merge_cells(res.cells))
+
+
+MIDPOINT_MS = 1705622400000  # 2024-01-19 00:00:00 UTC: events before it form the snapshot
+
+
+def upsert_merge(spark, sf_dir):
+    """Snapshot of early events upserted with the later ones (all families)."""
+    cells = _events_clean(spark, sf_dir).cells
+    old = merge.merge_cells(cells.where(F.col("download_time") < MIDPOINT_MS))
+    new = cells.where(F.col("download_time") >= MIDPOINT_MS)
+    return merge.cell_values(merge.upsert_cells(old, new))
+
+
+LOOKUP_KEY, LOOKUP_COLUMN = "0click", "amount"
+
+
+def history_lookup(spark, sf_dir):
+    """Every day of one column of one row (point lookup over the cell table)."""
+    cells = _events_clean(spark, sf_dir).cells
+    return merge.cell_values(merge.lookup_history(cells, LOOKUP_KEY, LOOKUP_COLUMN))
+
+
+MATCH_REGEX = r"(\d+)"
+
+
+def regex_matches(spark, sf_dir):
+    """Every group-1 match of a regex over whole document texts."""
+    docs = views.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return _regex_matches(docs, "text", MATCH_REGEX).select(
+        "doc_id", F.col("match_pos").cast("int").alias("match_pos"), "match")
+
+
+def sort_records(spark, sf_dir):
+    """Orders sorted by total price (descending), ties by key; global rank."""
+    o = views.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    order = records.sort_columns("o_totalprice", "desc", ["o_orderkey"])
+    return records.with_global_rank(o, order, "rank")
+
+
+def distinct_sorted(spark, sf_dir):
+    """Distinct part names, ascending, with their rank."""
+    return records.distinct_sorted(views.table(spark, sf_dir, "part"), "p_name")
+
+
+def normalize_timestamp(spark, sf_dir):
+    """Loose date-time text -> ``yyyy-MM-dd HH:mm:ss`` (NULL when invalid)."""
+    t = views.order_date_texts(spark, sf_dir)
+    return t.select("o_orderkey", tx.normalize_timestamp_col("text").alias("ts"))
+
+
+def blank_tests(spark, sf_dir):
+    """Blank / empty / whitespace / CJK tests over whole document texts."""
+    d = views.table(spark, sf_dir, "documents")
+    return d.select("doc_id", tx.is_blank_col("text").alias("text_blank"),
+                    tx.is_empty_col("text").alias("text_empty"),
+                    tx.contains_blanks_col("text").alias("text_has_blanks"),
+                    tx.contains_cjk_col("text").alias("text_has_cjk"),
+                    tx.contains_blanks_col("source").alias("source_has_blanks"))
+
+
 QUERIES = {
     "clean_latest": clean_latest,
     "clean_history": clean_history,
@@ -205,4 +277,12 @@ QUERIES = {
     "array_names": array_names,
     "array_descriptions": array_descriptions,
     "latest_wide": latest_wide,
+    "backfill_tokens": backfill_tokens,
+    "upsert_merge": upsert_merge,
+    "history_lookup": history_lookup,
+    "regex_matches": regex_matches,
+    "sort_records": sort_records,
+    "distinct_sorted": distinct_sorted,
+    "normalize_timestamp": normalize_timestamp,
+    "blank_tests": blank_tests,
 }

@@ -245,3 +245,63 @@ def shop_list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                   F.col("page_no").cast("string"))
     dt = F.lit(SHOP_EPOCH_MS) + F.col("n_nationkey") * F.lit(86400000)
     return _pages(pages, sk, F.lit("shop_list"), data, props, dt)
+
+
+# ---------------------------------------------------------------------------
+# token history (input of the backfill): stored history cells of `specfoods`
+# ---------------------------------------------------------------------------
+def _part_token_texts() -> tuple[Column, Column]:
+    s = lambda c: F.col(c).cast("string")
+    size = F.col("p_size")
+    sold = F.when(size % 2 == 0, F.lit("False")).otherwise(F.lit("True"))
+    stock = F.when(size == 13, F.lit("1.0")).otherwise(s("p_size"))
+    a = F.concat_ws("  ",
+                    F.concat(F.lit("original_price:"), s("p_retailprice")),
+                    F.concat(F.lit("sku_id:"), s("p_partkey")),
+                    F.concat(F.lit("name:"), F.col("p_name")),
+                    F.concat(F.lit("packing_fee:"), (size % 3).cast("string")),
+                    F.concat(F.lit("recent_rating:"), (size % 5).cast("string"), F.lit(".5")),
+                    F.lit("promotion_stock:-1"),
+                    F.concat(F.lit("price:"), s("p_retailprice")),
+                    F.concat(F.lit("sold_out:"), sold),
+                    F.concat(F.lit("recent_popularity:"), s("p_size")),
+                    F.concat(F.lit("item_id:"), s("p_partkey")),
+                    F.concat(F.lit("specs:    name:规格  value:"), F.col("p_type")),
+                    F.concat(F.lit("stock:"), stock))
+    a = F.when(size % 7 == 0, F.concat(a, F.lit("  price:1,2"))).otherwise(a)
+    b = F.concat_ws("  ",
+                    F.concat(F.lit("price:"), s("p_size")),
+                    F.concat(F.lit("stock:"), (size + 1).cast("string")),
+                    F.lit("sold_out:true"),
+                    F.concat(F.lit("recent_rating:"), s("p_size")),
+                    F.concat(F.lit("item_id:"), F.col("p_brand")))
+    return a, b
+
+
+def token_history_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two stored ``specfoods:<day>`` text cells per part (cell-table schema)."""
+    p = table(spark, sf_dir, "part")
+    a, b = _part_token_texts()
+    day_a = F.concat(F.lit("2024-01-"), F.lpad((F.col("p_size") % 28 + 1).cast("string"), 2, "0"))
+    rows = F.array(F.struct(day_a.alias("day"), a.alias("text")),
+                   F.struct(F.lit("2024-02-01").alias("day"), b.alias("text")))
+    x = p.select(F.col("p_partkey").cast("string").alias("row_key"), F.inline(rows))
+    return x.select("row_key", F.lit("specfoods").alias("family"), F.col("day").alias("qualifier"),
+                    F.lit("string").alias("vtype"), F.col("text").alias("v_string"),
+                    F.lit(None).cast("int").alias("v_int"), F.lit(None).cast("bigint").alias("v_long"),
+                    F.lit(None).cast("float").alias("v_float"),
+                    F.lit(None).cast("double").alias("v_double"),
+                    F.lit(None).cast("boolean").alias("v_bool"),
+                    F.lit(None).cast("bigint").alias("download_time"),
+                    F.col("row_key").alias("source_key"), F.lit(0).alias("item_pos"),
+                    F.lit(0).alias("put_seq"))
+
+
+def order_date_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loose date-time texts (``2018年06月05日 12:00:00`` style) per order."""
+    o = table(spark, sf_dir, "orders")
+    good = F.date_format(F.col("o_orderdate"), "yyyy年MM月dd日 HH:mm:ss")
+    bad_month = F.concat(F.year("o_orderdate").cast("string"), F.lit("年13月05日 00:00:00"))
+    text = (F.when(F.col("o_orderkey") % 10 == 0, bad_month)
+            .when(F.col("o_orderkey") % 10 == 1, F.lit("x")).otherwise(good))
+    return o.select("o_orderkey", text.alias("text"))
