@@ -28,18 +28,38 @@ def array_reason(arr: str) -> str:
             f"WHEN exists({arr}, e -> e IS NULL) THEN 'null_array_element' END)")
 
 
+# A token splits into exactly two parts at ":" once trailing colons are dropped:
+# any key (may be empty), a non-empty value, then only colons.
+TOKEN_PAIR = r"^[^:]*:[^:]+:*$"
+
+
+def token_key(t: str) -> str:
+    return f"substring_index({t}, ':', 1)"
+
+
+def token_val(t: str) -> str:
+    return f"substring_index(substring_index({t}, ':', 2), ':', -1)"
+
+
+def map_tokens(text: str, body, skip_commas: bool = False) -> str:
+    """``transform`` over the two-space tokens of ``text``: ``body(t)`` (SQL
+    over the token variable ``t``) for a valid ``key:value`` token, NULL else."""
+    cond = f"t RLIKE {q(TOKEN_PAIR)}"
+    if skip_commas:
+        cond = f"NOT contains(t, ',') AND {cond}"
+    return (f"transform(split({text}, {q(fixed.TOKEN_SEPARATOR)}), "
+            f"t -> CASE WHEN {cond} THEN {body('t')} END)")
+
+
 def split_tokens(text: str, skip_commas: bool = False) -> str:
-    """``key:value`` tokens divided by two spaces -> array<struct<key, val, pos>>.
+    """``key:value`` tokens divided by two spaces -> array<struct<key, val>>.
 
     A token counts only if it splits into exactly two parts at ``:`` once its
     trailing colons are dropped (``a:b:`` counts, ``a:`` and ``a:b:c`` do not).
     """
-    toks = f"split({text}, {q(fixed.TOKEN_SEPARATOR)})"
-    if skip_commas:
-        toks = f"filter({toks}, t -> NOT contains(t, ','))"
-    parts = f"transform({toks}, t -> split(regexp_replace(t, ':+$', ''), ':'))"
-    pairs = f"filter({parts}, p -> size(p) = 2)"
-    return f"transform({pairs}, p -> named_struct('key', p[0], 'val', p[1]))"
+    pairs = map_tokens(text, lambda t: f"named_struct('key', {token_key(t)}, 'val', {token_val(t)})",
+                       skip_commas)
+    return f"filter({pairs}, p -> p IS NOT NULL)"
 
 
 def parse_array(marked: str) -> str:

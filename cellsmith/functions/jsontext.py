@@ -17,16 +17,18 @@ from pyspark.sql import functions as F
 
 from cellsmith.functions.sqltext import ident, q
 
-NUM_MARK = "\u0002"
+NUM_MARK = "\u0002"      # opens a number's text inside its added quotes
+NUM_END = "\u0004"       # closes it
 _OPEN = "\u0001"
 _CLOSE = "\u0003"
 # A JSON string literal (group 1) or a bare number (group 2). Strings are
 # consumed whole so digits inside them are never touched.
 _TOKEN = r'("[^"\\]*+(?:\\.[^"\\]*+)*+")|(-?[0-9][0-9.eE+\-]*+)'
-# Inside nested JSON text the parser re-escapes the mark as the six characters
-# backslash-u-0002.
-_ESCAPED_MARK = "\\u0002"
-_MARKED_NUMBER_IN_JSON = r'"\\u0002([^"]*)"'
+# Inside nested JSON text the parser re-escapes the marks as six characters
+# each (backslash-u-0002 / backslash-u-0004), so a marked number there reads
+# "\\u00021.50\\u0004" with its quotes; two literal replaces restore it.
+_ESC_OPEN = '"\\u0002'
+_ESC_END = '\\u0004"'
 
 CORRUPT = "_corrupt"
 _OPTS = "map('allowUnquotedControlChars', 'true')"
@@ -35,18 +37,18 @@ _RECORD_OPTS = ("map('allowUnquotedControlChars', 'true', 'mode', 'PERMISSIVE',
 
 
 def mark_numbers(x: str) -> str:
-    """Quote every bare number of a JSON text, prefixed with the number mark."""
+    """Quote every bare number of a JSON text between the number marks."""
     s = f"regexp_replace({x}, {q(_TOKEN)}, {q('$1' + _OPEN + '$2' + _CLOSE)})"
     s = f"replace({s}, {q(_OPEN + _CLOSE)}, '')"  # after a string: nothing
     s = f"replace({s}, {q(_OPEN)}, {q(chr(34) + NUM_MARK)})"
-    return f"replace({s}, {q(_CLOSE)}, {q(chr(34))})"
+    return f"replace({s}, {q(_CLOSE)}, {q(NUM_END + chr(34))})"
 
 
 def unmark(x: str) -> str:
-    """Field text as the source had it: number text without its mark."""
-    return (f"(CASE WHEN startswith({x}, {q(NUM_MARK)}) THEN substring({x}, 2) "
-            f"WHEN contains({x}, {q(_ESCAPED_MARK)}) "
-            f"THEN regexp_replace({x}, {q(_MARKED_NUMBER_IN_JSON)}, '$1') ELSE {x} END)")
+    """Field text as the source had it: number text without its marks."""
+    return (f"(CASE WHEN startswith({x}, {q(NUM_MARK)}) THEN substring({x}, 2, length({x}) - 2) "
+            f"WHEN contains({x}, {q(_ESC_OPEN)}) "
+            f"THEN replace(replace({x}, {q(_ESC_OPEN)}, ''), {q(_ESC_END)}, '') ELSE {x} END)")
 
 
 def record_ddl(keys: list[str]) -> str:

@@ -14,23 +14,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from cellsmith.functions import coerce as co
-from cellsmith.functions.arrays import split_tokens
-from cellsmith.functions.sqltext import isin, q
+from cellsmith.functions.arrays import map_tokens, token_key, token_val
+from cellsmith.functions.sqltext import q
 from cellsmith.operators.cells import CELL_FIELDS, CleanResult
 from cellsmith.spec import SubField
 
 
 def backfill(history: DataFrame, subfields: dict[str, SubField]) -> CleanResult:
-    keys = list(subfields)
     subs = list(subfields.values())
-    name = "CASE " + " ".join(f"WHEN k.key = {q(s.source)} THEN {q(s.name)}" for s in subs) + " END"
-    typed = "CASE " + " ".join(f"WHEN k.key = {q(s.source)} THEN {co.strict_parse('k.val', s.type)}"
-                               for s in subs) + " END"
-    wanted = f"filter({split_tokens('text', skip_commas=True)}, k -> {isin('k.key', keys)})"
+    def typed(t: str) -> str:
+        k, v = token_key(t), token_val(t)
+        return "CASE " + " ".join(
+            f"WHEN {k} = {q(s.source)} THEN named_struct('name', {q(s.name)}, "
+            f"'val', {co.strict_parse(v, s.type)}, 'key', {k}, 'raw', {v})" for s in subs) + " END"
+
+    toks = f"filter({map_tokens('text', typed, skip_commas=True)}, x -> x IS NOT NULL)"
     dt = "download_time" if "download_time" in history.columns else "CAST(NULL AS BIGINT)"
     x = history.selectExpr("row_key", "day", "text", f"{dt} AS download_time",
-                           f"transform({wanted}, k -> named_struct('name', {name}, 'val', {typed}, "
-                           f"'key', k.key, 'raw', k.val)) AS toks")
+                           f"{toks} AS toks")
     x = x.selectExpr("row_key", "day", "text", "download_time", "toks",
                      "filter(toks, t -> t.val IS NULL) AS bad")
     items = x.selectExpr(

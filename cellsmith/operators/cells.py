@@ -94,8 +94,8 @@ def item_frame(pages: DataFrame, models: list[ModelSpec], zone: str | None = Non
         # An item may be an object or a string holding one; marking again is
         # a no-op on the first and keeps number text exact in the second.
         items = "CASE " + " ".join(
-            f"WHEN page_model = {q(m.name)} THEN transform(page_doc.{ident(m.data_path)}, "
-            f"t -> {mark_numbers('t')})" for m in list_models) + " ELSE array(mdata) END"
+            f"WHEN page_model = {q(m.name)} THEN page_doc.{ident(m.data_path)}"
+            for m in list_models) + " ELSE array(mdata) END"
         bad_props = "(propertys IS NOT NULL AND props IS NULL AND trim(propertys) <> 'null')"
         branches = [
             null_data, null_dt,
@@ -116,6 +116,12 @@ def item_frame(pages: DataFrame, models: list[ModelSpec], zone: str | None = Non
                      f"posexplode_outer({items}) AS (item_pos, item)")
     # Pages with no items and nothing wrong write nothing.
     x = x.where("item_pos IS NOT NULL OR page_reason IS NOT NULL")
+    if list_models:
+        # An item may be an object or a string holding one; marking again is
+        # a no-op on the first and keeps number text exact in the second.
+        x = x.selectExpr("source_key", "page_model", "download_time", "props", "page_reason",
+                         "item_pos", f"CASE WHEN {is_list} THEN {mark_numbers('item')} "
+                         f"ELSE item END AS item")
     keys = list(dict.fromkeys(k for m in models for k in m.field_keys()))
     return x.selectExpr("source_key", "page_model", "download_time", "props", "page_reason",
                         "CAST(item_pos AS INT) AS item_pos", "item",
@@ -191,14 +197,15 @@ def _value_layer(nm: _Names, i: int, m: ModelSpec, vocab: Vocab) -> list[str]:
         bad = arrays.array_reason(pre)
         if m.is_list and c.source == fixed.SUBFIELD_ARRAY_KEY and c.sub_columns:
             first = f"{pre}[0]"
-            keys = [s.source for s in c.sub_columns]
-            wanted = (f"filter({arrays.split_tokens(first)}, "
-                      f"k -> NOT {is_blank('k.val')} AND {isin('k.key', keys)})")
-            name = "CASE " + " ".join(f"WHEN k.key = {q(s.source)} THEN {q(s.name)}"
-                                      for s in c.sub_columns) + " END"
-            typed = "CASE " + " ".join(f"WHEN k.key = {q(s.source)} THEN {co.strict_parse('k.val', s.type)}"
-                                       for s in c.sub_columns) + " END"
-            toks = f"transform({wanted}, k -> named_struct('name', {name}, 'val', {typed}))"
+
+            def typed_token(t: str, c=c) -> str:
+                k, v = arrays.token_key(t), arrays.token_val(t)
+                return "CASE " + " ".join(
+                    f"WHEN {k} = {q(s.source)} THEN named_struct('name', {q(s.name)}, "
+                    f"'val', {co.strict_parse(v, s.type)})" for s in c.sub_columns) + " END"
+
+            keep = f"NOT {is_blank(arrays.token_val('t'))}"
+            toks = arrays.map_tokens(first, lambda t: f"CASE WHEN {keep} THEN {typed_token(t)} END")
             out.append(f"CASE WHEN {on} AND {pre} IS NOT NULL AND size({pre}) > 0 THEN {toks} END "
                        f"AS {nm.val(i, j)}")
             why = (f"CASE WHEN {pre} IS NULL THEN 'bad_array' WHEN size({pre}) = 0 THEN NULL "
@@ -255,10 +262,11 @@ def model_cells(nm: _Names, i: int, m: ModelSpec) -> tuple[str, str]:
         if c.type == "Array" and m.is_list:
             if c.source == fixed.SUBFIELD_ARRAY_KEY and c.sub_columns:
                 flush()
-                cells = (f"flatten(transform({v}, x -> array({_cell(latest, 'x.name', 'x.val')}, "
-                         f"{_cell('x.name', day, 'x.val')})))")
+                cells = (f"flatten(transform({v}, x -> CASE WHEN x IS NULL THEN {_EMPTY_CELLS} "
+                         f"ELSE array({_cell(latest, 'x.name', 'x.val')}, "
+                         f"{_cell('x.name', day, 'x.val')}) END))")
                 parts.append(f"coalesce({cells}, {_EMPTY_CELLS})")
-                reasons.append(f"CASE WHEN exists({v}, x -> x.val IS NULL) THEN "
+                reasons.append(f"CASE WHEN exists({v}, x -> x IS NOT NULL AND x.val IS NULL) THEN "
                                f"{_reason(q('bad_subfield'), c.source, nm.text(c.source))} END")
             continue
         lat = f"CASE WHEN {v} IS NOT NULL THEN {_cell(latest, q(c.name), v)} END"
@@ -268,8 +276,9 @@ def model_cells(nm: _Names, i: int, m: ModelSpec) -> tuple[str, str]:
         else:
             slots.extend([hist, lat])
     flush()
-    joined = parts[0] if len(parts) == 1 else "concat(" + ", ".join(parts) + ")"
-    cells = f"filter({joined}, x -> x IS NOT NULL)"
+    # NULL slots stay in the array (dropped after the generator): their
+    # positions keep the write order without another pass over the array.
+    cells = parts[0] if len(parts) == 1 else "concat(" + ", ".join(parts) + ")"
 
     corrupt = f"rec.{CORRUPT}"
     item_reason = (f"CASE WHEN item IS NULL THEN {_reason(q('null_item'), None, None)} "
@@ -331,7 +340,7 @@ def clean(pages: DataFrame, models: list[ModelSpec], vocab: Vocab | None = None,
     # Catalyst infers for a plain generator.
     cells = items.selectExpr("row_key", "download_time", "source_key", "item_pos",
                              "posexplode_outer(cells) AS (put_seq, cell)")
-    cells = cells.where("put_seq IS NOT NULL").selectExpr(
+    cells = cells.where("cell IS NOT NULL").selectExpr(
         "row_key", *[f"cell.{n} AS {n}" for n, _ in CELL_FIELDS],
         "download_time", "source_key", "item_pos", "CAST(put_seq AS INT) AS put_seq")
     rejects = items.where("reject IS NOT NULL").selectExpr(
