@@ -27,8 +27,8 @@ _TOKEN = r'("[^"\\]*+(?:\\.[^"\\]*+)*+")|(-?[0-9][0-9.eE+\-]*+)'
 # Inside nested JSON text the parser re-escapes the marks as six characters
 # each (backslash-u-0002 / backslash-u-0004), so a marked number there reads
 # "\\u00021.50\\u0004" with its quotes; two literal replaces restore it.
-_ESC_OPEN = '"\\u0002'
-_ESC_END = '\\u0004"'
+ESC_OPEN = '"\\u0002'
+ESC_END = '\\u0004"'
 
 CORRUPT = "_corrupt"
 _OPTS = "map('allowUnquotedControlChars', 'true')"
@@ -47,8 +47,8 @@ def mark_numbers(x: str) -> str:
 def unmark(x: str) -> str:
     """Field text as the source had it: number text without its marks."""
     return (f"(CASE WHEN startswith({x}, {q(NUM_MARK)}) THEN substring({x}, 2, length({x}) - 2) "
-            f"WHEN contains({x}, {q(_ESC_OPEN)}) "
-            f"THEN replace(replace({x}, {q(_ESC_OPEN)}, ''), {q(_ESC_END)}, '') ELSE {x} END)")
+            f"WHEN contains({x}, {q(ESC_OPEN)}) "
+            f"THEN replace(replace({x}, {q(ESC_OPEN)}, ''), {q(ESC_END)}, '') ELSE {x} END)")
 
 
 def record_ddl(keys: list[str]) -> str:

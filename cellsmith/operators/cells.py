@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from cellsmith import fixed
 from cellsmith.functions import arrays, coerce as co
-from cellsmith.functions.jsontext import (CORRUPT, NUM_MARK, mark_numbers, parse_items,
+from cellsmith.functions.jsontext import (CORRUPT, ESC_OPEN, NUM_MARK, mark_numbers, parse_items,
                                           parse_object_array, parse_record, parse_text_array,
                                           parse_text_map, unmark)
 from cellsmith.functions.sqltext import field, ident, isin, q
@@ -117,11 +117,13 @@ def item_frame(pages: DataFrame, models: list[ModelSpec], zone: str | None = Non
     # Pages with no items and nothing wrong write nothing.
     x = x.where("item_pos IS NOT NULL OR page_reason IS NOT NULL")
     if list_models:
-        # An item may be an object or a string holding one; marking again is
-        # a no-op on the first and keeps number text exact in the second.
+        # An item may be an object or a string holding one. An object item's
+        # text was rendered from the marked page, so its numbers already carry
+        # the (escaped) mark; a string item's JSON was opaque to that pass and
+        # is marked now. An object without numbers is marked again: a no-op.
         x = x.selectExpr("source_key", "page_model", "download_time", "props", "page_reason",
-                         "item_pos", f"CASE WHEN {is_list} THEN {mark_numbers('item')} "
-                         f"ELSE item END AS item")
+                         "item_pos", f"CASE WHEN {is_list} AND NOT contains(item, {q(ESC_OPEN)}) "
+                         f"THEN {mark_numbers('item')} ELSE item END AS item")
     keys = list(dict.fromkeys(k for m in models for k in m.field_keys()))
     return x.selectExpr("source_key", "page_model", "download_time", "props", "page_reason",
                         "CAST(item_pos AS INT) AS item_pos", "item",

@@ -41,7 +41,12 @@ def _json_string(c: Column) -> Column:
 
 
 def _pages(df: DataFrame, source_key: Column, model: Column, data: Column,
-           propertys: Column, download_time: Column) -> DataFrame:
+           propertys: Column, download_time: Column, spread: bool = False) -> DataFrame:
+    """Rows of the raw page schema. ``spread`` deals the pages round-robin
+    over the session's parallelism, as a multi-file source table would be
+    (the driver tables are single-file, single-row-group parquet)."""
+    if spread:
+        df = df.repartition(df.sparkSession.sparkContext.defaultParallelism)
     out = df.select(source_key.cast("string").alias("source_key"),
                     model.alias("page_model"), data.alias("data"),
                     propertys.cast("string").alias("propertys"),
@@ -56,7 +61,8 @@ def event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     base = _obj(F.col("user_id"), F.col("event_type"), F.col("value"))
     return _pages(e, F.col("event_id"), F.col("event_type"),
-                  _with_raw(base, "props", F.col("props")), F.lit(None), epoch_ms("ts"))
+                  _with_raw(base, "props", F.col("props")), F.lit(None), epoch_ms("ts"),
+                  spread=True)
 
 
 # Field texts of the dirty pages, picked by event_id % 19. None = JSON null.
@@ -105,7 +111,8 @@ def dirty_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(',"flag":'), _json_string(flag),
                     F.lit("}"))
     data = F.when(F.col("event_id") % 97 == 0, F.substring(data, 1, 20)).otherwise(data)
-    return _pages(e, F.col("event_id"), F.lit("dirty"), data, F.lit(None), epoch_ms("ts"))
+    return _pages(e, F.col("event_id"), F.lit("dirty"), data, F.lit(None), epoch_ms("ts"),
+                  spread=True)
 
 
 _STATUS_WORDS = {"F": "有货", "O": "无货", "P": "营业中"}
@@ -119,7 +126,8 @@ def order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     sold = F.when(F.col("o_orderkey") % 3 == 0, F.lit("True")) \
             .when(F.col("o_orderkey") % 3 == 1, F.lit("休息中")).otherwise(F.lit("营业中"))
     data = _obj(F.col("o_orderkey").alias("id"), word.alias("status_word"), sold.alias("sold_out"))
-    return _pages(o, F.col("o_orderkey"), F.lit("order"), data, F.lit(None), epoch_ms("o_orderdate"))
+    return _pages(o, F.col("o_orderkey"), F.lit("order"), data, F.lit(None),
+                  epoch_ms("o_orderdate"), spread=True)
 
 
 # ---------------------------------------------------------------------------
@@ -161,7 +169,10 @@ def _token_text() -> Column:
 
 def menu_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """List pages: ``{"foods": [item, ...]}`` per order, items in line order."""
-    li = table(spark, sf_dir, "lineitem")
+    # Dealt by order key first: item JSON is then built in parallel and the
+    # per-order grouping below reuses this partitioning (no second exchange).
+    li = table(spark, sf_dir, "lineitem").repartition(
+        spark.sparkContext.defaultParallelism, "l_orderkey")
     o = table(spark, sf_dir, "orders")
     item = _obj(
         F.col("l_linenumber").alias("index"), F.col("l_discount").alias("rating"),
@@ -222,7 +233,7 @@ def shop_detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.col("c_nationkey").cast("string"), F.lit("分钟")).alias("平均配送时长"),
         hours.alias("opening_hours"), flavors.alias("flavors"), supports.alias("supports"))
     dt = F.lit(SHOP_EPOCH_MS) + key * F.lit(3600000)
-    return _pages(x, key, F.lit("shop_detail"), data, F.lit(None), dt)
+    return _pages(x, key, F.lit("shop_detail"), data, F.lit(None), dt, spread=True)
 
 
 SHOPS_PER_LIST_PAGE = 50
@@ -231,10 +242,11 @@ SHOPS_PER_LIST_PAGE = 50
 def shop_list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
+    page_no = F.floor(F.col("c_custkey") / SHOPS_PER_LIST_PAGE)
+    c = c.repartition(spark.sparkContext.defaultParallelism, "c_nationkey", page_no.alias("page_no"))
     shop = _obj(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
                 F.concat(F.lit("shop/"), F.col("c_custkey").cast("string"), F.lit(".png")).alias("image"),
                 (F.col("c_nationkey") + 30).alias("配送时效"), F.col("c_mktsegment").alias("促销活动"))
-    page_no = F.floor(F.col("c_custkey") / SHOPS_PER_LIST_PAGE)
     pages = (c.groupBy("c_nationkey", page_no.alias("page_no"))
              .agg(F.sort_array(F.collect_list(F.struct("c_custkey", shop.alias("shop")))).alias("shops")))
     pages = pages.join(n, pages["c_nationkey"] == n["n_nationkey"])
