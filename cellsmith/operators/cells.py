@@ -336,16 +336,24 @@ def clean(pages: DataFrame, models: list[ModelSpec], vocab: Vocab | None = None,
     items = x.selectExpr("source_key", "page_model", "download_time", "item_pos", "reject",
                          "row_key", "CASE WHEN reject IS NULL THEN _cells END AS cells")
 
+    return CleanResult(items=items, cells=cells_from_items(items), rejects=rejects_from_items(items))
+
+
+def cells_from_items(items: DataFrame) -> DataFrame:
+    """One row per cell of the accepted items; ``put_seq`` is the write order."""
     # A rejected item has NULL cells, so no filter is needed before the
     # generator (a filter there would be pushed down and repeat the reason
     # expression). posexplode_outer also avoids the size(cells) > 0 filter
     # Catalyst infers for a plain generator.
     cells = items.selectExpr("row_key", "download_time", "source_key", "item_pos",
                              "posexplode_outer(cells) AS (put_seq, cell)")
-    cells = cells.where("cell IS NOT NULL").selectExpr(
+    return cells.where("cell IS NOT NULL").selectExpr(
         "row_key", *[f"cell.{n} AS {n}" for n, _ in CELL_FIELDS],
         "download_time", "source_key", "item_pos", "CAST(put_seq AS INT) AS put_seq")
-    rejects = items.where("reject IS NOT NULL").selectExpr(
+
+
+def rejects_from_items(items: DataFrame) -> DataFrame:
+    """One row per rejected item, with the first reason found."""
+    return items.where("reject IS NOT NULL").selectExpr(
         "source_key", "page_model", "item_pos", "reject.source_field AS source_field",
         "reject.raw AS raw", "reject.reason AS reason")
-    return CleanResult(items=items, cells=cells, rejects=rejects)
