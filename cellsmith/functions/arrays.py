@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from cellsmith import fixed
-from cellsmith.functions.jsontext import parse_object_array, parse_text_array, unmark
+from cellsmith.functions.jsontext import unmark
 from cellsmith.functions.sqltext import ident, q
 
 
@@ -62,13 +62,5 @@ def split_tokens(text: str, skip_commas: bool = False) -> str:
     return f"filter({pairs}, p -> p IS NOT NULL)"
 
 
-def parse_array(marked: str) -> str:
-    return parse_text_array(marked)
-
-
-def parse_objects(marked: str, key: str) -> str:
-    return parse_object_array(marked, key)
-
-
 def split_tokens_col(c: str, skip_commas: bool = False) -> Column:
     return F.expr(split_tokens(ident(c), skip_commas))

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,7 +28,7 @@ from cellsmith.functions.jsontext import (CORRUPT, ESC_OPEN, NUM_MARK, mark_numb
 from cellsmith.functions.sqltext import field, ident, isin, q
 from cellsmith.functions.text import day_of, is_blank
 from cellsmith.operators.keys import concat_key, regex_key, safe_key
-from cellsmith.spec import ColumnSpec, ModelSpec, SubField, Vocab
+from cellsmith.spec import ColumnSpec, ModelSpec, Vocab
 
 CELL_FIELDS = [("family", T.StringType()), ("qualifier", T.StringType())] + co.VALUE_FIELDS
 CELL_TYPE = T.StructType([T.StructField(n, t) for n, t in CELL_FIELDS])

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from cellsmith import fixed
 from cellsmith.functions import text as tx
-from cellsmith.functions.sqltext import ident
 from cellsmith.operators import merge, records
 from cellsmith.operators.backfill import backfill
 from cellsmith.operators.keys import regex_matches as _regex_matches
