@@ -29,8 +29,15 @@ def array_reason(arr: str) -> str:
 
 
 # A token splits into exactly two parts at ":" once trailing colons are dropped:
-# any key (may be empty), a non-empty value, then only colons.
-TOKEN_PAIR = r"^[^:]*:[^:]+:*$"
+# any key (may be empty), a non-empty value. With the trailing colons trimmed
+# that is "exactly one colon" - checked by byte search, no regex per token.
+def _trimmed(t: str) -> str:
+    return f"TRIM(TRAILING ':' FROM {t})"
+
+
+def token_pair(t: str) -> str:
+    tt = _trimmed(t)
+    return f"(locate(':', {tt}) > 0 AND locate(':', {tt}, locate(':', {tt}) + 1) = 0)"
 
 
 def token_key(t: str) -> str:
@@ -38,13 +45,14 @@ def token_key(t: str) -> str:
 
 
 def token_val(t: str) -> str:
-    return f"substring_index(substring_index({t}, ':', 2), ':', -1)"
+    tt = _trimmed(t)
+    return f"substring({tt}, locate(':', {tt}) + 1)"
 
 
 def map_tokens(text: str, body, skip_commas: bool = False) -> str:
     """``transform`` over the two-space tokens of ``text``: ``body(t)`` (SQL
     over the token variable ``t``) for a valid ``key:value`` token, NULL else."""
-    cond = f"t RLIKE {q(TOKEN_PAIR)}"
+    cond = token_pair("t")
     if skip_commas:
         cond = f"NOT contains(t, ',') AND {cond}"
     return (f"transform(split({text}, {q(fixed.TOKEN_SEPARATOR)}), "
