@@ -111,10 +111,12 @@ def _fl(c: str) -> str:
 
 _MENU = """
 li AS (
-  SELECT l.*, CAST(l.l_orderkey AS VARCHAR) AS sk, (epoch_us(o.o_orderdate) // 1000) AS dt,
+  SELECT l.*, CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber // 50 AS VARCHAR) AS sk,
+         (epoch_us(o.o_orderdate) // 1000) AS dt,
          strftime(o.o_orderdate, '%Y-%m-%d') AS day, CAST(l.l_partkey AS VARCHAR) AS row_key,
          o.o_custkey, o.o_orderstatus, o.o_orderpriority,
-         row_number() OVER (PARTITION BY l.l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
+         row_number() OVER (PARTITION BY l.l_orderkey, l.l_linenumber // 50
+           ORDER BY l_linenumber, l_partkey, l_suppkey,
            l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus,
            l_shipdate) - 1 AS pos
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""

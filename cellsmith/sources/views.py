@@ -167,12 +167,16 @@ def _token_text() -> Column:
                   F.concat(text, F.lit("  sku_id:"), s("l_partkey"))).otherwise(text)
 
 
+ITEMS_PER_MENU_PAGE = 50
+
+
 def menu_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """List pages: ``{"foods": [item, ...]}`` per order, items in line order."""
-    # Dealt by order key first: item JSON is then built in parallel and the
-    # per-order grouping below reuses this partitioning (no second exchange).
-    li = table(spark, sf_dir, "lineitem").repartition(
-        spark.sparkContext.defaultParallelism, "l_orderkey")
+    """List pages: ``{"foods": [item, ...]}`` per order (and block of line
+    numbers), items in line order."""
+    # Dealt round-robin first so item JSON is built in parallel even if one
+    # order held a third of all lines; a page holds at most
+    # ITEMS_PER_MENU_PAGE line numbers of one order, so no group is unbounded.
+    li = table(spark, sf_dir, "lineitem").repartition(spark.sparkContext.defaultParallelism)
     o = table(spark, sf_dir, "orders")
     item = _obj(
         F.col("l_linenumber").alias("index"), F.col("l_discount").alias("rating"),
@@ -185,15 +189,17 @@ def menu_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_suppkey").alias("restaurant_id"),
         F.concat(F.lit("food "), F.col("l_partkey").cast("string")).alias("name"),
         F.array(_token_text()).alias("specfoods"))
-    items = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(
+    chunk = F.floor(F.col("l_linenumber") / ITEMS_PER_MENU_PAGE).alias("chunk")
+    items = li.groupBy("l_orderkey", chunk).agg(F.sort_array(F.collect_list(
         F.struct(*[F.col(c) for c in _ITEM_ORDER], item.alias("item")))).alias("items"))
     pages = items.join(o, items["l_orderkey"] == o["o_orderkey"])
+    sk = F.concat(F.col("o_orderkey").cast("string"), F.lit("-"), F.col("chunk").cast("string"))
     data = F.concat(F.lit('{"foods":['),
                     F.array_join(F.transform("items", lambda x: x["item"]), ","), F.lit("]}"))
     props = _obj(F.col("o_custkey").alias("shop_id"), F.col("o_orderstatus").alias("status"),
                  F.col("o_orderpriority").alias("priority"), F.lit("").alias("note"),
                  F.lit("null").alias("remark"))
-    return _pages(pages, F.col("o_orderkey"), F.lit("menu"), data, props, epoch_ms("o_orderdate"))
+    return _pages(pages, sk, F.lit("menu"), data, props, epoch_ms("o_orderdate"))
 
 
 # ---------------------------------------------------------------------------
