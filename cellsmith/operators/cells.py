@@ -339,17 +339,20 @@ def clean(pages: DataFrame, models: list[ModelSpec], vocab: Vocab | None = None,
     return CleanResult(items=items, cells=cells_from_items(items), rejects=rejects_from_items(items))
 
 
-def cells_from_items(items: DataFrame) -> DataFrame:
-    """One row per cell of the accepted items; ``put_seq`` is the write order."""
+def cells_from_items(items: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """One row per cell of the accepted items; ``put_seq`` is the write order.
+
+    ``extra`` item columns (e.g. an output-table tag) are carried along.
+    """
     # A rejected item has NULL cells, so no filter is needed before the
     # generator (a filter there would be pushed down and repeat the reason
     # expression). posexplode_outer also avoids the size(cells) > 0 filter
     # Catalyst infers for a plain generator.
-    cells = items.selectExpr("row_key", "download_time", "source_key", "item_pos",
+    cells = items.selectExpr("row_key", "download_time", "source_key", "item_pos", *extra,
                              "posexplode_outer(cells) AS (put_seq, cell)")
     return cells.where("cell IS NOT NULL").selectExpr(
         "row_key", *[f"cell.{n} AS {n}" for n, _ in CELL_FIELDS],
-        "download_time", "source_key", "item_pos", "CAST(put_seq AS INT) AS put_seq")
+        "download_time", "source_key", "item_pos", "CAST(put_seq AS INT) AS put_seq", *extra)
 
 
 def rejects_from_items(items: DataFrame) -> DataFrame:

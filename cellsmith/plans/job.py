@@ -1,32 +1,77 @@
-"""Spec-driven jobs: every (source table x model) cleaned, fanned in per output table."""
+"""Spec-driven jobs: every (source table x model), fanned in per output table."""
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from cellsmith.operators.cells import CleanResult, clean
-from cellsmith.spec import TableSpec, Vocab
+from cellsmith.operators.cells import CleanResult, cells_from_items, clean, rejects_from_items
+from cellsmith.spec import ModelSpec, TableSpec, Vocab
+
+
+def _by_source(spec: list[TableSpec]) -> dict[str, list[tuple[ModelSpec, str]]]:
+    """Every source table with its (model, output table) pairs, in spec order."""
+    out: dict[str, list[tuple[ModelSpec, str]]] = {}
+    for t in spec:
+        out.setdefault(t.table_name, []).extend((m, t.output_table) for m in t.models)
+    return out
 
 
 def run_spec(pages_by_table: dict[str, DataFrame], spec: list[TableSpec],
              vocab: Vocab | None = None, zone: str | None = None,
              on_error: str = "reject") -> dict[str, CleanResult]:
-    """Clean each source table once (all its models in one pass) and union the
-    results of every table that feeds the same output table."""
-    per_output: dict[str, list[CleanResult]] = {}
-    # one pass per distinct source table, even if it appears in several entries
-    by_source: dict[str, list[TableSpec]] = {}
-    for t in spec:
-        by_source.setdefault(t.table_name, []).append(t)
-    for source, tables in by_source.items():
-        pages = pages_by_table[source]
-        for out in dict.fromkeys(t.output_table for t in tables):
-            models = [m for t in tables if t.output_table == out for m in t.models]
-            per_output.setdefault(out, []).append(
-                clean(pages, models, vocab=vocab, zone=zone, on_error=on_error))
-    return {out: _union(results) for out, results in per_output.items()}
+    """Lazy cleaning results per output table.
+
+    Each source table is cleaned once with all of its models; an output table
+    fed by several sources is the union of their parts. (Writing several
+    outputs of one source in one job: :func:`write_spec`.)
+    """
+    parts: dict[str, list[CleanResult]] = {}
+    for source, pairs in _by_source(spec).items():
+        res = clean(pages_by_table[source], [m for m, _ in pairs], vocab=vocab, zone=zone,
+                    on_error=on_error)
+        outputs = list(dict.fromkeys(o for _, o in pairs))
+        for out in outputs:
+            if len(outputs) == 1:
+                parts.setdefault(out, []).append(res)
+                continue
+            names = [m.name for m, o in pairs if o == out]
+            items = res.items.where(F.col("page_model").isin(names))
+            parts.setdefault(out, []).append(CleanResult(
+                items=items, cells=cells_from_items(items), rejects=rejects_from_items(items)))
+    return {out: _union(results) for out, results in parts.items()}
+
+
+def _safe(name: str) -> str:
+    return re.sub(r"[^0-9A-Za-z_.-]", "_", name)
+
+
+def write_spec(pages_by_table: dict[str, DataFrame], spec: list[TableSpec], root: str,
+               vocab: Vocab | None = None, zone: str | None = None) -> None:
+    """Clean and write everything: one job (one scan) per source table.
+
+    Cells land in ``root/cells/source=<s>/output_table=<o>/family=<f>`` and
+    rejects in ``root/rejects/source=<s>``; a re-run overwrites only its own
+    source folder. Read an output with :func:`read_output`.
+    """
+    for source, pairs in _by_source(spec).items():
+        res = clean(pages_by_table[source], [m for m, _ in pairs], vocab=vocab, zone=zone)
+        tag = F.coalesce(*[F.when(F.col("page_model") == m.name, F.lit(o)) for m, o in pairs])
+        items = res.items.withColumn("output_table", tag)
+        cells = cells_from_items(items, extra=("output_table",))
+        (cells.sortWithinPartitions("output_table", "family", "row_key").write.mode("overwrite")
+         .partitionBy("output_table", "family").parquet(f"{root}/cells/source={_safe(source)}"))
+        rejects_from_items(items).write.mode("overwrite").parquet(
+            f"{root}/rejects/source={_safe(source)}")
+
+
+def read_output(spark, root: str, output_table: str) -> DataFrame:
+    """All cells written for one output table (every source), partition-pruned."""
+    cells = spark.read.option("basePath", f"{root}/cells").parquet(f"{root}/cells")
+    return cells.where(F.col("output_table") == output_table).drop("output_table", "source")
 
 
 def _union(results: list[CleanResult]) -> CleanResult:

@@ -79,3 +79,18 @@ def test_streaming_matches_batch(spark):
     got = merge.cell_values(read_latest(spark, f"{root}/cells"))
     want = merge.cell_values(merge.latest(clean(pages, list(specs.EVENTS[0].models)).cells))
     assert _rows(got) == _rows(want)
+
+
+def test_write_spec_one_source_two_outputs(spark):
+    from cellsmith.plans.job import read_output, run_spec, write_spec
+    from cellsmith.spec import TableSpec
+    both = views.menu_pages(spark, SF).unionByName(views.shop_detail_pages(spark, SF))
+    spec = [TableSpec("site", "product", specs.MENU_LIST[0].models),
+            TableSpec("site", "shop", specs.SHOPS[0].models)]
+    root = tempfile.mkdtemp(prefix="cellsmith-spec-")
+    write_spec({"site": both}, spec, root)
+    lazy = run_spec({"site": both}, spec)
+    for out in ("product", "shop"):
+        got = merge.cell_values(merge.latest(read_output(spark, root, out)))
+        want = merge.cell_values(merge.latest(lazy[out].cells))
+        assert _rows(got) == _rows(want) and got.count() > 0
