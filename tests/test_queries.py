@@ -32,3 +32,19 @@ def test_query_matches_oracle(spark, duck, name):
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(ocols, res.fetchall())
+
+
+@pytest.mark.parametrize("name", ["clean_history", "download_time_cells", "normalize_timestamp",
+                                  "upsert_merge"])
+def test_results_do_not_depend_on_session_zone(spark, duck, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+    try:
+        df = entry.queries()[name](spark, SF)
+        rows = [tuple(r) for r in df.collect()]
+        cols = df.columns
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    res = duck.execute(entry.oracle_sql()[name])
+    ocols = [d[0] for d in res.description]
+    assert rows_of(cols, rows) == rows_of(ocols, res.fetchall())
