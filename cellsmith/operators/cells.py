@@ -31,10 +31,6 @@ from cellsmith.operators.keys import concat_key, regex_key, safe_key
 from cellsmith.spec import ColumnSpec, ModelSpec, Vocab
 
 CELL_FIELDS = [("family", T.StringType()), ("qualifier", T.StringType())] + co.VALUE_FIELDS
-CELL_TYPE = T.StructType([T.StructField(n, t) for n, t in CELL_FIELDS])
-REASON_TYPE = T.StructType([T.StructField("reason", T.StringType()),
-                            T.StructField("source_field", T.StringType()),
-                            T.StructField("raw", T.StringType())])
 CELL_COLUMNS = ["row_key"] + [n for n, _ in CELL_FIELDS] + [
     "download_time", "source_key", "item_pos", "put_seq"]
 REJECT_COLUMNS = ["source_key", "page_model", "item_pos", "source_field", "raw", "reason"]

@@ -44,7 +44,9 @@ def test_upsert_idempotent_and_repartition_invariant(spark):
 
 
 def test_every_item_is_a_cell_source_or_a_reject(spark):
+    from cellsmith.operators.cells import CELL_COLUMNS, REJECT_COLUMNS
     res = clean(views.dirty_pages(spark, SF), list(specs.DIRTY[0].models))
+    assert res.cells.columns == CELL_COLUMNS and res.rejects.columns == REJECT_COLUMNS
     n_pages = views.dirty_pages(spark, SF).count()
     accepted = res.cells.select("source_key").distinct().count()
     assert accepted + res.rejects.count() == n_pages
