@@ -118,3 +118,12 @@ def test_text_helpers(spark):
     assert [r.ts for r in rows[:3]] == ["2018-06-05 12:00:00", None, None]
     assert [r.b for r in rows[3:]] == [True, False, False]
     assert spark.sql(f"SELECT {q('土豆')} RLIKE {q(tx.CJK_CLASS)} AS c").first().c is True
+
+
+def test_repeated_property_key_later_wins(spark):
+    from cellsmith.operators import merge
+    m = list_model({"v": {"name": "v", "type": "String"}})
+    data = json.dumps({"foods": [{"id": 1, "v": "x"}]})
+    res = clean(pages_df(spark, [("p", "m", data, '{"a": "1", "a": "2"}')]), [m])
+    got = {r.qualifier: r.v_string for r in merge.latest(res.cells).collect()}
+    assert got == {"a": "2", "v": "x"}
