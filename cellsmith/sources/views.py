@@ -173,10 +173,13 @@ ITEMS_PER_MENU_PAGE = 50
 def menu_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """List pages: ``{"foods": [item, ...]}`` per order (and block of line
     numbers), items in line order."""
-    # Dealt round-robin first so item JSON is built in parallel even if one
-    # order held a third of all lines; a page holds at most
-    # ITEMS_PER_MENU_PAGE line numbers of one order, so no group is unbounded.
-    li = table(spark, sf_dir, "lineitem").repartition(spark.sparkContext.defaultParallelism)
+    # A page holds one order's block of at most ITEMS_PER_MENU_PAGE line
+    # numbers, so no group is unbounded and an order holding a third of all
+    # lines spreads over many blocks. Dealt by (order, block): item JSON is
+    # built in parallel and the grouping below reuses this partitioning.
+    chunk = F.floor(F.col("l_linenumber") / ITEMS_PER_MENU_PAGE)
+    li = (table(spark, sf_dir, "lineitem").withColumn("chunk", chunk)
+          .repartition(spark.sparkContext.defaultParallelism, "l_orderkey", "chunk"))
     o = table(spark, sf_dir, "orders")
     item = _obj(
         F.col("l_linenumber").alias("index"), F.col("l_discount").alias("rating"),
@@ -189,8 +192,7 @@ def menu_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_suppkey").alias("restaurant_id"),
         F.concat(F.lit("food "), F.col("l_partkey").cast("string")).alias("name"),
         F.array(_token_text()).alias("specfoods"))
-    chunk = F.floor(F.col("l_linenumber") / ITEMS_PER_MENU_PAGE).alias("chunk")
-    items = li.groupBy("l_orderkey", chunk).agg(F.sort_array(F.collect_list(
+    items = li.groupBy("l_orderkey", "chunk").agg(F.sort_array(F.collect_list(
         F.struct(*[F.col(c) for c in _ITEM_ORDER], item.alias("item")))).alias("items"))
     pages = items.join(o, items["l_orderkey"] == o["o_orderkey"])
     sk = F.concat(F.col("o_orderkey").cast("string"), F.lit("-"), F.col("chunk").cast("string"))
