@@ -29,3 +29,15 @@ def test_scan_pushdown_pruning_and_single_exchange(spark):
     assert plan.count("Exchange") == 1           # the merge only
     assert "partial_max" in plan                  # map-side combine before it
     assert latest.count() > 0
+
+
+def test_history_read_prunes_to_one_family_folder(spark):
+    from cellsmith.sources.pages import read_cells, read_history
+    from cellsmith.sources.sinks import write_cells
+    root = tempfile.mkdtemp(prefix="cellsmith-plan-")
+    write_cells(views.token_history_cells(spark, "/root/testdata/sf0.001"), f"{root}/cells")
+    hist = read_history(read_cells(spark, f"{root}/cells"), "specfoods")
+    plan = _plan(hist)
+    assert "PartitionFilters: [isnotnull(family" in plan and "(family" in plan
+    assert "specfoods" in plan.split("PartitionFilters:")[1].split("]")[0]
+    assert hist.count() == 2 * spark.read.parquet("/root/testdata/sf0.001/part.parquet").count()
