@@ -127,3 +127,15 @@ def test_repeated_property_key_later_wins(spark):
     res = clean(pages_df(spark, [("p", "m", data, '{"a": "1", "a": "2"}')]), [m])
     got = {r.qualifier: r.v_string for r in merge.latest(res.cells).collect()}
     assert got == {"a": "2", "v": "x"}
+
+
+def test_item_array_shapes(spark):
+    m = list_model({"v": {"name": "v", "type": "String"}})
+    rows = [("obj", "m", '{"foods": {"id": 1, "v": "x"}}'), ("str", "m", '{"foods": "abc"}'),
+            ("nul", "m", '{"foods": null}'), ("num", "m", '{"foods": [5]}'),
+            ("ok", "m", '{"foods": [{"id": 2, "v": "y"}]}')]
+    res = clean(pages_df(spark, rows), [m])
+    assert sorted((r.source_key, r.row_key) for r in
+                  res.cells.select("source_key", "row_key").distinct().collect()) == [("ok", "2")]
+    assert sorted((r.source_key, r.reason) for r in res.rejects.collect()) == [
+        ("num", "bad_item_json"), ("obj", "bad_data_json"), ("str", "bad_data_json")]
