@@ -26,16 +26,16 @@ def test_loaders_from_files():
         "models": {"m": {"dataPath": "foods", "rowKeyRegex": r"\sid:(\d+)", "hasRecordTime": True,
                          "columns": {"a": {"name": "A", "type": "int", "isMulti": False}}}}}]),
         encoding="utf-8")
-    (d / "values.json").write_text(json.dumps({"trueWords": ["y"], "falseWords": ["n", 0],
+    (d / "vocab.json").write_text(json.dumps({"trueWords": ["y"], "falseWords": ["n", 0],
                                                "specialBoolKeys": [], "arrayKeys": ["k"]}))
-    (d / "columns.json").write_text(json.dumps({"stock": {"name": "stock", "type": "int"}}))
+    (d / "subfields.json").write_text(json.dumps({"stock": {"name": "stock", "type": "int"}}))
     with pytest.warns(UserWarning):
         spec = load_spec(d / "spec.json")
     m = spec[0].models[0]
     assert m.is_list and m.uses_regex_key and not m.record_time
     assert m.columns[0].is_multi  # key presence, value ignored
-    assert load_vocab(d / "values.json").false_words == ("n",)
-    assert load_subfields(d / "columns.json")["stock"].type == "int"
+    assert load_vocab(d / "vocab.json").false_words == ("n",)
+    assert load_subfields(d / "subfields.json")["stock"].type == "int"
     with pytest.raises(SpecError):
         parse_model("bad", {"columns": {"a": {"name": "A", "type": "decimal"}}, "rowkeyColumns": ["a"]})
     with pytest.raises(SpecError):
