@@ -2,10 +2,10 @@
 
 Spark's JSON readers re-print numbers (``10000000.0`` becomes ``1.0E7``), which
 would change what text-based coercion sees. So before parsing, every bare JSON
-number is wrapped as a string carrying a U+0002 mark: ``1.50`` becomes
-``"\\u00021.50"``. Parsing then yields the exact source text, and
-:func:`unmark` strips the mark again (for a nested object or array it puts the
-number back unquoted). All of it is built-in SQL, JVM-side.
+number is wrapped as a string between two marks, U+0002 and U+0004: ``1.50``
+becomes ``"\u00021.50\u0004"``. Parsing then yields the exact source text,
+and :func:`unmark` strips the marks again (for a nested object or array it puts
+the number back unquoted). All of it is built-in SQL, JVM-side.
 
 Functions here build SQL expression text; ``*_col`` variants return Columns.
 """

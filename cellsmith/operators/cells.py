@@ -6,8 +6,8 @@ Plan shape (per source table, whatever the number of models)::
       -> mark numbers, parse item arrays once          (list models)
       -> posexplode_outer(items)                       (detail: the page is the item)
       -> parse each item once into a struct of wanted keys
-      -> per model (CASE page_model): row key, cells array, reject reason
-      -> posexplode(cells)  => one row per cell, put_seq = write order
+      -> per model (own columns, one non-null per row): row key, cells, reject reason
+      -> posexplode_outer(cells) => one row per cell, put_seq = write order
 
 All narrow: no shuffle until a merge (see :mod:`cellsmith.operators.merge`).
 """
