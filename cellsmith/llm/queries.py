@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellsmith.llm import line_dedup, mixing, quality
+from cellsmith.llm import line_dedup, mixing, near_dup, quality
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +20,12 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_removed", "text")
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document; links at a similarity of 0.75 of 5-word shingles."""
+    out = near_dup.near_duplicates(documents(spark, sf_dir))
+    return out.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of every document; hosts are the sources."""
     return quality.judged(documents(spark, sf_dir))
@@ -32,6 +38,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op3_near_dedup": op3_near_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_mixing": op8_mixing,
 }
