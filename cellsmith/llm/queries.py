@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellsmith.llm import line_dedup, mixing, near_dup, quality
+from cellsmith.llm import line_dedup, lm_score, mixing, near_dup, quality, simhash
+from cellsmith.llm.common import cut
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,12 +21,24 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_removed", "text")
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact unigram score and the filter model's score of every document."""
+    return lm_score.lm_scores(documents(spark, sf_dir))
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document; links at a similarity of 0.75 of 5-word shingles."""
     out = near_dup.near_duplicates(documents(spark, sf_dir))
     return out.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text; for every 50th
+    document also how many documents lie within the radius."""
+    prints = cut(simhash.fingerprint_report(documents(spark, sf_dir)), "report")
+    return prints.join(simhash.near_counts(prints), "doc_id", "left")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of every document; hosts are the sources."""
     return quality.judged(documents(spark, sf_dir))
@@ -38,7 +51,9 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_near_dedup": op3_near_dedup,
+    "op6_fingerprints": op6_fingerprints,
     "op7_quality_rules": op7_quality_rules,
     "op8_mixing": op8_mixing,
 }
