@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellsmith.llm import line_dedup, lm_score, mixing, near_dup, quality, simhash
+from cellsmith.llm import language_id, line_dedup, lm_score, mixing, near_dup, quality, simhash, toxicity
 from cellsmith.llm.common import cut
 
 
@@ -32,6 +32,11 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those of four folds in five."""
+    return language_id.languages(documents(spark, sf_dir))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text; for every 50th
     document also how many documents lie within the radius."""
@@ -49,13 +54,20 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(documents(spark, sf_dir))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels of four folds in five."""
+    return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_lm_scoring": op2_lm_scoring,
     "op3_near_dedup": op3_near_dedup,
+    "op5_language_id": op5_language_id,
     "op6_fingerprints": op6_fingerprints,
     "op7_quality_rules": op7_quality_rules,
     "op8_mixing": op8_mixing,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLE: dict[str, str] = {
