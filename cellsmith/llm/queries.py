@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellsmith.llm import language_id, line_dedup, lm_score, mixing, near_dup, quality, simhash, toxicity
+from cellsmith.llm import language_id, line_dedup, lm_score, mixing, near_dup, pii, quality, simhash, toxicity
 from cellsmith.llm.common import cut
 
+#: Stands for the secret that a production run passes in.
+PII_KEY = "demonstration key"
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -59,6 +62,12 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with personal data replaced by pseudonyms."""
+    out = pii.pseudonymised(documents(spark, sf_dir), key=PII_KEY)
+    return out.select(F.col("row.doc_id").alias("doc_id"), "n_replaced", "text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_lm_scoring": op2_lm_scoring,
@@ -68,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_rules": op7_quality_rules,
     "op8_mixing": op8_mixing,
     "op9_toxicity": op9_toxicity,
+    "op10_pii": op10_pii,
 }
 
 ORACLE: dict[str, str] = {
