@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellsmith.llm import language_id, line_dedup, lm_score, mixing, near_dup, pii, quality, simhash, toxicity
+from cellsmith.llm import language_id, line_dedup, lm_score, mixing, near_dup, packing, pii, quality, simhash, toxicity
 from cellsmith.llm.common import cut
 
 #: Stands for the secret that a production run passes in.
@@ -35,6 +35,11 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens in packed sequences."""
+    return packing.packed(documents(spark, sf_dir))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from those of four folds in five."""
     return language_id.languages(documents(spark, sf_dir))
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_lm_scoring": op2_lm_scoring,
     "op3_near_dedup": op3_near_dedup,
+    "op4_packing": op4_packing,
     "op5_language_id": op5_language_id,
     "op6_fingerprints": op6_fingerprints,
     "op7_quality_rules": op7_quality_rules,
