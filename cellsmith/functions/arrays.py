@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from cellsmith import fixed
 from cellsmith.functions.jsontext import unmark
 from cellsmith.functions.sqltext import ident, q
@@ -22,6 +19,11 @@ def join_field(arr: str, key: str, sep: str = "/") -> str:
     return f"array_join(transform({arr}, e -> coalesce({unmark('e.' + ident(key))}, 'null')), {q(sep)})"
 
 
+def distinct_sorted(arr: str) -> str:
+    """The array's distinct elements, ascending, NULL last."""
+    return f"array_sort(array_distinct({arr}))"
+
+
 def array_reason(arr: str) -> str:
     """Why a parsed array cannot be stored (NULL when it can)."""
     return (f"(CASE WHEN {arr} IS NULL THEN 'bad_array' "
@@ -57,18 +59,3 @@ def map_tokens(text: str, body, skip_commas: bool = False) -> str:
         cond = f"NOT contains(t, ',') AND {cond}"
     return (f"transform(split({text}, {q(fixed.TOKEN_SEPARATOR)}), "
             f"t -> CASE WHEN {cond} THEN {body('t')} END)")
-
-
-def split_tokens(text: str, skip_commas: bool = False) -> str:
-    """``key:value`` tokens divided by two spaces -> array<struct<key, val>>.
-
-    A token counts only if it splits into exactly two parts at ``:`` once its
-    trailing colons are dropped (``a:b:`` counts, ``a:`` and ``a:b:c`` do not).
-    """
-    pairs = map_tokens(text, lambda t: f"named_struct('key', {token_key(t)}, 'val', {token_val(t)})",
-                       skip_commas)
-    return f"filter({pairs}, p -> p IS NOT NULL)"
-
-
-def split_tokens_col(c: str, skip_commas: bool = False) -> Column:
-    return F.expr(split_tokens(ident(c), skip_commas))

@@ -32,9 +32,9 @@ _SLOT = {"string": "v_string", "int": "v_int", "long": "v_long", "float": "v_flo
          "double": "v_double", "boolean": "v_bool"}
 
 # JVM integer grammar: optional sign, ASCII digits, nothing else.
-INT_TEXT = r"^[+-]?[0-9]+$"
-_SPARK_ONLY_SPECIAL = r"(?i)^\s*[+-]?(inf|infinity|nan)\s*$"
-_JVM_SPECIAL = r"^\s*[+-]?(NaN|Infinity)\s*$"
+INT_TEXT = r"^[+-]?[0-9]+\z"
+_SPARK_ONLY_SPECIAL = r"(?i)^\s*[+-]?(inf|infinity|nan)\s*\z"
+_JVM_SPECIAL = r"^\s*[+-]?(NaN|Infinity)\s*\z"
 NO_REASON = "CAST(NULL AS STRING)"
 
 

@@ -21,14 +21,17 @@ NUM_MARK = "\u0002"      # opens a number's text inside its added quotes
 NUM_END = "\u0004"       # closes it
 _OPEN = "\u0001"
 _CLOSE = "\u0003"
-# A JSON string literal (group 1) or a bare number (group 2). Strings are
-# consumed whole so digits inside them are never touched.
-_TOKEN = r'("[^"\\]*+(?:\\.[^"\\]*+)*+")|(-?[0-9][0-9.eE+\-]*+)'
+# A JSON string literal in either kind of quotes (group 1) or a bare number
+# (group 2). Strings are consumed whole so digits inside them are never touched.
+_NUMBER = r"-?[0-9][0-9.eE+\-]*+"
+_TOKEN = (r'("[^"\\]*+(?:\\.[^"\\]*+)*+"|' + r"'[^'\\]*+(?:\\.[^'\\]*+)*+')|(" + _NUMBER + ")")
 # Inside nested JSON text the parser re-escapes the marks as six characters
-# each (backslash-u-0002 / backslash-u-0004), so a marked number there reads
-# "\\u00021.50\\u0004" with its quotes; two literal replaces restore it.
+# each (backslash-u-0002 / backslash-u-0004); text that was not parsed has them
+# raw. Either way only a whole marked number is restored, so a source text that
+# begins with U+0002 keeps its characters.
 ESC_OPEN = '"\\u0002'
-ESC_END = '\\u0004"'
+_MARKED = ('"(?:\\\\u0002|' + NUM_MARK + ")(" + _NUMBER + ")(?:\\\\u0004|" + NUM_END + ')"')
+_MARKED_NUMBER = "^" + NUM_MARK + _NUMBER + NUM_END + r"\z"
 
 CORRUPT = "_corrupt"
 _OPTS = "map('allowUnquotedControlChars', 'true')"
@@ -46,29 +49,51 @@ def mark_numbers(x: str) -> str:
 
 def unmark(x: str) -> str:
     """Field text as the source had it: number text without its marks."""
-    return (f"(CASE WHEN startswith({x}, {q(NUM_MARK)}) THEN substring({x}, 2, length({x}) - 2) "
-            f"WHEN contains({x}, {q(ESC_OPEN)}) "
-            f"THEN replace(replace({x}, {q(ESC_OPEN)}, ''), {q(ESC_END)}, '') ELSE {x} END)")
+    return (f"(CASE WHEN startswith({x}, {q(NUM_MARK)}) AND {x} RLIKE {q(_MARKED_NUMBER)} "
+            f"THEN substring({x}, 2, length({x}) - 2) "
+            f"WHEN contains({x}, {q(ESC_OPEN)}) OR contains({x}, {q(chr(34) + NUM_MARK)}) "
+            f"THEN regexp_replace({x}, {q(_MARKED)}, '$1') ELSE {x} END)")
 
 
-def record_ddl(keys: list[str]) -> str:
-    return "struct<" + ", ".join(f"{ident(k)}: string" for k in keys + [CORRUPT]) + ">"
+def _parse_alone(marked: str, fields: str) -> str:
+    """Parse ``marked`` as the only element of an array, so that an empty text,
+    a second value and text after the object do not pass for a document."""
+    ddl = f"struct<d: array<struct<{fields}>>, {CORRUPT}: string>"
+    text = f"concat({q('{' + chr(34) + 'd' + chr(34) + ':[')}, {marked}, ']}}')"
+    return f"from_json({text}, {q(ddl)}, {_RECORD_OPTS})"
 
 
-def parse_record(marked: str, keys: list[str]) -> str:
-    """A marked JSON object as a struct of the wanted keys (as text).
+def field_names(keys: list[str]) -> list[str]:
+    """Names of a record's fields: the keys, or ``f0``, ``f1``, ... where some
+    differ by case only."""
+    if len({k.lower() for k in keys}) == len(keys):
+        return list(keys)
+    return [f"f{i}" for i in range(len(keys))]
 
-    A repeated key keeps its last value. Malformed text or a non-object fills
-    ``_corrupt``.
-    """
-    return f"from_json({marked}, {q(record_ddl(keys))}, {_RECORD_OPTS})"
+
+def sole(doc: str) -> str:
+    """The object that :func:`parse_record` or :func:`parse_items` found; NULL
+    unless the text was well-formed and exactly one object. ``doc`` is a column."""
+    return f"(CASE WHEN {doc}.{CORRUPT} IS NULL AND size({doc}.d) = 1 THEN get({doc}.d, 0) END)"
 
 
-def parse_items(marked: str, data_paths: list[str]) -> str:
-    """The page object keeping each item array as an array of item texts."""
-    ddl = "struct<" + ", ".join(f"{ident(p)}: array<string>" for p in data_paths) \
-          + f", {ident(CORRUPT)}: string>"
-    return f"from_json({marked}, {q(ddl)}, {_RECORD_OPTS})"
+def parse_record(marked: str, keys: list[str]) -> str:
+    """A marked JSON object's wanted keys as text fields, named :func:`field_names`.
+
+    A repeated key keeps its last value. Take the object out with :func:`sole`.
+    """
+    parsed = _parse_alone(marked, ", ".join(f"{ident(k)}: string" for k in keys))
+    names = field_names(keys)
+    if names == list(keys):
+        return parsed
+    fields = ", ".join(f"{n}: string" for n in names)
+    return f"CAST({parsed} AS struct<d: array<struct<{fields}>>, {CORRUPT}: string>)"
+
+
+def parse_items(marked: str, data_path: str) -> str:
+    """The page object's item array ``data_path`` as an array of item texts.
+    Take the object out with :func:`sole`."""
+    return _parse_alone(marked, f"{ident(data_path)}: array<string>")
 
 
 def parse_text_map(marked: str) -> str:

@@ -7,10 +7,6 @@ call, instead of one Python-to-JVM call per function of the expression tree.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-
 def q(s: str | None) -> str:
     """A SQL string literal (``NULL`` for None)."""
     if s is None:
@@ -37,23 +33,5 @@ def field(struct_sql: str, name: str) -> str:
     return f"{struct_sql}.{ident(name)}"
 
 
-def col(name: str) -> str:
-    return ident(name)
-
-
-def when(*branches: tuple[str, str], otherwise: str | None = None) -> str:
-    body = " ".join(f"WHEN {c} THEN {v}" for c, v in branches)
-    tail = f" ELSE {otherwise}" if otherwise is not None else ""
-    return f"(CASE {body}{tail} END)"
-
-
 def isin(x: str, values) -> str:
     return f"({x} IN ({', '.join(q(v) for v in values)}))" if values else "false"
-
-
-def coalesce(*xs: str) -> str:
-    return xs[0] if len(xs) == 1 else f"coalesce({', '.join(xs)})"
-
-
-def expr(sql: str) -> Column:
-    return F.expr(sql)

@@ -56,11 +56,11 @@ def normalize_timestamp(x: str) -> str:
     Every character that is not a digit or ``:`` counts as a separator; the
     text must then read ``year month day hour:minute:second``.
     """
-    spaced = f"regexp_replace({x}, {q(r'[^0-9:]')}, ' ')"
-    pat = q(r"^\s*([0-9]+)\s+([0-9]+)\s+([0-9]+)\s+([0-9]+):([0-9]+):([0-9]+)")
-    parts = [f"try_cast(regexp_extract({spaced}, {pat}, {i}) AS INT)" for i in range(1, 7)]
-    ts = f"try_make_timestamp_ntz({', '.join(parts)})"
-    return f"date_format({ts}, 'yyyy-MM-dd HH:mm:ss')"
+    shape = q(r"(?s)^[^0-9:]*([0-9]+)[^0-9:]+([0-9]+)[^0-9:]+([0-9]+)[^0-9:]+([0-9]+):([0-9]+):([0-9]+).*$")
+    parts = ", ".join(f"try_cast(get(p, {i}) AS INT)" for i in range(6))
+    one = f"split(regexp_replace({x}, {shape}, '$1 $2 $3 $4 $5 $6'), ' ')"
+    ts = f"transform(array({one}), p -> CASE WHEN size(p) = 6 THEN try_make_timestamp_ntz({parts}) END)[0]"
+    return f"(CASE WHEN {x} RLIKE {shape} THEN date_format({ts}, 'yyyy-MM-dd HH:mm:ss') END)"
 
 
 def _wrap(fn):

@@ -22,9 +22,9 @@ from pyspark.sql import types as T
 
 from cellsmith import fixed
 from cellsmith.functions import arrays, coerce as co
-from cellsmith.functions.jsontext import (CORRUPT, ESC_OPEN, NUM_MARK, mark_numbers, parse_items,
+from cellsmith.functions.jsontext import (ESC_OPEN, NUM_MARK, field_names, mark_numbers, parse_items,
                                           parse_object_array, parse_record, parse_text_array,
-                                          parse_text_map, unmark)
+                                          parse_text_map, sole, unmark)
 from cellsmith.functions.sqltext import field, ident, isin, q
 from cellsmith.functions.text import day_of, is_blank
 from cellsmith.operators.keys import concat_key, regex_key, safe_key
@@ -57,6 +57,7 @@ def _reason(code: str, source_field: str | None, raw: str | None) -> str:
             f"'raw', CAST({raw or 'NULL'} AS STRING))")
 
 
+_VALUE_TYPE = "struct<" + ", ".join(f"{n}: {t.simpleString()}" for n, t in co.VALUE_FIELDS) + ">"
 _EMPTY_CELLS = ("CAST(array() AS array<struct<family: string, qualifier: string, vtype: string, "
                 "v_string: string, v_int: int, v_long: bigint, v_float: float, v_double: double, "
                 "v_bool: boolean>>)")
@@ -65,38 +66,59 @@ _EMPTY_CELLS = ("CAST(array() AS array<struct<family: string, qualifier: string,
 # ---------------------------------------------------------------------------
 # item frame (shared by every model of one source table)
 # ---------------------------------------------------------------------------
+def _model_index(models: list[ModelSpec]) -> tuple[str, bool]:
+    """SQL of the indices of the models that clean a page of ``page_model``, and
+    whether some pages have more than one (a generator then makes a row for each)."""
+    at: dict[str, list[int]] = {}
+    for i, m in enumerate(models):
+        at.setdefault(m.name, []).append(i)
+    many = any(len(v) > 1 for v in at.values())
+    body = " ".join(f"WHEN page_model = {q(n)} THEN "
+                    + (f"array({', '.join(map(str, v))})" if many else str(v[0])) for n, v in at.items())
+    return f"CASE {body} END", many
+
+
+def _of(indices: list[int]) -> str:
+    return f"(mi IN ({', '.join(map(str, indices))}))" if indices else "false"
+
+
 def item_frame(pages: DataFrame, models: list[ModelSpec], zone: str | None = None) -> DataFrame:
-    """One row per item (list models) or per page (detail models).
+    """One row per item (list models) or per page (detail models) and model.
 
-    Columns: source_key, page_model, download_time, day, item_pos, item (marked
-    item text), rec (struct of every key any model reads, as marked text),
-    props (map, list models), page_reason.
+    Columns: source_key, page_model, mi (the model's index in ``models``),
+    download_time, day, item_pos, item (marked item text), rec (the item's
+    wanted keys as marked texts; NULL if the item is not one well-formed object), props (map, list models), page_reason.
     """
-    names = [m.name for m in models]
-    list_models = [m for m in models if m.is_list]
+    names = list(dict.fromkeys(m.name for m in models))
+    lists = [i for i, m in enumerate(models) if m.is_list]
+    index, many = _model_index(models)
     p = pages.select(*PAGE_COLUMNS).where(F.col("page_model").isin(names))
-    p = p.selectExpr("source_key", "page_model", "download_time", "propertys",
+    p = p.selectExpr(*PAGE_COLUMNS, f"explode({index}) AS mi" if many else f"{index} AS mi")
+    p = p.selectExpr("source_key", "page_model", "mi", "download_time", "propertys",
                      f"{mark_numbers('data')} AS mdata")
 
     null_data = ("mdata IS NULL", _reason("'null_data'", None, None))
     null_dt = ("download_time IS NULL", _reason("'null_download_time'", None, None))
-    if list_models:
-        is_list = isin("page_model", [m.name for m in list_models])
-        paths = sorted({m.data_path for m in list_models})
+    if lists:
+        is_list = _of(lists)
+        # a page is parsed for the item array of its own model only
+        paths: dict[str, list[int]] = {}
+        for i in lists:
+            paths.setdefault(models[i].data_path, []).append(i)
         p = p.selectExpr(
-            "*", f"CASE WHEN {is_list} THEN {parse_items('mdata', paths)} END AS page_doc",
+            "*", *[f"CASE WHEN {_of(v)} THEN {parse_items('mdata', path)} END AS doc{k}"
+                   for k, (path, v) in enumerate(paths.items())],
             f"CASE WHEN {is_list} AND propertys IS NOT NULL "
             f"THEN {parse_text_map(mark_numbers('propertys'))} END AS props")
-        # An item may be an object or a string holding one; marking again is
-        # a no-op on the first and keeps number text exact in the second.
-        items = "CASE " + " ".join(
-            f"WHEN page_model = {q(m.name)} THEN page_doc.{ident(m.data_path)}"
-            for m in list_models) + " ELSE array(mdata) END"
-        bad_props = "(propertys IS NOT NULL AND props IS NULL AND trim(propertys) <> 'null')"
+        good = " ".join(f"WHEN {_of(v)} THEN {sole(f'doc{k}')} IS NOT NULL" for k, v in enumerate(paths.values()))
+        items = " ".join(f"WHEN {_of(v)} THEN {sole(f'doc{k}')}.{ident(path)}" for k, (path, v) in enumerate(paths.items()))
+        p = p.selectExpr("source_key", "page_model", "mi", "download_time", "propertys", "mdata", "props",
+                         f"CASE {good} END AS good", f"CASE {items} END AS found")
+        items = f"CASE WHEN {is_list} THEN found ELSE array(mdata) END"
+        bad_props = "(propertys IS NOT NULL AND props IS NULL AND trim(propertys) NOT IN ('null', ''))"
         branches = [
             null_data, null_dt,
-            (f"{is_list} AND page_doc.{CORRUPT} IS NOT NULL",
-             _reason("'bad_data_json'", None, unmark(f"page_doc.{CORRUPT}"))),
+            (f"{is_list} AND NOT good", _reason("'bad_data_json'", None, unmark("mdata"))),
             (f"{is_list} AND {bad_props}", _reason("'bad_propertys_json'", "propertys", "propertys")),
             (f"{is_list} AND exists(map_values(props), v -> v IS NULL)",
              _reason("'null_property'", "propertys", "propertys")),
@@ -107,24 +129,23 @@ def item_frame(pages: DataFrame, models: list[ModelSpec], zone: str | None = Non
         branches = [null_data, null_dt]
     page_reason = "CASE " + " ".join(f"WHEN {c} THEN {v}" for c, v in branches) + " END"
 
-    x = p.selectExpr("source_key", "page_model", "download_time", "props",
+    x = p.selectExpr("source_key", "page_model", "mi", "download_time", "props",
                      f"{page_reason} AS page_reason",
                      f"posexplode_outer({items}) AS (item_pos, item)")
     # Pages with no items and nothing wrong write nothing.
     x = x.where("item_pos IS NOT NULL OR page_reason IS NOT NULL")
-    if list_models:
+    base = ["source_key", "page_model", "mi", "download_time", "props", "page_reason"]
+    if lists:
         # An item may be an object or a string holding one. An object item's
         # text was rendered from the marked page, so its numbers already carry
         # the (escaped) mark; a string item's JSON was opaque to that pass and
         # is marked now. An object without numbers is marked again: a no-op.
-        x = x.selectExpr("source_key", "page_model", "download_time", "props", "page_reason",
-                         "item_pos", f"CASE WHEN {is_list} AND NOT contains(item, {q(ESC_OPEN)}) "
+        x = x.selectExpr(*base, "item_pos", f"CASE WHEN {is_list} AND NOT contains(item, {q(ESC_OPEN)}) "
                          f"THEN {mark_numbers('item')} ELSE item END AS item")
-    keys = list(dict.fromkeys(k for m in models for k in m.field_keys()))
-    return x.selectExpr("source_key", "page_model", "download_time", "props", "page_reason",
-                        "CAST(item_pos AS INT) AS item_pos", "item",
-                        f"{day_of('download_time', zone)} AS day",
-                        f"{parse_record('item', keys)} AS rec")
+    keys = list(dict.fromkeys(k for m in models for k in m.field_keys())) or [""]
+    x = x.selectExpr(*base, "CAST(item_pos AS INT) AS item_pos", "item",
+                     f"{day_of('download_time', zone)} AS day", f"{parse_record('item', keys)} AS doc")
+    return x.selectExpr(*base, "item_pos", "item", "day", f"{sole('doc')} AS rec")
 
 
 # ---------------------------------------------------------------------------
@@ -136,6 +157,10 @@ class _Names:
     def __init__(self, models: list[ModelSpec]):
         keys = list(dict.fromkeys(k for m in models for k in m.field_keys()))
         self.key_index = {k: n for n, k in enumerate(keys)}
+        self.names = dict(zip(keys, field_names(keys), strict=True))
+
+    def field(self, key: str) -> str:         # marked field text
+        return field("rec", self.names[key])
 
     def text(self, key: str) -> str:          # unmarked field text
         return f"_t{self.key_index[key]}"
@@ -153,15 +178,15 @@ class _Names:
         return f"_r{i}_{j}"
 
 
-def _present(nm: _Names, m: ModelSpec, c: ColumnSpec) -> str:
-    return f"(page_model = {q(m.name)} AND NOT {is_blank(nm.text(c.source))})"
+def _present(nm: _Names, i: int, c: ColumnSpec) -> str:
+    return f"(mi = {i} AND NOT {is_blank(nm.text(c.source))})"
 
 
 def _pre_layer(nm: _Names, i: int, m: ModelSpec, vocab: Vocab) -> list[str]:
     """Parse steps referenced more than once later (numbers, words, arrays)."""
     out = []
     for j, c in enumerate(m.columns):
-        on = _present(nm, m, c)
+        on = _present(nm, i, c)
         t = nm.text(c.source)
         if c.type in ("int", "long", "float", "double"):
             out.append(f"CASE WHEN {on} THEN {co.parsed_number(t, c.type)} END AS {nm.pre(i, j)}")
@@ -169,7 +194,7 @@ def _pre_layer(nm: _Names, i: int, m: ModelSpec, vocab: Vocab) -> list[str]:
             out.append(f"CASE WHEN {on} THEN {co.vocab_boolean(t, c.source, vocab)} END "
                        f"AS {nm.pre(i, j)}")
         elif c.type == "Array":
-            raw = field("rec", c.source)
+            raw = nm.field(c.source)
             if not m.is_list and c.source not in vocab.array_keys \
                     and c.source in fixed.JOIN_FIELD_KEYS:
                 arr = parse_object_array(raw, fixed.JOIN_FIELD_KEYS[c.source])
@@ -183,7 +208,7 @@ def _value_layer(nm: _Names, i: int, m: ModelSpec, vocab: Vocab) -> list[str]:
     """Value struct and reject reason of every column."""
     out = []
     for j, c in enumerate(m.columns):
-        on = _present(nm, m, c)
+        on = _present(nm, i, c)
         t = nm.text(c.source)
         pre = nm.pre(i, j)
         if c.type != "Array":
@@ -209,15 +234,13 @@ def _value_layer(nm: _Names, i: int, m: ModelSpec, vocab: Vocab) -> list[str]:
             why = (f"CASE WHEN {pre} IS NULL THEN 'bad_array' WHEN size({pre}) = 0 THEN NULL "
                    f"WHEN {first} IS NULL OR startswith({first}, {q(NUM_MARK)}) "
                    f"THEN 'bad_subfield_text' END")
-        elif m.is_list:
-            why = bad
+        elif m.is_list or (c.source not in vocab.array_keys and c.source not in fixed.JOIN_FIELD_KEYS):
+            # never rendered: it only has to be an array
+            out.append(f"CAST(NULL AS {_VALUE_TYPE}) AS {nm.val(i, j)}")
+            why = f"CASE WHEN {pre} IS NULL THEN 'bad_array' END"
         else:
-            if c.source in vocab.array_keys:
-                joined = arrays.join_spaced(pre)
-            elif c.source in fixed.JOIN_FIELD_KEYS:
-                joined = arrays.join_field(pre, fixed.JOIN_FIELD_KEYS[c.source], "/")
-            else:
-                joined = "''"
+            joined = (arrays.join_spaced(pre) if c.source in vocab.array_keys
+                      else arrays.join_field(pre, fixed.JOIN_FIELD_KEYS[c.source], "/"))
             out.append(f"CASE WHEN {on} AND ({bad}) IS NULL AND {joined} <> '' THEN "
                        f"{co.value('string', joined)} END AS {nm.val(i, j)}")
             why = bad
@@ -233,7 +256,24 @@ def model_key(nm: _Names, m: ModelSpec) -> str:
     return safe_key(concat_key([nm.text(k) for k in m.rowkey_columns]))
 
 
-def model_cells(nm: _Names, i: int, m: ModelSpec) -> tuple[str, str]:
+@dataclass(frozen=True)
+class Wanted:
+    """Cells that a job asks for: names of latest cells and history families (None: all).
+
+    Cells that are not asked for are never built; every column's input is still
+    checked, so the rejects are the same.
+    """
+    latest: frozenset[str] | None = None
+    history: frozenset[str] | None = None
+
+    def has_latest(self, name: str) -> bool:
+        return self.latest is None or name in self.latest
+
+    def has_history(self, family: str) -> bool:
+        return self.history is None or family in self.history
+
+
+def model_cells(nm: _Names, i: int, m: ModelSpec, wanted: Wanted) -> tuple[str, str]:
     """(cells array, reason) of model ``m`` over the typed layers, in write order."""
     parts: list[str] = []
     slots: list[str] = []
@@ -245,51 +285,58 @@ def model_cells(nm: _Names, i: int, m: ModelSpec) -> tuple[str, str]:
             slots.clear()
 
     day = "day"
-    if m.record_time or not m.is_list:
+    latest = q(fixed.LATEST_FAMILY)
+    if (m.record_time or not m.is_list) and wanted.has_history(fixed.DOWNLOAD_TIME_FAMILY):
         slots.append(_cell(q(fixed.DOWNLOAD_TIME_FAMILY), day,
                            co.value("long", "download_time")))
-    if m.is_list:
+    if m.is_list and (wanted.latest is None or wanted.latest):
         flush()
-        props = "filter(map_entries(props), e -> e.value <> '')"
-        prop_cell = _cell(q(fixed.LATEST_FAMILY), "e.key", co.value("string", unmark("e.value")))
+        asked = "" if wanted.latest is None else f" AND {isin('e.key', sorted(wanted.latest))}"
+        props = f"filter(map_entries(props), e -> e.value <> ''{asked})"
+        prop_cell = _cell(latest, "e.key", co.value("string", unmark("e.value")))
         parts.append(f"coalesce(transform({props}, e -> {prop_cell}), {_EMPTY_CELLS})")
-    latest = q(fixed.LATEST_FAMILY)
     for j, c in enumerate(m.columns):
         v, why = nm.val(i, j), nm.why(i, j)
         reasons.append(why)
         if c.type == "Array" and m.is_list:
             if c.source == fixed.SUBFIELD_ARRAY_KEY and c.sub_columns:
-                flush()
-                cells = (f"flatten(transform({v}, x -> CASE WHEN x IS NULL THEN {_EMPTY_CELLS} "
-                         f"ELSE array({_cell(latest, 'x.name', 'x.val')}, "
-                         f"{_cell('x.name', day, 'x.val')}) END))")
-                parts.append(f"coalesce({cells}, {_EMPTY_CELLS})")
                 reasons.append(f"CASE WHEN exists({v}, x -> x IS NOT NULL AND x.val IS NULL) THEN "
                                f"{_reason(q('bad_subfield'), c.source, nm.text(c.source))} END")
+                subs = [s.name for s in c.sub_columns]
+                two = []
+                for cell, names in ((_cell(latest, "x.name", "x.val"), [n for n in subs if wanted.has_latest(n)]),
+                                    (_cell("x.name", day, "x.val"), [n for n in subs if wanted.has_history(n)])):
+                    if names:
+                        on = "x IS NOT NULL" if len(names) == len(subs) else isin("x.name", names)
+                        two.append(f"CASE WHEN {on} THEN {cell} END")
+                if two:
+                    flush()
+                    parts.append(f"coalesce(flatten(transform({v}, x -> array({', '.join(two)}))), {_EMPTY_CELLS})")
             continue
-        lat = f"CASE WHEN {v} IS NOT NULL THEN {_cell(latest, q(c.name), v)} END"
-        hist = f"CASE WHEN {v} IS NOT NULL THEN {_cell(q(c.name), day, v)} END"
+        lat = [f"CASE WHEN {v} IS NOT NULL THEN {_cell(latest, q(c.name), v)} END"] if wanted.has_latest(c.name) else []
+        hist = [f"CASE WHEN {v} IS NOT NULL THEN {_cell(q(c.name), day, v)} END"] if wanted.has_history(c.name) else []
         if m.is_list:
-            slots.extend([lat, hist] if c.is_multi else [lat])
+            slots.extend(lat + hist if c.is_multi else lat)
         else:
-            slots.extend([hist, lat])
+            slots.extend(hist + lat)
     flush()
     # NULL slots stay in the array (dropped after the generator): their
     # positions keep the write order without another pass over the array.
-    cells = parts[0] if len(parts) == 1 else "concat(" + ", ".join(parts) + ")"
+    cells = _EMPTY_CELLS if not parts else parts[0] if len(parts) == 1 else "concat(" + ", ".join(parts) + ")"
 
-    corrupt = f"rec.{CORRUPT}"
     item_reason = (f"CASE WHEN item IS NULL THEN {_reason(q('null_item'), None, None)} "
-                   f"WHEN {corrupt} IS NOT NULL THEN "
-                   f"{_reason(q('bad_item_json' if m.is_list else 'bad_data_json'), None, unmark(corrupt))} END")
+                   f"WHEN rec IS NULL THEN "
+                   f"{_reason(q('bad_item_json' if m.is_list else 'bad_data_json'), None, unmark('item'))} END")
     key_reason = f"CASE WHEN _key{i} = '' THEN {_reason(q('empty_row_key'), None, None)} END"
     return cells, "coalesce(" + ", ".join([item_reason, key_reason] + reasons) + ")"
 
 
 def clean(pages: DataFrame, models: list[ModelSpec], vocab: Vocab | None = None,
-          zone: str | None = None, on_error: str = "reject") -> CleanResult:
+          zone: str | None = None, on_error: str = "reject", wanted: Wanted = Wanted()) -> CleanResult:
     """Clean every model of one source table in a single pass.
 
+    Two models of the same name (for two output tables, say) each clean that
+    name's pages; ``items`` tells them apart by ``model_index``.
     ``on_error='reject'`` routes an item the contract cannot store to
     ``rejects`` (and writes none of its cells); ``'fail'`` raises instead.
     """
@@ -299,9 +346,8 @@ def clean(pages: DataFrame, models: list[ModelSpec], vocab: Vocab | None = None,
     models = list(models)
     nm = _Names(models)
     x = item_frame(pages, models, zone)
-    x = x.selectExpr("*", *[f"{unmark(field('rec', k))} AS {nm.text(k)}" for k in nm.key_index])
-    keys = [f"CASE WHEN page_model = {q(m.name)} THEN {model_key(nm, m)} END AS _key{i}"
-            for i, m in enumerate(models)]
+    x = x.selectExpr("*", *[f"{unmark(nm.field(k))} AS {nm.text(k)}" for k in nm.key_index])
+    keys = [f"CASE WHEN mi = {i} THEN {model_key(nm, m)} END AS _key{i}" for i, m in enumerate(models)]
     x = x.selectExpr("*", *keys, *[e for i, m in enumerate(models) for e in _pre_layer(nm, i, m, vocab)])
     x = x.selectExpr("*", *[e for i, m in enumerate(models) for e in _value_layer(nm, i, m, vocab)])
 
@@ -309,12 +355,11 @@ def clean(pages: DataFrame, models: list[ModelSpec], vocab: Vocab | None = None,
     # combining them is a cheap coalesce over column references.
     per_model = []
     for i, m in enumerate(models):
-        cells, reason = model_cells(nm, i, m)
-        is_m = f"page_model = {q(m.name)}"
-        per_model += [f"CASE WHEN {is_m} THEN {cells} END AS _cells{i}",
-                      f"CASE WHEN {is_m} THEN {reason} END AS _why{i}"]
+        cells, reason = model_cells(nm, i, m, wanted)
+        per_model += [f"CASE WHEN mi = {i} THEN {cells} END AS _cells{i}",
+                      f"CASE WHEN mi = {i} THEN {reason} END AS _why{i}"]
     n = len(models)
-    x = x.selectExpr("source_key", "page_model", "download_time", "item_pos", "page_reason",
+    x = x.selectExpr("source_key", "page_model", "mi", "download_time", "item_pos", "page_reason",
                      *[f"_key{i}" for i in range(n)], *per_model)
 
     reject = "coalesce(page_reason, " + ", ".join(f"_why{i}" for i in range(n)) + ")"
@@ -325,11 +370,11 @@ def clean(pages: DataFrame, models: list[ModelSpec], vocab: Vocab | None = None,
     row_key = ("CASE WHEN page_reason IS NULL THEN "
                + ("coalesce(" + ", ".join(f"_key{i}" for i in range(n)) + ")" if n > 1 else "_key0")
                + " END")
-    x = x.selectExpr("source_key", "page_model", "download_time", "item_pos",
+    x = x.selectExpr("source_key", "page_model", "mi", "download_time", "item_pos",
                      f"{reject} AS reject", f"{row_key} AS row_key",
                      ("coalesce(" + ", ".join(f"_cells{i}" for i in range(n)) + ")" if n > 1
                       else "_cells0") + " AS _cells")
-    items = x.selectExpr("source_key", "page_model", "download_time", "item_pos", "reject",
+    items = x.selectExpr("source_key", "page_model", "mi AS model_index", "download_time", "item_pos", "reject",
                          "row_key", "CASE WHEN reject IS NULL THEN _cells END AS cells")
 
     return CleanResult(items=items, cells=cells_from_items(items), rejects=rejects_from_items(items))
@@ -351,8 +396,12 @@ def cells_from_items(items: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame
         "download_time", "source_key", "item_pos", "CAST(put_seq AS INT) AS put_seq", *extra)
 
 
-def rejects_from_items(items: DataFrame) -> DataFrame:
+def rejects_from_items(items: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """One row per rejected item, with the first reason found."""
-    return items.where("reject IS NOT NULL").selectExpr(
-        "source_key", "page_model", "item_pos", "reject.source_field AS source_field",
-        "reject.raw AS raw", "reject.reason AS reason")
+    # The reason goes through a generator and is filtered on its output: a filter
+    # on the item would be pushed below the layers and repeat all of them.
+    r = items.selectExpr("source_key", "page_model", "item_pos", *extra,
+                         "explode_outer(CASE WHEN reject IS NOT NULL THEN array(reject) END) AS r")
+    return r.where("r IS NOT NULL").selectExpr(
+        "source_key", "page_model", "item_pos", "r.source_field AS source_field",
+        "r.raw AS raw", "r.reason AS reason", *extra)

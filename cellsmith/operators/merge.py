@@ -2,8 +2,10 @@
 
 Every cell carries its write order ``(download_time, source_key, item_pos,
 put_seq)``; the merged value of a ``(row_key, family, qualifier)`` is the one
-with the greatest order. ``max`` over one struct aggregates partially on the
-map side, so a hot row key reaches the exchange as one row per map task.
+with the greatest order, whatever the values. An upsert puts the batch ahead of
+that order: what is written now overwrites what was there, as a later put does.
+``max_by`` over structs aggregates partially on the map side, so a hot row key
+reaches the exchange as one row per map task.
 """
 
 from __future__ import annotations
@@ -19,11 +21,11 @@ ORDER = ["download_time", "source_key", "item_pos", "put_seq"]
 VALUES = [n for n, _ in VALUE_FIELDS]
 
 
-def merge_cells(cells: DataFrame) -> DataFrame:
-    """One cell per (row_key, family, qualifier): the last write."""
-    last = F.max(F.struct(*[F.col(c) for c in ORDER + VALUES])).alias("w")
-    out = cells.groupBy(*CELL_KEY).agg(last)
-    return out.select(*CELL_KEY, *[F.col("w")[c].alias(c) for c in VALUES + ORDER])
+def merge_cells(cells: DataFrame, key: list[str] = CELL_KEY, before: list[str] = ()) -> DataFrame:
+    """One cell per ``key``: the last write. Columns ``before`` come ahead of the order."""
+    last = F.max_by(F.struct(*VALUES, *ORDER), F.struct(*before, *ORDER)).alias("w")
+    out = cells.groupBy(*key).agg(last)
+    return out.select(*key, *[F.col("w")[c].alias(c) for c in VALUES + ORDER])
 
 
 def latest(cells: DataFrame) -> DataFrame:
@@ -36,13 +38,15 @@ def history(cells: DataFrame) -> DataFrame:
     return merge_cells(cells.where(F.col("family") != fixed.LATEST_FAMILY))
 
 
-def upsert_cells(existing: DataFrame, new: DataFrame) -> DataFrame:
-    """Existing merged cells overwritten by newer writes; other cells stay.
+def upsert_cells(existing: DataFrame, new: DataFrame, key: list[str] = CELL_KEY) -> DataFrame:
+    """Existing merged cells overwritten by the cells written now, whatever their
+    download times; other cells stay.
 
     Idempotent: upserting the same batch twice gives the same table.
     """
-    cols = CELL_KEY + VALUES + ORDER
-    return merge_cells(existing.select(*cols).unionByName(new.select(*cols)))
+    cols = [*key, *VALUES, *ORDER]
+    both = existing.select(*cols, F.lit(0).alias("batch")).unionByName(new.select(*cols, F.lit(1).alias("batch")))
+    return merge_cells(both, key, ["batch"])
 
 
 def cell_text(prefix: str = "") -> Column:
@@ -60,13 +64,15 @@ def latest_wide(cells: DataFrame, names: list[str]) -> DataFrame:
     exchange); the name list is explicit so no extra job discovers it.
     """
     c = cells.where((F.col("family") == fixed.LATEST_FAMILY) & F.col("qualifier").isin(names))
-    last = F.max(F.struct(*[F.col(x) for x in ORDER], cell_text().alias("text")))
+    last = F.max_by(cell_text(), F.struct(*ORDER))
     wide = c.groupBy("row_key").pivot("qualifier", names).agg(last)
-    return wide.select("row_key", *[F.col(f"`{n}`")["text"].alias(n) for n in names])
+    return wide.select("row_key", *[F.col(f"`{n}`").alias(n) for n in names])
 
 
 def lookup_history(cells: DataFrame, row_key: str, column: str) -> DataFrame:
-    """Every day of one column of one row (the filter reaches the scan)."""
+    """Every day of one column of one row. On a stored table (see
+    :mod:`cellsmith.sources.sinks`) the column is a folder and the row key a
+    pushed filter over files that are ranges of row keys."""
     hit = cells.where((F.col("row_key") == row_key) & (F.col("family") == column))
     return merge_cells(hit)
 

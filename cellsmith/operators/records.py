@@ -3,13 +3,10 @@ distinct sorted values."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from cellsmith.session import cut
 
 
 def sort_columns(field: str, mode: str | None, tie_breakers: list[str] = ()) -> list[Column]:
@@ -26,41 +23,23 @@ def sort_by(df: DataFrame, field: str, mode: str | None = "ASC",
     return df.orderBy(*sort_columns(field, mode, tie_breakers))
 
 
-def with_global_rank(df: DataFrame, order: list[Column], rank_col: str = "rank",
-                     partitions: int | None = None) -> DataFrame:
+def with_global_rank(df: DataFrame, order: list[Column], rank_col: str = "rank") -> DataFrame:
     """Attach a 1-based global rank in ``order`` (a total order) at any scale.
 
-    Range-partition and sort by ``order``; number the rows of each partition
-    (Arrow batches); add the row count of all earlier partitions. Only one
-    count per partition reaches the driver. The numbered data is checkpointed
-    so both passes read the same partitioning.
+    Range-partition and sort by ``order``; ``monotonically_increasing_id`` then
+    holds the partition and the place in it. The numbered rows are written to
+    the shared folder, so that both uses see the same partitions. The rows of
+    all earlier partitions are added by a join with a table of a row a partition.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    schema = T.StructType(ranged.schema.fields + [
-        T.StructField("_pid", T.IntegerType()), T.StructField("_pos", T.LongType())])
-
-    def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pid = TaskContext.get().partitionId()
-        pos = 0
-        for pdf in batches:
-            k = len(pdf)
-            yield pdf.assign(_pid=pid, _pos=range(pos, pos + k))
-            pos += k
-
-    from cellsmith.session import checkpoint_dir
-    checkpoint_dir(spark)
-    numbered = ranged.mapInPandas(number, schema).checkpoint(eager=True)
-    counts = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect()
-    offsets, total = {}, 0
-    for row in sorted(counts, key=lambda r: r["_pid"]):
-        offsets[row["_pid"]] = total
-        total += row["n"]
-    off = F.create_map(*[x for k, v in offsets.items() for x in (F.lit(k), F.lit(v))]) \
-        if offsets else F.create_map().cast("map<int,bigint>")
-    rank = (F.coalesce(off[F.col("_pid")], F.lit(0)) + F.col("_pos") + 1).alias(rank_col)
-    return numbered.select(*df.columns, rank)
+    numbered = cut(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                   .withColumn("_id", F.monotonically_increasing_id()), "numbered")
+    pid = F.shiftrightunsigned("_id", 33).alias("_pid")
+    counts = numbered.groupBy(pid).agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.orderBy("_pid")) - F.col("n")
+    offsets = counts.select("_pid", before.alias("_before"))
+    place = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    return numbered.withColumn("_pid", pid).join(offsets, "_pid").select(
+        *df.columns, (F.col("_before") + place + 1).alias(rank_col))
 
 
 def distinct_sorted(df: DataFrame, column: str) -> DataFrame:

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-import re
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellsmith.operators.cells import CleanResult, cells_from_items, clean, rejects_from_items
-from cellsmith.spec import ModelSpec, TableSpec, Vocab
+from cellsmith.operators.backfill import backfill
+from cellsmith.operators.cells import CleanResult, Wanted, cells_from_items, clean, rejects_from_items
+from cellsmith.operators.merge import CELL_KEY, merge_cells, upsert_cells
+from cellsmith.session import cut
+from cellsmith.sources.pages import read_history
+from cellsmith.sources.sinks import MONTH, write_cells
+from cellsmith.spec import ModelSpec, SubField, TableSpec, Vocab
 
 
 def _by_source(spec: list[TableSpec]) -> dict[str, list[tuple[ModelSpec, str]]]:
@@ -21,57 +25,85 @@ def _by_source(spec: list[TableSpec]) -> dict[str, list[tuple[ModelSpec, str]]]:
 
 
 def run_spec(pages_by_table: dict[str, DataFrame], spec: list[TableSpec],
-             vocab: Vocab | None = None, zone: str | None = None,
-             on_error: str = "reject") -> dict[str, CleanResult]:
+             vocab: Vocab | None = None, zone: str | None = None, on_error: str = "reject",
+             wanted: Wanted = Wanted()) -> dict[str, CleanResult]:
     """Lazy cleaning results per output table.
 
     Each source table is cleaned once with all of its models; an output table
-    fed by several sources is the union of their parts. (Writing several
-    outputs of one source in one job: :func:`write_spec`.)
+    fed by several sources is the union of their parts. (Writing the outputs:
+    :func:`run_job`.)
     """
     parts: dict[str, list[CleanResult]] = {}
     for source, pairs in _by_source(spec).items():
         res = clean(pages_by_table[source], [m for m, _ in pairs], vocab=vocab, zone=zone,
-                    on_error=on_error)
+                    on_error=on_error, wanted=wanted)
         outputs = list(dict.fromkeys(o for _, o in pairs))
         for out in outputs:
             if len(outputs) == 1:
                 parts.setdefault(out, []).append(res)
                 continue
-            names = [m.name for m, o in pairs if o == out]
-            items = res.items.where(F.col("page_model").isin(names))
+            items = res.items.where(F.col("model_index").isin([i for i, (_, o) in enumerate(pairs) if o == out]))
             parts.setdefault(out, []).append(CleanResult(
                 items=items, cells=cells_from_items(items), rejects=rejects_from_items(items)))
     return {out: _union(results) for out, results in parts.items()}
 
 
-def _safe(name: str) -> str:
-    return re.sub(r"[^0-9A-Za-z_.-]", "_", name)
+def run_job(spark: SparkSession, pages_by_table: dict[str, DataFrame], spec: list[TableSpec], out_root: str,
+            existing_root: str | None = None, vocab: Vocab | None = None, zone: str | None = None,
+            period: int = MONTH) -> None:
+    """Clean all sources and upsert the cells into the output tables: the tables
+    at ``existing_root`` with this run's cells over them become those at ``out_root``.
 
-
-def write_spec(pages_by_table: dict[str, DataFrame], spec: list[TableSpec], root: str,
-               vocab: Vocab | None = None, zone: str | None = None) -> None:
-    """Clean and write everything: one job (one scan) per source table.
-
-    Cells land in ``root/cells/source=<s>/output_table=<o>/family=<f>`` and
-    rejects in ``root/rejects/source=<s>``; a re-run overwrites only its own
-    source folder. Read an output with :func:`read_output`.
+    Each source is scanned and cleaned once (the items are written to the shared
+    folder, and cells and rejects both come from there). ``out_root`` is a new
+    path, so a failed run leaves the old tables as they were. Layout:
+    ``cells/output_table=<o>/family=<f>/period=<p>`` (:func:`read_output`) and
+    ``rejects/output_table=<o>``, this run's.
     """
+    if existing_root is not None and existing_root.rstrip("/") == out_root.rstrip("/"):
+        raise ValueError("write the new tables to a new path, not the one being read")
+    items = []
     for source, pairs in _by_source(spec).items():
-        res = clean(pages_by_table[source], [m for m, _ in pairs], vocab=vocab, zone=zone)
-        tag = F.coalesce(*[F.when(F.col("page_model") == m.name, F.lit(o)) for m, o in pairs])
-        items = res.items.withColumn("output_table", tag)
-        cells = cells_from_items(items, extra=("output_table",))
-        (cells.sortWithinPartitions("output_table", "family", "row_key").write.mode("overwrite")
-         .partitionBy("output_table", "family").parquet(f"{root}/cells/source={_safe(source)}"))
-        rejects_from_items(items).write.mode("overwrite").parquet(
-            f"{root}/rejects/source={_safe(source)}")
-
-
-def read_output(spark, root: str, output_table: str) -> DataFrame:
-    """All cells written for one output table (every source), partition-pruned."""
+        res = clean(pages_by_table[source], [m for m, _ in pairs], vocab=vocab, zone=zone).items
+        output = F.element_at(F.array(*[F.lit(o) for _, o in pairs]), F.col("model_index") + 1)
+        items.append(cut(res.withColumn("output_table", output), "items"))
+    staged = reduce(DataFrame.unionByName, items)
+    key = ["output_table", *CELL_KEY]
+    cells = cells_from_items(staged, extra=("output_table",))
+    if existing_root is None:
+        merged = merge_cells(cells, key)
+    else:
+        merged = upsert_cells(_stored(spark, existing_root), cells, key)
+    write_cells(merged, f"{out_root}/cells", by=["output_table"], period=period)
+    rejects_from_items(staged, extra=("output_table",)).write.partitionBy("output_table") \
+        .parquet(f"{out_root}/rejects")
+
+
+def backfill_job(spark: SparkSession, existing_root: str, output_table: str, column: str,
+                 subfields: dict[str, SubField], out_root: str, period: int = MONTH) -> None:
+    """Type the token texts in the stored history of ``column`` and write the cells
+    back into the same table: ``existing_root`` with them over it, at ``out_root``."""
+    if existing_root.rstrip("/") == out_root.rstrip("/"):
+        raise ValueError("write the new tables to a new path, not the one being read")
+    stored = _stored(spark, existing_root)
+    res = backfill(read_history(stored.where(F.col("output_table") == output_table), column), subfields)
+    new = res.cells.withColumn("output_table", F.lit(output_table))
+    key = ["output_table", *CELL_KEY]
+    write_cells(upsert_cells(stored, new, key), f"{out_root}/cells", by=["output_table"], period=period)
+    res.rejects.withColumn("output_table", F.lit(output_table)).write.partitionBy("output_table") \
+        .parquet(f"{out_root}/rejects")
+
+
+def _stored(spark: SparkSession, root: str) -> DataFrame:
+    # names of tables that look like numbers stay texts
     cells = spark.read.option("basePath", f"{root}/cells").parquet(f"{root}/cells")
-    return cells.where(F.col("output_table") == output_table).drop("output_table", "source")
+    return cells.withColumn("output_table", F.col("output_table").cast("string")) \
+        .withColumn("family", F.col("family").cast("string")).drop("period")
+
+
+def read_output(spark: SparkSession, root: str, output_table: str) -> DataFrame:
+    """All cells of one output table; other tables' folders are not read."""
+    return _stored(spark, root).where(F.col("output_table") == output_table).drop("output_table")
 
 
 def _union(results: list[CleanResult]) -> CleanResult:

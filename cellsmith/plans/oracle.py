@@ -50,9 +50,18 @@ def _event_cells(latest: bool) -> str:
     return "WITH " + _EVENTS + ",\nc AS (\n" + "\nUNION ALL\n".join(sel) + ")\n" + _last("c")
 
 
+def _event_rows() -> str:
+    """Latest and history cells of all events, with the amount's own text."""
+    parts = []
+    for latest in (True, False):
+        body = _event_cells(latest).split("c AS (\n", 1)[1].split(")\n\nSELECT", 1)[0]
+        parts.append(body.replace(" FROM e", ", CAST(value AS VARCHAR) AS text FROM e"))
+    return "\nUNION ALL\n".join(parts)
+
+
 _DIRTY = r"""
 d AS (
-  SELECT CAST(event_id AS VARCHAR) AS row_key, event_id,
+  SELECT CAST(event_id AS VARCHAR) AS row_key, event_id, strftime(ts, '%Y-%m-%d') AS day,
     CASE event_id % 19
       WHEN 0 THEN CAST(value AS VARCHAR) WHEN 1 THEN 'abc'
       WHEN 2 THEN CAST(value AS VARCHAR) || '元' WHEN 3 THEN 'null' WHEN 4 THEN ''
@@ -67,7 +76,7 @@ d AS (
       [event_id % 11 + 1] AS flag
   FROM events),
 dr AS (
-  SELECT *, CASE WHEN event_id % 97 = 0 THEN 'bad_data_json'
+  SELECT *, CASE WHEN event_id % 97 < 4 THEN 'bad_data_json'
                  WHEN r = '.' THEN 'int_only_dots'
                  WHEN flag = 'maybe' THEN 'bad_boolean' END AS reason
   FROM d),
@@ -80,8 +89,10 @@ _FP_GUARD = ("CASE WHEN regexp_matches(r, '(?i)^\\s*[+-]?(inf|infinity|nan)\\s*$
 
 def _dirty(qualifier: str, parsed: str, vtype: str, slot: str, text: str = "r") -> str:
     return f"""WITH {_DIRTY},
-p AS (SELECT row_key, r, {parsed} AS x FROM ok)
-SELECT row_key, 'content' AS family, '{qualifier}' AS qualifier,
+p AS (
+  SELECT row_key, 'content' AS family, '{qualifier}' AS qualifier, r, {parsed} AS x FROM ok
+  UNION ALL SELECT row_key, '{qualifier}', day, r, {parsed} FROM ok)
+SELECT row_key, family, qualifier,
   CASE WHEN x IS NULL THEN 'string' ELSE '{vtype}' END AS vtype,
   CASE WHEN x IS NULL THEN {text} END AS v_string,
   {'x' if slot == 'v_int' else 'NULL::INTEGER'} AS v_int,
@@ -109,33 +120,27 @@ def _fl(c: str) -> str:
     return f"CAST(CAST({c} AS FLOAT) AS DOUBLE)"
 
 
-_MENU = """
+_LINES = """
 li AS (
-  SELECT l.*, CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber // 50 AS VARCHAR) AS sk,
-         (epoch_us(o.o_orderdate) // 1000) AS dt,
-         strftime(o.o_orderdate, '%Y-%m-%d') AS day, CAST(l.l_partkey AS VARCHAR) AS row_key,
-         o.o_custkey, o.o_orderstatus, o.o_orderpriority,
-         row_number() OVER (PARTITION BY l.l_orderkey, l.l_linenumber // 50
-           ORDER BY l_linenumber, l_partkey, l_suppkey,
-           l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus,
-           l_shipdate) - 1 AS pos
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
+  SELECT l.*, l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS sk,
+         (epoch_us(l_shipdate) // 1000) AS dt, strftime(l_shipdate, '%Y-%m-%d') AS day,
+         CAST(l_partkey AS VARCHAR) AS row_key, i.pos, i.pos * 100 AS extra
+  FROM lineitem l JOIN (VALUES (0), (1)) i(pos) ON i.pos = 0 OR l_linenumber % 3 = 0)"""
 
 # (clean name, vtype, slot, value, where, history)
-_MENU_COLS = [
-    ("sortIndex", "int", "v_int", "l_linenumber", None, True),
-    ("productScore", "float", "v_float", _fl("l_discount"), None, True),
-    ("imageName", "string", "v_string", "'img/' || l_partkey || '.jpg'", None, True),
-    ("commentCount", "int", "v_int", "CAST(trunc(l_quantity) AS INTEGER)", None, True),
-    ("productDesc", "string", "v_string", "l_returnflag || l_linestatus", None, True),
-    ("monthSale", "int", "v_int", "CAST(l_suppkey AS INTEGER)", None, True),
-    ("goodCommentCount", "int", "v_int", "CAST(trunc(l_quantity) AS INTEGER)", "l_tax > 0", True),
-    ("goodCommentRate", "float", "v_float", _fl("l_tax"), None, True),
-    ("categoryId", "string", "v_string", "l_returnflag", None, False),
-    ("shopRawId", "string", "v_string", "CAST(l_suppkey AS VARCHAR)", None, False),
-    ("productName", "string", "v_string", "'food ' || l_partkey", None, True),
+_LINE_COLS = [
+    ("lineNo", "int", "v_int", "CAST(l_linenumber + extra AS INTEGER)", None, True),
+    ("discountRate", "float", "v_float", _fl("l_discount"), None, True),
+    ("pictureFile", "string", "v_string", "'img/' || l_partkey || '.jpg'", None, True),
+    ("quantity", "int", "v_int", "CAST(trunc(l_quantity) + extra AS INTEGER)", None, True),
+    ("flagPair", "string", "v_string", "l_returnflag || l_linestatus", None, True),
+    ("taxedQuantity", "int", "v_int", "CAST(trunc(l_quantity) AS INTEGER)", "l_tax > 0", True),
+    ("taxRate", "float", "v_float", _fl("l_tax"), None, True),
+    ("returnFlag", "string", "v_string", "l_returnflag", None, False),
+    ("supplierText", "string", "v_string", "CAST(l_suppkey AS VARCHAR)", None, False),
+    ("title", "string", "v_string", "CASE pos WHEN 0 THEN 'part ' ELSE 'other ' END || l_partkey", None, True),
 ]
-_MENU_SUBS = [
+_LINE_SUBS = [
     ("originalPrice", "double", "v_double", "l_extendedprice", "l_discount <> 0"),
     ("packingFee", "double", "v_double", "l_tax", None),
     ("recentRating", "float", "v_float", _fl("l_discount"), None),
@@ -149,79 +154,89 @@ _MENU_SUBS = [
 ]
 
 
-def _menu(rows: list[tuple]) -> str:
-    return "WITH " + _MENU + ",\nc AS (\n" + _union("li", rows) + ")\n" + _last("c")
+def _lines(rows: list[tuple]) -> str:
+    return "WITH " + _LINES + ",\nc AS (\n" + _union("li", rows) + ")\n" + _last("c")
+
 
+def _two(rows: list[tuple]) -> list[tuple]:
+    """Latest and history rows of (clean name, vtype, slot, value, where)."""
+    return [(f, q, t, sl, v, w) for n, t, sl, v, w in rows for f, q in ((_L, f"'{n}'"), (f"'{n}'", "day"))]
 
-_SHOP = """
+
+_CUSTOMERS = """
 cu AS (
   SELECT c.*, n.n_name, CAST(c_custkey AS VARCHAR) AS row_key, CAST(c_custkey AS VARCHAR) AS sk,
-         0 AS pos, 1704067200000 + c_custkey * 3600000 AS dt
+         0 AS pos, 1704067200000 + c_custkey * 3600000 AS dt,
+         strftime(epoch_ms(1704067200000 + c_custkey * 3600000), '%Y-%m-%d') AS day
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey),
 sl AS (
-  SELECT c.*, n.n_name, CAST(c_custkey AS VARCHAR) AS row_key,
-         'nation-' || c_nationkey || '-' || CAST(floor(c_custkey / 50) AS BIGINT) AS sk,
-         (row_number() OVER (PARTITION BY c_nationkey, floor(c_custkey / 50)
-                             ORDER BY c_custkey)) - 1 AS pos,
-         1704067200000 + c_nationkey * 86400000 AS dt
+  SELECT c.*, n.n_name, CAST(c_custkey AS VARCHAR) AS row_key, 'list-' || c_custkey AS sk,
+         0 AS pos, 1704067200000 + c_nationkey * 86400000 AS dt,
+         strftime(epoch_ms(CAST(1704067200000 + c_nationkey * 86400000 AS BIGINT)), '%Y-%m-%d') AS day
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey)"""
 
 _L = "'content'"
-_SHOP_DETAIL_ROWS = [
-    (_L, "'shopNameDetail'", "string", "v_string",
+_CUSTOMER_COLS = [
+    ("displayName", "string", "v_string",
      "CASE WHEN c_custkey % 3 = 0 THEN '店铺' || c_name ELSE c_name END", None),
-    (_L, "'shopRawId'", "string", "v_string", "CAST(c_custkey AS VARCHAR)", None),
-    (_L, "'address'", "string", "v_string", "n_name || ' road ' || c_custkey", None),
-    (_L, "'deliveryFee'", "double", "v_double", "c_acctbal", None),
-    (_L, "'startPrice'", "double", "v_double", "CAST(c_nationkey AS DOUBLE)", None),
-    (_L, "'isNewShop'", "boolean", "v_bool", "c_custkey % 5 IN (0, 2, 3)", None),
-    (_L, "'isBrandShop'", "boolean", "v_bool", "c_mktsegment = 'BUILDING'", None),
-    (_L, "'latitude'", "double", "v_double", "CAST(c_nationkey AS DOUBLE)", None),
-    (_L, "'phone'", "string", "v_string", "'+86-' || c_custkey", None),
-    (_L, "'shopScore'", "float", "v_float", _fl("c_acctbal"), None),
-    (_L, "'commentCount'", "int", "v_int", "c_nationkey", None),
-    (_L, "'monthSale'", "int", "v_int", "CAST(c_custkey % 1000 AS INTEGER)", None),
-    (_L, "'status'", "int", "v_int", "1", None),
-    (_L, "'deliveryType'", "string", "v_string", "c_mktsegment", None),
-    (_L, "'deliveryTime'", "string", "v_string", "c_nationkey || '分钟'", None),
-    (_L, "'businessHours'", "string", "v_string",
+    ("customerId", "string", "v_string", "CAST(c_custkey AS VARCHAR)", None),
+    ("street", "string", "v_string", "n_name || ' road ' || c_custkey", None),
+    ("balance", "double", "v_double", "c_acctbal", None),
+    ("zone", "float", "v_float", _fl("c_nationkey"), None),
+    ("isVip", "boolean", "v_bool", "c_custkey % 5 IN (0, 2, 3)", None),
+    ("isBuilder", "boolean", "v_bool", "c_mktsegment = 'BUILDING'", None),
+    ("contact", "string", "v_string", "'+86-' || c_custkey", None),
+    ("visits", "int", "v_int", "CAST(c_custkey % 1000 AS INTEGER)", None),
+    ("segment", "string", "v_string", "c_mktsegment", None),
+    ("waitText", "string", "v_string", "c_nationkey || '分钟'", None),
+    ("hours", "string", "v_string",
      "'08:00-12:00 ' || lpad(CAST(c_nationkey % 24 AS VARCHAR), 2, '0') || ':00-22:00 '",
      "c_custkey % 4 <> 0"),
-    (_L, "'shopType'", "string", "v_string",
+    ("tags", "string", "v_string",
      "n_name || '/' || CASE WHEN c_custkey % 7 = 0 THEN 'null' ELSE c_mktsegment END", None),
-    (_L, "'commitment'", "string", "v_string", "c_mktsegment || '/fast ' || c_nationkey", None),
+    ("promises", "string", "v_string", "c_mktsegment || '/fast ' || c_nationkey", None),
 ]
-_SHOP_LIST_ROWS = [
-    (_L, "'address'", "string", "v_string", "'nation ' || n_name", None),
-    (_L, "'shopNameList'", "string", "v_string", "c_name", None),
-    (_L, "'imagePath'", "string", "v_string", "'shop/' || c_custkey || '.png'", None),
-    (_L, "'deliveryLimitation'", "int", "v_int", "c_nationkey + 30", None),
-    (_L, "'promotions'", "string", "v_string", "c_mktsegment", None),
+_DIRECTORY_ROWS = [
+    (_L, "'street'", "string", "v_string", "'nation ' || n_name", None),
+    (_L, "'listName'", "string", "v_string", "c_name", None),
+    (_L, "'logoFile'", "string", "v_string", "'logo/' || c_custkey || '.png'", None),
+    (_L, "'minutes'", "int", "v_int", "CAST(c_nationkey + 30 AS INTEGER)", None),
+    (_L, "'offer'", "string", "v_string", "c_mktsegment", None),
+    ("'offer'", "day", "string", "v_string", "c_mktsegment", None),
 ]
+_TIME_ROW = ("'downloadTime'", "day", "long", "v_long", "CAST(dt AS BIGINT)", None)
 
 
-def _shop(detail_rows: list[tuple], list_rows: list[tuple] | None = None) -> str:
+def _customers(detail_rows: list[tuple], list_rows: list[tuple] | None = None) -> str:
     body = _union("cu", detail_rows)
     if list_rows:
         body += "\nUNION ALL\n" + _union("sl", list_rows)
-    return "WITH " + _SHOP + ",\nc AS (\n" + body + ")\n" + _last("c")
+    return "WITH " + _CUSTOMERS + ",\nc AS (\n" + body + ")\n" + _last("c")
 
 
-def _shop_one(name: str) -> str:
-    return _shop([r for r in _SHOP_DETAIL_ROWS if r[1] == f"'{name}'"])
+def _customer_one(name: str) -> str:
+    return _customers(_two([r for r in _CUSTOMER_COLS if r[0] == name]))
 
 
-_WIDE = ["shopNameDetail", "shopNameList", "address", "commentCount", "phone", "businessHours"]
+_WIDE = [r[0] for r in _CUSTOMER_COLS] + ["never", "listName", "logoFile", "minutes", "offer"]
 
 
 def _wide() -> str:
-    cells = _shop(_SHOP_DETAIL_ROWS, _SHOP_LIST_ROWS)
-    cols = ",\n  ".join(
-        f"max(coalesce(v_string, CAST(v_int AS VARCHAR))) FILTER (WHERE qualifier = '{n}') AS {n}"
-        for n in _WIDE)
-    names = ", ".join(f"'{n}'" for n in _WIDE)
-    return f"SELECT row_key,\n  {cols}\nFROM ({cells}) t WHERE qualifier IN ({names}) GROUP BY row_key"
-
+    latest = [r for r in _two(_CUSTOMER_COLS) if r[0] == _L]
+    cells = _customers(latest, [r for r in _DIRECTORY_ROWS if r[0] == _L])
+    text = ("coalesce(v_string, CAST(v_int AS VARCHAR), CAST(v_float AS VARCHAR), CAST(v_double AS VARCHAR), "
+            "CAST(v_bool AS VARCHAR))")
+    cols = ",\n  ".join(f"max({text}) FILTER (WHERE qualifier = '{n}') AS \"{n}\"" for n in _WIDE)
+    return f"SELECT row_key,\n  {cols}\nFROM ({cells}) t GROUP BY row_key"
+
+
+_TWINS = f"""
+WITH t AS (SELECT CAST(s_suppkey AS VARCHAR) AS row_key, s_suppkey, s_name, CAST(s_nationkey AS VARCHAR) AS n
+           FROM supplier)
+SELECT row_key, 'content' AS family, 'supplierName' AS qualifier, {_vals('string', 'v_string', 's_name')},
+       '店铺' AS output_table FROM t
+UNION ALL
+SELECT row_key, 'content', 'nationNo', {_vals('string', 'v_string', 'n')}, 'a:b' FROM t WHERE s_suppkey % 2 = 1"""
 
 _TOKEN_HISTORY = r"""
 p AS (SELECT *, CAST(p_partkey AS VARCHAR) AS row_key FROM part),
@@ -284,40 +299,42 @@ ORACLE = {
     "coerce_float": _dirty("asFloat", _FP_GUARD.format(t="FLOAT"), "float", "v_float"),
     "coerce_double": _dirty("asDouble", _FP_GUARD.format(t="DOUBLE"), "double", "v_double"),
     "coerce_string": f"""WITH {_DIRTY}
-SELECT row_key, 'content' AS family, 'asString' AS qualifier, {_vals('string', 'v_string', 'r')}
-FROM ok""",
+SELECT row_key, 'content' AS family, 'asString' AS qualifier, {_vals('string', 'v_string', 'r')} FROM ok
+UNION ALL SELECT row_key, 'asString', day, {_vals('string', 'v_string', 'r')} FROM ok""",
     "coerce_boolean": f"""
 WITH o AS (SELECT CAST(o_orderkey AS VARCHAR) AS row_key, o_orderstatus AS st,
-                  o_orderkey % 3 AS m
+                  o_orderkey % 3 AS m, strftime(o_orderdate, '%Y-%m-%d') AS day
            FROM orders WHERE o_orderstatus IN ('F', 'O'))
 SELECT row_key, 'content' AS family, 'statusFlag' AS qualifier,
        {_vals('boolean', 'v_bool', "st = 'F'")} FROM o
-UNION ALL
-SELECT row_key, 'content', 'soldOut', {_vals('boolean', 'v_bool', 'm <> 1')} FROM o""",
-    "list_items": _menu([(_L, f"'{n}'", t, sl, v, w) for n, t, sl, v, w, _ in _MENU_COLS]),
-    "list_history": _menu([(f"'{n}'", "day", t, sl, v, w)
-                           for n, t, sl, v, w, h in _MENU_COLS if h]),
-    "list_properties": _menu([
-        (_L, "'shop_id'", "string", "v_string", "CAST(o_custkey AS VARCHAR)", None),
-        (_L, "'status'", "string", "v_string", "o_orderstatus", None),
-        (_L, "'priority'", "string", "v_string", "o_orderpriority", None),
+UNION ALL SELECT row_key, 'statusFlag', day, {_vals('boolean', 'v_bool', "st = 'F'")} FROM o
+UNION ALL SELECT row_key, 'content', 'soldOut', {_vals('boolean', 'v_bool', 'm <> 1')} FROM o
+UNION ALL SELECT row_key, 'soldOut', day, {_vals('boolean', 'v_bool', 'm <> 1')} FROM o""",
+    "list_items": _lines([(_L, f"'{n}'", t, sl, v, w) for n, t, sl, v, w, _ in _LINE_COLS]),
+    "list_history": _lines([(f"'{n}'", "day", t, sl, v, w)
+                            for n, t, sl, v, w, h in _LINE_COLS if h]),
+    "list_properties": _lines([
+        (_L, "'supplier_no'", "string", "v_string", "CAST(l_suppkey AS VARCHAR)", None),
+        (_L, "'state'", "string", "v_string", "l_linestatus", None),
+        (_L, "'flag'", "string", "v_string", "l_returnflag", None),
         (_L, "'remark'", "string", "v_string", "'null'", None)]),
-    "regex_key": f"WITH {_MENU} SELECT sk AS source_key, CAST(pos AS INTEGER) AS item_pos, row_key FROM li",
-    "subfields": _menu([(f"'{n}'", "day", t, sl, v, w) for n, t, sl, v, w in _MENU_SUBS]),
-    "subfield_bool": _menu([(_L, "'isAvailable'", "boolean", "v_bool", "l_linestatus = 'F'", None)]),
-    "download_time_cells": "WITH " + _MENU + "," + _SHOP + ",\nc AS (\n"
-        + _union("li", [("'downloadTime'", "day", "long", "v_long", "dt", None)])
-        + "\nUNION ALL\n"
-        + _union("cu", [("'downloadTime'", "strftime(epoch_ms(dt), '%Y-%m-%d')", "long",
-                         "v_long", "dt", None)])
-        + ")\n" + _last("c"),
-    "model_fanin": _shop(_SHOP_DETAIL_ROWS, _SHOP_LIST_ROWS),
+    "regex_key": f"WITH {_LINES} SELECT sk AS source_key, CAST(pos AS INTEGER) AS item_pos, row_key FROM li",
+    "string_items": _lines([
+        (_L, "'lineNo'", "int", "v_int", "CAST(l_linenumber + extra AS INTEGER)", None),
+        (_L, "'title'", "string", "v_string", "CASE pos WHEN 0 THEN 'part ' ELSE 'other ' END || l_partkey", None),
+        (_L, "'discountText'", "string", "v_string", "CAST(l_discount AS VARCHAR)", None)]),
+    "subfields": _lines(_two(_LINE_SUBS)),
+    "subfield_bool": _lines(_two([("isAvailable", "boolean", "v_bool", "l_linestatus = 'F'", None)])),
+    "download_time_cells": "WITH " + _LINES + "," + _CUSTOMERS + ",\nc AS (\n"
+        + _union("li", [_TIME_ROW]) + "\nUNION ALL\n" + _union("cu", [_TIME_ROW]) + ")\n" + _last("c"),
+    "model_fanin": _customers(_two(_CUSTOMER_COLS) + [_TIME_ROW], _DIRECTORY_ROWS),
+    "multi_output": _TWINS,
     "cjk_key_md5": """SELECT CAST(c_custkey AS VARCHAR) AS source_key,
   CASE WHEN c_custkey % 3 = 0 THEN substr(md5('店铺' || c_name), 9, 16) ELSE c_name END AS row_key
 FROM customer""",
-    "array_spaced": _shop_one("businessHours"),
-    "array_names": _shop_one("shopType"),
-    "array_descriptions": _shop_one("commitment"),
+    "array_spaced": _customer_one("hours"),
+    "array_names": _customer_one("tags"),
+    "array_descriptions": _customer_one("promises"),
     "latest_wide": _wide(),
     "backfill_tokens": "WITH " + _TOKEN_HISTORY + _last("c"),
     "upsert_merge": "WITH " + _EVENTS + ",\nc AS (\n"
@@ -325,6 +342,30 @@ FROM customer""",
         + "\nUNION ALL\n"
         + _event_cells(latest=False).split("c AS (\n", 1)[1].split(")\n\nSELECT", 1)[0]
         + ")\n" + _last("c"),
+    "upsert_overwrites": f"""WITH {_EVENTS},
+c0 AS (
+{_event_rows()}),
+c1 AS (SELECT *, 0 AS batch FROM c0 UNION ALL
+  SELECT row_key, family, qualifier,
+    CASE WHEN 'amount' IN (family, qualifier) THEN 'string' ELSE vtype END AS vtype,
+    CASE WHEN 'amount' IN (family, qualifier) THEN text ELSE v_string END AS v_string,
+    CASE WHEN 'amount' IN (family, qualifier) THEN NULL ELSE v_int END AS v_int,
+    v_long, v_float, v_double, v_bool, dt, sk, pos, seq, text, 1 AS batch
+  FROM c0 WHERE dt < 1705622400000)
+""" + _last("c1", "batch DESC, dt DESC, sk DESC, pos DESC, seq DESC"),
+    "backfill_upsert": "WITH " + _TOKEN_HISTORY + f""",
+typed_now AS (SELECT *, 1 AS batch FROM c),
+stored AS (
+  SELECT row_key, 'specfoods' AS family, day AS qualifier, {_vals('string', 'v_string', 'text')},
+         0 AS dt, '' AS sk, 0 AS pos, 0 AS seq, 0 AS batch FROM h
+  UNION ALL
+  SELECT CAST(p_partkey AS VARCHAR), f.f, '2024-01-' || lpad(CAST(p_size % 28 + 1 AS VARCHAR), 2, '0'),
+         {_vals('int', 'v_int', '-p_size')}, 4102444800000, '', 0, 0, 0
+  FROM part CROSS JOIN (VALUES ('stock'), ('shelf')) f(f)),
+every AS (SELECT * FROM stored UNION ALL BY NAME SELECT * FROM typed_now)
+""" + _last("every", "batch DESC, dt DESC, sk DESC, pos DESC, seq DESC"),
+    "distinct_array": """
+SELECT doc_id, list_sort(list_distinct(string_split(text, ' '))) AS words FROM documents""",
     "history_lookup": "SELECT * FROM (" + _event_cells(latest=False)
         + ") WHERE row_key = '0click' AND family = 'amount'",
     "regex_matches": """
@@ -344,15 +385,27 @@ SELECT o_orderkey, CASE WHEN o_orderkey % 10 IN (0, 1) THEN NULL
                         ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS ts
 FROM orders""",
     "blank_tests": f"""
+WITH t AS (
+  SELECT doc_id, source, CASE doc_id % 11 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'null' WHEN 3 THEN chr(12288)
+           WHEN 4 THEN chr(160) WHEN 5 THEN ' ' WHEN 6 THEN '店' || source ELSE text END AS text
+  FROM documents)
 SELECT doc_id, (text IS NULL OR text IN ('null', '')) AS text_blank,
        (text IS NULL OR length(text) = 0) AS text_empty,
        coalesce(regexp_matches(text, '{_JVM_WS_DUCK}'), false) AS text_has_blanks,
        regexp_matches(text, '[一-龥]') AS text_has_cjk,
        coalesce(regexp_matches(source, '{_JVM_WS_DUCK}'), false) AS source_has_blanks
-FROM documents""",
-    "rejects": f"""WITH {_DIRTY}
+FROM t""",
+    "rejects": f"""WITH {_DIRTY},
+j AS (
+  SELECT dr.*, '{{"id":' || event_id || ',"as_int":' || t || ',"as_long":' || t || ',"as_float":' || t
+    || ',"as_double":' || t || ',"as_string":' || t || ',"flag":"' || flag || '"' AS body
+  FROM (SELECT *, CASE WHEN r IS NULL THEN 'null' WHEN event_id % 19 = 0 THEN r ELSE '"' || r || '"' END AS t
+        FROM dr) dr)
 SELECT row_key AS source_key, 'dirty' AS page_model, 0 AS item_pos,
        CASE reason WHEN 'int_only_dots' THEN 'as_int' WHEN 'bad_boolean' THEN 'flag' END
-         AS source_field, reason
-FROM dr WHERE reason IS NOT NULL""",
+         AS source_field, reason,
+       CASE reason WHEN 'int_only_dots' THEN r WHEN 'bad_boolean' THEN flag ELSE
+         CASE event_id % 97 WHEN 0 THEN body || ',' WHEN 1 THEN body || '}} x 1.50'
+                            WHEN 2 THEN body || '}}{{"id":2.50}}' ELSE '' END END AS raw
+FROM j WHERE reason IS NOT NULL""",
 }

@@ -10,40 +10,59 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellsmith import fixed
+from cellsmith.functions import arrays
 from cellsmith.functions import text as tx
 from cellsmith.operators import merge, records
 from cellsmith.operators.backfill import backfill
+from cellsmith.operators.cells import Wanted
 from cellsmith.operators.keys import regex_matches as _regex_matches
-from cellsmith.sources.pages import read_history
-from cellsmith.spec import parse_subfields
 from cellsmith.plans import specs
-from cellsmith.plans.job import run_spec
+from cellsmith.plans.job import backfill_job, read_output, run_job, run_spec
+from cellsmith.session import work_path
 from cellsmith.sources import views
+from cellsmith.sources.pages import read_cells, read_history
+from cellsmith.sources.sinks import write_cells
+from cellsmith.spec import parse_subfields
 
 
-def _events_clean(spark: SparkSession, sf_dir: str):
+def _events_clean(spark: SparkSession, sf_dir: str, spec=specs.EVENTS, wanted=Wanted()):
     pages = views.event_pages(spark, sf_dir)
-    return run_spec({"event_pages": pages}, specs.EVENTS)["events_clean"]
+    return run_spec({"event_pages": pages}, spec, wanted=wanted)["events_clean"]
+
+
+def _only_latest(*names: str) -> Wanted:
+    return Wanted(latest=frozenset(names) if names else None, history=frozenset())
+
+
+def _only_history(*families: str) -> Wanted:
+    return Wanted(latest=frozenset(), history=frozenset(families) if families else None)
+
+
+def _both(*names: str) -> Wanted:
+    return Wanted(latest=frozenset(names), history=frozenset(names))
+
+
+def _merged(cells: DataFrame) -> DataFrame:
+    return merge.cell_values(merge.merge_cells(cells))
 
 
 def clean_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event pages (five models, one pass) -> merged latest cells."""
-    return merge.cell_values(merge.latest(_events_clean(spark, sf_dir).cells))
+    return _merged(_events_clean(spark, sf_dir, wanted=_only_latest()).cells)
 
 
 def clean_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event pages -> merged daily history cells (incl. download-time cells)."""
-    return merge.cell_values(merge.history(_events_clean(spark, sf_dir).cells))
+    return _merged(_events_clean(spark, sf_dir, wanted=_only_history()).cells)
 
 
-def _dirty_clean(spark: SparkSession, sf_dir: str):
+def _dirty_clean(spark: SparkSession, sf_dir: str, wanted=Wanted()):
     pages = views.dirty_pages(spark, sf_dir)
-    return run_spec({"dirty_pages": pages}, specs.DIRTY)["dirty_clean"]
+    return run_spec({"dirty_pages": pages}, specs.DIRTY, wanted=wanted)["dirty_clean"]
 
 
 def _coerced(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    cells = _dirty_clean(spark, sf_dir).cells.where(F.col("qualifier") == name)
-    return merge.cell_values(merge.latest(cells))
+    return _merged(_dirty_clean(spark, sf_dir, _both(name)).cells)
 
 
 def coerce_int(spark, sf_dir):
@@ -70,129 +89,130 @@ def coerce_string(spark, sf_dir):
 def coerce_boolean(spark, sf_dir):
     """Boolean words by vocabulary (incl. a special key) on order pages."""
     pages = views.order_pages(spark, sf_dir)
-    res = run_spec({"order_pages": pages}, specs.BOOL_WORDS)["order_flags"]
-    return merge.cell_values(merge.latest(res.cells))
+    res = run_spec({"order_pages": pages}, specs.BOOL_WORDS, wanted=_both("statusFlag", "soldOut"))["order_flags"]
+    return _merged(res.cells)
 
 
 def rejects(spark, sf_dir):
-    """Items the cleaning contract cannot store: malformed JSON, dots-only
-    int text, unknown boolean word."""
-    r = _dirty_clean(spark, sf_dir).rejects
-    return r.select("source_key", "page_model", "item_pos", "source_field", "reason")
+    """Items the cleaning contract cannot store, with their source text: malformed
+    JSON, text after the object, two objects, no text, dots-only int text, unknown
+    boolean word."""
+    return _dirty_clean(spark, sf_dir).rejects
 
 
-MENU_COLUMNS = ["sortIndex", "productScore", "imageName", "commentCount", "productDesc",
-                "monthSale", "goodCommentCount", "goodCommentRate", "categoryId", "shopRawId",
-                "productName"]
-MENU_PROPERTIES = ["shop_id", "status", "priority", "note", "remark"]
+LINE_COLUMNS = ["lineNo", "discountRate", "pictureFile", "quantity", "flagPair", "taxedQuantity", "taxRate",
+                "returnFlag", "supplierText", "title"]
+LINE_PROPERTIES = ["supplier_no", "state", "flag", "note", "remark"]
 SUBFIELD_NAMES = ["originalPrice", "packingFee", "recentRating", "promotionStock",
                   "currentPrice", "recentPopularity", "stock", "sku"]
 
 
-def _menu_clean(spark: SparkSession, sf_dir: str, spec=None):
-    pages = views.menu_pages(spark, sf_dir)
-    return run_spec({"menu_pages": pages}, spec or specs.MENU_LIST)["product"]
+def _line_clean(spark: SparkSession, sf_dir: str, wanted: Wanted, spec=specs.LINES):
+    pages = views.line_pages(spark, sf_dir)
+    return run_spec({"line_pages": pages}, spec, wanted=wanted)[spec[0].output_table]
 
 
 def list_items(spark, sf_dir):
     """List pages exploded into items, keyed by regex, typed, merged (latest)."""
-    cells = _menu_clean(spark, sf_dir).cells.where(F.col("qualifier").isin(MENU_COLUMNS))
-    return merge.cell_values(merge.latest(cells))
+    return _merged(_line_clean(spark, sf_dir, _only_latest(*LINE_COLUMNS)).cells)
 
 
 def list_history(spark, sf_dir):
     """History cells of the ``isMulti`` list columns only."""
-    cells = _menu_clean(spark, sf_dir).cells.where(F.col("family").isin(MENU_COLUMNS))
-    return merge.cell_values(merge.history(cells))
+    return _merged(_line_clean(spark, sf_dir, _only_history(*LINE_COLUMNS)).cells)
 
 
 def list_properties(spark, sf_dir):
     """Page properties melted onto every item (empty texts dropped)."""
-    cells = _menu_clean(spark, sf_dir).cells.where(F.col("qualifier").isin(MENU_PROPERTIES))
-    return merge.cell_values(merge.latest(cells))
+    return _merged(_line_clean(spark, sf_dir, _only_latest(*LINE_PROPERTIES)).cells)
 
 
 def regex_key(spark, sf_dir):
     """Row key of every item: group 1 of the last regex match in the item text."""
-    return _menu_clean(spark, sf_dir).items.select("source_key", "item_pos", "row_key")
+    return _line_clean(spark, sf_dir, _both()).items.select("source_key", "item_pos", "row_key")
+
+
+def string_items(spark, sf_dir):
+    """Items that are objects and items that are strings holding one; the key regex
+    reads a bare number in either."""
+    return _merged(_line_clean(spark, sf_dir, Wanted(), specs.LINES_BY_CODE).cells.where(
+        F.col("qualifier").isin("lineNo", "title", "discountText")))
 
 
 def subfields(spark, sf_dir):
-    """Token sub-fields of the first ``specfoods`` text, strictly typed (history)."""
-    cells = _menu_clean(spark, sf_dir).cells.where(F.col("family").isin(SUBFIELD_NAMES))
-    return merge.cell_values(merge.history(cells))
+    """Token sub-fields of the first ``specfoods`` text, strictly typed (latest and history)."""
+    return _merged(_line_clean(spark, sf_dir, _both(*SUBFIELD_NAMES)).cells)
 
 
 def subfield_bool(spark, sf_dir):
-    """Negated boolean sub-field (``sold_out`` -> ``isAvailable``), latest."""
-    cells = _menu_clean(spark, sf_dir).cells.where(F.col("qualifier") == "isAvailable")
-    return merge.cell_values(merge.latest(cells))
+    """Negated boolean sub-field (``sold_out`` -> ``isAvailable``), latest and history."""
+    return _merged(_line_clean(spark, sf_dir, _both("isAvailable")).cells)
 
 
 def download_time_cells(spark, sf_dir):
     """``downloadTime:<day>`` cells: list pages with ``recordTime`` and detail pages."""
-    menu = _menu_clean(spark, sf_dir, specs.MENU_LIST_TIMED).cells
-    shop = _shop_detail_clean(spark, sf_dir).cells
-    cells = menu.unionByName(shop).where(F.col("family") == "downloadTime")
-    return merge.cell_values(merge.history(cells))
+    wanted = _only_history(fixed.DOWNLOAD_TIME_FAMILY)
+    lines = _line_clean(spark, sf_dir, wanted, specs.LINES_TIMED).cells
+    return _merged(lines.unionByName(_customer_clean(spark, sf_dir, wanted, specs.CUSTOMERS[:1]).cells))
 
 
-def _shop_detail_clean(spark: SparkSession, sf_dir: str):
-    pages = views.shop_detail_pages(spark, sf_dir)
-    return run_spec({"shop_detail_pages": pages}, specs.SHOPS[:1])["shop"]
+def _customer_clean(spark: SparkSession, sf_dir: str, wanted=Wanted(), spec=specs.CUSTOMERS):
+    pages = {"customer_pages": views.customer_pages(spark, sf_dir),
+             "directory_pages": views.directory_pages(spark, sf_dir)}
+    return run_spec(pages, spec, wanted=wanted)[spec[0].output_table]
 
 
-def _shop_clean(spark: SparkSession, sf_dir: str):
-    pages = {"shop_detail_pages": views.shop_detail_pages(spark, sf_dir),
-             "shop_list_pages": views.shop_list_pages(spark, sf_dir)}
-    return run_spec(pages, specs.SHOPS)["shop"]
+def model_fanin(spark, sf_dir):
+    """Customer detail and list pages (two sources, two models) -> one table, all cells."""
+    return _merged(_customer_clean(spark, sf_dir).cells)
 
 
-def model_fanin(spark, sf_dir):
-    """Shop detail and shop list pages (two sources, two models) -> one shop table."""
-    return merge.cell_values(merge.latest(_shop_clean(spark, sf_dir).cells))
+def multi_output(spark, sf_dir):
+    """One source whose model ``a`` feeds two output tables with other columns, two
+    list paths, keys that differ by case only: the cells of both tables."""
+    out = run_spec({"twin_pages": views.twin_pages(spark, sf_dir)}, specs.TWINS)
+    parts = [_merged(r.cells).withColumn("output_table", F.lit(o)) for o, r in out.items()]
+    return parts[0].unionByName(parts[1])
 
 
 def cjk_key_md5(spark, sf_dir):
-    """Composite key of the shop name; keys with CJK text become a 16-char MD5."""
-    pages = views.shop_detail_pages(spark, sf_dir)
-    res = run_spec({"shop_detail_pages": pages}, specs.SHOP_BY_NAME)["shop_by_name"]
+    """Composite key of the customer name; keys with CJK text become a 16-char MD5."""
+    res = _customer_clean(spark, sf_dir, _both(), specs.CUSTOMERS_BY_NAME)
     return res.items.select("source_key", "row_key")
 
 
-def _shop_column(spark, sf_dir, name: str) -> DataFrame:
-    cells = _shop_detail_clean(spark, sf_dir).cells.where(F.col("qualifier") == name)
-    return merge.cell_values(merge.latest(cells))
+def _customer_column(spark, sf_dir, name: str) -> DataFrame:
+    return _merged(_customer_clean(spark, sf_dir, _both(name), specs.CUSTOMERS[:1]).cells)
 
 
 def array_spaced(spark, sf_dir):
     """Array of texts -> every element followed by one space (empty array: no cell)."""
-    return _shop_column(spark, sf_dir, "businessHours")
+    return _customer_column(spark, sf_dir, "hours")
 
 
 def array_names(spark, sf_dir):
     """Array of objects -> ``name`` of each joined by ``/`` (missing: ``null``)."""
-    return _shop_column(spark, sf_dir, "shopType")
+    return _customer_column(spark, sf_dir, "tags")
 
 
 def array_descriptions(spark, sf_dir):
-    return _shop_column(spark, sf_dir, "commitment")
+    return _customer_column(spark, sf_dir, "promises")
 
 
-WIDE_NAMES = ["shopNameDetail", "shopNameList", "address", "commentCount", "phone",
-              "businessHours"]
+WIDE_NAMES = ["displayName", "customerId", "street", "balance", "zone", "isVip", "isBuilder", "contact", "visits",
+              "segment", "waitText", "never", "hours", "tags", "promises", "listName", "logoFile", "minutes", "offer"]
 
 
 def latest_wide(spark, sf_dir):
-    """What a reader of each shop row sees: one text column per name."""
-    return merge.latest_wide(_shop_clean(spark, sf_dir).cells, WIDE_NAMES)
+    """What a reader of each customer row sees: one text column per latest name."""
+    cells = _customer_clean(spark, sf_dir, Wanted(history=frozenset())).cells
+    return merge.latest_wide(cells, WIDE_NAMES)
 
 
 def backfill_tokens(spark, sf_dir):
     """Stored token-text history -> typed history cells on the same days."""
     hist = read_history(views.token_history_cells(spark, sf_dir), fixed.SUBFIELD_ARRAY_KEY)
-    res = backfill(hist, parse_subfields(fixed.BACKFILL_SUBFIELDS))
-    return merge.cell_values(merge.merge_cells(res.cells))
+    return _merged(backfill(hist, parse_subfields(fixed.BACKFILL_SUBFIELDS)).cells)
 
 
 MIDPOINT_MS = 1705622400000  # 2024-01-19 00:00:00 UTC: events before it form the snapshot
@@ -206,13 +226,36 @@ def upsert_merge(spark, sf_dir):
     return merge.cell_values(merge.upsert_cells(old, new))
 
 
+def upsert_overwrites(spark, sf_dir):
+    """Two runs of the job on stored tables. The first cleans all events, the second
+    the early ones again with a column typed anew: same pages and times, and
+    earlier ones than the table holds. Its cells overwrite, all others stay."""
+    pages = views.event_pages(spark, sf_dir)
+    one, two = work_path(spark, "first"), work_path(spark, "second")
+    run_job(spark, {"event_pages": pages}, specs.EVENTS, one)
+    early = pages.where(F.col("download_time") < MIDPOINT_MS)
+    run_job(spark, {"event_pages": early}, specs.EVENTS_RETYPED, two, existing_root=one)
+    return merge.cell_values(read_output(spark, two, "events_clean"))
+
+
+def backfill_upsert(spark, sf_dir):
+    """The backfill written back into the stored table that it read: its cells
+    overwrite typed cells of the same days, whatever their download times."""
+    stored = views.token_history_cells(spark, sf_dir).unionByName(views.typed_history_cells(spark, sf_dir))
+    one, two = work_path(spark, "stored"), work_path(spark, "filled")
+    write_cells(stored.withColumn("output_table", F.lit("parts")), f"{one}/cells", by=["output_table"])
+    backfill_job(spark, one, "parts", fixed.SUBFIELD_ARRAY_KEY, parse_subfields(fixed.BACKFILL_SUBFIELDS), two)
+    return merge.cell_values(read_output(spark, two, "parts"))
+
+
 LOOKUP_KEY, LOOKUP_COLUMN = "0click", "amount"
 
 
 def history_lookup(spark, sf_dir):
-    """Every day of one column of one row (point lookup over the cell table)."""
-    cells = _events_clean(spark, sf_dir).cells
-    return merge.cell_values(merge.lookup_history(cells, LOOKUP_KEY, LOOKUP_COLUMN))
+    """Every day of one column of one row, from the stored cell table."""
+    path = work_path(spark, "cells")
+    write_cells(merge.merge_cells(_events_clean(spark, sf_dir).cells), path)
+    return merge.cell_values(merge.lookup_history(read_cells(spark, path), LOOKUP_KEY, LOOKUP_COLUMN))
 
 
 MATCH_REGEX = r"(\d+)"
@@ -237,6 +280,12 @@ def distinct_sorted(spark, sf_dir):
     return records.distinct_sorted(views.table(spark, sf_dir, "part"), "p_name")
 
 
+def distinct_array(spark, sf_dir):
+    """Distinct words of every document, ascending."""
+    d = views.table(spark, sf_dir, "documents")
+    return d.selectExpr("doc_id", f"{arrays.distinct_sorted("split(text, ' ')")} AS words")
+
+
 def normalize_timestamp(spark, sf_dir):
     """Loose date-time text -> ``yyyy-MM-dd HH:mm:ss`` (NULL when invalid)."""
     t = views.order_date_texts(spark, sf_dir)
@@ -244,8 +293,8 @@ def normalize_timestamp(spark, sf_dir):
 
 
 def blank_tests(spark, sf_dir):
-    """Blank / empty / whitespace / CJK tests over whole document texts."""
-    d = views.table(spark, sf_dir, "documents")
+    """Blank / empty / whitespace / CJK tests over whole texts, all kinds of blanks among them."""
+    d = views.odd_texts(spark, sf_dir)
     return d.select("doc_id", tx.is_blank_col("text").alias("text_blank"),
                     tx.is_empty_col("text").alias("text_empty"),
                     tx.contains_blanks_col("text").alias("text_has_blanks"),
@@ -267,10 +316,12 @@ QUERIES = {
     "list_history": list_history,
     "list_properties": list_properties,
     "regex_key": regex_key,
+    "string_items": string_items,
     "subfields": subfields,
     "subfield_bool": subfield_bool,
     "download_time_cells": download_time_cells,
     "model_fanin": model_fanin,
+    "multi_output": multi_output,
     "cjk_key_md5": cjk_key_md5,
     "array_spaced": array_spaced,
     "array_names": array_names,
@@ -278,10 +329,13 @@ QUERIES = {
     "latest_wide": latest_wide,
     "backfill_tokens": backfill_tokens,
     "upsert_merge": upsert_merge,
+    "upsert_overwrites": upsert_overwrites,
+    "backfill_upsert": backfill_upsert,
     "history_lookup": history_lookup,
     "regex_matches": regex_matches,
     "sort_records": sort_records,
     "distinct_sorted": distinct_sorted,
+    "distinct_array": distinct_array,
     "normalize_timestamp": normalize_timestamp,
     "blank_tests": blank_tests,
 }

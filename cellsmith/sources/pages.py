@@ -28,7 +28,7 @@ def read_pages(spark: SparkSession, path_or_df, fmt: str = "parquet") -> DataFra
 
 def read_cells(spark: SparkSession, path: str) -> DataFrame:
     """A cell table written by :func:`cellsmith.sources.sinks.write_cells`."""
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).drop("period")
 
 
 def read_history(cells: DataFrame, column: str) -> DataFrame:

@@ -1,18 +1,29 @@
-"""Sinks: cell snapshots, partitioned by family."""
+"""Sinks: cell snapshots, one folder per column and period."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cellsmith import fixed
 from cellsmith.operators.merge import merge_cells, upsert_cells
 
 
-def write_cells(cells: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Write cells partitioned by ``family`` (one folder per column's history,
-    one for the latest values). Rows are clustered by family inside each task
-    so a task keeps few files open."""
-    (cells.sortWithinPartitions("family", "row_key")
-     .write.mode(mode).partitionBy("family").parquet(path))
+MONTH = 7
+
+
+def write_cells(cells: DataFrame, path: str, mode: str = "errorifexists", by: list[str] = (),
+                period: int = MONTH) -> None:
+    """Write cells in folders of ``by``, ``family`` and ``period``: the first characters
+    of a history cell's day (10: a folder a day, 7: a month, 4: a year; to be chosen so
+    that a folder fills files), ``latest`` for the latest values. The rows are
+    range-partitioned by folder and row key, so a file holds a range of row keys and
+    a lookup skips the others by statistics."""
+    part = F.when(F.col("family") == fixed.LATEST_FAMILY, F.lit("latest")).otherwise(
+        F.substring("qualifier", 1, period))
+    order = [*by, "family", "period", "row_key"]
+    (cells.withColumn("period", part).repartitionByRange(*order).sortWithinPartitions(*order)
+     .write.mode(mode).partitionBy(*by, "family", "period").parquet(path))
 
 
 def upsert_snapshot(spark: SparkSession, existing_path: str | None, new_cells: DataFrame,
@@ -26,4 +37,4 @@ def upsert_snapshot(spark: SparkSession, existing_path: str | None, new_cells: D
     else:
         merged = upsert_cells(spark.read.parquet(existing_path), new_cells)
     write_cells(merged, out_path)
-    return spark.read.parquet(out_path)
+    return spark.read.parquet(out_path).drop("period")

@@ -40,13 +40,16 @@ def _json_string(c: Column) -> Column:
     return arr.substr(F.lit(2), F.length(arr) - 2)
 
 
+def _dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows of a table that has fewer splits than the session has cores (a single
+    file of one row group, say) dealt by ``keys``; any other table as it is read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def _pages(df: DataFrame, source_key: Column, model: Column, data: Column,
-           propertys: Column, download_time: Column, spread: bool = False) -> DataFrame:
-    """Rows of the raw page schema. ``spread`` deals the pages round-robin
-    over the session's parallelism, as a multi-file source table would be
-    (the driver tables are single-file, single-row-group parquet)."""
-    if spread:
-        df = df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+           propertys: Column, download_time: Column) -> DataFrame:
+    """Rows of the raw page schema."""
     out = df.select(source_key.cast("string").alias("source_key"),
                     model.alias("page_model"), data.alias("data"),
                     propertys.cast("string").alias("propertys"),
@@ -58,11 +61,10 @@ def _pages(df: DataFrame, source_key: Column, model: Column, data: Column,
 # ---------------------------------------------------------------------------
 def event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One detail page per event: model = event type, data = the event as JSON."""
-    e = table(spark, sf_dir, "events")
+    e = _dealt(table(spark, sf_dir, "events"), "event_id")
     base = _obj(F.col("user_id"), F.col("event_type"), F.col("value"))
     return _pages(e, F.col("event_id"), F.col("event_type"),
-                  _with_raw(base, "props", F.col("props")), F.lit(None), epoch_ms("ts"),
-                  spread=True)
+                  _with_raw(base, "props", F.col("props")), F.lit(None), epoch_ms("ts"))
 
 
 # Field texts of the dirty pages, picked by event_id % 19. None = JSON null.
@@ -99,20 +101,22 @@ _FLAG_WORDS = ["true", "True", "FALSE", "有货", "无货", "0", "1", "休息中
 def dirty_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event pages with deliberately dirty field texts (coercion and rejects).
 
-    Every 97th event has a truncated, malformed JSON text.
+    Every 97th event has a JSON text with its last brace missing, the next one
+    text after the object, the next two a second object and no text at all.
     """
-    e = table(spark, sf_dir, "events")
+    e = _dealt(table(spark, sf_dir, "events"), "event_id")
     words = F.array(*[F.lit(w) for w in _FLAG_WORDS])
     flag = F.element_at(words, (F.col("event_id") % len(_FLAG_WORDS) + 1).cast("int"))
     raw = _dirty_text()
     data = F.concat(F.lit('{"id":'), F.col("event_id").cast("string"),
                     *[x for k in ("as_int", "as_long", "as_float", "as_double", "as_string")
                       for x in (F.lit(f',"{k}":'), raw)],
-                    F.lit(',"flag":'), _json_string(flag),
-                    F.lit("}"))
-    data = F.when(F.col("event_id") % 97 == 0, F.substring(data, 1, 20)).otherwise(data)
-    return _pages(e, F.col("event_id"), F.lit("dirty"), data, F.lit(None), epoch_ms("ts"),
-                  spread=True)
+                    F.lit(',"flag":'), _json_string(flag))
+    k = F.col("event_id") % 97
+    data = F.when(k == 0, F.concat(data, F.lit(","))).when(k == 1, F.concat(data, F.lit("} x 1.50"))) \
+        .when(k == 2, F.concat(data, F.lit('}{"id":2.50}'))).when(k == 3, F.lit("")) \
+        .otherwise(F.concat(data, F.lit("}")))
+    return _pages(e, F.col("event_id"), F.lit("dirty"), data, F.lit(None), epoch_ms("ts"))
 
 
 _STATUS_WORDS = {"F": "有货", "O": "无货", "P": "营业中"}
@@ -120,23 +124,18 @@ _STATUS_WORDS = {"F": "有货", "O": "无货", "P": "营业中"}
 
 def order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One detail page per order with boolean-ish words."""
-    o = table(spark, sf_dir, "orders")
+    o = _dealt(table(spark, sf_dir, "orders"), "o_orderkey")
     word = F.coalesce(*[F.when(F.col("o_orderstatus") == k, F.lit(v))
                         for k, v in _STATUS_WORDS.items()], F.col("o_orderstatus"))
     sold = F.when(F.col("o_orderkey") % 3 == 0, F.lit("True")) \
             .when(F.col("o_orderkey") % 3 == 1, F.lit("休息中")).otherwise(F.lit("营业中"))
     data = _obj(F.col("o_orderkey").alias("id"), word.alias("status_word"), sold.alias("sold_out"))
-    return _pages(o, F.col("o_orderkey"), F.lit("order"), data, F.lit(None),
-                  epoch_ms("o_orderdate"), spread=True)
+    return _pages(o, F.col("o_orderkey"), F.lit("order"), data, F.lit(None), epoch_ms("o_orderdate"))
 
 
 # ---------------------------------------------------------------------------
-# menu (list) pages: one page per order, one item per line item
+# line pages (list): one page per line item, one or two items
 # ---------------------------------------------------------------------------
-_ITEM_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-               "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
-
-
 def _token_text() -> Column:
     """A ``key:value`` token text in the two-space format of menu items."""
     s = lambda c: F.col(c).cast("string")
@@ -167,54 +166,53 @@ def _token_text() -> Column:
                   F.concat(text, F.lit("  sku_id:"), s("l_partkey"))).otherwise(text)
 
 
-ITEMS_PER_MENU_PAGE = 50
-
-
-def menu_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """List pages: ``{"foods": [item, ...]}`` per order (and block of line
-    numbers), items in line order."""
-    # A page holds one order's block of at most ITEMS_PER_MENU_PAGE line
-    # numbers, so no group is unbounded and an order holding a third of all
-    # lines spreads over many blocks. Dealt by (order, block): item JSON is
-    # built in parallel and the grouping below reuses this partitioning.
-    chunk = F.floor(F.col("l_linenumber") / ITEMS_PER_MENU_PAGE)
-    li = (table(spark, sf_dir, "lineitem").withColumn("chunk", chunk)
-          .repartition(spark.sparkContext.defaultParallelism, "l_orderkey", "chunk"))
-    o = table(spark, sf_dir, "orders")
-    item = _obj(
-        F.col("l_linenumber").alias("index"), F.col("l_discount").alias("rating"),
-        F.concat(F.lit("img/"), F.col("l_partkey").cast("string"), F.lit(".jpg")).alias("image_path"),
-        F.col("l_quantity").alias("rating_count"),
-        F.concat(F.col("l_returnflag"), F.col("l_linestatus")).alias("description"),
-        F.col("l_suppkey").alias("month_sales"),
-        F.when(F.col("l_tax") > 0, F.col("l_quantity")).alias("satisfy_count"),
-        F.col("l_tax").alias("satisfy_rate"), F.col("l_returnflag").alias("category_id"),
-        F.col("l_suppkey").alias("restaurant_id"),
-        F.concat(F.lit("food "), F.col("l_partkey").cast("string")).alias("name"),
-        F.array(_token_text()).alias("specfoods"))
-    items = li.groupBy("l_orderkey", "chunk").agg(F.sort_array(F.collect_list(
-        F.struct(*[F.col(c) for c in _ITEM_ORDER], item.alias("item")))).alias("items"))
-    pages = items.join(o, items["l_orderkey"] == o["o_orderkey"])
-    sk = F.concat(F.col("o_orderkey").cast("string"), F.lit("-"), F.col("chunk").cast("string"))
-    data = F.concat(F.lit('{"foods":['),
-                    F.array_join(F.transform("items", lambda x: x["item"]), ","), F.lit("]}"))
-    props = _obj(F.col("o_custkey").alias("shop_id"), F.col("o_orderstatus").alias("status"),
-                 F.col("o_orderpriority").alias("priority"), F.lit("").alias("note"),
+def line_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """List pages ``{"lines": [item, ...]}``, one per line item and built from its
+    row alone (no grouping, so an order of any size is no group). Every third
+    line number's page has a second item: a *string* holding the JSON of a
+    variant with the same key."""
+    li = _dealt(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey")
+    text = _token_text()
+
+    def item(extra: int, title: str) -> Column:
+        return _obj(
+            F.col("l_partkey").alias("code"), (F.col("l_linenumber") + extra).alias("line_no"),
+            F.col("l_discount").alias("discount"),
+            F.concat(F.lit("img/"), F.col("l_partkey").cast("string"), F.lit(".jpg")).alias("picture"),
+            (F.col("l_quantity") + extra).alias("qty"),
+            F.concat(F.col("l_returnflag"), F.col("l_linestatus")).alias("flags"),
+            F.col("l_suppkey").alias("supplier"),
+            F.when(F.col("l_tax") > 0, F.col("l_quantity")).alias("taxed_qty"),
+            F.col("l_tax").alias("tax"), F.col("l_returnflag").alias("return_flag"),
+            F.concat(F.lit(title), F.col("l_partkey").cast("string")).alias("title"),
+            F.array(text).alias("specfoods"))
+
+    second = F.concat(F.lit(","), _json_string(item(100, "other ")))
+    data = F.concat(F.lit('{"lines":['), item(0, "part "),
+                    F.when(F.col("l_linenumber") % 3 == 0, second).otherwise(F.lit("")), F.lit("]}"))
+    props = _obj(F.col("l_suppkey").alias("supplier_no"), F.col("l_linestatus").alias("state"),
+                 F.col("l_returnflag").alias("flag"), F.lit("").alias("note"),
                  F.lit("null").alias("remark"))
-    return _pages(pages, sk, F.lit("menu"), data, props, epoch_ms("o_orderdate"))
+    sk = F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
+    return _pages(li, sk, F.lit("line"), data, props, epoch_ms("l_shipdate"))
 
 
 # ---------------------------------------------------------------------------
-# shop pages: detail page per customer, list pages of at most 50 shops
+# customer pages: a detail page and a list page per customer
 # ---------------------------------------------------------------------------
-SHOP_EPOCH_MS = 1704067200000
-_NEW_SHOP_WORDS = ["true", "false", "有货", "0", "1"]
+CUSTOMER_EPOCH_MS = 1704067200000
+_VIP_WORDS = ["true", "false", "有货", "0", "1"]
 
 
-def shop_detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer")
+def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _dealt(table(spark, sf_dir, "customer"), "c_custkey")
     n = table(spark, sf_dir, "nation")
-    x = c.join(n, c["c_nationkey"] == n["n_nationkey"])
+    return c.join(n, c["c_nationkey"] == n["n_nationkey"])
+
+
+def customer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One detail page per customer."""
+    x = _customers(spark, sf_dir)
     key = F.col("c_custkey")
     name = F.when(key % 3 == 0, F.concat(F.lit("店铺"), F.col("c_name"))).otherwise(F.col("c_name"))
     hours = F.when(key % 4 == 0, F.array().cast("array<string>")).otherwise(F.array(
@@ -226,45 +224,48 @@ def shop_detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     supports = F.array(F.create_map(F.lit("description"), F.col("c_mktsegment")),
                        F.create_map(F.lit("description"),
                                     F.concat(F.lit("fast "), F.col("c_nationkey").cast("string"))))
-    words = F.array(*[F.lit(w) for w in _NEW_SHOP_WORDS])
+    words = F.array(*[F.lit(w) for w in _VIP_WORDS])
     data = _obj(
         key.alias("id"), name.alias("name"),
-        F.concat(F.col("n_name"), F.lit(" road "), key.cast("string")).alias("address"),
-        F.col("c_acctbal").alias("配送费"), F.col("c_nationkey").alias("起送价"),
-        F.element_at(words, (key % 5 + 1).cast("int")).alias("新店"),
-        F.when(F.col("c_mktsegment") == "BUILDING", F.lit("自营")).otherwise(F.lit("false")).alias("品牌"),
-        F.col("c_nationkey").alias("latitude"),
+        F.concat(F.col("n_name"), F.lit(" road "), key.cast("string")).alias("street"),
+        F.col("c_acctbal").alias("balance"), F.col("c_nationkey").alias("zone"),
+        F.element_at(words, (key % 5 + 1).cast("int")).alias("vip"),
+        F.when(F.col("c_mktsegment") == "BUILDING", F.lit("自营")).otherwise(F.lit("false")).alias("builder"),
         F.concat(F.lit("+86-"), key.cast("string")).alias("phone"),
-        F.col("c_acctbal").alias("rating"), F.col("c_nationkey").alias("rating_count"),
-        (key % 1000).alias("recent_order_num"), F.lit(1).alias("status"),
-        F.col("c_mktsegment").alias("配送"),
-        F.concat(F.col("c_nationkey").cast("string"), F.lit("分钟")).alias("平均配送时长"),
+        (key % 1000).alias("visits"), F.col("c_mktsegment").alias("segment"),
+        F.concat(F.col("c_nationkey").cast("string"), F.lit("分钟")).alias("wait"),
         hours.alias("opening_hours"), flavors.alias("flavors"), supports.alias("supports"))
-    dt = F.lit(SHOP_EPOCH_MS) + key * F.lit(3600000)
-    return _pages(x, key, F.lit("shop_detail"), data, F.lit(None), dt, spread=True)
-
-
-SHOPS_PER_LIST_PAGE = 50
-
-
-def shop_list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer")
-    n = table(spark, sf_dir, "nation")
-    page_no = F.floor(F.col("c_custkey") / SHOPS_PER_LIST_PAGE)
-    c = c.repartition(spark.sparkContext.defaultParallelism, "c_nationkey", page_no.alias("page_no"))
-    shop = _obj(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
-                F.concat(F.lit("shop/"), F.col("c_custkey").cast("string"), F.lit(".png")).alias("image"),
-                (F.col("c_nationkey") + 30).alias("配送时效"), F.col("c_mktsegment").alias("促销活动"))
-    pages = (c.groupBy("c_nationkey", page_no.alias("page_no"))
-             .agg(F.sort_array(F.collect_list(F.struct("c_custkey", shop.alias("shop")))).alias("shops")))
-    pages = pages.join(n, pages["c_nationkey"] == n["n_nationkey"])
-    data = F.concat(F.lit('{"shops":['),
-                    F.array_join(F.transform("shops", lambda x: x["shop"]), ","), F.lit("]}"))
-    props = _obj(F.concat(F.lit("nation "), F.col("n_name")).alias("address"))
-    sk = F.concat(F.lit("nation-"), F.col("n_nationkey").cast("string"), F.lit("-"),
-                  F.col("page_no").cast("string"))
-    dt = F.lit(SHOP_EPOCH_MS) + F.col("n_nationkey") * F.lit(86400000)
-    return _pages(pages, sk, F.lit("shop_list"), data, props, dt)
+    dt = F.lit(CUSTOMER_EPOCH_MS) + key * F.lit(3600000)
+    return _pages(x, key, F.lit("customer"), data, F.lit(None), dt)
+
+
+def directory_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One list page per customer, ``{"members": [member]}``; its property ``street``
+    has the clean name of a field of the detail pages."""
+    x = _customers(spark, sf_dir)
+    member = _obj(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+                  F.concat(F.lit("logo/"), F.col("c_custkey").cast("string"), F.lit(".png")).alias("logo"),
+                  (F.col("c_nationkey") + 30).alias("minutes"), F.col("c_mktsegment").alias("offer"))
+    data = F.concat(F.lit('{"members":['), member, F.lit("]}"))
+    props = _obj(F.concat(F.lit("nation "), F.col("n_name")).alias("street"))
+    sk = F.concat(F.lit("list-"), F.col("c_custkey").cast("string"))
+    dt = F.lit(CUSTOMER_EPOCH_MS) + F.col("n_nationkey") * F.lit(86400000)
+    return _pages(x, sk, F.lit("directory"), data, props, dt)
+
+
+def twin_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """List pages of two models on one source: ``as`` pages with items under ``as``
+    and a text under ``bs``, ``bs`` pages the other way round. An item has the
+    keys ``ID`` and ``id``."""
+    s = table(spark, sf_dir, "supplier")
+    odd = F.col("s_suppkey") % 2 == 1
+    item = _obj(F.col("s_suppkey").alias("ID"), F.col("s_nationkey").cast("string").alias("nation"))
+    item = _with_raw(item, "id", _json_string(F.col("s_name")))
+    two = lambda a, b: F.concat(F.lit('{"as":'), a, F.lit(',"bs":'), b, F.lit("}"))
+    many, none = F.concat(F.lit("["), item, F.lit("]")), F.lit('"n/a"')
+    data = F.when(odd, two(many, none)).otherwise(two(none, many))
+    return _pages(s, F.col("s_suppkey"), F.when(odd, "a").otherwise("b"), data, F.lit(""),
+                  F.lit(CUSTOMER_EPOCH_MS))
 
 
 # ---------------------------------------------------------------------------
@@ -317,6 +318,33 @@ def token_history_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(0).alias("put_seq"))
 
 
+def typed_history_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored typed cells of parts on the first days of :func:`token_history_cells`,
+    written later (by download time) than any backfill: ``stock`` of each part
+    and ``shelf``, which no backfill writes."""
+    p = table(spark, sf_dir, "part")
+    day = F.concat(F.lit("2024-01-"), F.lpad((F.col("p_size") % 28 + 1).cast("string"), 2, "0"))
+    rows = F.array(*[F.struct(F.lit(n).alias("family"), (-F.col("p_size")).cast("int").alias("v"))
+                     for n in ("stock", "shelf")])
+    x = p.select(F.col("p_partkey").cast("string").alias("row_key"), day.alias("day"), F.inline(rows))
+    none = lambda t, n: F.lit(None).cast(t).alias(n)
+    return x.select("row_key", "family", F.col("day").alias("qualifier"), F.lit("int").alias("vtype"),
+                    none("string", "v_string"), F.col("v").alias("v_int"), none("bigint", "v_long"),
+                    none("float", "v_float"), none("double", "v_double"), none("boolean", "v_bool"),
+                    F.lit(4102444800000).alias("download_time"), F.col("row_key").alias("source_key"),
+                    F.lit(0).alias("item_pos"), F.lit(0).alias("put_seq"))
+
+
+def odd_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document texts, with every kind of blank among them."""
+    d = table(spark, sf_dir, "documents")
+    k = F.col("doc_id") % 11
+    text = F.when(k == 0, F.lit(None)).when(k == 1, "").when(k == 2, "null").when(k == 3, "　") \
+        .when(k == 4, "\u00a0").when(k == 5, " ").when(k == 6, F.concat(F.lit("店"), F.col("source"))) \
+        .otherwise(F.col("text"))
+    return d.select("doc_id", text.alias("text"), "source")
+
+
 def order_date_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loose date-time texts (``2018年06月05日 12:00:00`` style) per order."""
     o = table(spark, sf_dir, "orders")

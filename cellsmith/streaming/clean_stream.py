@@ -60,7 +60,7 @@ def start_clean_stream(pages: DataFrame, models: list[ModelSpec], cells_path: st
 
 
 def read_cell_log(spark: SparkSession, cells_path: str) -> DataFrame:
-    return spark.read.parquet(cells_path).drop("batch_id")
+    return spark.read.parquet(cells_path).drop("batch_id", "period")
 
 
 def read_latest(spark: SparkSession, cells_path: str) -> DataFrame:
@@ -71,4 +71,4 @@ def read_latest(spark: SparkSession, cells_path: str) -> DataFrame:
 def compact(spark: SparkSession, cells_path: str, out_path: str) -> DataFrame:
     """Merge the whole cell log into one snapshot at a new path."""
     write_cells(merge_cells(read_cell_log(spark, cells_path)), out_path)
-    return spark.read.parquet(out_path)
+    return spark.read.parquet(out_path).drop("period")

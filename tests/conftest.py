@@ -1,21 +1,21 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from cellsmith.session import checkpoint_dir, local_session  # noqa: E402
+from cellsmith.session import local_session  # noqa: E402
 from cellsmith.spec import parse_model  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
-    s = local_session(cpus="*", shuffle_partitions=8, app="cellsmith-tests")
-    checkpoint_dir(s)
-    yield s
+    yield local_session(cpus="*", shuffle_partitions=8, app="cellsmith-tests",
+                        shared=tempfile.mkdtemp(prefix="cellsmith-shared-"))
 
 
 def pages_df(spark, rows):

@@ -14,7 +14,7 @@ from cellsmith.functions.jsontext import mark_numbers_col, unmark_col
 from cellsmith.functions.text import day_of_col
 from cellsmith.operators.cells import clean
 from cellsmith.operators.keys import regex_key_col
-from cellsmith.operators.records import sort_by
+from cellsmith.operators.records import sort_by, sort_columns, with_global_rank
 from cellsmith.spec import SpecError, load_spec, load_subfields, load_vocab, parse_model
 from conftest import detail_model, pages_df
 
@@ -64,3 +64,17 @@ def test_sort_and_column_wrappers(spark):
     assert row.k == "8" and row.d == "2018-06-05"
     assert fixed.MENU_ROWKEY_REGEX == r"\sfood_id:(\d+)"
     assert t.select(F.lit(1)).count() == 1
+
+
+def test_global_rank_over_many_partitions(spark):
+    df = spark.range(1000).selectExpr("id AS k", "CASE WHEN id % 50 = 0 THEN NULL ELSE (id * 37) % 101 END AS v")
+    rows = with_global_rank(df, sort_columns("v", "desc", ["k"])).collect()
+    order = sorted(rows, key=lambda r: (r.v is None, -(r.v or 0), r.k))
+    assert [r["rank"] for r in order] == list(range(1, 1001))
+    assert with_global_rank(df.limit(0), sort_columns("v", None, ["k"])).count() == 0
+
+
+def test_distinct_sorted_array(spark):
+    from cellsmith.functions.arrays import distinct_sorted
+    r = spark.sql("SELECT array('b', 'a', NULL, 'b') AS x").selectExpr(f"{distinct_sorted('x')} AS y").first()
+    assert r.y == ["a", "b", None]

@@ -8,7 +8,7 @@ import math
 import pytest
 
 from cellsmith.operators.cells import clean
-from conftest import detail_model, pages_df
+from conftest import detail_model, list_model, pages_df
 
 
 def _typed(spark, ctype, texts, key="v"):
@@ -81,3 +81,49 @@ def test_number_text_is_kept(spark):
              clean(pages_df(spark, rows), [model]).cells.where("family = 'content'").collect()}
     assert cells == {"a": ("int", 10000000), "b": ("string", "1.10"), "c": ("string", "1.0"),
                      "d": ("string", '{"x":1.50}')}
+
+
+def test_line_break_after_a_number_stays_text(spark):
+    for ctype in ("int", "long"):
+        assert _val(_typed(spark, ctype, ["12\n"])[0][0]) == ("string", "12\n")
+
+
+def test_quotes_marks_and_exact_texts(spark):
+    rows = [("1", "m", "{'id':'k','v':'x 5', 'n': 1.50}"), ("2", "m", '{"id":"q","v":"\\u0002abc","n":{"w":"\\u00023x"}}'),
+            ("3", "m", '{"id":"it\'s","v":"it\'s 5 o\'clock","n":[1.0,2]}')]
+    model = detail_model({"v": {"name": "v", "type": "String"}, "n": {"name": "n", "type": "String"}})
+    got = {}
+    for r in clean(pages_df(spark, rows), [model]).cells.where("family = 'content'").collect():
+        got.setdefault(r.row_key, {})[r.qualifier] = r.v_string
+    assert got["k"] == {"v": "x 5", "n": "1.50"} and got["it's"] == {"v": "it's 5 o'clock", "n": "[1.0,2]"}
+    assert got["q"]["v"] == "\u0002abc" and json.loads(got["q"]["n"]) == {"w": "\u00023x"}
+
+
+def test_documents_that_are_not_one_object_are_rejected_as_they_were(spark):
+    texts = ['{"id": 1, "v": 2.50,', "", "  ", '{"id":"a","v":1.0} xyz', '{"id":1}{"id":2}', "null", "5", "[1.0]",
+             '{"id":1},{"id":2}']
+    model = detail_model({"v": {"name": "v", "type": "String"}})
+    res = clean(pages_df(spark, [(str(i), "m", t) for i, t in enumerate(texts)]), [model])
+    assert {int(r.source_key): (r.raw, r.reason) for r in res.rejects.collect()} == {
+        i: (t, "bad_data_json") for i, t in enumerate(texts)}
+    assert res.cells.count() == 0
+    lists = list_model({"v": {"name": "v", "type": "String"}})
+    res = clean(pages_df(spark, [(str(i), "m", t) for i, t in enumerate(["", '{"foods":[]} x', '{"foods":[]}'])]), [lists])
+    assert sorted((r.source_key, r.raw, r.reason) for r in res.rejects.collect()) == [
+        ("0", "", "bad_data_json"), ("1", '{"foods":[]} x', "bad_data_json")]
+
+
+def test_arrays_that_are_not_rendered_and_empty_properties(spark):
+    m = list_model({"tags": {"name": "tags", "type": "Array"}, "v": {"name": "v", "type": "String"}})
+    data = '{"foods":[{"id":1,"v":"x","tags":["a",null]},{"id":2,"v":"y","tags":"no"}]}'
+    res = clean(pages_df(spark, [("p", "m", data, "")]), [m])
+    assert [(r.row_key, r.v_string) for r in res.cells.collect()] == [("1", "x")]
+    assert [(r.item_pos, r.reason) for r in res.rejects.collect()] == [(1, "bad_array")]
+
+
+def test_string_item_key_reads_a_bare_number(spark):
+    m = list_model({"v": {"name": "v", "type": "int"}}, regex=r'"food_id":(\d+)')
+    item = {"food_id": 8, "v": 3}
+    data = json.dumps({"foods": [{"food_id": 7, "v": 2}, json.dumps(item, separators=(",", ":"))]})
+    got = clean(pages_df(spark, [("p", "m", data)]), [m]).cells.collect()
+    assert [(r.row_key, r.v_int) for r in got] == [("7", 2), ("8", 3)]

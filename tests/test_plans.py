@@ -8,7 +8,9 @@ from cellsmith.operators import merge
 from cellsmith.operators.cells import clean
 from cellsmith.plans import specs
 from cellsmith.sources import views
-from cellsmith.sources.pages import read_pages
+from cellsmith.plans.job import run_spec
+from cellsmith.sources.pages import read_cells, read_history, read_pages
+from cellsmith.sources.sinks import write_cells
 
 
 def _plan(df) -> str:
@@ -27,13 +29,11 @@ def test_scan_pushdown_pruning_and_single_exchange(spark):
     assert "ReadSchema: struct<source_key:string,page_model:string,data:string," \
            "download_time:bigint>" in plan
     assert plan.count("Exchange") == 1           # the merge only
-    assert "partial_max" in plan                  # map-side combine before it
+    assert "partial_max_by" in plan                  # map-side combine before it
     assert latest.count() > 0
 
 
 def test_history_read_prunes_to_one_family_folder(spark):
-    from cellsmith.sources.pages import read_cells, read_history
-    from cellsmith.sources.sinks import write_cells
     root = tempfile.mkdtemp(prefix="cellsmith-plan-")
     write_cells(views.token_history_cells(spark, "/root/testdata/sf0.001"), f"{root}/cells")
     hist = read_history(read_cells(spark, f"{root}/cells"), "specfoods")
@@ -41,3 +41,46 @@ def test_history_read_prunes_to_one_family_folder(spark):
     assert "PartitionFilters: [isnotnull(family" in plan and "(family" in plan
     assert "specfoods" in plan.split("PartitionFilters:")[1].split("]")[0]
     assert hist.count() == 2 * spark.read.parquet("/root/testdata/sf0.001/part.parquet").count()
+
+
+def test_lookup_reads_one_family_and_skips_files(spark):
+    root = tempfile.mkdtemp(prefix="cellsmith-plan-")
+    cells = clean(views.event_pages(spark, "/root/testdata/sf0.001"), list(specs.EVENTS[0].models)).cells
+    write_cells(merge.merge_cells(cells), f"{root}/cells")
+    hit = merge.lookup_history(read_cells(spark, f"{root}/cells"), "0click", "amount")
+    plan = _plan(hit)
+    assert "amount" in plan.split("PartitionFilters:")[1].split("]")[0]
+    assert "EqualTo(row_key,0click)" in plan and "from_json" not in plan
+    assert hit.count() == merge.lookup_history(cells, "0click", "amount").count()
+    # files of a folder hold ranges of row keys
+    files = spark.read.parquet(f"{root}/cells").where("family = 'amount'").selectExpr(
+        "period", "input_file_name() AS f", "row_key").groupBy("period", "f").agg({"row_key": "max"})
+    assert files.count() > 1
+
+
+def test_reject_plan_does_not_grow_with_columns(spark):
+    from conftest import detail_model, pages_df
+    pages = pages_df(spark, [("1", "m", '{"id": 1}')])
+    counts = []
+    for n in (3, 12):
+        m = detail_model({f"c{k}": {"name": f"c{k}", "type": "int"} for k in range(n)})
+        plan = clean(pages, [m]).rejects._jdf.queryExecution().optimizedPlan().toString()
+        counts.append(plan.count("from_json"))
+    assert counts[0] == counts[1] <= 2
+
+
+def test_unwanted_cells_are_not_built(spark):
+    from cellsmith.operators.cells import Wanted
+    pages = {"line_pages": views.line_pages(spark, "/root/testdata/sf0.001")}
+    only = Wanted(latest=frozenset(["isAvailable"]), history=frozenset())
+    some, every = (run_spec(pages, specs.LINES, wanted=w)["parts"] for w in (only, Wanted()))
+    cells = some.cells
+    assert {r.qualifier for r in cells.select("qualifier").distinct().collect()} == {"isAvailable"}
+    assert cells.count() == every.cells.where("qualifier = 'isAvailable' AND family = 'content'").count()
+    assert some.rejects.count() == every.rejects.count()
+
+
+def test_no_query_deals_rows_round_robin(spark):
+    from cellsmith.plans.queries import QUERIES
+    for name in ("clean_latest", "list_items", "model_fanin", "rejects"):
+        assert "RoundRobin" not in _plan(QUERIES[name](spark, "/root/testdata/sf0.001")), name

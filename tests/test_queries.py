@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from cellsmith.plans.queries import QUERIES
 from tools.oracle_check import TABLES, rows_of
 
 SF = "/root/testdata/sf0.001"
@@ -25,7 +26,7 @@ def test_entry_runs(spark):
     assert df.columns == entry.entry(spark).columns
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     res = duck.execute(entry.oracle_sql()[name])
