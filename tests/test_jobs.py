@@ -88,13 +88,13 @@ def test_streaming_matches_batch(spark):
 
 
 def test_job_one_source_two_outputs(spark):
-    both = views.line_pages(spark, SF).unionByName(views.customer_pages(spark, SF))
-    spec = [TableSpec("site", "parts", specs.LINES[0].models),
+    both = views.directory_pages(spark, SF).unionByName(views.customer_pages(spark, SF))
+    spec = [TableSpec("site", "directory", specs.CUSTOMERS[1].models),
             TableSpec("site", "customers", specs.CUSTOMERS[0].models)]
     root = tempfile.mkdtemp(prefix="cellsmith-spec-")
     run_job(spark, {"site": both}, spec, f"{root}/v1", period=4)
     lazy = run_spec({"site": both}, spec)
-    for out in ("parts", "customers"):
+    for out in ("directory", "customers"):
         got = merge.cell_values(read_output(spark, f"{root}/v1", out))
         want = merge.cell_values(merge.merge_cells(lazy[out].cells))
         assert _rows(got) == _rows(want) and got.count() > 0
