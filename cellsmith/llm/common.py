@@ -1,38 +1,20 @@
-"""Helpers shared by the operators: tables in the shared folder, vectorised word hashing."""
+"""Helpers shared by the operators: the id split, vectorised word hashing."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from cellsmith.session import cut  # noqa: F401  (the operators import it from here)
+
 #: A word of the contracts: a run without the six ASCII white-space characters (Java regex).
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: ``spark.checkpoint.dir``,
-    or where it is unset (tests) a folder of the warehouse."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
-
-
-def cut(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to a fresh table of the shared folder and read it back.
-
-    Later steps start from these files: a lost executor repeats only the steps
-    after them, and what reads the table twice does not compute it twice.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/cellsmith-{uuid.uuid4().hex}/{label}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

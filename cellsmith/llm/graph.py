@@ -2,23 +2,60 @@
 
 Every node always points to a smaller one; a large star hangs a node's larger
 neighbours on its smallest one, a small star the smaller ones. The number of
-rounds grows with the logarithm of the longest chain. Links stay distributed;
-one count a round reaches the driver.
+rounds grows with the logarithm of the longest chain. Before each round every
+task joins the links it has read, ``_CHUNK`` at a time, into stars of its own, which
+shortens the chains. Links stay distributed; one row a round reaches the driver.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellsmith.llm.common import cut
 
 
-def _smallest(e: DataFrame, label: str) -> DataFrame:
-    """e (u, v) with m, the smallest v of u. The minima are written, so that the join
-    back has a plain exchange on either side and AQE splits a hot node's rows."""
-    m = cut(e.groupBy("u").agg(F.min("v").alias("m")), label)
-    return e.join(m, "u")
+_CHUNK = 200_000
+
+
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of a chunk as links of each node with its component's smallest node in the chunk."""
+    up: dict = {}
+    n, types = 0, None
+
+    def root(x):
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    def out() -> pa.RecordBatch:
+        rows = [(x, r) for x in up if (r := root(x)) != x]
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], types) for i in (0, 1)], ["u", "v"])
+
+    for b in batches:
+        types = b.schema.field("u").type
+        for x, y in zip(b["u"].to_pylist(), b["v"].to_pylist(), strict=True):
+            x, y = root(up.setdefault(x, x)), root(up.setdefault(y, y))
+            if x != y:
+                up[max(x, y)] = min(x, y)
+        n += b.num_rows
+        if n >= _CHUNK:
+            yield out()
+            up, n = {}, 0
+    if up:
+        yield out()
+
+
+def _is_forest_of_stars(e: DataFrame) -> bool:
+    """Whether every node either hangs on one other node or has nodes hanging on it."""
+    ends = e.select(F.col("u").alias("n"), F.lit(1).alias("low")).unionByName(
+        e.select(F.col("v").alias("n"), F.lit(0).alias("low")))
+    ends = ends.groupBy("n").agg(F.sum("low").alias("k"), F.min("low").alias("least"))
+    return not ends.where((F.col("k") > 1) | (F.col("k") > F.col("least"))).limit(1).count()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -27,22 +64,20 @@ def components(links: DataFrame) -> DataFrame:
     Links in either direction, repeated links and links of a node with itself are
     allowed; without links the result is empty.
     """
-    e = links.where(F.col("a") != F.col("b")).select(
-        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    e = cut(e, "links")
-    while True:
+    e = links.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    kind = e.schema
+    local = lambda df: cut(df.mapInArrow(_stars, kind).distinct(), "links")
+    e = local(cut(e, "links"))
+    while not _is_forest_of_stars(e):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _smallest(both, "large").where(F.col("v") > F.col("u")) \
-            .select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
-        large = cut(large.distinct(), "stars")
-        low = _smallest(large, "small")
-        small = low.select(F.col("v").alias("u"), F.col("m").alias("v")).where(F.col("u") != F.col("v")) \
-            .unionByName(low.select("u", F.col("m").alias("v"))).distinct()
-        small = cut(small, "stars")
-        # done when every node hangs on one that hangs on none
-        inner = small.join(small.select(F.col("u").alias("v")).distinct(), "v", "left_semi").limit(1).count()
-        multi = small.groupBy("u").count().where("count > 1").limit(1).count()
-        e = small
-        if not inner and not multi:
-            roots = e.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("root"))
-            return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
+        # the minima are written, so that the join back has a plain exchange on
+        # either side and AQE splits the rows of a node with a great many links
+        least = cut(both.groupBy("u").agg(F.min("v").alias("m")), "least")
+        large = both.where(F.col("v") > F.col("u")).join(least, "u") \
+            .select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
+        # now a node has few smaller neighbours
+        low = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u")
+        e = local(cut(low.select(F.col("v").alias("u"), F.col("m").alias("v")).where(F.col("u") != F.col("v"))
+                      .unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "stars"))
+    roots = e.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("root"))
+    return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)

@@ -9,13 +9,14 @@ neighbours in a tree's order that share at least the first ``FIRST`` hashes: a
 thin region gives all its pairs at that depth, and in a dense one the neighbours
 are those with the longest common prefix, so the depth adapts to the region.
 
-The forest is used twice. First every class and its successor in each order are
-compared by their min hashes, and the groups this suggests are confirmed against
-one leader each on the full sets. Then the ``REACH`` successors in each order
-are candidates, now only between classes not yet connected; all of them that the
-min hashes do not clearly rule out are confirmed on the full sets. So a large
-group of copies costs a comparison a member, and nothing grows with the square
-of a group. Only confirmed links connect.
+The forest is used twice. First every class and its successor in a few of the
+orders are compared by their min hashes, which suggests groups; each member of a
+group is paired with one leader. Then the ``REACH`` successors in every order are
+candidates where their groups differ, unless the min hashes clearly rule them
+out. All these pairs are confirmed on the full sets. Groups in which a member
+fails against its leader go through the forest once more, now as single classes.
+So a large group of copies costs a comparison a member, and nothing grows with
+the square of a group. Only confirmed links connect.
 
 At the threshold of 0.75 a pair shares a tree's first three hashes with
 probability 0.42, and none of 24 trees' with 2e-6.
@@ -39,13 +40,16 @@ from cellsmith.llm.graph import components
 
 WORDS = 5
 TREES, FIRST, DEPTH, REACH = 24, 3, 6, 8
+#: Orders from which groups are suggested, a candidate a class in each.
+GROUP_TREES = 4
 PERCENT = 75
-#: Pairs whose share of equal min hashes is lower are not compared: at a
-#: similarity of 0.75 and 72 hashes, 0.5 is five standard deviations away.
-LEAST_ESTIMATE = 0.5
-#: Share of equal min hashes from which two classes are put into one group to be tried first.
+#: Pairs whose min hashes suggest a lower similarity are not compared: at a
+#: similarity of 0.75 and 72 hashes, 0.53 is over four standard deviations away.
+LEAST_ESTIMATE = 0.53
+#: Suggested similarity from which two classes are put into one group to be tried first.
 GROUP_ESTIMATE = 0.8
 _N = TREES * FIRST
+_SLICE = 500  # texts worked on at a time
 _U = np.uint64
 
 
@@ -88,8 +92,14 @@ def min_hashes(sets: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
+        for k in range(0, b.num_rows, _SLICE):
+            yield b.slice(k, _SLICE)
+
+
+def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in _slices(batches):
         sets, at = shingle_sets(b["text"])
         size = np.diff(at)
         full = size > 0
@@ -113,35 +123,54 @@ def signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return d.mapInArrow(_sign, "doc_id long, th long, n long, fp binary, sig binary")
 
 
-def _tree_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each class and tree: key is the tree's number and its DEPTH hashes."""
-    for b in batches:
-        n = b.num_rows
-        if not n:
-            continue
-        sig = np.frombuffer(b"".join(b["sig"].to_pylist()), np.uint8).reshape(n, _N, 2)
-        for t in range(TREES):
-            cols = [(t * FIRST + k) % _N for k in range(DEPTH)]
-            key = np.empty((n, 1 + 2 * DEPTH), np.uint8)
-            key[:, 0] = t
-            key[:, 1:] = sig[:, cols].reshape(n, 2 * DEPTH)
-            keys = pa.FixedSizeBinaryArray.from_buffers(
-                pa.binary(1 + 2 * DEPTH), n, [None, pa.py_buffer(key.tobytes())]).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays([keys, b["fp"], b["comp"]], ["key", "fp", "comp"])
+_TREE = ["key", "fp", "comp", "sketch"]
+_TREE_ROW = "key binary, fp binary, comp binary, sketch binary"
 
 
-def _neighbours(reach: int, edges: bool):
-    """Candidates among the sorted rows of a partition; with ``edges`` also its
-    first and last rows, whose neighbours may be in the next partition."""
+def _tree_rows(trees: int):
+    """A row for each class and tree: key is the tree's number and its DEPTH hashes,
+    sketch holds four bits of every min hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([(c, pa.binary()) for c in ("a", "b", "key", "fp", "comp")])
+        for b in batches:
+            n = b.num_rows
+            if not n:
+                continue
+            sig = np.frombuffer(b"".join(b["sig"].to_pylist()), np.uint8).reshape(n, _N, 2)
+            low = sig[:, :, 1] & 15
+            sketch = pa.array([x.tobytes() for x in low[:, ::2] << 4 | low[:, 1::2]], pa.binary())
+            for t in range(trees):
+                cols = [(t * FIRST + k) % _N for k in range(DEPTH)]
+                key = np.empty((n, 1 + 2 * DEPTH), np.uint8)
+                key[:, 0] = t
+                key[:, 1:] = sig[:, cols].reshape(n, 2 * DEPTH)
+                keys = pa.FixedSizeBinaryArray.from_buffers(
+                    pa.binary(1 + 2 * DEPTH), n, [None, pa.py_buffer(key.tobytes())]).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([keys, b["fp"], b["comp"], sketch], _TREE)
+
+    return run
+
+
+def alike(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Similarity that two arrays of sketches suggest, row by row: the share of
+    equal four-bit hashes, less the one in sixteen that chance makes equal."""
+    z = x ^ y
+    share = ((z & 15 == 0).sum(1) + (z >> 4 == 0).sum(1)) / _N
+    return (16 * share - 1) / 15
+
+
+def _neighbours(reach: int, least: float, edges: bool):
+    """Candidates among the sorted rows of a partition, alike by their sketches; with
+    ``edges`` also its first and last rows, whose neighbours may be in the next one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([(c, pa.binary()) for c in ("a", "b", *_TREE)])
 
         def edge(rows: pa.Table) -> Iterator[pa.RecordBatch]:
             if edges and rows.num_rows:
                 none = pa.nulls(rows.num_rows, pa.binary())
                 yield from pa.Table.from_arrays(
-                    [none, none, *[rows[c].cast(pa.binary()) for c in ("key", "fp", "comp")]], schema=schema) \
+                    [none, none, *[rows[c].cast(pa.binary()) for c in _TREE]], schema=schema) \
                     .combine_chunks().to_batches()
 
         tail, seen, head = None, 0, []
@@ -163,17 +192,19 @@ def _neighbours(reach: int, edges: bool):
                 prefix = (prefix << _U(8)) | raw[:, k].astype(np.uint64)
             comp = np.array(t["comp"].to_pylist(), object)
             fp = np.array(t["fp"].to_pylist(), object)
+            sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(n, _N // 2)
             found = set()
             for s in range(1, min(reach, n - 1) + 1):
                 i = np.flatnonzero(prefix[s:] == prefix[:-s])
                 i = i[i + s >= old]
                 i = i[comp[i] != comp[i + s]]
+                i = i[alike(sketch[i], sketch[i + s]) >= least]
                 found.update((x, y) if x < y else (y, x) for x, y in zip(fp[i], fp[i + s], strict=True))
             if found:
                 a, c = zip(*found, strict=True)
                 none = pa.nulls(len(a), pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(a, pa.binary()), pa.array(c, pa.binary()), none, none, none], schema=schema)
+                    [pa.array(a, pa.binary()), pa.array(c, pa.binary()), none, none, none, none], schema=schema)
         if head:
             yield from edge(pa.concat_tables(head))
             if seen > reach:
@@ -182,46 +213,28 @@ def _neighbours(reach: int, edges: bool):
     return run
 
 
-_ROW = "a binary, b binary, key binary, fp binary, comp binary"
+_ROW = "a binary, b binary, " + _TREE_ROW
 
 
-def candidates(classes: DataFrame, reach: int) -> DataFrame:
-    """Distinct pairs (a, b) of neighbours in the forest whose ``comp`` differ.
+def candidates(classes: DataFrame, reach: int, least: float, trees: int = TREES) -> DataFrame:
+    """Distinct pairs (a, b) of neighbours in the forest whose ``comp`` differ and whose
+    min hashes suggest a similarity of at least ``least``.
 
     The rows are sorted over all machines; equal keys are split by the class's
     id, so a hot region spreads over partitions. Neighbours on both sides of a
     partition's edge come from the edges' own rows, 2 * reach a partition.
     """
-    rows = classes.select("fp", "sig", "comp").mapInArrow(_tree_rows, "key binary, fp binary, comp binary")
+    rows = classes.select("fp", "sig", "comp").mapInArrow(_tree_rows(trees), _TREE_ROW)
     ordered = rows.repartitionByRange(partitions(classes.sparkSession), "key", "fp").sortWithinPartitions("key", "fp")
-    found = cut(ordered.mapInArrow(_neighbours(reach, True), _ROW), "neighbours")
-    edges = found.where("key is not null").select("key", "fp", "comp")
-    edges = edges.repartition(1).sortWithinPartitions("key", "fp").mapInArrow(_neighbours(reach, False), _ROW)
+    found = cut(ordered.mapInArrow(_neighbours(reach, least, True), _ROW), "neighbours")
+    edges = found.where("key is not null").select(_TREE)
+    edges = edges.repartition(1).sortWithinPartitions("key", "fp").mapInArrow(_neighbours(reach, least, False), _ROW)
     return found.where("a is not null").select("a", "b").unionByName(edges.select("a", "b")).distinct()
 
 
-def _estimate(least: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                x, y = (np.frombuffer(b"".join(b[c].to_pylist()), np.uint16).reshape(-1, _N) for c in ("sa", "sb"))
-                keep = (x == y).mean(1) >= least
-                yield pa.RecordBatch.from_arrays([b["a"], b["b"]], ["a", "b"]).filter(pa.array(keep))
-
-    return run
-
-
-def likely(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
-    """The pairs of which at least a share of ``least`` of the min hashes is equal."""
-    s = classes.select("fp", "sig")
-    j = pairs.join(s.select(F.col("fp").alias("a"), F.col("sig").alias("sa")), "a") \
-        .join(s.select(F.col("fp").alias("b"), F.col("sig").alias("sb")), "b")
-    return j.select("a", "b", "sa", "sb").mapInArrow(_estimate(least), "a binary, b binary")
-
-
 def _confirm(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             (x, i), (y, j) = shingle_sets(b["ta"]), shingle_sets(b["tb"])
             keep = []
             for k in range(b.num_rows):
@@ -233,19 +246,18 @@ def _confirm(percent: int):
     return run
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str,
-              percent: int) -> DataFrame:
-    """The pairs that the full sets of their texts confirm.
-
-    Only texts that occur in a pair move on: the list of those is written first,
-    so Spark broadcasts it when it is small, else joins by shuffle.
-    """
-    need = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
-    reps = cut(classes.join(need, "fp").select("fp", "rep.*"), "reps")
+def texts_of_classes(nodes: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(fp, text) of the classes in ``nodes``: the texts move once, always by the same
+    join, so the cost follows the documents at every size."""
+    reps = classes.join(nodes.distinct(), "fp").select("fp", "rep.*")
     d = docs.select(F.col(id_col).cast("long").alias("d"), F.xxhash64(text_col).alias("h"),
                     F.col(text_col).alias("text"))
-    texts = d.join(reps, d["d"].eqNullSafe(reps["doc_id"]) & (d["h"] == reps["th"])).select("fp", "text")
-    texts = cut(texts.dropDuplicates(["fp"]), "texts")
+    found = d.join(reps.hint("merge"), d["d"].eqNullSafe(reps["doc_id"]) & (d["h"] == reps["th"]))
+    return cut(found.select("fp", "text").dropDuplicates(["fp"]), "texts")
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that the full sets of their texts confirm."""
     j = pairs.join(texts.select(F.col("fp").alias("a"), F.col("text").alias("ta")), "a") \
         .join(texts.select(F.col("fp").alias("b"), F.col("text").alias("tb")), "b")
     return cut(j.select("a", "b", "ta", "tb").mapInArrow(_confirm(percent), "a binary, b binary"), "links")
@@ -261,20 +273,31 @@ def near_duplicates(docs: DataFrame, *, percent: int = PERCENT, id_col: str = "d
         F.coalesce(least, F.min(F.struct("doc_id", "th"))).alias("rep"), F.min("sig").alias("sig"))
         .withColumn("comp", F.col("fp")), "classes")
 
-    # groups that the min hashes suggest, each confirmed against its smallest member
-    near = likely(candidates(classes, 1), classes, GROUP_ESTIMATE)
-    groups = components(near).where(F.col("node") != F.col("root"))
-    star = cut(groups.select(F.col("node").alias("a"), F.col("root").alias("b")), "star")
-    links = confirmed(star, classes, docs, id_col, text_col, percent)
-    comp = links.select(F.col("a").alias("fp"), F.col("b").alias("root"))
-    grouped = cut(classes.join(comp, "fp", "left").select(
-        "fp", "sig", "rep", F.coalesce("root", "fp").alias("comp")), "grouped")
-
-    # what lies between the groups
-    rest = cut(likely(candidates(grouped, REACH), classes, LEAST_ESTIMATE), "rest")
-    more = confirmed(rest, classes, docs, id_col, text_col, percent)
-    whole = components(links.unionByName(more)).select(F.col("node").alias("fp"), "root")
-    named = classes.join(whole, "fp", "left").select("fp", "rep.doc_id", F.coalesce("root", "fp").alias("root"))
+    # groups that the min hashes suggest: each member is held against the smallest one
+    near = candidates(classes, 1, GROUP_ESTIMATE, GROUP_TREES)
+    star = cut(components(near).where(F.col("node") != F.col("root"))
+               .select(F.col("node").alias("a"), F.col("root").alias("b")), "star")
+    grouped = classes.drop("comp").join(star.select(F.col("a").alias("fp"), "b"), "fp", "left") \
+        .withColumn("comp", F.coalesce("b", "fp")).drop("b")
+    rest = cut(candidates(cut(grouped, "grouped"), REACH, LEAST_ESTIMATE), "rest")
+    pairs = star.unionByName(rest)
+    texts = texts_of_classes(pairs.select(F.col("a").alias("fp")).union(pairs.select("b")), classes, docs,
+                             id_col, text_col)
+    links = confirmed(pairs, texts, percent)
+
+    # groups with a member that its leader does not confirm: their classes one by one
+    failed = cut(star.join(links, ["a", "b"], "left_anti"), "failed")
+    loose = failed.select("b").distinct()
+    again = star.join(loose, "b").select(F.col("a").alias("fp")).union(loose.select(F.col("b").alias("fp")))
+    whole = components(links)
+    alone = classes.drop("comp").join(again, "fp").join(whole.select(F.col("node").alias("fp"), "root"), "fp", "left") \
+        .withColumn("comp", F.coalesce("root", "fp")).drop("root")
+    more = candidates(cut(alone, "alone"), REACH, LEAST_ESTIMATE)
+    whole = components(whole.select(F.col("node").alias("a"), F.col("root").alias("b"))
+                       .unionByName(confirmed(cut(more, "more"), texts, percent)))
+
+    named = classes.join(whole.select(F.col("node").alias("fp"), "root"), "fp", "left") \
+        .select("fp", "rep.doc_id", F.coalesce("root", "fp").alias("root"))
     names = cut(named.groupBy("root").agg(F.min("doc_id").alias("component_id")), "names")
     by_class = cut(named.select("fp", "root").join(names, "root").select("fp", "component_id"), "by_class")
     out = rows.join(by_class, "fp", "left")
