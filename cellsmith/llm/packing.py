@@ -22,7 +22,6 @@ other columns are not looked at.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -44,6 +43,23 @@ _MEMO = 1_000_000
 _U = np.uint64
 
 
+class _Words(dict):
+    """Ids of a word with the blank before it (or the line break that it begins with)."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, w: str) -> bytes:
+        if w[-1:] in (",", ".") and w[:-1].isalpha():  # the tokenizer splits letters from signs
+            ids = self[w[:-1]] + self.encode(w[-1])
+        else:
+            ids = self.encode(w if w[:1] == "\n" else " " + w)
+        if len(self) < _MEMO:
+            self[w] = ids
+        return ids
+
+
 class Encoder:
     """Token ids by the tokenizer file, remembering the words it has seen.
 
@@ -52,29 +68,23 @@ class Encoder:
     with other white space or a special token's string is encoded whole.
     """
 
-    _odd = re.compile(r"[^\S \n]|\s\s|<\||[\x1c-\x1f]")
+    _odd = ["  ", "\n\n", " \n", "\n ", "<|", *map(chr, (
+        9, 11, 12, 13, 28, 29, 30, 31, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F,
+        0x3000))]
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.memo: dict[str, bytes] = {}
+        self.words = _Words(self.whole)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
-    def _word(self, w: str) -> bytes:
-        got = self.memo.get(w)
-        if got is None:
-            got = self.whole(w if w[0] == "\n" else " " + w)
-            if len(self.memo) < _MEMO:
-                self.memo[w] = got
-        return got
-
     def ids(self, text: str) -> bytes:
-        if not text or text[0].isspace() or text[-1].isspace() or self._odd.search(text):
+        if not text or text[0].isspace() or text[-1].isspace() or any(map(text.__contains__, self._odd)):
             return self.whole(text)
-        line_break = self._word("\n")
-        return b"".join(map(self._word, ("\n" + text).replace("\n", " \n").split(" ")[1:]))[len(line_break):]
+        line_break = self.whole("\n")
+        return b"".join(map(self.words.__getitem__, ("\n" + text).replace("\n", " \n").split(" ")[1:]))[len(line_break):]
 
     def word_starts(self) -> np.ndarray:
         """For each id whether it begins a word: a blank or line break before it, or no letter or digit in it."""
