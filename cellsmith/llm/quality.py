@@ -115,10 +115,13 @@ def keep_good(docs: DataFrame, *, text_col: str = "text", host_col: str = "sourc
     second time and only rejected hosts are joined, so texts move only if that
     list is too long to broadcast.
     """
-    flags = measured(docs, F.col(text_col), {"host": F.col(host_col)}).select("host", rule_failed().alias("failed"))
+    flags = cut(measured(docs, F.col(text_col), {"host": F.col(host_col)})
+                .select("host", rule_failed().alias("failed")), "flags")
     bad = cut(host_rates(flags).where(F.col("host").isNotNull() & (F.col("rate") > max_host_rate))
               .select("host"), "bad_hosts")
     rows = docs.select(F.struct("*").alias("row"))
     m = measured(rows, F.col(f"row.`{text_col}`"), {"row": F.col("row"), "host": F.col(f"row.`{host_col}`")})
-    good = m.where(~rule_failed()).select("row", "host")
-    return good.join(bad, "host", "left_anti").select("row.*")
+    # The verdict goes through a generator and is filtered on its output: a filter on
+    # the measures would be pushed below their layers and repeat all of them.
+    good = m.select("host", F.explode_outer(F.when(~rule_failed(), F.array("row"))).alias("row"))
+    return good.where(F.col("row").isNotNull()).join(bad, "host", "left_anti").select("row.*")
