@@ -18,6 +18,13 @@ fails against its leader go through the forest once more, now as single classes.
 So a large group of copies costs a comparison a member, and nothing grows with
 the square of a group. Only confirmed links connect.
 
+A run of rows equal on the first ``FIRST`` hashes that is longer than ``REACH`` has
+pairs that are no such neighbours. The classes of these runs, where more than one
+group is in the run, are joined exactly once more: by the shared shingles among the
+rarest of each (prefix filter; two sets of the threshold share one), as far as sizes
+and places in the order of rarity allow the threshold. So a pair is missed only
+where no tree brings it into a run, or where its min hashes rule it out by chance.
+
 At the threshold of 0.75 a pair shares a tree's first three hashes with
 probability 0.42, and none of 24 trees' with 2e-6.
 
@@ -48,6 +55,12 @@ PERCENT = 75
 LEAST_ESTIMATE = 0.53
 #: Suggested similarity from which two classes are put into one group to be tried first.
 GROUP_ESTIMATE = 0.8
+#: Counters of the shingles' frequency in crowds; it only orders them.
+CROWD_BUCKETS = 1 << 20
+#: Classes that are compared at a time of those that share a shingle.
+CROWD_CHUNK = 2000
+#: Rows of an open run that are held back until the run ends.
+_HELD = 100_000
 _N = TREES * FIRST
 _SLICE = 500  # texts worked on at a time
 _U = np.uint64
@@ -159,22 +172,71 @@ def alike(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (16 * share - 1) / 15
 
 
-def _neighbours(reach: int, least: float, edges: bool):
+def _prefixes(keys: pa.ChunkedArray) -> np.ndarray:
+    """The tree's number and the first ``FIRST`` hashes of each key, as a number."""
+    raw = np.frombuffer(b"".join(x[:1 + 2 * FIRST] for x in keys.to_pylist()), np.uint8).reshape(-1, 1 + 2 * FIRST)
+    prefix = np.zeros(len(raw), np.uint64)
+    for k in range(1 + 2 * FIRST):
+        prefix = (prefix << _U(8)) | raw[:, k].astype(np.uint64)
+    return prefix
+
+
+class _Runs:
+    """Rows of runs with equal prefixes that are longer than ``reach`` + 1 and of more than one
+    ``comp``, and all rows of the runs at a partition's edges, which may go on in the next one."""
+
+    def __init__(self, reach: int):
+        self.reach, self.open = reach, True
+        self.held = (np.zeros(0, np.uint64), np.zeros(0, object), np.zeros(0, object))
+
+    def add(self, prefix: np.ndarray, fp: np.ndarray, comp: np.ndarray) -> np.ndarray | None:
+        """The rows among those held and the new ones that are found; those of the last run are held."""
+        p, f, c = (np.concatenate(x) for x in zip(self.held, (prefix, fp, comp), strict=True))
+        cuts = np.concatenate([[0], np.flatnonzero(p[1:] != p[:-1]) + 1, [len(p)]])
+        keep = np.zeros(len(p), bool)
+        for a, b in zip(cuts[:-2].tolist(), cuts[1:-1].tolist(), strict=True):
+            if (a == 0 and self.open) or (b - a > self.reach + 1 and (c[a:b] != c[a]).any()):
+                keep[a:b] = True
+        last = int(cuts[-2])
+        if last:
+            self.open = False
+        if len(p) - last > _HELD:
+            keep[last:] = True
+            last, self.open = len(p), True
+        self.held = (p[last:], f[last:], c[last:])
+        return (p[keep], f[keep], c[keep])
+
+    def end(self):
+        return self.held
+
+
+def _neighbours(reach: int, least: float, edges: bool, crowds: bool = False):
     """Candidates among the sorted rows of a partition, alike by their sketches; with
-    ``edges`` also its first and last rows, whose neighbours may be in the next one."""
+    ``edges`` also its first and last rows, whose neighbours may be in the next one;
+    with ``crowds`` also the rows (run, fp, comp) of long runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([(c, pa.binary()) for c in ("a", "b", *_TREE)])
+        schema = pa.schema([(c, pa.binary()) for c in ("a", "b", "run", *_TREE)])
+
+        def crowd(p: np.ndarray, f: np.ndarray, c: np.ndarray) -> Iterator[pa.RecordBatch]:
+            if len(p):
+                none = pa.nulls(len(p), pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [none, none, pa.array([x.tobytes() for x in p], pa.binary()), none, pa.array(f, pa.binary()),
+                     pa.array(c, pa.binary()), none], schema=schema)
 
         def edge(rows: pa.Table) -> Iterator[pa.RecordBatch]:
             if edges and rows.num_rows:
                 none = pa.nulls(rows.num_rows, pa.binary())
                 yield from pa.Table.from_arrays(
-                    [none, none, *[rows[c].cast(pa.binary()) for c in _TREE]], schema=schema) \
+                    [none, none, none, *[rows[c].cast(pa.binary()) for c in _TREE]], schema=schema) \
                     .combine_chunks().to_batches()
 
         tail, seen, head = None, 0, []
+        runs = _Runs(reach)
         for b in batches:
+            if not b.num_rows:
+                continue
             t = pa.Table.from_batches([b])
             if seen < reach:
                 head.append(t.slice(0, reach - seen))
@@ -183,15 +245,13 @@ def _neighbours(reach: int, least: float, edges: bool):
             t = (pa.concat_tables([tail, t]) if tail else t).combine_chunks()
             tail = t.slice(max(t.num_rows - reach, 0))
             n = t.num_rows
-            if n < 2:
-                continue
-            raw = np.frombuffer(b"".join(x[:1 + 2 * FIRST] for x in t["key"].to_pylist()), np.uint8)
-            raw = raw.reshape(n, 1 + 2 * FIRST)
-            prefix = np.zeros(n, np.uint64)
-            for k in range(1 + 2 * FIRST):
-                prefix = (prefix << _U(8)) | raw[:, k].astype(np.uint64)
+            prefix = _prefixes(t["key"])
             comp = np.array(t["comp"].to_pylist(), object)
             fp = np.array(t["fp"].to_pylist(), object)
+            if crowds:
+                yield from crowd(*runs.add(prefix[old:], fp[old:], comp[old:]))
+            if n < 2:
+                continue
             sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(n, _N // 2)
             found = set()
             for s in range(1, min(reach, n - 1) + 1):
@@ -204,7 +264,9 @@ def _neighbours(reach: int, least: float, edges: bool):
                 a, c = zip(*found, strict=True)
                 none = pa.nulls(len(a), pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(a, pa.binary()), pa.array(c, pa.binary()), none, none, none, none], schema=schema)
+                    [pa.array(a, pa.binary()), pa.array(c, pa.binary()), none, none, none, none, none], schema=schema)
+        if crowds:
+            yield from crowd(*runs.end())
         if head:
             yield from edge(pa.concat_tables(head))
             if seen > reach:
@@ -213,12 +275,14 @@ def _neighbours(reach: int, least: float, edges: bool):
     return run
 
 
-_ROW = "a binary, b binary, " + _TREE_ROW
+_ROW = "a binary, b binary, run binary, " + _TREE_ROW
 
 
-def candidates(classes: DataFrame, reach: int, least: float, trees: int = TREES) -> DataFrame:
+def candidates(classes: DataFrame, reach: int, least: float, trees: int = TREES,
+               crowds: bool = False) -> tuple[DataFrame, DataFrame]:
     """Distinct pairs (a, b) of neighbours in the forest whose ``comp`` differ and whose
-    min hashes suggest a similarity of at least ``least``.
+    min hashes suggest a similarity of at least ``least``; and with ``crowds`` the classes
+    (fp) of runs that are longer than ``reach`` + 1 and of more than one ``comp``.
 
     The rows are sorted over all machines; equal keys are split by the class's
     id, so a hot region spreads over partitions. Neighbours on both sides of a
@@ -226,10 +290,130 @@ def candidates(classes: DataFrame, reach: int, least: float, trees: int = TREES)
     """
     rows = classes.select("fp", "sig", "comp").mapInArrow(_tree_rows(trees), _TREE_ROW)
     ordered = rows.repartitionByRange(partitions(classes.sparkSession), "key", "fp").sortWithinPartitions("key", "fp")
-    found = cut(ordered.mapInArrow(_neighbours(reach, least, True), _ROW), "neighbours")
+    found = cut(ordered.mapInArrow(_neighbours(reach, least, True, crowds), _ROW), "neighbours")
     edges = found.where("key is not null").select(_TREE)
     edges = edges.repartition(1).sortWithinPartitions("key", "fp").mapInArrow(_neighbours(reach, least, False), _ROW)
-    return found.where("a is not null").select("a", "b").unionByName(edges.select("a", "b")).distinct()
+    pairs = found.where("a is not null").select("a", "b").unionByName(edges.select("a", "b")).distinct()
+    rows = found.where("run is not null").select("run", "fp", "comp")
+    runs = rows.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")) \
+        .where((F.col("n") > reach + 1) & (F.col("lo") != F.col("hi")))
+    runs = cut(runs.select("run"), "runs")  # written, so that the rows are not dealt by run for the join
+    return pairs, rows.join(runs, "run", "left_semi").select("fp").distinct()
+
+
+def _bucket_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    n = np.zeros(CROWD_BUCKETS, np.int64)
+    for b in _slices(batches):
+        n += np.bincount((shingle_sets(b["text"])[0] % _U(CROWD_BUCKETS)).astype(np.int64), minlength=CROWD_BUCKETS)
+    i = np.flatnonzero(n)
+    yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(n[i])], ["bucket", "n"])
+
+
+def _rarest(shared, percent: int):
+    """The rarest shingles of each set, with the set's size and the shingle's place in the order: so
+    many that two sets of the threshold share one of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = shared.value
+        for b in _slices(batches):
+            sets, at = shingle_sets(b["text"])
+            tokens, rows, places = [], [], []
+            for i in range(b.num_rows):
+                x = sets[at[i]:at[i + 1]]
+                n = len(x) - -(-percent * len(x) // 100) + 1
+                x = x[np.lexsort((x, count[(x % _U(CROWD_BUCKETS)).astype(np.int64)]))[:n]]
+                tokens.append(x)
+                rows.append(np.full(len(x), i))
+                places.append(np.arange(len(x)))
+            if rows:
+                i = np.concatenate(rows)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(tokens).view(np.int64)), b["fp"].take(pa.array(i)), b["comp"].take(pa.array(i)),
+                     pa.array(np.diff(at)[i]), pa.array(np.concatenate(places))], ["token", "fp", "comp", "size", "place"])
+
+    return run
+
+
+def _possible(size: np.ndarray, place: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the (size, place) may be of two sets of the threshold whose rarest common shingle this is."""
+    least = -(-percent * (size[:, None] + size) // (100 + percent))
+    return (size - place)[:, None].clip(max=size - place) >= least
+
+
+def _crowd_pairs(percent: int):
+    """Pairs of classes in the sorted groups (token, x, y) that may be of the threshold."""
+
+    def pairs(t: pa.Table) -> set[tuple[bytes, bytes]]:
+        found = set()
+        group = np.stack([t[c].to_numpy() for c in ("token", "x", "y")], 1)
+        cuts = np.concatenate([[0], np.flatnonzero((group[1:] != group[:-1]).any(1)) + 1, [len(group)]])
+        size, place, chunk = (t[c].to_numpy() for c in ("size", "place", "chunk"))
+        fp, comp = (np.array(t[c].to_pylist(), object) for c in ("fp", "comp"))
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            if b - a < 2:
+                continue
+            kinds, kind = np.unique(np.stack([size[a:b], place[a:b]], 1), axis=0, return_inverse=True)
+            may = _possible(kinds[:, 0], kinds[:, 1], percent)
+            kind = kind.ravel()
+            c, d, f = comp[a:b], chunk[a:b], fp[a:b]
+            apart = group[a, 1] != group[a, 2]
+            for i in np.flatnonzero(may.any(1)[kind]).tolist():
+                j = np.flatnonzero(may[kind[i], kind[i + 1:]]) + i + 1
+                j = j[c[j] != c[i]]
+                if apart:
+                    j = j[d[j] != d[i]]
+                found.update((x, f[i]) if x < f[i] else (f[i], x) for x in f[j])
+        return found
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for last, b in _with_last(batches):
+            t = pa.Table.from_batches([b]) if b is not None else None
+            t = t if held is None else held if t is None else pa.concat_tables([held, t])
+            if t is None or not t.num_rows:
+                continue
+            t, held = t.combine_chunks(), None
+            if not last:
+                group = np.stack([t[c].to_numpy() for c in ("token", "x", "y")], 1)
+                end = np.flatnonzero((group[1:] != group[:-1]).any(1))
+                done = int(end[-1]) + 1 if len(end) else 0
+                t, held = t.slice(0, done), t.slice(done)
+            if found := pairs(t) if t.num_rows else None:
+                a, b = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+    return run
+
+
+def _with_last(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, pa.RecordBatch | None]]:
+    for b in batches:
+        yield False, b
+    yield True, None
+
+
+def crowd_candidates(crowd: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) of the classes (fp, comp, text) whose ``comp`` differ: all that the full
+    sets may confirm, by the rarest shingle that they share.
+
+    Shingles of one ``comp`` alone are left out by a combined count; the classes of a very common one
+    are dealt over chunks, and every two chunks meet in a group of their own.
+    """
+    spark = crowd.sparkSession
+    rows = crowd.select("text").mapInArrow(_bucket_counts, "bucket long, n long") \
+        .groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # CROWD_BUCKETS rows at most
+    count = np.zeros(CROWD_BUCKETS, np.int64)
+    count[rows["bucket"].to_numpy()] = rows["n"].to_numpy()
+    posts = cut(crowd.select("fp", "comp", "text").mapInArrow(
+        _rarest(spark.sparkContext.broadcast(count), percent),
+        "token long, fp binary, comp binary, size long, place long"), "rarest")
+    mixed = posts.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")) \
+        .where(F.col("lo") != F.col("hi")).select("token", F.ceil(F.col("n") / CROWD_CHUNK).alias("k"))
+    dealt = posts.join(mixed, "token").withColumn("chunk", F.pmod(F.xxhash64("fp"), "k")) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1))) \
+        .select("token", F.least("chunk", "other").alias("x"), F.greatest("chunk", "other").alias("y"), "chunk", "fp",
+                "comp", "size", "place")
+    groups = dealt.repartition(partitions(spark), "token", "x", "y").sortWithinPartitions("token", "x", "y")
+    return groups.mapInArrow(_crowd_pairs(percent), "a binary, b binary").distinct()
 
 
 def _confirm(percent: int):
@@ -274,15 +458,16 @@ def near_duplicates(docs: DataFrame, *, percent: int = PERCENT, id_col: str = "d
         .withColumn("comp", F.col("fp")), "classes")
 
     # groups that the min hashes suggest: each member is held against the smallest one
-    near = candidates(classes, 1, GROUP_ESTIMATE, GROUP_TREES)
+    near, _ = candidates(classes, 1, GROUP_ESTIMATE, GROUP_TREES)
     star = cut(components(near).where(F.col("node") != F.col("root"))
                .select(F.col("node").alias("a"), F.col("root").alias("b")), "star")
     grouped = classes.drop("comp").join(star.select(F.col("a").alias("fp"), "b"), "fp", "left") \
         .withColumn("comp", F.coalesce("b", "fp")).drop("b")
-    rest = cut(candidates(cut(grouped, "grouped"), REACH, LEAST_ESTIMATE), "rest")
+    rest, crowds = candidates(cut(grouped, "grouped"), REACH, LEAST_ESTIMATE, crowds=True)
+    rest, crowds = cut(rest, "rest"), cut(crowds, "crowds")
     pairs = star.unionByName(rest)
-    texts = texts_of_classes(pairs.select(F.col("a").alias("fp")).union(pairs.select("b")), classes, docs,
-                             id_col, text_col)
+    texts = texts_of_classes(pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).union(crowds), classes,
+                             docs, id_col, text_col)
     links = confirmed(pairs, texts, percent)
 
     # groups with a member that its leader does not confirm: their classes one by one
@@ -292,9 +477,18 @@ def near_duplicates(docs: DataFrame, *, percent: int = PERCENT, id_col: str = "d
     whole = components(links)
     alone = classes.drop("comp").join(again, "fp").join(whole.select(F.col("node").alias("fp"), "root"), "fp", "left") \
         .withColumn("comp", F.coalesce("root", "fp")).drop("root")
-    more = candidates(cut(alone, "alone"), REACH, LEAST_ESTIMATE)
-    whole = components(whole.select(F.col("node").alias("a"), F.col("root").alias("b"))
-                       .unionByName(confirmed(cut(more, "more"), texts, percent)))
+    more, crowds2 = candidates(cut(alone, "alone"), REACH, LEAST_ESTIMATE, crowds=True)
+    joined = lambda whole, links: components(
+        whole.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links))
+    whole = joined(whole, confirmed(cut(more, "more"), texts, percent))
+
+    # long runs, in which not all are neighbours: what is not connected yet is joined exactly
+    crowds = cut(crowds.union(crowds2).distinct(), "crowd")
+    if crowds.limit(1).count():
+        comp = crowds.join(whole.select(F.col("node").alias("fp"), "root"), "fp", "left") \
+            .select("fp", F.coalesce("root", "fp").alias("comp"))
+        crowd = cut(texts.join(comp, "fp"), "crowd-texts")
+        whole = joined(whole, confirmed(cut(crowd_candidates(crowd, percent), "exact"), texts, percent))
 
     named = classes.join(whole.select(F.col("node").alias("fp"), "root"), "fp", "left") \
         .select("fp", "rep.doc_id", F.coalesce("root", "fp").alias("root"))

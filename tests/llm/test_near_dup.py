@@ -52,6 +52,42 @@ def test_given_documents(spark):
     assert {r.doc_id: r.component_id for r in near_dup.near_duplicates(df).collect()} == want
 
 
+def letters(n=2400):
+    """Form letters that share 89 words and fill in some of their own: crowds at 0.70 to 0.76, with
+    links where two share the first word filled in."""
+    r = random.Random(5)
+    form = [f"form{k}" for k in range(89)]
+    texts = []
+    for i in range(n):
+        fill = [f"own{i}x{k}" for k in range(r.choice((15, 15, 15, 16, 17)))]
+        if i % 8 < 2:
+            fill[0] = f"both{i // 8}"
+        texts.append(" ".join(form + fill))
+    r.shuffle(texts)
+    return list(enumerate(texts))
+
+
+def test_links_in_a_crowd_just_below_the_threshold(spark):
+    rows = letters()
+    sets = [frozenset(tuple(t.split()[k:k + 5]) for k in range(len(t.split()) - 4)) for _, t in rows]
+    holders = {}
+    for i, s in enumerate(sets):
+        for x in s:
+            holders.setdefault(x, []).append(i)
+    both = np.zeros((len(rows), len(rows)), np.int64)
+    for h in holders.values():
+        if len(h) > 1:
+            both[np.ix_(h, h)] += 1
+    size = np.array([len(s) for s in sets])
+    link = 100 * both >= 75 * (size[:, None] + size - both)
+    i, j = np.nonzero(np.triu(link, 1))
+    assert len(i) > 100 and len(set(i.tolist()) | set(j.tolist())) == 2 * len(i)  # pairs, each on its own
+    want = dict(enumerate(range(len(rows)))) | dict(zip(j.tolist(), i.tolist()))
+    got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(docs_df(spark, rows)).collect()}
+    recall = np.mean([got[b] == got[a] for a, b in zip(i.tolist(), j.tolist())])
+    assert recall == 1.0 and got == want
+
+
 def test_odd_rows_and_keep_one(spark):
     df = docs_df(spark, ODD + [(907, "same row")])
     out = near_dup.near_duplicates(df).collect()
