@@ -15,7 +15,9 @@ equal in all documents, and different values of a format stay different:
   exactly the number of valid values (65536 * 65536 addresses, 189 * 773 = 146097
   days of 400 years, 898 * 989901 social security numbers).
 
-Check digits are computed anew. Candidates that fail their test stay as they are.
+Check digits are computed anew. Candidates that fail their test stay as they are; a row
+of numbers ends before a date, address, social security or telephone number, and where
+it is no card as a whole, cards in their usual groupings are looked for at every number.
 A date with slashes is read month first unless its first number is over 12.
 
 Defined cases: null texts stay null; texts without a digit, ``@`` and ``=`` are
@@ -29,19 +31,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 6
-#: One alternative a kind. Runs are entered at their start only and not given back,
-#: so a long run of letters or digits costs its length once.
+_DATE = r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}([/.])[0-9]{2}\1[0-9]{4})(?![0-9])"
+_IP = r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
+_SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
+_LOCAL = r"(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
+_DIGEST = r"(?=[0-9a-f]{0,63}[a-f])[0-9a-f]{32,64}(?![A-Za-z0-9])"
+#: Groupings in which a card number is looked for among other numbers.
+CARD_SHAPES = (r"[0-9]{13,19}", r"[0-9]{4}(?:[ -][0-9]{4}){3}", r"[0-9]{4}(?:[ -][0-9]{4}){3}[ -][0-9]{3}",
+               r"[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}", r"[0-9]{4}(?:[ -][0-9]{3}){3}")
+#: What begins a value of its own: a row of numbers ends before it.
+_STRICT = "|".join((_DATE.replace(r"([/.])[0-9]{2}\1", r"(?:/[0-9]{2}/|\.[0-9]{2}\.)"), _IP, _SSN, _LOCAL, _DIGEST))
+_AT = r"[A-Za-z0-9._%+-]++@"
+#: One alternative a kind; a card's is a whole row of numbers, in which cards are looked for. Runs
+#: are entered at their start only and not given back, so a long run of letters or digits costs its
+#: length once.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
     "secret": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])|(?<=[Pp]assword=)[^\s\"']{4,64}",
-    "digest": r"(?<![A-Za-z0-9])(?=[0-9a-f]{0,63}[a-f])[0-9a-f]{32,64}(?![A-Za-z0-9])",
+    "digest": r"(?<![A-Za-z0-9])" + _DIGEST,
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[0-9A-Z]{11,30}(?![A-Za-z0-9])",
-    "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
-    "date": r"(?<![0-9/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}([/.])[0-9]{2}\1[0-9]{4})(?![0-9])",
-    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
-    "phone": r"(?<![0-9])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
-             r"|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){3,5}(?![0-9])",
+    "ip": r"(?<![0-9.])" + _IP,
+    "date": r"(?<![0-9/.-])" + _DATE,
+    "ssn": r"(?<![0-9-])" + _SSN,
+    "phone": r"(?<![0-9])(?:\+[0-9]{1,3}[ .-]?)?" + _LOCAL
+             + r"|\+[0-9]{1,3}(?:(?:[ .-](?!" + "|".join((_STRICT, *(x + "(?![0-9])" for x in CARD_SHAPES)))
+             + r"))?[0-9]{2,4}){3,5}(?![0-9])",
+    "card": rf"(?<![0-9])(?=(?:[0-9][ -]?){{13}})[0-9]++(?:(?:-(?!{_STRICT})| (?!{_STRICT}|{_AT}))[0-9]++)*+",
 }
 _ANY = "(" + "|".join(p.replace(r"\1", r"\2") for p in PATTERNS.values()) + ")"
 _HEX = "0123456789abcdef"
@@ -204,7 +219,24 @@ def _card(m: Column, key: str) -> Column:
     def shown(b: Column) -> Column:
         return _refilled(m, F.concat(b, ((10 - luhn(F.concat(b, F.lit("0")))) % 10).cast("string")))
 
-    return F.when(luhn(d) == 0, F.transform(F.array(body), shown)[0])
+    return F.when((luhn(d) == 0) & F.length(d).between(13, 19), F.transform(F.array(body), shown)[0])
+
+
+def _cards(m: Column, key: str) -> Column:
+    """(text, n) of a row of numbers that is no card as a whole, with the cards in it replaced; null
+    without one. A card is looked for at every number, those with an issuer's first digit first."""
+    at = [F.regexp_extract_all(m, F.lit(rf"(?<![0-9])(?=({x})(?![0-9]))[0-9]++"), F.lit(1)) for x in CARD_SHAPES]
+    valid = F.filter(F.array_distinct(F.concat(*at)), lambda v: luhn(_digits(v)) == 0)
+    known = lambda v: v.rlike("^[3-6]")
+    ordered = F.concat(F.filter(valid, known), F.filter(valid, lambda v: ~known(v)))
+
+    def step(st: Column, v: Column) -> Column:
+        here = F.concat(F.lit("(?<![0-9])"), v, F.lit("(?![0-9])"))
+        return F.struct(F.regexp_replace(st["text"], here, _card(v, key)).alias("text"),
+                        (st["n"] + F.size(F.regexp_extract_all(st["text"], here, F.lit(0)))).alias("n"))
+
+    made = F.aggregate(ordered, F.struct(m.alias("text"), F.lit(0).alias("n")), step)
+    return F.transform(F.array(made), lambda x: F.when(x["n"] > 0, x))[0]
 
 
 def _phone(m: Column, key: str) -> Column:
@@ -219,16 +251,21 @@ _MASKS = {"email": _email, "secret": _secret, "digest": lambda m, key: permuted(
 
 
 def pseudonym(m: Column, key: str) -> Column:
-    """The pseudonym of a found value, or null where it fails its kind's test.
+    """(text, n): the pseudonym of a found value and the number of values in it, or null
+    where it fails its kind's test.
 
-    What fails as one kind may still be another: a number that is no card, say,
-    is tried as a telephone number.
+    What fails as one kind may still be another. A row of numbers that is no card is
+    searched for cards in it.
     """
     whole = lambda p: m.rlike("^(?:" + p.replace("(?<=[Pp]assword=)", "") + ")$")
     secret = m.startswith("AKIA") & (F.length(m) == 20)
     tests = {k: whole(p) for k, p in PATTERNS.items() if k != "secret"} | {"secret": secret}
     tried = [F.when(tests[k], _MASKS[k](m, key)) for k in PATTERNS]
-    return F.coalesce(*tried)
+    return F.coalesce(_one(F.coalesce(*tried)), F.when(tests["card"], _cards(m, key)))
+
+
+def _one(made: Column) -> Column:
+    return F.transform(F.array(made), lambda x: F.when(x.isNotNull(), F.struct(x.alias("text"), F.lit(1).alias("n"))))[0]
 
 
 def pseudonymised(docs: DataFrame, *, key: str, text_col: str = "text") -> DataFrame:
@@ -241,11 +278,11 @@ def pseudonymised(docs: DataFrame, *, key: str, text_col: str = "text") -> DataF
     df = df.select("row", "found", F.when(F.size("found") > 0, F.split(t, _ANY, -1)).alias("parts"))
     after_password = lambda i: F.get("parts", i).rlike("[Pp]assword=$")
     # a match after password= is a secret whatever it looks like
-    new = F.transform("found", lambda m, i: F.when(after_password(i), _secret(m, key)).otherwise(pseudonym(m, key)))
+    new = F.transform("found", lambda m, i: F.when(after_password(i), _one(_secret(m, key))).otherwise(pseudonym(m, key)))
     df = df.select("row", "found", "parts", F.when(F.size("found") > 0, new).alias("new"))
     filled = F.transform("parts", lambda p, i: F.concat(
-        p, F.coalesce(F.get("new", i), F.get("found", i), F.lit(""))))
-    n = F.size(F.filter("new", lambda x: x.isNotNull()))
+        p, F.coalesce(F.get("new", i)["text"], F.get("found", i), F.lit(""))))
+    n = F.aggregate("new", F.lit(0), lambda t, x: t + F.coalesce(x["n"], F.lit(0)))
     return df.select("row", F.when(F.size("new") > 0, n).otherwise(0).cast("long").alias("n_replaced"),
                      F.when(F.size("parts") > 0, F.array_join(filled, "")).otherwise(t).alias("text"))
 

@@ -52,6 +52,22 @@ def test_values_keep_their_format_and_stay_linked(spark):
             assert re.fullmatch("[0-9a-f]{40}", new)
 
 
+def test_values_side_by_side_and_after_a_number(spark):
+    texts = {(a, b): f"{VALUES[a]} {VALUES[b]}" for a in VALUES for b in VALUES}
+    texts |= {(n, b): f"{n} {VALUES[b]}" for n in ("7", "12", "62704", "1234", "12 34", "1234 5678 9012") for b in VALUES}
+    texts |= {(b, n): f"{VALUES[b]} {n}" for n in ("7", "62704", "555") for b in VALUES}
+    local = "555-123-4567"
+    texts |= {(local, b): f"{local} {VALUES[b]}" for b in VALUES} | {(b, local): f"{VALUES[b]} {local}" for b in VALUES}
+    texts |= {("two", local): f"62704 {local} 555-987-6543", ("two", "date"): "77 2021-02-28 1999-12-31",
+              ("two", "card"): "12 4539 1488 0343 6467 4539148803436467 99"}
+    got = masked(spark, list(texts.values()))
+    values = [*VALUES.values(), local, "555-987-6543", "1999-12-31", "4539148803436467"]
+    for (kinds, t), new in zip(texts.items(), got, strict=True):
+        assert not any(v in new for v in values), (kinds, t, new)
+    df = pii.pseudonymised(docs_df(spark, [(1, texts["two", "card"]), (2, "1234 5678 9012 3456 7")]), key=KEY)
+    assert sorted(r.n_replaced for r in df.collect()) == [0, 2]
+
+
 def test_invalid_candidates_and_plain_text_stay(spark):
     texts = ["4539 1488 0343 6468", "300.1.2.3", "2021-02-30", "000-45-6789", "version 4.0. of 2021", "a = b",
              "1 2 3", "GB00WEST12345698765432"]
