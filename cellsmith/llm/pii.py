@@ -3,7 +3,9 @@
 Candidates are found by one pattern, then validated: card numbers by their Luhn
 digit, IBANs modulo 97, IPv4 octets, calendar dates from 1800 to 2199, US social
 security numbers by their number ranges, telephone numbers by their shape, e-mail
-addresses, and secrets (access keys, hexadecimal digests, ``password=``). Valid
+addresses, and secrets (access keys, hexadecimal digests of 32 digits or more in either
+case, all after ``password=`` up to white space or a quote). IBANs may be in groups of
+four, where the length is the country's; their pseudonym is the same. Valid
 ones are replaced by a keyed permutation of their own format, so equal values stay
 equal in all documents, and different values of a format stay different:
 
@@ -35,7 +37,16 @@ _DATE = r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}([/.])[0-9]{2}\1[0-9]{4})(?![0-9
 _IP = r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
 _SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 _LOCAL = r"(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
-_DIGEST = r"(?=[0-9a-f]{0,63}[a-f])[0-9a-f]{32,64}(?![A-Za-z0-9])"
+_DIGEST = r"(?=[0-9]*+[A-Fa-f])[0-9A-Fa-f]{32,}+(?![A-Za-z0-9])"
+#: Lengths of the countries' IBANs, by which those in groups of four are told from what follows.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+_GROUPED = "|".join(
+    f"(?:{c.replace(' ', '|')})[0-9]{{2}}(?: [0-9A-Z]{{4}}){{{n // 4 - 1}}}" + (f" [0-9A-Z]{{{n % 4}}}" if n % 4 else "")
+    for n, c in IBAN_LENGTHS.items())
 #: Groupings in which a card number is looked for among other numbers.
 CARD_SHAPES = (r"[0-9]{13,19}", r"[0-9]{4}(?:[ -][0-9]{4}){3}", r"[0-9]{4}(?:[ -][0-9]{4}){3}[ -][0-9]{3}",
                r"[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}", r"[0-9]{4}(?:[ -][0-9]{3}){3}")
@@ -46,10 +57,10 @@ _AT = r"[A-Za-z0-9._%+-]++@"
 #: are entered at their start only and not given back, so a long run of letters or digits costs its
 #: length once.
 PATTERNS = {
+    "secret": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])|(?<=[Pp]assword=)[^\s\"']++",
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
-    "secret": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])|(?<=[Pp]assword=)[^\s\"']{4,64}",
     "digest": r"(?<![A-Za-z0-9])" + _DIGEST,
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[0-9A-Z]{11,30}(?![A-Za-z0-9])",
+    "iban": r"(?<![A-Za-z0-9])(?:[A-Z]{2}[0-9]{2}[0-9A-Z]{11,30}|" + _GROUPED + ")(?![A-Za-z0-9])",
     "ip": r"(?<![0-9.])" + _IP,
     "date": r"(?<![0-9/.-])" + _DATE,
     "ssn": r"(?<![0-9-])" + _SSN,
@@ -74,12 +85,12 @@ def _char(s: Column, i: Column) -> Column:
 
 def _chars(s: Column, each) -> Column:
     """``each`` of the character and its 1-based place, joined; empty for an empty string."""
-    made = F.transform(F.sequence(F.lit(1), F.length(s)), lambda i: each(_char(s, i), i))
+    made = F.transform(F.split(s, ""), lambda c, i: each(c, i + 1))
     return F.when(F.length(s) > 0, F.array_join(made, "")).otherwise(F.lit(""))
 
 
 def _shifted(half: Column, other: Column, key: str, tweak: str, r: Column, hexadecimal: bool) -> Column:
-    def one(c: Column, i: Column) -> Column:
+    def one(c: Column, i: Column, other: Column) -> Column:
         k = _hash(key, tweak, r, i, other)
         if hexadecimal:
             at = F.instr(F.lit(_HEX), F.lower(c)) - 1
@@ -89,7 +100,9 @@ def _shifted(half: Column, other: Column, key: str, tweak: str, r: Column, hexad
         return F.when(code.between(48, 57), move(48, 10)).when(code.between(97, 122), move(97, 26)) \
             .when(code.between(65, 90), move(65, 26)).otherwise(c)
 
-    return _chars(half, one)
+    # a long half goes into every character's hash by its own hash, so that the cost stays linear
+    drawn = F.when(F.length(other) > 64, F.sha2(other, 256)).otherwise(other)
+    return F.transform(F.array(drawn), lambda o: _chars(half, lambda c, i: one(c, i, o)))[0]
 
 
 def permuted(s: Column, key: str, tweak: str, hexadecimal: bool = False) -> Column:
@@ -163,11 +176,22 @@ def _secret(m: Column, key: str) -> Column:
 
 
 def _iban(m: Column, key: str) -> Column:
-    country, rest = F.substring(m, 1, 2), F.substring(m, F.lit(5), F.length(m))
+    whole = F.replace(m, F.lit(" "), F.lit(""))
+    country, rest = F.substring(m, 1, 2), F.substring(whole, F.lit(5), F.length(whole))
     new = permuted(rest, key, "iban")
     check = F.lpad((98 - mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")
     valid = mod97(F.concat(rest, F.substring(m, 1, 4))) == 1
-    return F.when(valid, F.concat(country, check, new))
+
+    def shown(made: Column) -> Column:
+        place = lambda i: F.length(F.replace(F.substring(m, F.lit(1), i), F.lit(" "), F.lit("")))
+        return _chars(m, lambda c, i: F.when(c == " ", c).otherwise(_char(made, place(i))))
+
+    return F.when(valid, F.transform(F.array(F.concat(country, check, new)), shown)[0])
+
+
+def _digest(m: Column, key: str) -> Column:
+    new = permuted(F.lower(m), key, "digest", True)
+    return F.when(m.rlike("[a-f]"), new).otherwise(F.upper(new))
 
 
 def _ip(m: Column, key: str) -> Column:
@@ -246,7 +270,7 @@ def _phone(m: Column, key: str) -> Column:
     return F.transform(F.array(new), lambda x: _refilled(m, x))[0]
 
 
-_MASKS = {"email": _email, "secret": _secret, "digest": lambda m, key: permuted(m, key, "digest", True), "iban": _iban,
+_MASKS = {"email": _email, "secret": _secret, "digest": _digest, "iban": _iban,
           "ip": _ip, "date": _date, "ssn": _ssn, "card": _card, "phone": _phone}
 
 
@@ -261,7 +285,7 @@ def pseudonym(m: Column, key: str) -> Column:
     secret = m.startswith("AKIA") & (F.length(m) == 20)
     tests = {k: whole(p) for k, p in PATTERNS.items() if k != "secret"} | {"secret": secret}
     tried = [F.when(tests[k], _MASKS[k](m, key)) for k in PATTERNS]
-    return F.coalesce(_one(F.coalesce(*tried)), F.when(tests["card"], _cards(m, key)))
+    return F.coalesce(_one(F.coalesce(*tried)), F.when(tests["card"] | (tests["iban"] & m.contains(" ")), _cards(m, key)))
 
 
 def _one(made: Column) -> Column:

@@ -68,6 +68,29 @@ def test_values_side_by_side_and_after_a_number(spark):
     assert sorted(r.n_replaced for r in df.collect()) == [0, 2]
 
 
+def test_secrets_digests_and_ibans_are_taken_whole(spark):
+    import hashlib
+    long = "s3cr3t" * 50
+    sha = hashlib.sha512(b"x").hexdigest()
+    texts = [f"password={long} end", "password=abc end", "password=a@b.com!x end", f"is {sha} end", f"is {sha.upper()} end",
+             f"is {sha[:40].upper()} end", "is GB82 WEST 1234 5698 7654 32 end", "is DE89 3704 0044 0532 0130 00 end",
+             "is GB82WEST12345698765432 end", "is DE89 3704 0044 0532 0130 00 4539 1488 0343 6467 end",
+             "is DE89 3704 0044 0532 0130 01 end", "password=" + "long" * 20_000]
+    got = masked(spark, texts)
+    value = [x.removesuffix(" end").split("=" if "=" in x else "is ", 1)[1] for x in got]
+    old = [x.removesuffix(" end").split("=" if "=" in x else "is ", 1)[1] for x in texts]
+    assert [len(x) for x in value] == [len(x) for x in old] and got[10] == texts[10]
+    assert long[64:] not in value[0] and long[-30:] not in value[0]
+    assert value[1] != "abc" and "!x" not in value[2] and "4539 1488" not in value[9]
+    assert re.fullmatch("[0-9a-f]{128}", value[3]) and value[3] != sha and value[4] == value[3].upper()
+    assert re.fullmatch("[0-9A-F]{40}", value[5]) and value[5].lower() != sha[:40]
+    for new, was in ((value[6], old[6]), (value[7], old[7]), (value[9][:27], old[7])):
+        n = "".join(str(int(c, 36)) for c in (new[4:] + new[:4]).replace(" ", ""))
+        assert shape(new) == shape(was) and new != was and int(n) % 97 == 1
+    assert value[6].replace(" ", "") == value[8] and value[9][:27] == value[7]
+    assert "longlong" not in value[11]
+
+
 def test_invalid_candidates_and_plain_text_stay(spark):
     texts = ["4539 1488 0343 6468", "300.1.2.3", "2021-02-30", "000-45-6789", "version 4.0. of 2021", "a = b",
              "1 2 3", "GB00WEST12345698765432"]
