@@ -46,6 +46,7 @@ _U = np.uint64
 _END = _U(0x9D39247E33776D41)
 _PAIR, _ONE = stream64(2, 21) | _U(1)
 _KEY = _U((1 << 40) - 1)
+_COUNT = {1: "<u8", 2: "<u4"}
 
 
 def tokens(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -71,12 +72,13 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _packed(x: np.ndarray, n: np.ndarray, segments: int, kind: int) -> pa.RecordBatch:
-    """Sorted n-gram hashes with counts as a row for each segment: 40 bits and a count each."""
+    """Sorted n-gram hashes with counts as a row for each segment: 40 bits and a count each.
+    Words' counts are of the corpus and have 64 bits, pairs' of some texts and have 32."""
     seg = ((x >> _U(40)) % _U(segments)).astype(np.int64)
     order = np.argsort(seg, kind="stable")
     x, n, seg = x[order], n[order], seg[order]
     low = (x & _KEY).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-    num = n.astype("<u4")
+    num = n.astype(_COUNT[kind])
     ids, at = np.unique(seg, return_index=True)
     ends = np.append(at[1:], len(seg))
     return pa.RecordBatch.from_arrays(
@@ -135,7 +137,7 @@ def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             wide = np.zeros((len(raw), 8), np.uint8)
             wide[:, :5] = raw
             x, back = np.unique(wide.view("<u8").ravel(), return_inverse=True)
-            c = np.bincount(back, np.frombuffer(b"".join(r[1] for r in rows), "<u4")).astype(np.float64)
+            c = np.bincount(back, np.frombuffer(b"".join(r[1] for r in rows), _COUNT[kind]))
             lv = level(c)
             n[kind - 1] += np.bincount(lv, minlength=LEVELS)
             total[kind - 1] += np.bincount(lv, c, minlength=LEVELS)

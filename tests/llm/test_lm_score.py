@@ -73,6 +73,15 @@ def test_parts_of_the_filter_give_the_same_scores(spark):
     assert [r.score for r in one] == pytest.approx([r.score for r in many])
 
 
+def test_counts_beyond_32_bits():
+    n = 2 ** 32 + 7
+    x = np.sort(lm_score.singles(np.arange(3, dtype=np.uint64)))
+    (row,) = lm_score._build(iter([lm_score._packed(x, np.array([n, 5, n]), 1, 1)]))
+    total, level = np.array(row["total"][0].as_py()), int(lm_score.level(np.array([n]))[0])
+    assert total.sum() == 2 * n + 5 and total[level] == 2 * n
+    assert lm_score.Filter(1, [(0, row["bits"][0].as_py())]).levels(x)[0] == level
+
+
 def test_empty_table(spark):
     assert lm_score.lm_scores(docs_df(spark, [])).count() == 0
 
