@@ -2,8 +2,9 @@
 
 Words that look disguised (symbols or digits among letters, a letter three times
 in a row, letters set apart) become a lattice: every character can stand for the
-letters of ``READINGS``, a repeat of the one before or a separator may vanish.
-Viterbi search finds the likeliest letters under a trigram model of the corpus'
+letters of ``READINGS``, a repeat of the one before or a separator may vanish, and
+at separators and between letters set apart a word may end; other signs end it.
+Viterbi search finds the likeliest words under a trigram model of the corpus'
 characters (counted over all training documents, 27**3 numbers). The plain words
 of a text and its restored ones are then held against a lexicon: words that
 labelled toxic documents hold far more often than others, weighted by the
@@ -23,6 +24,7 @@ table gives an empty result; other columns are not looked at.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,8 +41,11 @@ LEAST_ODDS, LEAST_DOCS = math.log(20), 4
 READINGS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
             "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "*": "aeiou", "#": "h"}
 _SEPARATORS = ".-_*~'`,"
+#: Ends a run of letters that were set apart; stands in it for a gap wider than one character.
+APART, WIDE = "\0", "\1"
 _KEEP, _SWAP, _REPEAT, _DROP = (math.log(p) for p in (0.9, 0.6, 0.4, 0.05))
 _MEMO = 200_000
+_HARD = re.compile("[^a-z\x80-\U0010ffff" + re.escape("".join(READINGS) + _SEPARATORS) + "]+")
 
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True
@@ -83,31 +88,52 @@ class Decoder:
     def restore(self, word: str) -> str:
         got = self.memo.get(word)
         if got is None:
-            got = self._viterbi(word)
+            if word[-1:] == APART:
+                got = self._viterbi(" ".join(word[:-1]))
+            else:
+                got = " ".join(self._viterbi(x) for x in _HARD.split(word) if x)
             if len(self.memo) < _MEMO:
                 self.memo[word] = got
         return got
 
     def _viterbi(self, word: str) -> str:
-        states = {(0, 0): (0.0, "")}
+        """The likeliest words, blanks between them."""
+        states: dict = {(0, 0): (0.0, None)}  # (letters before, 0 for none): score, (rest, letter)
         before = ""
         for c in word:
             arcs = [(ord(x) - 96, _SWAP) for x in READINGS.get(c, "")]
             if "a" <= c <= "z":
                 arcs.append((ord(c) - 96, _KEEP))
-            skip = _REPEAT if c == before else None if "a" <= c <= "z" else _DROP if c in READINGS else 0.0
-            before = c
-            new: dict[tuple[int, int], tuple[float, str]] = {}
+            skip = _REPEAT if c == before and c != WIDE else None if "a" <= c <= "z" \
+                else _DROP if c in READINGS or c == WIDE else 0.0
+            ends = c in _SEPARATORS or c in (" ", WIDE)
+            if c not in (" ", WIDE):
+                before = c
+            new: dict = {}
             for (a, b), (p, s) in states.items():
-                if skip is not None and p + skip > new.get((a, b), (-1e300,))[0]:
+                if ends and not b:  # no letter since the last end
+                    if p > new.get((a, b), (-1e300,))[0]:
+                        new[a, b] = (p, s)
+                elif skip is not None and p + skip > new.get((a, b), (-1e300,))[0]:
                     new[a, b] = (p + skip, s)
                 row = self.model[a][b]
+                if ends and b:
+                    t = p + row[0]
+                    if t > new.get((b, 0), (-1e300,))[0]:
+                        new[b, 0] = (t, (s, " "))
                 for x, q in arcs:
                     t = p + q + row[x]
                     if t > new.get((b, x), (-1e300,))[0]:
-                        new[b, x] = (t, s + chr(96 + x))
+                        new[b, x] = (t, (s, chr(96 + x)))
             states = new
-        return max((p + self.model[a][b][0], s) for (a, b), (p, s) in states.items())[1]
+        # a word that has ended needs no other end
+        _, s = max(((p + (self.model[a][b][0] if b or not a else 0.0), s) for (a, b), (p, s) in states.items()),
+                   key=lambda x: x[0])
+        out = []
+        while s:
+            s, c = s
+            out.append(c)
+        return "".join(reversed(out)).strip()
 
 
 def disguised(array: pa.Array) -> tuple[np.ndarray, list[str]]:
@@ -115,7 +141,7 @@ def disguised(array: pa.Array) -> tuple[np.ndarray, list[str]]:
 
     Found over the batch's bytes: a symbol or digit before or between letters, a
     letter three times, letters with separators, and runs of three or more
-    single letters (as one word).
+    single letters (as one, with ``WIDE`` at wider gaps and ``APART`` behind).
     """
     buf, off = texts_of(array)
     low = LOWER[buf]
@@ -148,7 +174,9 @@ def disguised(array: pa.Array) -> tuple[np.ndarray, list[str]]:
             if len(r) >= 3:
                 for k in range(0, len(r), LONGEST):
                     where.append(text[r[0]])
-                    out.append("".join(chr(low[x]) for x in s[r[k:k + LONGEST]]))
+                    part = r[k:k + LONGEST]
+                    gap = np.append(s[part[1:]] - e[part[:-1]], 1)
+                    out.append("".join(chr(low[x]) + WIDE * (g > 1) for x, g in zip(s[part], gap.tolist(), strict=True)) + APART)
     return np.array(where, np.int64), out
 
 
@@ -159,7 +187,7 @@ def word_sets(array: pa.Array, decoder: Decoder) -> tuple[np.ndarray, np.ndarray
     where, odd = disguised(array)
     if odd:
         new = [decoder.restore(w) for w in odd]
-        # runs of set-apart letters may hold more than one word: every stretch of the restored run counts
+        # a restored stretch may hold more than one word
         g, at, _, _ = hashed_words(pa.array(new, pa.string()), _NOT_WORD)
         h = np.concatenate([h, g])
         text = np.concatenate([text, np.repeat(where, np.diff(at))])

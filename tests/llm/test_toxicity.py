@@ -41,6 +41,22 @@ def test_decoder(decoder, word, plain):
     assert decoder.restore(word) == plain
 
 
+@pytest.fixture(scope="module")
+def english():
+    t = " ".join(["you are a wretch", "i am a dimwit", "a total grumble", "the dimwit and the wretch"] * 30)
+    return toxicity.Decoder(toxicity.log_model(toxicity.trigram_counts(pa.array([t]))))
+
+
+@pytest.mark.parametrize("text,words", [
+    ("you are a w r e t c h", ["wretch"]), ("I d i m w i t", ["dimwit"]), ("w r e t c h d i m w i t", ["wretch", "dimwit"]),
+    ("w r e t c h   d i m w i t", ["wretch", "dimwit"]), ("you-d1mw1t", ["dimwit"]), ("total/d1mw1t", ["dimwit"]),
+    ("wr3tch/d1mw!t", ["wretch", "dimwit"]), ("d.i.m.w.i.t", ["dimwit"]), ("gr*mble,wr3tch", ["grumble", "wretch"])])
+def test_disguised_words_beside_others(english, text, words):
+    _, found = toxicity.word_sets(pa.array([text]), english)
+    want = toxicity.hashed_words(pa.array([" ".join(words)]), toxicity._NOT_WORD)[0]
+    assert set(want.tolist()) <= set(found.tolist())
+
+
 def test_disguised_words_are_found():
     t = ["plain words only, so. 42 1999 ***", "a gr0mble and d.i.m.w.i.t here", "w r e t c h !", "sooo", "", "x" * 99]
     where, found = toxicity.disguised(pa.array(t))
