@@ -16,9 +16,9 @@ The lexicon is learned from a bounded sample of labelled documents (at most
 
 Defined cases: null and empty texts have no word and get the prior's score; a
 document with conflicting labels counts as toxic; rows that repeat an id are
-scored alike; without labels of the training folds every score is 0; words over
-``LONGEST`` characters are not restored (no disguised word is longer); an empty
-table gives an empty result; other columns are not looked at.
+scored alike; without labels of the training folds every score is 0; a repeat of one
+letter alone is no disguised word; an empty table gives an empty result; other
+columns are not looked at.
 """
 
 from __future__ import annotations
@@ -35,7 +35,6 @@ from pyspark.sql import functions as F
 from cellsmith.llm.common import LOWER, SPACE, crc_mod, cut, hashed_words, texts_of, word_spans
 
 PER_CLASS = 4000
-LONGEST = 40
 LEAST_ODDS, LEAST_DOCS = math.log(20), 4
 #: The letters that a character of a disguised word may stand for.
 READINGS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
@@ -44,7 +43,8 @@ _SEPARATORS = ".-_*~'`,"
 #: Ends a run of letters that were set apart; stands in it for a gap wider than one character.
 APART, WIDE = "\0", "\1"
 _KEEP, _SWAP, _REPEAT, _DROP = (math.log(p) for p in (0.9, 0.6, 0.4, 0.05))
-_MEMO = 200_000
+_MEMO, _MEMO_WORD = 200_000, 64  # words remembered, and their length; longer ones are decoded each time
+_REPEATED = re.compile(r"(.)\1{3,}", re.S)
 _HARD = re.compile("[^a-z\x80-\U0010ffff" + re.escape("".join(READINGS) + _SEPARATORS) + "]+")
 
 _LETTER = np.zeros(256, bool)
@@ -89,10 +89,10 @@ class Decoder:
         got = self.memo.get(word)
         if got is None:
             if word[-1:] == APART:
-                got = self._viterbi(" ".join(word[:-1]))
+                got = self._viterbi(" ".join(_REPEATED.sub(r"\1\1\1", word[:-1])))
             else:
-                got = " ".join(self._viterbi(x) for x in _HARD.split(word) if x)
-            if len(self.memo) < _MEMO:
+                got = " ".join(self._viterbi(_REPEATED.sub(r"\1\1\1", x)) for x in _HARD.split(word) if x)
+            if len(self.memo) < _MEMO and len(word) <= _MEMO_WORD:
                 self.memo[word] = got
         return got
 
@@ -161,22 +161,24 @@ def disguised(array: pa.Array) -> tuple[np.ndarray, list[str]]:
     marks = np.concatenate([[0], np.cumsum(odd)])
     letters = np.concatenate([[0], np.cumsum(letter[:n])])
     length = e - s
-    hit = (marks[e] > marks[s]) & (letters[e] > letters[s]) & (length >= 3) & (length <= LONGEST)
+    hit = (marks[e] > marks[s]) & (letters[e] > letters[s]) & (length >= 3)
     raw = low.tobytes()
     text = np.searchsorted(off, s, "right") - 1
-    where, out = list(text[hit]), [raw[a:b].decode("utf-8", "ignore").strip(_SEPARATORS + "\"?:;)")
-                                   for a, b in zip(s[hit], e[hit], strict=True)]
+    where, out = [], []
+    for t, a, b in zip(text[hit].tolist(), s[hit].tolist(), e[hit].tolist(), strict=True):
+        w = raw[a:b].decode("utf-8", "ignore").strip(_SEPARATORS + "\"?:;)")
+        if w.strip(w[:1]):  # not one letter alone
+            where.append(t)
+            out.append(w)
     single = (length <= 2) & (letter[s] | leet[s]) & ((length == 1) | sep[np.minimum(s + 1, n)])
     i = np.flatnonzero(single)
     if len(i):
         runs = np.split(i, np.flatnonzero((np.diff(i) > 1) | (np.diff(text[i]) > 0)) + 1)
         for r in runs:
             if len(r) >= 3:
-                for k in range(0, len(r), LONGEST):
-                    where.append(text[r[0]])
-                    part = r[k:k + LONGEST]
-                    gap = np.append(s[part[1:]] - e[part[:-1]], 1)
-                    out.append("".join(chr(low[x]) + WIDE * (g > 1) for x, g in zip(s[part], gap.tolist(), strict=True)) + APART)
+                gap = np.append(s[r[1:]] - e[r[:-1]], 1)
+                where.append(text[r[0]])
+                out.append("".join(chr(low[x]) + WIDE * (g > 1) for x, g in zip(s[r], gap.tolist(), strict=True)) + APART)
     return np.array(where, np.int64), out
 
 

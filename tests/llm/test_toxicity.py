@@ -57,6 +57,15 @@ def test_disguised_words_beside_others(english, text, words):
     assert set(want.tolist()) <= set(found.tolist())
 
 
+@pytest.mark.parametrize("text,word", [
+    ("wre" + "e" * 60 + "tch", "wretch"), ("it/is/such/a/long/one/that/it/never/ends/d1mw1t/so", "dimwit"),
+    ("you-are-a-total-wretch-and-the-total-grumble-d1mw!t", "dimwit"),
+    ("a " * 37 + "w r e t c h", "wretch"), ("w" + " w" * 50 + " r e t c h", "wretch"), ("é" * 30 + "/wr3tch", "wretch")])
+def test_long_tokens_and_runs_are_restored_whole(english, text, word):
+    _, found = toxicity.word_sets(pa.array([text]), english)
+    assert int(toxicity.hashed_words(pa.array([word]), toxicity._NOT_WORD)[0][0]) in found.tolist()
+
+
 def test_disguised_words_are_found():
     t = ["plain words only, so. 42 1999 ***", "a gr0mble and d.i.m.w.i.t here", "w r e t c h !", "sooo", "", "x" * 99]
     where, found = toxicity.disguised(pa.array(t))
