@@ -395,6 +395,13 @@ SELECT doc_id, (text IS NULL OR text IN ('null', '')) AS text_blank,
        regexp_matches(text, '[一-龥]') AS text_has_cjk,
        coalesce(regexp_matches(source, '{_JVM_WS_DUCK}'), false) AS source_has_blanks
 FROM t""",
+    "blank_tests_whole": f"""
+SELECT doc_id, (text IS NULL OR text IN ('null', '')) AS text_blank,
+       (text IS NULL OR length(text) = 0) AS text_empty,
+       coalesce(regexp_matches(text, '{_JVM_WS_DUCK}'), false) AS text_has_blanks,
+       coalesce(regexp_matches(text, '[一-龥]'), false) AS text_has_cjk,
+       coalesce(regexp_matches(source, '{_JVM_WS_DUCK}'), false) AS source_has_blanks
+FROM documents""",
     "rejects": f"""WITH {_DIRTY},
 j AS (
   SELECT dr.*, '{{"id":' || event_id || ',"as_int":' || t || ',"as_long":' || t || ',"as_float":' || t

@@ -293,8 +293,16 @@ def normalize_timestamp(spark, sf_dir):
 
 
 def blank_tests(spark, sf_dir):
-    """Blank / empty / whitespace / CJK tests over whole texts, all kinds of blanks among them."""
-    d = views.odd_texts(spark, sf_dir)
+    """Blank / empty / whitespace / CJK tests where all kinds of blanks replace seven texts of eleven."""
+    return _blank_tests(views.odd_texts(spark, sf_dir))
+
+
+def blank_tests_whole(spark, sf_dir):
+    """The same tests over every document's own text."""
+    return _blank_tests(views.table(spark, sf_dir, "documents"))
+
+
+def _blank_tests(d):
     return d.select("doc_id", tx.is_blank_col("text").alias("text_blank"),
                     tx.is_empty_col("text").alias("text_empty"),
                     tx.contains_blanks_col("text").alias("text_has_blanks"),
@@ -338,4 +346,5 @@ QUERIES = {
     "distinct_array": distinct_array,
     "normalize_timestamp": normalize_timestamp,
     "blank_tests": blank_tests,
+    "blank_tests_whole": blank_tests_whole,
 }

@@ -336,7 +336,7 @@ def typed_history_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def odd_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Document texts, with every kind of blank among them."""
+    """Document texts, seven of every eleven replaced by a kind of blank or a CJK text."""
     d = table(spark, sf_dir, "documents")
     k = F.col("doc_id") % 11
     text = F.when(k == 0, F.lit(None)).when(k == 1, "").when(k == 2, "null").when(k == 3, "　") \

@@ -49,3 +49,13 @@ def test_results_do_not_depend_on_session_zone(spark, duck, name):
     res = duck.execute(entry.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
     assert rows_of(cols, rows) == rows_of(ocols, res.fetchall())
+
+
+def test_blank_tests_see_every_own_text(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    out = entry.queries()["blank_tests_whole"](spark, SF).collect()
+    assert sorted(r.doc_id for r in out) == sorted(texts)
+    for r in out:
+        t = texts[r.doc_id]
+        assert r.text_blank == (t in (None, "", "null")) and r.text_empty == (not t)
+        assert r.text_has_cjk == any("一" <= c <= "龥" for c in t or "")
