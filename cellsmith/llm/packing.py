@@ -5,8 +5,8 @@ own; its tail (fewer tokens than a window) is packed with others. Tails are
 sorted by a min hash of their words, so that alike tails come together, and every
 task goes through its stretch in shards of ``SHARD`` tails. A shard has a BM25
 inverted index (document frequencies and mean length of all tails of the corpus).
-The first unused tail of a shard is the seed of a window; the index returns its
-unused neighbours, best first, and the window takes those that fit whole, then
+The first unused tail of a shard is the seed of a window; the index returns all its
+unused neighbours in the shard, scored by all its words, best first, and the window takes those that fit whole, then
 the front of the best one left, so that it is full; the rest of that one stays
 unused. Where no neighbour shares a word, the next unused tail follows. What a
 shard leaves in a window that is not full goes on to the next shard; so a task
@@ -35,7 +35,8 @@ from pyspark.sql import functions as F
 from cellsmith.llm.common import cut, mix64, partitions, stream64
 
 WINDOW, END = 2048, 1
-SHARD, QUERY_TERMS, NEIGHBOURS = 4096, 24, 64
+SHARD = 4096
+QUERY_TERMS = None  # a seed's query has all its words
 BUCKETS = 1 << 18
 K1, B = 1.2, 0.75
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -192,28 +193,30 @@ class Index:
         weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * long))
         order = np.argsort(term, kind="stable")
         self.doc, self.weight = doc[order], weight[order]
-        names, at = np.unique(term[order], return_index=True)
-        self.at = dict(zip(names.tolist(), zip(at.tolist(), np.append(at[1:], len(term)).tolist(), strict=True), strict=True))
-        self.idf, self.n = idf, len(tails)
+        self.names, self.at = np.unique(term[order], return_index=True)
+        self.end = np.append(self.at[1:], len(term))
+        self.n = len(tails)
+        # words of more than half of the tails as rows of weights
+        often = np.flatnonzero(2 * (self.end - self.at) > self.n)
+        self.row = np.full(len(self.names), -1)
+        self.row[often] = np.arange(len(often))
+        self.rows = np.zeros((len(often), self.n))
+        for k, i in enumerate(often.tolist()):
+            part = slice(self.at[i], self.end[i])
+            self.rows[k, self.doc[part]] = self.weight[part]
 
     def neighbours(self, tail: Tail, unused: np.ndarray) -> np.ndarray:
-        """Unused tails that share a word with ``tail``, best first."""
-        score = np.zeros(self.n)
-        left = QUERY_TERMS
-        for t in tail.terms[np.argsort(-self.idf[tail.terms], kind="stable")].tolist():
-            a, b = self.at[t]
-            if b - a > 1:  # words that only the seed has find nothing
-                score[self.doc[a:b]] += self.weight[a:b]
-                left -= 1
-                if not left:
-                    break
-        score *= unused
-        if self.n > NEIGHBOURS:
-            best = np.argpartition(-score, NEIGHBOURS)[:NEIGHBOURS]
-        else:
-            best = np.arange(self.n)
-        best = best[score[best] > 0]
-        return best[np.lexsort((best, -score[best]))]
+        """All unused tails that share a word with ``tail``, best first."""
+        word = np.searchsorted(self.names, tail.terms)
+        row = self.row[word]
+        asked = np.zeros(len(self.rows))
+        asked[row[row >= 0]] = 1
+        a, n = self.at[word[row < 0]], (self.end - self.at)[word[row < 0]]
+        i = np.arange(n.sum()) + np.repeat(a - np.cumsum(n) + n, n)
+        score = np.bincount(self.doc[i], self.weight[i], minlength=self.n) + asked @ self.rows
+        score = np.round(score * unused, 9)  # equal scores stay equal in whatever order they are added up
+        best = np.flatnonzero(score > 0)
+        return best[np.argsort(-score[best], kind="stable")]
 
 
 Piece = tuple[int | None, int, np.ndarray, int]
@@ -242,12 +245,16 @@ def pack_shard(tails: list[Tail], idf: np.ndarray, mean: float) -> tuple[list[li
         room = WINDOW - len(made[0][2])
         found = index.neighbours(tails[seed], unused).tolist() if room else []
         for i in found:
-            if room and len(tails[i].ids) - taken[i] <= room:
+            if not room:
+                break
+            if len(tails[i].ids) - taken[i] <= room:
                 made.append(piece(i, room))
                 room -= len(made[-1][2])
         after = seed
         for i in found:
-            if room and unused[i]:
+            if not room:
+                break
+            if unused[i]:
                 made.append(piece(i, room))
                 room -= len(made[-1][2])
         while room and after < len(tails):

@@ -87,6 +87,31 @@ def test_neighbours_are_bm25(tokenizer):
     assert {i % 3 for i in got[:5]} == {0}
 
 
+def test_all_words_and_all_neighbours_count(tokenizer):
+    enc = packing.encoder(packing.VOCABULARY)
+    starts = enc.word_starts()
+    # short tails, far more than a window's, and seeds of many words
+    texts = [prose(i, 60 if i % 10 == 0 else 9, 150) for i in range(400)]
+    tails = [packing.Tail(i, 0, 9, np.frombuffer(enc.ids(" " + t), "<u2"), starts) for i, t in enumerate(texts)]
+    df = np.zeros(packing.BUCKETS)
+    for t in tails:
+        df[t.terms] += 1
+    idf = np.log(1 + (len(tails) - df + 0.5) / (df + 0.5))
+    mean = np.mean([t.words for t in tails])
+    index = packing.Index(tails, idf, mean)
+    for q in (0, 10, 33):
+        score = np.zeros(len(tails))
+        for i, t in enumerate(tails):
+            tf = dict(zip(t.terms.tolist(), t.tf.tolist()))
+            score[i] = sum(idf[w] * tf[w] * 2.2 / (tf[w] + 1.2 * (0.25 + 0.75 * t.words / mean))
+                           for w in tails[q].terms.tolist() if w in tf)
+        score[q] = 0
+        unused = np.arange(len(tails)) != q
+        want = [i for _, i in sorted((-round(x, 9), i) for i, x in enumerate(score.tolist()) if x > 0)]
+        assert index.neighbours(tails[q], unused).tolist() == want
+        assert q == 33 or len(want) > 64
+
+
 def test_shards_carry_on(monkeypatch, spark, tokenizer):
     monkeypatch.setattr(packing, "SHARD", 7)
     enc = packing.encoder(packing.VOCABULARY)
