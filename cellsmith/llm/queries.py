@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellsmith.llm import language_id, line_dedup, lm_score, mixing, near_dup, packing, pii, quality, simhash, toxicity
+from cellsmith.llm import (
+    language_id, line_dedup, lm_score, merkle, mixing, near_dup, packing, pii, prefix_trie, quality, simhash, toxicity)
 from cellsmith.llm.common import cut
 
 #: Stands for the secret that a production run passes in.
@@ -73,6 +74,16 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("row.doc_id").alias("doc_id"), "n_replaced", "text")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and verdict of every document; those of a third of the ids are tampered with."""
+    return merkle.audit(documents(spark, sf_dir))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return prefix_trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_lm_scoring": op2_lm_scoring,
@@ -84,8 +95,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_toxicity": op9_toxicity,
     "op10_pii": op10_pii,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 
+#: crc32 of a decimal number's digits, as a scalar expression over its text and the table ``tab``.
+_TAB = """tab AS (
+  SELECT list(list_reduce([i, 1, 1, 1, 1, 1, 1, 1, 1],
+                          lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM (SELECT unnest(range(256))::BIGINT AS i))"""
+
+
+def _crc(text: str) -> str:
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), "
+            "lambda x: ascii(x)::BIGINT)), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295)")
+
+
+def _field(c: str) -> str:
+    return f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+
+
+_LEAF = " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars")))
+
 ORACLE: dict[str, str] = {
     "op1_line_dedup": r"""
 WITH lines AS (
@@ -149,5 +180,87 @@ SELECT j.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ba
        failed AS rule_failed, r.rate AS host_rate,
        NOT failed AND NOT (j.source IS NOT NULL AND r.rate > 0.6) AS kept
 FROM j JOIN r ON j.source IS NOT DISTINCT FROM r.source
+""",
+    "op11_merkle_manifest": f"""
+WITH RECURSIVE {_TAB},
+leaf AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p,
+         count(*) OVER (PARTITION BY lang) AS n
+  FROM (SELECT doc_id, lang, sha256({_LEAF} || {_field('text')}) AS leaf,
+               CASE WHEN {_crc("coalesce(doc_id::VARCHAR, '')")} % 3 = 0
+                    THEN sha256({_LEAF} || {_field("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")})
+               END AS forged FROM documents, tab)),
+node AS (
+  SELECT 0 AS k, lang, p, n, leaf AS h FROM leaf
+  UNION ALL
+  SELECT k + 1, lang, p // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY p))
+  FROM node WHERE n > 1 GROUP BY k, lang, p // 8, n),
+sub AS (SELECT lang, k AS height, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS p, count(*) OVER () AS n
+        FROM node WHERE n = 1),
+top AS (
+  SELECT 0 AS k, p, n, h FROM sub
+  UNION ALL
+  SELECT k + 1, p // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY p)) FROM top WHERE n > 1 GROUP BY k, p // 8, n),
+step AS (
+  SELECT k, lang, p, coalesce(string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS b,
+         coalesce(string_agg(h, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS a
+  FROM node WHERE n > 1 WINDOW w AS (PARTITION BY lang, k, p // 8 ORDER BY p)),
+over_step AS (
+  SELECT k, p, coalesce(string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS b,
+         coalesce(string_agg(h, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS a
+  FROM top WHERE n > 1 WINDOW w AS (PARTITION BY k, p // 8 ORDER BY p)),
+way AS (
+  SELECT l.lang, l.p, s.k, s.b, s.a
+  FROM leaf l JOIN step s ON s.lang IS NOT DISTINCT FROM l.lang AND s.p = l.p // (8 ** s.k)::BIGINT
+  UNION ALL
+  SELECT l.lang, l.p, sub.height + s.k, s.b, s.a
+  FROM leaf l JOIN sub ON sub.lang IS NOT DISTINCT FROM l.lang JOIN over_step s ON s.p = sub.p // (8 ** s.k)::BIGINT),
+fold AS (
+  SELECT lang, p, 0 AS k, coalesce(forged, leaf) AS h FROM leaf
+  UNION ALL
+  SELECT f.lang, f.p, f.k + 1, sha256(w.b || f.h || w.a)
+  FROM fold f JOIN way w ON w.lang IS NOT DISTINCT FROM f.lang AND w.p = f.p AND w.k = f.k),
+proof AS (SELECT lang, p, sha256(string_agg(b || a, '' ORDER BY k)) AS proof FROM way GROUP BY lang, p),
+root AS (SELECT h AS root FROM top WHERE n = 1)
+SELECT l.doc_id, l.leaf, sub.h AS subroot, root, coalesce(proof, sha256('')) AS proof_sha256, f.h AS folded_root,
+       f.h = root AS verified
+FROM leaf l JOIN sub ON sub.lang IS NOT DISTINCT FROM l.lang
+JOIN (SELECT lang, p, arg_max(h, k) AS h FROM fold GROUP BY lang, p) f
+  ON f.lang IS NOT DISTINCT FROM l.lang AND f.p = l.p
+LEFT JOIN proof ON proof.lang IS NOT DISTINCT FROM l.lang AND proof.p = l.p, root
+""",
+    "op12_prefix_trie": f"""
+WITH {_TAB},
+turns AS (
+  SELECT conv_id, md5(strlen(role) || ':' || role || text) AS m, length(text) AS chars,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(strlen(role) || ':' || role || text)) AS p
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        WHERE conv_id IS NOT NULL)),
+conv AS (SELECT conv_id, {_crc('conv_id::VARCHAR')} % 6 AS h FROM (SELECT DISTINCT conv_id FROM turns), tab),
+whole AS (
+  SELECT conv_id, m, chars, row_number() OVER (PARTITION BY conv_id ORDER BY part, p) AS d FROM (
+    SELECT c.conv_id, 0 AS part, t.p, t.m, t.chars
+    FROM conv c JOIN turns t ON t.conv_id = c.conv_id - c.conv_id % 100 AND t.p <= c.h
+    UNION ALL
+    SELECT c.conv_id, 1, t.p, t.m, t.chars FROM conv c JOIN turns t ON t.conv_id = c.conv_id AND t.p > c.h)),
+keyed AS (
+  SELECT conv_id, 0 AS d, '' AS k, NULL AS up, 0 AS chars FROM conv
+  UNION ALL
+  SELECT conv_id, d, k, coalesce(lag(k) OVER (PARTITION BY conv_id ORDER BY d), ''), chars FROM (
+    SELECT conv_id, d, chars, md5(string_agg(m, '') OVER (PARTITION BY conv_id ORDER BY d)) AS k FROM whole)),
+node AS (SELECT k, any_value(up) AS up, any_value(d) AS depth, any_value(chars) AS chars, min(conv_id) AS conv_id,
+                count(*) AS n_convs FROM keyed GROUP BY k),
+kids AS (SELECT up AS k, count(*) AS n FROM node WHERE up IS NOT NULL GROUP BY up),
+below AS (SELECT DISTINCT a.k AS top, b.k AS k FROM keyed a JOIN keyed b ON a.conv_id = b.conv_id AND b.d >= a.d),
+sums AS (
+  SELECT below.top AS k, count(*) FILTER (kids.n IS NULL) AS n_leaves, sum((node.n_convs - 1) * node.chars) AS saved
+  FROM below JOIN node ON node.k = below.k LEFT JOIN kids ON kids.k = below.k GROUP BY below.top),
+ends AS (SELECT k, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+         FROM (SELECT conv_id, arg_max(k, d) AS k FROM keyed GROUP BY conv_id) GROUP BY k)
+SELECT node.conv_id, node.depth::BIGINT AS depth, up.conv_id AS parent_conv_id, node.n_convs,
+       coalesce(kids.n, 0) AS n_children, sums.n_leaves, sums.saved::BIGINT AS saved_tokens,
+       sha256(coalesce(ids, '')) AS ends_sha256
+FROM node JOIN sums ON sums.k = node.k LEFT JOIN node up ON up.k = node.up LEFT JOIN kids ON kids.k = node.k
+LEFT JOIN ends ON ends.k = node.k
 """,
 }
