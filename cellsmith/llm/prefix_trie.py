@@ -109,13 +109,13 @@ class Parentheses:
 _OWN = ["members", "low", "kids", "leaves", "saved", "stops"]
 _SPINE = "path binary, chars array<int>, " + ", ".join(f"{c} array<long>" for c in _OWN)
 _NODE = ("conv_id long, depth long, key binary, parent_key binary, parent_conv_id long, n_convs long, "
-         "n_children long, n_leaves long, saved_tokens long, stops long, spine boolean")
+         "n_children long, n_leaves long, saved_tokens long, ended long, spine boolean")
 _ROW = _NODE + ", " + _SPINE
 _LONGS = pa.list_(pa.int64())
 _SCHEMA = pa.schema([
     ("conv_id", pa.int64()), ("depth", pa.int64()), ("key", pa.binary()), ("parent_key", pa.binary()),
     ("parent_conv_id", pa.int64()), ("n_convs", pa.int64()), ("n_children", pa.int64()), ("n_leaves", pa.int64()),
-    ("saved_tokens", pa.int64()), ("stops", pa.int64()), ("spine", pa.bool_()), ("path", pa.binary()),
+    ("saved_tokens", pa.int64()), ("ended", pa.int64()), ("spine", pa.bool_()), ("path", pa.binary()),
     ("chars", pa.list_(pa.int32())), *[(c, _LONGS) for c in _OWN]])
 
 
@@ -232,7 +232,7 @@ class Shard:
             "parent_conv_id": pa.array(out["low"][np.maximum(parent, 0)], mask=(parent < 0) | outer),
             "n_convs": pa.array(out["members"][done]), "n_children": pa.array(out["kids"][done]),
             "n_leaves": pa.array(out["leaves"][done]), "saved_tokens": pa.array(out["saved"][done]),
-            "stops": pa.array(self.own["stops"][done]), "spine": pa.array(np.full(len(done), of_spines))}
+            "ended": pa.array(self.own["stops"][done]), "spine": pa.array(np.full(len(done), of_spines))}
         yield from _filled(columns, len(done))
         if final:
             return
@@ -373,8 +373,8 @@ def trie(seqs: DataFrame, *, shard: int = SHARD) -> DataFrame:
     ends = rows.select(F.unhex(F.md5("path")).alias("key"), "conv_id") \
         .repartition(partitions(spark), "key").sortWithinPartitions("key", "conv_id") \
         .mapInArrow(_ends, "key binary, ends_sha256 string")
-    out = nodes.where("stops > 0").join(ends, "key").unionByName(
-        nodes.where("stops = 0").withColumn("ends_sha256", F.lit(_EMPTY)))
+    out = nodes.where("ended > 0").join(ends, "key").unionByName(
+        nodes.where("ended = 0").withColumn("ends_sha256", F.lit(_EMPTY)))
     return out.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
                       "ends_sha256")
 
