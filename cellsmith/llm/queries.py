@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellsmith.llm import (
-    language_id, line_dedup, lm_score, merkle, mixing, near_dup, packing, pii, prefix_trie, quality, simhash, toxicity)
+    language_id, line_dedup, lm_score, merkle, mixing, near_dup, packing, pii, prefix_trie, quality, sig_tree, simhash,
+    toxicity)
 from cellsmith.llm.common import cut
 
 #: Stands for the secret that a production run passes in.
@@ -84,6 +85,11 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+def op13_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document; links at a similarity of 0.8 of 5-word shingles."""
+    return sig_tree.jaccard_components(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_lm_scoring": op2_lm_scoring,
@@ -97,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pii": op10_pii,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_ngram_jaccard": op13_ngram_jaccard,
 }
 
 #: crc32 of a decimal number's digits, as a scalar expression over its text and the table ``tab``.
@@ -117,7 +124,33 @@ def _field(c: str) -> str:
 
 _LEAF = " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars")))
 
+def _near(percent: int, more: str = "") -> str:
+    """Components of documents by 5-word shingles: all pairs that share one are counted."""
+    return rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, md5(array_to_string(list_slice(w, i, i + 4), ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM sets a JOIN sets b ON a.h = b.h AND a.doc_id < b.doc_id
+         GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+          WHERE 100 * pairs.n >= {percent} * (x.n + y.n - pairs.n)),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN (SELECT a, b FROM links UNION ALL SELECT b, a FROM links) l ON l.a = r.b)
+SELECT d.doc_id, coalesce(sizes.n, 0) AS n_shingles, c.component_id{more}
+FROM documents d LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = d.doc_id
+"""
+
+
 ORACLE: dict[str, str] = {
+    "op3_near_dedup": _near(75, ", d.doc_id = c.component_id AS kept"),
+    "op13_ngram_jaccard": _near(80),
     "op1_line_dedup": r"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
