@@ -4,10 +4,10 @@ A row is a leaf; the leaves of a language, ascending by id, form a tree in which
 every 8 consecutive nodes become their hash until one is left (the subroot), and
 the subroots, ordered by language, form a tree of the same kind above them.
 
-Both directions go by superblocks, the ``8 ** HEIGHT`` consecutive nodes below one
-node ``HEIGHT`` levels up, which are the largest groups there are. Upwards each
+Both directions go by superblocks, the ``8 ** height`` consecutive nodes below one
+node ``height`` levels up, which are the largest groups there are. Upwards each
 superblock becomes its top node, until every tree is a single node; a table of
-superblocks has a 4096th of the rows. Downwards the nodes of a superblock are
+superblocks has a 4096th of the rows (``HEIGHT``). Downwards the nodes of a superblock are
 cogrouped with the one row of their top that carries the outer nodes, the siblings on
 the way from there to the root; one ``applyInPandas`` finishes the local reduction,
 joins the proofs and, at the leaves, folds them. So no tree, language or proof
@@ -35,7 +35,6 @@ from cellsmith.llm.common import crc_mod, cut, partitions
 FAN = 8
 #: Levels of a superblock: 8 ** 4 = 4096 nodes.
 HEIGHT = 4
-BLOCK = FAN ** HEIGHT
 #: Columns of a leaf, in the order in which they are hashed; the last one is the text.
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
@@ -86,10 +85,10 @@ def positions(rows: DataFrame, order: list[str], tree: str | None = "tree") -> D
         .select(*rows.columns, (F.col("_at") + F.col("shift")).alias("pos"), "n")
 
 
-def _levels(digests: list[str], n: int) -> list[list[str]]:
-    """The levels of a superblock, the given nodes first; ``n``: nodes of the whole tree at that level."""
-    out = [digests]
-    while n > 1 and len(out) <= HEIGHT:
+def _levels(nodes: pd.DataFrame, height: int) -> list[list[str]]:
+    """The levels of a superblock's sorted nodes, these first; n: nodes of the whole tree at that level."""
+    out, n = [nodes["digest"].tolist()], int(nodes["n"].iloc[0])
+    while n > 1 and len(out) <= height:
         last = out[-1]
         out.append([_hash("".join(last[i:i + FAN])) for i in range(0, len(last), FAN)])
         n = -(-n // FAN)
@@ -107,74 +106,88 @@ def _siblings(levels: list[list[str]], i: int) -> tuple[list[str], list[str]]:
     return before, after
 
 
-def _tops(nodes: pd.DataFrame) -> pd.DataFrame:
-    nodes = nodes.sort_values("pos")
-    n = int(nodes["n"].iloc[0])
-    top = _levels(nodes["digest"].tolist(), n)[-1][0]
-    return pd.DataFrame({"tree": nodes["tree"].iloc[:1], "pos": nodes["pos"].iloc[:1] // BLOCK,
-                         "n": [-(-n // BLOCK)], "digest": [top]})
+def _tops(height: int):
+    def run(nodes: pd.DataFrame) -> pd.DataFrame:
+        nodes = nodes.sort_values("pos")
+        first = nodes.iloc[0]
+        return pd.DataFrame({"tree": [first["tree"]], "pos": [first["pos"] // FAN ** height],
+                             "n": [-(-first["n"] // FAN ** height)], "digest": _levels(nodes, height)[-1]})
+
+    return run
 
 
 _NODE = "tree string, pos long, n long, digest string"
 _OUTER = "tree string, pos long, subroot string, root string, before array<string>, after array<string>"
 
 
-def _in_blocks(nodes: DataFrame):
-    return nodes.withColumn("block", F.floor(F.col("pos") / BLOCK)).groupBy("tree", "block")
+def _in_blocks(nodes: DataFrame, height: int):
+    return nodes.withColumn("block", F.floor(F.col("pos") / FAN ** height)).groupBy("tree", "block")
 
 
-def reduced(nodes: DataFrame) -> list[DataFrame]:
+def reduced(nodes: DataFrame, height: int = HEIGHT) -> list[DataFrame]:
     """The tables of superblock tops (tree, pos, n, digest) from ``nodes`` up; in the last
     one every tree is a single node."""
     out = [nodes]
     while True:
-        out.append(cut(_in_blocks(out[-1].select("tree", "pos", "n", "digest")).applyInPandas(_tops, _NODE), "tops"))
+        blocks = _in_blocks(out[-1].select("tree", "pos", "n", "digest"), height)
+        out.append(cut(blocks.applyInPandas(_tops(height), _NODE), "tops"))
         if (out[-1].agg(F.max("n")).first()[0] or 1) == 1:
             return out
 
 
-def _outward(nodes: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
+def _outward(height: int):
     """The outer nodes of every node of a superblock: its siblings inside, then those of the top."""
-    nodes = nodes.sort_values("pos")
-    levels = _levels(nodes["digest"].tolist(), int(nodes["n"].iloc[0]))
-    top = outer.iloc[0]
-    found = [_siblings(levels, i) for i in range(len(nodes))]
-    return pd.DataFrame({
-        "tree": nodes["tree"].to_numpy(), "pos": nodes["pos"].to_numpy(), "subroot": top["subroot"],
-        "root": top["root"], "before": [[*b, *top["before"]] for b, _ in found],
-        "after": [[*a, *top["after"]] for _, a in found]})
 
+    def run(nodes: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
+        nodes = nodes.sort_values("pos")
+        levels = _levels(nodes, height)
+        top = outer.iloc[0]
+        found = [_siblings(levels, i) for i in range(len(nodes))]
+        return pd.DataFrame({
+            "tree": nodes["tree"].to_numpy(), "pos": nodes["pos"].to_numpy(), "subroot": top["subroot"],
+            "root": top["root"], "before": [[*b, *top["before"]] for b, _ in found],
+            "after": [[*a, *top["after"]] for _, a in found]})
+
+    return run
 
-def _proved(nodes: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
+
+def _proved(height: int):
     """The proof of every leaf of a superblock, and the root that it folds to."""
-    nodes = nodes.sort_values("pos")
-    levels = _levels(nodes["digest"].tolist(), int(nodes["n"].iloc[0]))
-    top = outer.iloc[0]
-    proofs, folds = [], []
-    for i, (leaf, forged) in enumerate(zip(nodes["digest"], nodes["forged"], strict=True)):
-        before, after = _siblings(levels, i)
-        before.extend(top["before"])
-        after.extend(top["after"])
-        at = forged if isinstance(forged, str) else leaf
-        for b, a in zip(before, after, strict=True):
-            at = _hash(b + at + a)
-        proofs.append(_hash("".join(x for both in zip(before, after, strict=True) for x in both)))
-        folds.append(at)
-    return pd.DataFrame({"id": nodes["id"].to_numpy(), "leaf": nodes["digest"].to_numpy(), "subroot": top["subroot"],
-                         "root": top["root"], "proof_sha256": proofs, "folded_root": folds})
+
+    def run(nodes: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
+        nodes = nodes.sort_values("pos")
+        levels = _levels(nodes, height)
+        top = outer.iloc[0]
+        proofs, folds = [], []
+        for i, (leaf, forged) in enumerate(zip(nodes["digest"], nodes["forged"], strict=True)):
+            before, after = _siblings(levels, i)
+            before.extend(top["before"])
+            after.extend(top["after"])
+            at = forged if isinstance(forged, str) else leaf
+            for b, a in zip(before, after, strict=True):
+                at = _hash(b + at + a)
+            proofs.append(_hash("".join(x for both in zip(before, after, strict=True) for x in both)))
+            folds.append(at)
+        return pd.DataFrame({"id": nodes["id"].to_numpy(), "leaf": nodes["digest"].to_numpy(),
+                             "subroot": top["subroot"], "root": top["root"], "proof_sha256": proofs,
+                             "folded_root": folds})
+
+    return run
 
 
 _PROOF = "id string, leaf string, subroot string, root string, proof_sha256 string, folded_root string"
 
 
-def _descend(levels: list[DataFrame], outer: DataFrame) -> DataFrame:
+def _descend(levels: list[DataFrame], outer: DataFrame, height: int) -> DataFrame:
     """Outer nodes of the first of ``levels`` but one, from those of the last."""
     for nodes in reversed(levels[1:-1]):
-        outer = cut(_in_blocks(nodes).cogroup(outer.groupBy("tree", "pos")).applyInPandas(_outward, _OUTER), "outer")
+        blocks = _in_blocks(nodes, height).cogroup(outer.groupBy("tree", "pos"))
+        outer = cut(blocks.applyInPandas(_outward(height), _OUTER), "outer")
     return outer
 
 
-def manifest(docs: DataFrame, *, fields: tuple[str, ...] = FIELDS, tamper: Column | None = None) -> DataFrame:
+def manifest(docs: DataFrame, *, fields: tuple[str, ...] = FIELDS, tamper: Column | None = None,
+             height: int = HEIGHT) -> DataFrame:
     """Per row: its id, leaf, the subroot of its language, root, proof_sha256 (hash of the siblings
     from the leaf to the root, each run left to right), folded_root (from the tampered leaf where
     ``tamper`` holds) and verified, whether that is the root."""
@@ -182,28 +195,28 @@ def manifest(docs: DataFrame, *, fields: tuple[str, ...] = FIELDS, tamper: Colum
     placed = cut(positions(rows, ["tree", "id", "leaf", "tie"])
                  .select(F.col("id").cast("string").alias("id"), "tree", "pos", "n", F.col("leaf").alias("digest"),
                          "forged"), "placed")
-    up = reduced(placed)
+    up = reduced(placed, height)
 
     # the tree of the subroots; its nodes are found again by their language
     subs = cut(positions(up[-1].select(F.col("tree").alias("lang"), "digest"), ["lang"], None)
                .select(F.lit("").alias("tree"), "pos", "n", "digest", "lang"), "subroots")
-    over = reduced(subs)
+    over = reduced(subs, height)
     outer = over[-1].select("tree", "pos", F.lit("").alias("subroot"), F.col("digest").alias("root"),
                             F.array().cast("array<string>").alias("before"),
                             F.array().cast("array<string>").alias("after"))
-    outer = _descend(over, outer)
-    outer = cut(_in_blocks(subs).cogroup(outer.groupBy("tree", "pos")).applyInPandas(_outward, _OUTER), "over")
+    blocks = _in_blocks(subs, height).cogroup(_descend(over, outer, height).groupBy("tree", "pos"))
+    outer = cut(blocks.applyInPandas(_outward(height), _OUTER), "over")
     outer = subs.drop("tree").join(outer.drop("tree", "subroot"), "pos") \
         .select(F.col("lang").alias("tree"), F.lit(0).cast("long").alias("pos"), F.col("digest").alias("subroot"),
                 "root", "before", "after")
 
-    outer = _descend(up, cut(outer, "outer"))
-    out = _in_blocks(placed).cogroup(outer.groupBy("tree", "pos")).applyInPandas(_proved, _PROOF)
+    outer = _descend(up, cut(outer, "outer"), height)
+    out = _in_blocks(placed, height).cogroup(outer.groupBy("tree", "pos")).applyInPandas(_proved(height), _PROOF)
     return out.select(F.col("id").cast("long").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256",
                       "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
-def audit(docs: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
+def audit(docs: DataFrame, *, id_col: str = "doc_id", height: int = HEIGHT) -> DataFrame:
     """The manifest of ``docs`` held against rows of which those with an id whose crc32 is a multiple
     of three were lower-cased."""
-    return manifest(docs, fields=(id_col, *FIELDS[1:]), tamper=crc_mod(F.col(id_col), 3) == 0)
+    return manifest(docs, fields=(id_col, *FIELDS[1:]), tamper=crc_mod(F.col(id_col), 3) == 0, height=height)

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from cellsmith.llm.common import cut, partitions
 
-#: Nodes of a shard, and the least number of paths of one.
+#: Nodes of a shard, and the least number of paths of one (4 or more, as a shard leaves two spines).
 SHARD = 1 << 19
 LEAST = 64
 #: Bytes of a turn in a path.
@@ -263,7 +263,7 @@ def _lists(array: pa.Array) -> list[np.ndarray]:
     return [flat[a:b] for a, b in zip(at, at[1:], strict=False)]
 
 
-def _solve(final: bool, of_spines: bool, shard: int):
+def _solve(final: bool, of_spines: bool, shard: int, least: int):
     """The shards of a partition's sorted paths, one after the other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,7 +283,7 @@ def _solve(final: bool, of_spines: bool, shard: int):
                 for c in _OWN:
                     own[c].append(values[c][i])
                 nodes += len(p) // WIDTH + 1
-                if not final and nodes >= shard and len(paths) >= LEAST:
+                if not final and nodes >= shard and len(paths) >= least:
                     yield from Shard(paths, chars, own, of_spines).rows(final, of_spines)
                     paths, chars, own, nodes = [], [], {c: [] for c in _OWN}, 0
         if paths:
@@ -339,7 +339,7 @@ def rebuilt(seqs: DataFrame) -> DataFrame:
                             F.slice("t", F.col("h") + 1, F.greatest(F.size("t"), F.lit(1)))).alias("t"))
 
 
-def trie(seqs: DataFrame, *, shard: int = SHARD) -> DataFrame:
+def trie(seqs: DataFrame, *, shard: int = SHARD, least: int = LEAST) -> DataFrame:
     """The nodes of the prefix trie of ``seqs`` (conv_id, t): conv_id (smallest member), depth,
     parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256."""
     spark = seqs.sparkSession
@@ -348,15 +348,15 @@ def trie(seqs: DataFrame, *, shard: int = SHARD) -> DataFrame:
 
     paths = rows.groupBy("path", "chars").agg(F.count(F.lit(1)).alias("n"), F.min("conv_id").alias("low"))
     ordered = paths.repartitionByRange(partitions(spark), "path").sortWithinPartitions("path")
-    solved = [cut(ordered.mapInArrow(_solve(False, False, shard), _ROW), "shards")]
+    solved = [cut(ordered.mapInArrow(_solve(False, False, shard, least), _ROW), "shards")]
     while True:
         spines = solved[-1].where("path is not null").select("path", "chars", *_OWN)
         n, nodes = spines.agg(F.count(F.lit(1)), F.sum(F.size("chars") + 1)).first()
-        final = n <= 2 * LEAST or nodes <= shard
-        parts = 1 if final else min(partitions(spark), -(-n // (2 * LEAST)))
+        final = n <= 2 * least or nodes <= shard
+        parts = 1 if final else min(partitions(spark), -(-n // (2 * least)))
         ordered = spines.repartitionByRange(parts, "path").sortWithinPartitions("path") if parts > 1 \
             else spines.repartition(1).sortWithinPartitions("path")
-        solved.append(cut(ordered.mapInArrow(_solve(final, True, shard), _ROW), "spines"))
+        solved.append(cut(ordered.mapInArrow(_solve(final, True, shard, least), _ROW), "spines"))
         if final:
             break
 

@@ -61,10 +61,10 @@ def plain(rows):
     return sorted(out, key=str)
 
 
-def check(spark, rows, shuffled=True):
+def check(spark, rows, **options):
     df = spark.createDataFrame([(r[0], r[4], r[2], r[1], r[3], "x", 7) for r in rows],
                                "doc_id long, text string, lang string, source string, n_chars long, tree string, pos int")
-    got = merkle.audit(df.repartition(5) if shuffled else df)
+    got = merkle.audit(df.repartition(5), **options)
     assert got.columns == ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
     assert sorted(map(tuple, got.collect()), key=str) == plain(rows)
 
@@ -82,24 +82,11 @@ def test_many_languages_nulls_and_repeated_rows(spark):
     check(spark, rows)
 
 
-def test_superblocks_below_superblocks(spark, monkeypatch):
-    """Three levels of superblocks of two levels each, and a tree of languages with the same."""
-    monkeypatch.setattr(merkle, "HEIGHT", 1)
-    monkeypatch.setattr(merkle, "BLOCK", 8)
-    monkeypatch.setattr(merkle, "_tops", _with_height(merkle._tops))
-    monkeypatch.setattr(merkle, "_outward", _with_height(merkle._outward))
-    monkeypatch.setattr(merkle, "_proved", _with_height(merkle._proved))
-    check(spark, [(i, "s", "en", i, f"Text {i}") for i in range(600)] + [(i, "s", f"l{i}", i, "T") for i in range(600, 620)])
-
-
-def _with_height(f):
-    def run(*frames):
-        merkle.HEIGHT, merkle.BLOCK = 1, 8
-        try:
-            return f(*frames)
-        finally:
-            merkle.HEIGHT, merkle.BLOCK = 4, 4096
-    return run
+def test_superblocks_below_superblocks(spark):
+    """Superblocks of one and two levels: several rounds up and down, for languages as well."""
+    rows = [(i, "s", "en", i, f"Text {i}") for i in range(600)] + [(i, "s", f"l{i}", i, "T") for i in range(600, 620)]
+    check(spark, rows, height=1)
+    check(spark, rows, height=2)
 
 
 def test_odd_rows_and_empty_table(spark):

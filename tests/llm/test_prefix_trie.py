@@ -58,9 +58,9 @@ def plain(seqs):
     return sorted(out, key=str)
 
 
-def check(spark, rows, shard=prefix_trie.SHARD):
+def check(spark, rows, **options):
     df = spark.createDataFrame(rows, CONV).withColumn("path", F.lit("x")).withColumn("depth", F.lit(1))
-    got = prefix_trie.trie(prefix_trie.rebuilt(prefix_trie.sequences(df)), shard=shard)
+    got = prefix_trie.trie(prefix_trie.rebuilt(prefix_trie.sequences(df)), **options)
     assert got.columns == COLUMNS
     assert sorted(map(tuple, got.collect()), key=str) == plain(rebuilt(sequences(rows)))
 
@@ -75,12 +75,11 @@ def test_random_conversations(spark):
     check(spark, chats(1, 700))
 
 
-def test_small_shards_share_spines(spark, monkeypatch):
+def test_small_shards_share_spines(spark):
     """Many shards: prefixes that most conversations share are nodes of many spines."""
-    monkeypatch.setattr(prefix_trie, "LEAST", 2)
     rows = [(c, t, "user", "hello" if t < 3 or c % 3 else f"{c % 50}") for c in range(300) for t in range(6)]
-    check(spark, rows, shard=8)
-    check(spark, chats(2, 400, 2), shard=5)
+    check(spark, rows, shard=8, least=4)
+    check(spark, chats(2, 400, 2), shard=5, least=6)
 
 
 def test_long_hot_and_turnless_conversations(spark):
