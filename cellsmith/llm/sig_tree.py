@@ -20,10 +20,11 @@ are counted; the upper half stands with the frequent ones.
 1. Each class goes to the class that leads most of its shingles' groups (the one whose
    other shingles are least rare); the followers of a leader, dealt over chunks, are
    blocks, in which a class occurs once. Most copies are linked here, a comparison each.
-2. Every group of an infrequent shingle that is not in one component yet is a block;
-   groups of the same classes are one block. The groups of frequent shingles are
-   united to families; a family's classes are dealt over chunks, and every two chunks
-   that are not of one component are a block of two trees.
+2. In every group of an infrequent shingle that is not in one component yet (groups of
+   the same classes count once), hashed bitmaps of two bits a shingle bound the overlap
+   of each two classes apart; pairs that may be of the threshold are blocks. The groups
+   of frequent shingles are united to families; a family's classes are dealt over
+   chunks, and every two chunks that are not of one component are a block of two trees.
 
 Together these hold every pair that the threshold allows and that is not connected
 already. So a large group of copies costs a comparison a member; what can grow
@@ -171,8 +172,16 @@ def frequent_bits(texts: DataFrame) -> np.ndarray:
 
 # --- prefixes -------------------------------------------------------------------------------
 
+def _hashed_bits(x: np.ndarray) -> bytes:
+    """Bitmap of a set of shingles: a power of two of bits, two a shingle or more."""
+    width = max(64, 1 << (2 * len(x) - 1).bit_length())
+    bits = np.zeros(width, bool)
+    bits[(x % _U(width)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
 def _prefixes(shared, percent: int):
-    """Per set the first shingles of its order, and how many of them are not frequent."""
+    """Per set the first shingles of its order, how many of them are not frequent, and its bitmap."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
@@ -181,31 +190,32 @@ def _prefixes(shared, percent: int):
             place = ((sets >> _U(16)) % _U(BITS)).astype(np.int64)
             late = (sets >= _HALF) | (bits[place >> 3] >> (place & 7) & 1).astype(bool)
             size = np.diff(at)
-            kept, cold = [], np.zeros(len(size), np.int32)
+            kept, maps, cold = [], [], np.zeros(len(size), np.int32)
             for i in range(len(size)):
                 x, y = sets[at[i]:at[i + 1]], late[at[i]:at[i + 1]]
                 k = len(x) - -(-percent * len(x) // 100) + 1 if len(x) else 0
                 early = x[~y][:k]
                 cold[i] = len(early)
+                maps.append(_hashed_bits(x) if len(x) else None)
                 kept.append(np.concatenate([early, x[y][:k - len(early)]]))
             flat = np.concatenate(kept).view(np.int64) if kept else np.zeros(0, np.int64)
             ends = np.concatenate([[0], np.cumsum([len(x) for x in kept])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [names, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(cold)],
-                ["fp", "tokens", "cold"]).filter(pa.array(size > 0))
+                [names, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(cold),
+                 pa.array(maps, pa.binary())], ["fp", "tokens", "cold", "bits"]).filter(pa.array(size > 0))
 
     return run
 
 
-def postings(texts: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def postings(texts: DataFrame, classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """(token, late, cid, n, lead): the prefixes' shingles that more than one class may have; lead is
-    the class of the group whose other shingles are least rare."""
+    the class of the group whose other shingles are least rare. And (cid, bits), the bitmaps."""
     spark = texts.sparkSession
     shared = spark.sparkContext.broadcast(frequent_bits(texts))
-    heads = texts.mapInArrow(_prefixes(shared, percent), "fp binary, tokens array<long>, cold int") \
-        .groupBy("fp").agg(F.first("tokens").alias("tokens"), F.first("cold").alias("cold"))
-    rows = heads.join(classes.select("fp", "cid", "n"), "fp") \
-        .select("cid", "n", "cold", F.posexplode("tokens").alias("pos", "token")) \
+    heads = texts.mapInArrow(_prefixes(shared, percent), "fp binary, tokens array<long>, cold int, bits binary") \
+        .groupBy("fp").agg(F.first(F.struct("tokens", "cold", "bits")).alias("x"))
+    heads = cut(heads.join(classes.select("fp", "cid", "n"), "fp").select("cid", "n", "x.*"), "prefixes")
+    rows = heads.select("cid", "n", "cold", F.posexplode("tokens").alias("pos", "token")) \
         .withColumn("late", F.col("pos") >= F.col("cold"))
     # the groups of frequent shingles are dealt over salts, and led by the least of the salts' leaders
     salt = F.when(F.col("late"), F.pmod(F.xxhash64("cid"), F.lit(partitions(spark)))).otherwise(0)
@@ -219,7 +229,7 @@ def postings(texts: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     leads = late.groupBy("token").agg(F.min("lead").alias("first"), F.min("cid").alias("lo"), F.max("cid").alias("hi")) \
         .where("lo < hi").select("token", F.col("first.cid").alias("first"))
     late = late.join(leads, "token").select("token", "late", "cid", "n", F.col("first").alias("lead"))
-    return cut(early.unionByName(late), "shared")
+    return cut(early.unionByName(late), "shared"), heads.select("cid", "bits")
 
 
 # --- signature trees ------------------------------------------------------------------------
@@ -389,7 +399,7 @@ def _joined(percent: int):
 def joined(blocks: DataFrame, classes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Links of the blocks (block, part, side, cid, comp): one text of each class is read where
     it stands and sent to the blocks."""
-    m = blocks.join(classes.select("cid", "rep.*"), "cid")
+    m = cut(blocks.join(classes.select("cid", "rep.*"), "cid"), "members")
     found = texts.join(m, texts["doc_id"].eqNullSafe(m["doc_id"]) & (texts["th"] == m["th"])) \
         .select("block", "part", "side", "cid", "comp", "text")
     found = found.repartition(partitions(texts.sparkSession), "block", "part").sortWithinPartitions("block", "part")
@@ -404,25 +414,85 @@ def _in_chunks(members: DataFrame, by: list[str]) -> DataFrame:
     return members.join(members.groupBy(*by).agg(k), by).withColumn("chunk", F.pmod(F.xxhash64("cid"), "chunks"))
 
 
+def hub_blocks(pairs: DataFrame) -> DataFrame:
+    """Each ``block``'s classes (block, cid, n), dealt over chunks, with the class ``block`` in every chunk."""
+    dealt = _in_chunks(pairs, ["block"])
+    hubs = dealt.select("block", F.col("block").alias("cid"), F.col("chunk").alias("part")).distinct()
+    rows = dealt.select("block", "cid", F.col("chunk").alias("part")).unionByName(hubs)
+    return rows.select("block", "part", F.lit(0).alias("side"), "cid")
+
+
 def leader_blocks(posts: DataFrame) -> DataFrame:
     """Each class with the class that leads most of its groups."""
     votes = posts.where("cid != lead").groupBy("cid", "n", "lead").agg(F.count(F.lit(1)).alias("k"))
     home = votes.groupBy("cid", "n").agg(F.max_by("lead", F.struct("k", -F.col("lead"))).alias("block"))
-    dealt = _in_chunks(cut(home, "homes"), ["block"])
-    leaders = dealt.select("block", F.col("block").alias("cid"), F.col("chunk").alias("part")).distinct()
-    rows = dealt.select("block", "cid", F.col("chunk").alias("part")).unionByName(leaders)
-    return rows.select("block", "part", F.lit(0).alias("side"), "cid", F.col("cid").alias("comp"))
+    return hub_blocks(cut(home, "homes")).withColumn("comp", F.col("cid"))
+
+
+def _folded(raw: bytes, width: int) -> np.ndarray:
+    x = np.frombuffer(raw, np.uint64)
+    return np.bitwise_or.reduce(x.reshape(-1, width), axis=0) if len(x) > width else x
+
+
+def _may_link(percent: int):
+    """Pairs (block, cid, n) of classes of different components in the sorted groups whose bitmaps
+    allow the threshold."""
+
+    def of(rows: list[tuple]) -> list[tuple]:
+        rows.sort(key=lambda r: (r[1], r[0]))
+        out = []
+        for i, (cid, n, comp, raw) in enumerate(rows):
+            for j in range(i - 1, -1, -1):
+                other, m, there, bits = rows[j]
+                if 100 * m < percent * n:
+                    break  # smaller and smaller ones
+                if comp == there:
+                    continue
+                # shingles of the one that cannot be in the other
+                width = min(len(raw), len(bits)) // 8
+                x, y = _folded(raw, width), _folded(bits, width)
+                most = min(n - int(np.bitwise_count(x & ~y).sum()), m - int(np.bitwise_count(y & ~x).sum()))
+                if (100 + percent) * most >= percent * (n + m):
+                    out.append((min(cid, other), *((cid, n) if cid > other else (other, m))))
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        token, rows, found = None, [], set()
+
+        def out() -> pa.RecordBatch:
+            a, b, n = zip(*found, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (a, b, n)], ["block", "cid", "n"])
+
+        for b in batches:
+            columns = [b[c].to_pylist() for c in ("token", "cid", "n", "comp", "bits")]
+            for t, *row in zip(*columns, strict=True):
+                if t != token:
+                    found.update(of(rows))
+                    token, rows = t, []
+                rows.append(tuple(row))
+            if len(found) > 50_000:
+                yield out()
+                found = set()
+        found.update(of(rows))
+        if found:
+            yield out()
+
+    return run
 
 
-def group_blocks(posts: DataFrame) -> DataFrame:
-    """The groups of infrequent shingles of more than one component, equal groups once."""
+def group_blocks(posts: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """The pairs that may link in the groups of infrequent shingles of more than one component;
+    equal groups count once."""
     early = posts.where("not late")
     groups = early.groupBy("token").agg(
         F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("k"),
         F.sum(F.xxhash64("cid").cast("decimal(38,0)")).alias("h")).where("lo != hi")
     once = cut(groups.groupBy("k", "h").agg(F.min("token").alias("token")).select("token"), "groups")
-    return early.join(once, "token").select(F.col("token").alias("block"), F.lit(0).cast("long").alias("part"),
-                                            F.lit(0).alias("side"), "cid", "comp")
+    rows = early.join(once, "token").join(bits, "cid").select("token", "cid", "n", "comp", "bits")
+    rows = rows.repartition(partitions(posts.sparkSession), "token").sortWithinPartitions("token")
+    pairs = cut(rows.mapInArrow(_may_link(percent), "block long, cid long, n long").distinct(), "pairs")
+    comps = posts.select("cid", "comp").distinct()
+    return hub_blocks(pairs).join(comps, "cid").select("block", "part", "side", "cid", "comp")
 
 
 def family_blocks(posts: DataFrame) -> DataFrame | None:
@@ -447,7 +517,7 @@ def family_blocks(posts: DataFrame) -> DataFrame | None:
     y = chunks.select("block", *[F.col(c).alias("y_" + c) for c in ("group", "own", "chunk")])
     before = F.struct("x_group", "x_chunk") <= F.struct("y_group", "y_chunk")
     pairs = cut(x.join(y, "block").where(before & ~F.coalesce(F.col("x_own") == F.col("y_own"), F.lit(False)))
-                .withColumn("part", -1 - F.monotonically_increasing_id()), "chunk-pairs")  # groups have part 0
+                .withColumn("part", -1 - F.monotonically_increasing_id()), "chunk-pairs")  # others from 0
     same = (F.col("x_group") == F.col("y_group")) & (F.col("x_chunk") == F.col("y_chunk"))
     sides = pairs.select("block", "part", F.lit(0).alias("side"), F.col("x_group").alias("group"),
                          F.col("x_chunk").alias("chunk")).unionByName(
@@ -467,16 +537,16 @@ def jaccard_components(docs: DataFrame, *, percent: int = PERCENT, id_col: str =
         F.coalesce(least, F.min(F.struct("doc_id", "th"))).alias("rep"), F.min("n").alias("n"))
         .withColumn("cid", F.monotonically_increasing_id()), "classes")
 
-    posts = postings(texts, classes, percent)
+    posts, bits = postings(texts, classes, percent)
     links = joined(leader_blocks(posts), classes, texts, percent)
     whole = cut(components(links), "components")
 
     posts = cut(posts.join(whole.withColumnRenamed("node", "cid"), "cid", "left")
                 .withColumn("comp", F.coalesce("root", "cid")).drop("root"), "labelled")
-    rest = group_blocks(posts)
+    rest = group_blocks(posts, bits, percent)
     if (families := family_blocks(posts)) is not None:
         rest = rest.unionByName(families)
-    more = joined(cut(rest, "blocks"), classes, texts, percent)
+    more = joined(rest, classes, texts, percent)
     whole = components(whole.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
 
     named = classes.join(whole.withColumnRenamed("node", "cid"), "cid", "left") \
