@@ -86,11 +86,20 @@ def _sets(array: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     return sets, at, pa.array(names, pa.binary())
 
 
+def _hashed_bits(x: np.ndarray) -> bytes:
+    """Bitmap of a set of shingles: a power of two of bits, two a shingle or more."""
+    width = max(64, 1 << (2 * len(x) - 1).bit_length())
+    bits = np.zeros(width, bool)
+    bits[(x % _U(width)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
 def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in _slices(batches):
-        _, at, names = _sets(b["text"])
-        yield pa.RecordBatch.from_arrays([b["doc_id"], b["th"], pa.array(np.diff(at)), names],
-                                         ["doc_id", "th", "n", "fp"])
+        sets, at, names = _sets(b["text"])
+        bits = [_hashed_bits(sets[i:j]) if i < j else None for i, j in zip(at, at[1:], strict=False)]
+        yield pa.RecordBatch.from_arrays([b["doc_id"], b["th"], pa.array(np.diff(at)), names, pa.array(bits, pa.binary())],
+                                         ["doc_id", "th", "n", "fp", "bits"])
 
 
 # --- frequent shingles ----------------------------------------------------------------------
@@ -172,16 +181,8 @@ def frequent_bits(texts: DataFrame) -> np.ndarray:
 
 # --- prefixes -------------------------------------------------------------------------------
 
-def _hashed_bits(x: np.ndarray) -> bytes:
-    """Bitmap of a set of shingles: a power of two of bits, two a shingle or more."""
-    width = max(64, 1 << (2 * len(x) - 1).bit_length())
-    bits = np.zeros(width, bool)
-    bits[(x % _U(width)).astype(np.int64)] = True
-    return np.packbits(bits, bitorder="little").tobytes()
-
-
 def _prefixes(shared, percent: int):
-    """Per set the first shingles of its order, how many of them are not frequent, and its bitmap."""
+    """Per set the first shingles of its order, and how many of them are not frequent."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
@@ -190,46 +191,45 @@ def _prefixes(shared, percent: int):
             place = ((sets >> _U(16)) % _U(BITS)).astype(np.int64)
             late = (sets >= _HALF) | (bits[place >> 3] >> (place & 7) & 1).astype(bool)
             size = np.diff(at)
-            kept, maps, cold = [], [], np.zeros(len(size), np.int32)
+            kept, cold = [], np.zeros(len(size), np.int32)
             for i in range(len(size)):
                 x, y = sets[at[i]:at[i + 1]], late[at[i]:at[i + 1]]
                 k = len(x) - -(-percent * len(x) // 100) + 1 if len(x) else 0
                 early = x[~y][:k]
                 cold[i] = len(early)
-                maps.append(_hashed_bits(x) if len(x) else None)
                 kept.append(np.concatenate([early, x[y][:k - len(early)]]))
             flat = np.concatenate(kept).view(np.int64) if kept else np.zeros(0, np.int64)
             ends = np.concatenate([[0], np.cumsum([len(x) for x in kept])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [names, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(cold),
-                 pa.array(maps, pa.binary())], ["fp", "tokens", "cold", "bits"]).filter(pa.array(size > 0))
+                [names, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(cold)],
+                ["fp", "tokens", "cold"]).filter(pa.array(size > 0))
 
     return run
 
 
-def postings(texts: DataFrame, classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+def postings(texts: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """(token, late, cid, n, lead): the prefixes' shingles that more than one class may have; lead is
-    the class of the group whose other shingles are least rare. And (cid, bits), the bitmaps."""
+    the class of the group whose other shingles are least rare."""
     spark = texts.sparkSession
     shared = spark.sparkContext.broadcast(frequent_bits(texts))
-    heads = texts.mapInArrow(_prefixes(shared, percent), "fp binary, tokens array<long>, cold int, bits binary") \
-        .groupBy("fp").agg(F.first(F.struct("tokens", "cold", "bits")).alias("x"))
-    heads = cut(heads.join(classes.select("fp", "cid", "n"), "fp").select("cid", "n", "x.*"), "prefixes")
-    rows = heads.select("cid", "n", "cold", F.posexplode("tokens").alias("pos", "token")) \
-        .withColumn("late", F.col("pos") >= F.col("cold"))
+    heads = texts.mapInArrow(_prefixes(shared, percent), "fp binary, tokens array<long>, cold int") \
+        .groupBy("fp").agg(F.first(F.struct("tokens", "cold")).alias("x"))
+    rows = heads.join(classes.select("fp", "cid", "n"), "fp") \
+        .select("cid", "n", F.col("x.cold").alias("cold"), F.posexplode("x.tokens").alias("pos", "token"))
     # the groups of frequent shingles are dealt over salts, and led by the least of the salts' leaders
-    salt = F.when(F.col("late"), F.pmod(F.xxhash64("cid"), F.lit(partitions(spark)))).otherwise(0)
+    salt = F.when(F.col("pos") >= F.col("cold"), F.pmod(F.xxhash64("cid"), F.lit(partitions(spark))) + 1).otherwise(0)
+    place = F.shiftleft(F.col("pos").cast("long"), 40) + F.col("n")  # by place, then by size
+    rows = rows.select("token", "cid", place.alias("place"), salt.alias("salt"))
     group = Window.partitionBy("token", "salt")
-    found = rows.withColumn("salt", salt).select(
-        "token", "late", "cid", "n", F.count(F.lit(1)).over(group).alias("k"),
-        F.min(F.struct("pos", "n", "cid")).over(group).alias("lead"))
+    found = rows.select("token", (F.col("salt") > 0).alias("late"), "cid", (F.col("place") % (1 << 40)).alias("n"),
+                        F.count(F.lit(1)).over(group).alias("k"), F.min(F.struct("place", "cid")).over(group).alias("lead"))
     found = cut(found.where("late or k > 1").select("token", "late", "cid", "n", "lead"), "postings")
     early = found.where("not late").select("token", "late", "cid", "n", F.col("lead.cid").alias("lead"))
     late = found.where("late")
     leads = late.groupBy("token").agg(F.min("lead").alias("first"), F.min("cid").alias("lo"), F.max("cid").alias("hi")) \
         .where("lo < hi").select("token", F.col("first.cid").alias("first"))
     late = late.join(leads, "token").select("token", "late", "cid", "n", F.col("first").alias("lead"))
-    return cut(early.unionByName(late), "shared"), heads.select("cid", "bits")
+    return cut(early.unionByName(late), "shared")
 
 
 # --- signature trees ------------------------------------------------------------------------
@@ -422,11 +422,14 @@ def hub_blocks(pairs: DataFrame) -> DataFrame:
     return rows.select("block", "part", F.lit(0).alias("side"), "cid")
 
 
-def leader_blocks(posts: DataFrame) -> DataFrame:
-    """Each class with the class that leads most of its groups."""
+def leader_blocks(posts: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Each class with the class that leads most of its groups, where their bitmaps allow the threshold."""
     votes = posts.where("cid != lead").groupBy("cid", "n", "lead").agg(F.count(F.lit(1)).alias("k"))
-    home = votes.groupBy("cid", "n").agg(F.max_by("lead", F.struct("k", -F.col("lead"))).alias("block"))
-    return hub_blocks(cut(home, "homes")).withColumn("comp", F.col("cid"))
+    home = votes.groupBy("cid").agg(F.max_by("lead", F.struct("k", -F.col("lead"))).alias("block"))
+    hub = classes.select(F.col("cid").alias("block"), F.col("n").alias("m"), F.col("bits").alias("other"))
+    both = cut(home, "homes").join(classes.select("cid", "n", "bits"), "cid").join(hub, "block")
+    near = both.mapInArrow(_may_follow(percent), "block long, cid long, n long")
+    return hub_blocks(cut(near, "followers")).withColumn("comp", F.col("cid"))
 
 
 def _folded(raw: bytes, width: int) -> np.ndarray:
@@ -434,6 +437,25 @@ def _folded(raw: bytes, width: int) -> np.ndarray:
     return np.bitwise_or.reduce(x.reshape(-1, width), axis=0) if len(x) > width else x
 
 
+def _may(n: int, raw: bytes, m: int, other: bytes, percent: int) -> bool:
+    """Whether the bitmaps of sets of sizes ``n`` and ``m`` allow the threshold: a bit that only one
+    has is of a shingle that only one has."""
+    width = min(len(raw), len(other)) // 8
+    x, y = _folded(raw, width), _folded(other, width)
+    most = min(n - int(np.bitwise_count(x & ~y).sum()), m - int(np.bitwise_count(y & ~x).sum()))
+    return (100 + percent) * most >= percent * (n + m)
+
+
+def _may_follow(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = [_may(*row, percent) for row in zip(*(b[c].to_pylist() for c in ("n", "bits", "m", "other")), strict=True)]
+            yield pa.RecordBatch.from_arrays([b[c] for c in ("block", "cid", "n")], ["block", "cid", "n"]) \
+                .filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
 def _may_link(percent: int):
     """Pairs (block, cid, n) of classes of different components in the sorted groups whose bitmaps
     allow the threshold."""
@@ -446,13 +468,7 @@ def _may_link(percent: int):
                 other, m, there, bits = rows[j]
                 if 100 * m < percent * n:
                     break  # smaller and smaller ones
-                if comp == there:
-                    continue
-                # shingles of the one that cannot be in the other
-                width = min(len(raw), len(bits)) // 8
-                x, y = _folded(raw, width), _folded(bits, width)
-                most = min(n - int(np.bitwise_count(x & ~y).sum()), m - int(np.bitwise_count(y & ~x).sum()))
-                if (100 + percent) * most >= percent * (n + m):
+                if comp != there and _may(n, raw, m, bits, percent):
                     out.append((min(cid, other), *((cid, n) if cid > other else (other, m))))
         return out
 
@@ -480,7 +496,7 @@ def _may_link(percent: int):
     return run
 
 
-def group_blocks(posts: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+def group_blocks(posts: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs that may link in the groups of infrequent shingles of more than one component;
     equal groups count once."""
     early = posts.where("not late")
@@ -488,7 +504,7 @@ def group_blocks(posts: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
         F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("k"),
         F.sum(F.xxhash64("cid").cast("decimal(38,0)")).alias("h")).where("lo != hi")
     once = cut(groups.groupBy("k", "h").agg(F.min("token").alias("token")).select("token"), "groups")
-    rows = early.join(once, "token").join(bits, "cid").select("token", "cid", "n", "comp", "bits")
+    rows = early.join(once, "token").join(classes.select("cid", "bits"), "cid").select("token", "cid", "n", "comp", "bits")
     rows = rows.repartition(partitions(posts.sparkSession), "token").sortWithinPartitions("token")
     pairs = cut(rows.mapInArrow(_may_link(percent), "block long, cid long, n long").distinct(), "pairs")
     comps = posts.select("cid", "comp").distinct()
@@ -531,19 +547,19 @@ def jaccard_components(docs: DataFrame, *, percent: int = PERCENT, id_col: str =
     """Per row of ``docs``: doc_id, n_shingles and component_id, the smallest id that links reach."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("th"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = cut(texts.mapInArrow(_named, "doc_id long, th long, n long, fp binary"), "sets")
+    rows = cut(texts.mapInArrow(_named, "doc_id long, th long, n long, fp binary, bits binary"), "sets")
     least = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "th")))
     classes = cut(rows.where("n > 0").groupBy("fp").agg(
-        F.coalesce(least, F.min(F.struct("doc_id", "th"))).alias("rep"), F.min("n").alias("n"))
+        F.coalesce(least, F.min(F.struct("doc_id", "th"))).alias("rep"), F.min("n").alias("n"), F.min("bits").alias("bits"))
         .withColumn("cid", F.monotonically_increasing_id()), "classes")
 
-    posts, bits = postings(texts, classes, percent)
-    links = joined(leader_blocks(posts), classes, texts, percent)
+    posts = postings(texts, classes, percent)
+    links = joined(leader_blocks(posts, classes, percent), classes, texts, percent)
     whole = cut(components(links), "components")
 
     posts = cut(posts.join(whole.withColumnRenamed("node", "cid"), "cid", "left")
                 .withColumn("comp", F.coalesce("root", "cid")).drop("root"), "labelled")
-    rest = group_blocks(posts, bits, percent)
+    rest = group_blocks(posts, classes, percent)
     if (families := family_blocks(posts)) is not None:
         rest = rest.unionByName(families)
     more = joined(rest, classes, texts, percent)
@@ -554,4 +570,4 @@ def jaccard_components(docs: DataFrame, *, percent: int = PERCENT, id_col: str =
     names = cut(named.groupBy("root").agg(F.min("doc_id").alias("component_id")), "names")
     by_class = cut(named.select("fp", "root").join(names, "root").select("fp", "component_id"), "by_class")
     c = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return rows.join(by_class, "fp", "left").select("doc_id", F.col("n").alias("n_shingles"), c.alias("component_id"))
+    return rows.drop("bits").join(by_class, "fp", "left").select("doc_id", F.col("n").alias("n_shingles"), c.alias("component_id"))
