@@ -396,10 +396,34 @@ def _joined(percent: int):
     return run
 
 
+def _of_marked(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
+        for b in batches:
+            at = b["th"].to_numpy() % BITS
+            yield b.filter(pa.array((bits[at >> 3] >> (at & 7) & 1).astype(bool)))
+
+    return run
+
+
+def marked(texts: DataFrame, hashes: DataFrame) -> DataFrame:
+    """``texts`` without most of those whose hash is not in ``hashes`` (th): a filter of ``BITS`` bits, built
+    where the hashes are, keeps texts that no block needs from being sent. A full filter keeps all."""
+    at = hashes.select(F.pmod("th", F.lit(BITS)).alias("at"))
+    words = at.groupBy(F.shiftright("at", 15).alias("k")).agg(
+        F.bitmap_construct_agg(F.col("at") % (1 << 15)).alias("bits")).toArrow()  # BITS / 2 ** 15 rows at most
+    bits = np.zeros((BITS >> 15, 1 << 12), np.uint8)
+    for k, raw in zip(words["k"].to_pylist(), words["bits"].to_pylist(), strict=True):
+        bits[k] = np.frombuffer(raw, np.uint8)
+    shared = texts.sparkSession.sparkContext.broadcast(bits.ravel())
+    return texts.mapInArrow(_of_marked(shared), texts.schema)
+
+
 def joined(blocks: DataFrame, classes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Links of the blocks (block, part, side, cid, comp): one text of each class is read where
     it stands and sent to the blocks."""
     m = cut(blocks.join(classes.select("cid", "rep.*"), "cid"), "members")
+    texts = marked(texts, m)
     found = texts.join(m, texts["doc_id"].eqNullSafe(m["doc_id"]) & (texts["th"] == m["th"])) \
         .select("block", "part", "side", "cid", "comp", "text")
     found = found.repartition(partitions(texts.sparkSession), "block", "part").sortWithinPartitions("block", "part")
