@@ -50,15 +50,31 @@ def day_of(ms: str, zone: str | None = None) -> str:
     return f"date_format(convert_timezone('UTC', {q(zone)}, {utc}), 'yyyy-MM-dd')"
 
 
-def normalize_timestamp(x: str) -> str:
+def normalize_timestamp(x: str, lenient: bool = False) -> str:
     """``yyyy-MM-dd HH:mm:ss`` from loose date-time text, else NULL.
 
     Every character that is not a digit or ``:`` counts as a separator; the
-    text must then read ``year month day hour:minute:second``.
+    text must then read ``year month day hour:minute:second``. With ``lenient`` a part
+    beyond its range rolls over into the next larger one (month 13 is January of the
+    next year, day 0 the last of the month before, hour 25 one o'clock of the next
+    day); parts of more than six digits, and results beyond the years 1 to 9999, are NULL.
     """
     shape = q(r"(?s)^[^0-9:]*([0-9]+)[^0-9:]+([0-9]+)[^0-9:]+([0-9]+)[^0-9:]+([0-9]+):([0-9]+):([0-9]+).*$")
-    parts = ", ".join(f"try_cast(get(p, {i}) AS INT)" for i in range(6))
     one = f"split(regexp_replace({x}, {shape}, '$1 $2 $3 $4 $5 $6'), ' ')"
+    if lenient:
+        n = [f"CAST(p[{i}] AS BIGINT)" for i in range(6)]
+        # months since January of year 0, then days, then seconds
+        month = f"({n[0]} * 12 + {n[1]} - 1)"
+        date = (f"date_add(make_date(CAST({month} DIV 12 AS INT), CAST({month} % 12 AS INT) + 1, 1), "
+                f"CAST({n[2]} - 1 AS INT))")
+        seconds = f"({n[3]} * 3600 + {n[4]} * 60 + {n[5]})"
+        made = (f"CASE WHEN {month} BETWEEN 12 AND 119999 THEN timestampadd(SECOND, {seconds}, "
+                f"CAST({date} AS TIMESTAMP_NTZ)) END")
+        ok = "size(p) = 6 AND NOT exists(p, v -> length(v) > 6)"
+        ts = f"transform(array({one}), p -> CASE WHEN {ok} THEN {made} END)[0]"
+        inside = f"transform(array({ts}), t -> CASE WHEN year(t) BETWEEN 1 AND 9999 THEN t END)[0]"
+        return f"(CASE WHEN {x} RLIKE {shape} THEN date_format({inside}, 'yyyy-MM-dd HH:mm:ss') END)"
+    parts = ", ".join(f"try_cast(get(p, {i}) AS INT)" for i in range(6))
     ts = f"transform(array({one}), p -> CASE WHEN size(p) = 6 THEN try_make_timestamp_ntz({parts}) END)[0]"
     return f"(CASE WHEN {x} RLIKE {shape} THEN date_format({ts}, 'yyyy-MM-dd HH:mm:ss') END)"
 

@@ -44,7 +44,8 @@ def backfill(history: DataFrame, subfields: dict[str, SubField]) -> CleanResult:
     cells = cells.where("put_seq IS NOT NULL").selectExpr(
         "row_key", "t.name AS family", "day AS qualifier",
         *[f"t.val.{n} AS {n}" for n, _ in CELL_FIELDS[2:]],
-        "download_time", "row_key AS source_key", "0 AS item_pos", "CAST(put_seq AS INT) AS put_seq")
+        "download_time", "row_key AS source_key", "0 AS item_pos", "CAST(put_seq AS INT) AS put_seq",
+        "0 AS source_no")
     rejects = items.where("reject IS NOT NULL").selectExpr(
         "row_key AS source_key", "day AS page_model", "0 AS item_pos",
         "reject.source_field AS source_field", "reject.raw AS raw", "reject.reason AS reason")

@@ -32,7 +32,7 @@ from cellsmith.spec import ColumnSpec, ModelSpec, Vocab
 
 CELL_FIELDS = [("family", T.StringType()), ("qualifier", T.StringType())] + co.VALUE_FIELDS
 CELL_COLUMNS = ["row_key"] + [n for n, _ in CELL_FIELDS] + [
-    "download_time", "source_key", "item_pos", "put_seq"]
+    "download_time", "source_key", "item_pos", "put_seq", "source_no"]
 REJECT_COLUMNS = ["source_key", "page_model", "item_pos", "source_field", "raw", "reason"]
 
 PAGE_COLUMNS = ["source_key", "page_model", "data", "propertys", "download_time"]
@@ -332,11 +332,14 @@ def model_cells(nm: _Names, i: int, m: ModelSpec, wanted: Wanted) -> tuple[str,
 
 
 def clean(pages: DataFrame, models: list[ModelSpec], vocab: Vocab | None = None,
-          zone: str | None = None, on_error: str = "reject", wanted: Wanted = Wanted()) -> CleanResult:
+          zone: str | None = None, on_error: str = "reject", wanted: Wanted = Wanted(),
+          ordinals: list[int] | None = None) -> CleanResult:
     """Clean every model of one source table in a single pass.
 
     Two models of the same name (for two output tables, say) each clean that
-    name's pages; ``items`` tells them apart by ``model_index``.
+    name's pages; ``items`` tells them apart by ``model_index``. ``ordinals`` are the
+    models' places in a spec of several sources: of two cells alike in all other
+    parts of the write order, the later place wins.
     ``on_error='reject'`` routes an item the contract cannot store to
     ``rejects`` (and writes none of its cells); ``'fail'`` raises instead.
     """
@@ -374,8 +377,9 @@ def clean(pages: DataFrame, models: list[ModelSpec], vocab: Vocab | None = None,
                      f"{reject} AS reject", f"{row_key} AS row_key",
                      ("coalesce(" + ", ".join(f"_cells{i}" for i in range(n)) + ")" if n > 1
                       else "_cells0") + " AS _cells")
-    items = x.selectExpr("source_key", "page_model", "mi AS model_index", "download_time", "item_pos", "reject",
-                         "row_key", "CASE WHEN reject IS NULL THEN _cells END AS cells")
+    at = "mi" if ordinals is None else f"element_at(array({', '.join(map(str, ordinals))}), mi + 1)"
+    items = x.selectExpr("source_key", "page_model", "mi AS model_index", f"{at} AS source_no", "download_time",
+                         "item_pos", "reject", "row_key", "CASE WHEN reject IS NULL THEN _cells END AS cells")
 
     return CleanResult(items=items, cells=cells_from_items(items), rejects=rejects_from_items(items))
 
@@ -389,11 +393,11 @@ def cells_from_items(items: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame
     # generator (a filter there would be pushed down and repeat the reason
     # expression). posexplode_outer also avoids the size(cells) > 0 filter
     # Catalyst infers for a plain generator.
-    cells = items.selectExpr("row_key", "download_time", "source_key", "item_pos", *extra,
+    cells = items.selectExpr("row_key", "download_time", "source_key", "item_pos", "source_no", *extra,
                              "posexplode_outer(cells) AS (put_seq, cell)")
     return cells.where("cell IS NOT NULL").selectExpr(
         "row_key", *[f"cell.{n} AS {n}" for n, _ in CELL_FIELDS],
-        "download_time", "source_key", "item_pos", "CAST(put_seq AS INT) AS put_seq", *extra)
+        "download_time", "source_key", "item_pos", "CAST(put_seq AS INT) AS put_seq", "source_no", *extra)
 
 
 def rejects_from_items(items: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:

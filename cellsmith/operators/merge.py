@@ -1,7 +1,8 @@
 """Last-write-wins merge of cells, wide view, upsert and point lookup.
 
 Every cell carries its write order ``(download_time, source_key, item_pos,
-put_seq)``; the merged value of a ``(row_key, family, qualifier)`` is the one
+put_seq, source_no)``, the last of which is the place of its source table and model in
+the spec, so no two cells of a run tie; the merged value of a ``(row_key, family, qualifier)`` is the one
 with the greatest order, whatever the values. An upsert puts the batch ahead of
 that order: what is written now overwrites what was there, as a later put does.
 ``max_by`` over structs aggregates partially on the map side, so a hot row key
@@ -15,9 +16,10 @@ from pyspark.sql import functions as F
 
 from cellsmith import fixed
 from cellsmith.functions.coerce import VALUE_FIELDS
+from cellsmith.spec import ModelSpec
 
 CELL_KEY = ["row_key", "family", "qualifier"]
-ORDER = ["download_time", "source_key", "item_pos", "put_seq"]
+ORDER = ["download_time", "source_key", "item_pos", "put_seq", "source_no"]
 VALUES = [n for n, _ in VALUE_FIELDS]
 
 
@@ -69,6 +71,39 @@ def latest_wide(cells: DataFrame, names: list[str]) -> DataFrame:
     return wide.select("row_key", *[F.col(f"`{n}`").alias(n) for n in names])
 
 
+#: Value column of a spec type; arrays are stored as text.
+SLOTS = {"String": "v_string", "int": "v_int", "long": "v_long", "float": "v_float", "double": "v_double",
+         "boolean": "v_bool", "Array": "v_string"}
+
+
+def latest_wide_typed(cells: DataFrame, types: dict[str, str]) -> DataFrame:
+    """The wide view with every column in its spec type, and for types other than text a column
+    ``<name>_text`` with the text that did not parse (then the typed one is NULL). One exchange; the
+    whole cell is picked, so a value never stands beside an older one's text."""
+    c = cells.where((F.col("family") == fixed.LATEST_FAMILY) & F.col("qualifier").isin(list(types)))
+    last = F.max_by(F.struct(*VALUES), F.struct(*ORDER))
+    wide = c.groupBy("row_key").pivot("qualifier", list(types)).agg(last)
+    out = []
+    for name, kind in types.items():
+        cell = F.col(f"`{name}`")
+        out.append(cell[SLOTS[kind]].alias(name))
+        if SLOTS[kind] != "v_string":
+            out.append(cell["v_string"].alias(f"{name}_text"))
+    return wide.select("row_key", *out)
+
+
+def wide_types(models: list[ModelSpec]) -> dict[str, str]:
+    """Name and type of every latest column of ``models``; a name of two types is text."""
+    types: dict[str, str] = {}
+    for m in models:
+        for c in m.columns:
+            if c.type == "Array" and m.is_list:
+                types |= {x.name: x.type for x in c.sub_columns}
+            else:
+                types[c.name] = c.type if types.get(c.name, c.type) == c.type else "String"
+    return types
+
+
 def lookup_history(cells: DataFrame, row_key: str, column: str) -> DataFrame:
     """Every day of one column of one row. On a stored table (see
     :mod:`cellsmith.sources.sinks`) the column is a folder and the row key a

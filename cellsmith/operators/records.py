@@ -17,6 +17,26 @@ def sort_columns(field: str, mode: str | None, tie_breakers: list[str] = ()) ->
     return [first] + [F.col(t).asc_nulls_last() for t in tie_breakers]
 
 
+#: Columns of :func:`with_input_position`.
+POSITION = ["_file", "_row"]
+
+
+def with_input_position(scan: DataFrame) -> DataFrame:
+    """``scan``, read straight from files, with each row's place in the input: file and row in it."""
+    return scan.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+
+
+def stable_order(field: str, mode: str | None = "ASC") -> list[Column]:
+    """Order of :func:`sort_columns` in which equal rows keep their places in the input. The places are part of
+    the key that rows are range-partitioned by, so a run of equal values of any length is split."""
+    return sort_columns(field, mode, POSITION)
+
+
+def stable_sort(scan: DataFrame, field: str, mode: str | None = "ASC") -> DataFrame:
+    """Globally sorted records of a file scan, equal ones in input order."""
+    return with_input_position(scan).orderBy(*stable_order(field, mode)).drop(*POSITION)
+
+
 def sort_by(df: DataFrame, field: str, mode: str | None = "ASC",
             tie_breakers: list[str] = ()) -> DataFrame:
     """Globally sorted records (range-partitioned sort, no single-task step)."""

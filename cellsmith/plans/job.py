@@ -2,25 +2,28 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cellsmith.operators.backfill import backfill
 from cellsmith.operators.cells import CleanResult, Wanted, cells_from_items, clean, rejects_from_items
 from cellsmith.operators.merge import CELL_KEY, merge_cells, upsert_cells
 from cellsmith.session import cut
-from cellsmith.sources.pages import read_history
+from cellsmith.sources.pages import CELL_SCHEMA, read_history
 from cellsmith.sources.sinks import MONTH, write_cells
+from cellsmith.sources.store import KEY, CellStore
 from cellsmith.spec import ModelSpec, SubField, TableSpec, Vocab
 
 
-def _by_source(spec: list[TableSpec]) -> dict[str, list[tuple[ModelSpec, str]]]:
-    """Every source table with its (model, output table) pairs, in spec order."""
-    out: dict[str, list[tuple[ModelSpec, str]]] = {}
-    for t in spec:
-        out.setdefault(t.table_name, []).extend((m, t.output_table) for m in t.models)
+def _by_source(spec: list[TableSpec]) -> dict[str, list[tuple[ModelSpec, str, int]]]:
+    """Every source table with its (model, output table, place in the spec), in spec order."""
+    out: dict[str, list[tuple[ModelSpec, str, int]]] = {}
+    pairs = [(t.table_name, m, t.output_table) for t in spec for m in t.models]
+    for place, (source, m, output) in enumerate(pairs):
+        out.setdefault(source, []).append((m, output, place))
     return out
 
 
@@ -35,14 +38,14 @@ def run_spec(pages_by_table: dict[str, DataFrame], spec: list[TableSpec],
     """
     parts: dict[str, list[CleanResult]] = {}
     for source, pairs in _by_source(spec).items():
-        res = clean(pages_by_table[source], [m for m, _ in pairs], vocab=vocab, zone=zone,
-                    on_error=on_error, wanted=wanted)
-        outputs = list(dict.fromkeys(o for _, o in pairs))
+        res = clean(pages_by_table[source], [m for m, _, _ in pairs], vocab=vocab, zone=zone,
+                    on_error=on_error, wanted=wanted, ordinals=[n for _, _, n in pairs])
+        outputs = list(dict.fromkeys(o for _, o, _ in pairs))
         for out in outputs:
             if len(outputs) == 1:
                 parts.setdefault(out, []).append(res)
                 continue
-            items = res.items.where(F.col("model_index").isin([i for i, (_, o) in enumerate(pairs) if o == out]))
+            items = res.items.where(F.col("model_index").isin([i for i, (_, o, _) in enumerate(pairs) if o == out]))
             parts.setdefault(out, []).append(CleanResult(
                 items=items, cells=cells_from_items(items), rejects=rejects_from_items(items)))
     return {out: _union(results) for out, results in parts.items()}
@@ -62,12 +65,7 @@ def run_job(spark: SparkSession, pages_by_table: dict[str, DataFrame], spec: lis
     """
     if existing_root is not None and existing_root.rstrip("/") == out_root.rstrip("/"):
         raise ValueError("write the new tables to a new path, not the one being read")
-    items = []
-    for source, pairs in _by_source(spec).items():
-        res = clean(pages_by_table[source], [m for m, _ in pairs], vocab=vocab, zone=zone).items
-        output = F.element_at(F.array(*[F.lit(o) for _, o in pairs]), F.col("model_index") + 1)
-        items.append(cut(res.withColumn("output_table", output), "items"))
-    staged = reduce(DataFrame.unionByName, items)
+    staged = _staged_items(pages_by_table, spec, vocab, zone)
     key = ["output_table", *CELL_KEY]
     cells = cells_from_items(staged, extra=("output_table",))
     if existing_root is None:
@@ -79,6 +77,89 @@ def run_job(spark: SparkSession, pages_by_table: dict[str, DataFrame], spec: lis
         .parquet(f"{out_root}/rejects")
 
 
+@dataclass(frozen=True)
+class ModelCount:
+    """What one model of one source did: its pages (with an item or a reject), items, the cells it
+    wrote and the items it rejected."""
+    source: str
+    model: str
+    output_table: str
+    pages: int
+    items: int
+    cells: int
+    rejects: int
+
+
+def _metrics(i: int) -> list[Column]:
+    """Sums over the items of the model with index ``i``, taken while the items are written."""
+    mine = F.col("model_index") == i
+    first = F.coalesce(F.col("item_pos"), F.lit(0)) == 0  # a page's first item, or its reject
+    n_cells = F.coalesce(F.size(F.filter("cells", lambda c: c.isNotNull())), F.lit(0))
+    count = lambda when, what=F.lit(1): F.coalesce(F.sum(F.when(mine & when, what)), F.lit(0))
+    return [count(first).alias(f"pages{i}"), count(F.col("item_pos").isNotNull()).alias(f"items{i}"),
+            count(F.col("reject").isNull(), n_cells).alias(f"cells{i}"),
+            count(F.col("reject").isNotNull()).alias(f"rejects{i}")]
+
+
+def _staged_items(pages_by_table: dict[str, DataFrame], spec: list[TableSpec], vocab: Vocab | None,
+                  zone: str | None, counts: list[ModelCount] | None = None) -> DataFrame:
+    """All sources' items with their output table, written to the shared folder. ``counts`` gets a row a
+    model, counted in the same pass."""
+    items = []
+    for source, pairs in _by_source(spec).items():
+        res = clean(pages_by_table[source], [m for m, _, _ in pairs], vocab=vocab, zone=zone,
+                    ordinals=[n for _, _, n in pairs]).items
+        output = F.element_at(F.array(*[F.lit(o) for _, o, _ in pairs]), F.col("model_index") + 1)
+        res = res.withColumn("output_table", output)
+        if counts is not None:
+            seen = Observation()
+            res = res.observe(seen, *[m for i in range(len(pairs)) for m in _metrics(i)])
+        items.append(cut(res, "items"))
+        if counts is not None:
+            got = seen.get
+            counts.extend(ModelCount(source, m.name, o, *(got[f"{c}{i}"] for c in ("pages", "items", "cells", "rejects")))
+                          for i, (m, o, _) in enumerate(pairs))
+    return reduce(DataFrame.unionByName, items)
+
+
+def update_store(store: CellStore, pages_by_table: dict[str, DataFrame], spec: list[TableSpec],
+                 vocab: Vocab | None = None, zone: str | None = None,
+                 max_reject_share: float | None = None) -> list[ModelCount]:
+    """Clean all sources and write the cells over those of ``store``; the rejects go to
+    ``rejects/batch=<n>/output_table=<o>`` below its root.
+
+    Each source is cleaned in one pass, which also counts what its models did. Where a
+    model rejects more than ``max_reject_share`` of its items and pages, the job raises before
+    anything is written.
+    """
+    counts: list[ModelCount] = []
+    staged = _staged_items(pages_by_table, spec, vocab, zone, counts)
+    if max_reject_share is not None:
+        bad = [c for c in counts if c.rejects > max_reject_share * max(c.items, c.pages)]
+        if bad:
+            raise ValueError(f"too many rejects, nothing was written: {bad}")
+    batch = store.upsert(cells_from_items(staged, extra=("output_table",)))
+    rejects_from_items(staged, extra=("output_table",)).withColumn("batch", F.lit(batch).cast("long")) \
+        .write.mode("append").partitionBy("batch", "output_table").parquet(f"{store.root}/rejects")
+    return counts
+
+
+def backfill_store(store: CellStore, output_table: str, column: str, subfields: dict[str, SubField]) -> DataFrame:
+    """Type the token texts of ``column`` that were written since the last backfill of it, and write the
+    cells back; the rejects of this run. Only the folders of later updates are read.
+
+    The mark moves on last, so a run that failed is done again, with the same result.
+    """
+    name, last = f"backfill {output_table} {column}", store.last_batch()
+    new = store.changes(store.mark(name)).where((F.col("batch") <= last) & (F.col("output_table") == output_table)
+                                                & (F.col("family") == column))
+    latest = merge_cells(new, KEY, ["batch"])
+    res = backfill(read_history(latest, column), subfields)
+    store.upsert(res.cells.withColumn("output_table", F.lit(output_table)))
+    store.set_mark(name, last)
+    return res.rejects
+
+
 def backfill_job(spark: SparkSession, existing_root: str, output_table: str, column: str,
                  subfields: dict[str, SubField], out_root: str, period: int = MONTH) -> None:
     """Type the token texts in the stored history of ``column`` and write the cells
@@ -95,10 +176,9 @@ def backfill_job(spark: SparkSession, existing_root: str, output_table: str, col
 
 
 def _stored(spark: SparkSession, root: str) -> DataFrame:
-    # names of tables that look like numbers stay texts
-    cells = spark.read.option("basePath", f"{root}/cells").parquet(f"{root}/cells")
-    return cells.withColumn("output_table", F.col("output_table").cast("string")) \
-        .withColumn("family", F.col("family").cast("string")).drop("period")
+    cells = spark.read.schema(f"{CELL_SCHEMA}, output_table STRING, family STRING, period STRING") \
+        .option("basePath", f"{root}/cells").parquet(f"{root}/cells")
+    return cells.drop("period")
 
 
 def read_output(spark: SparkSession, root: str, output_table: str) -> DataFrame:

@@ -59,6 +59,18 @@ def _event_rows() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+def _two_sites() -> str:
+    second = """
+e2 AS (SELECT CASE WHEN CAST(sk AS BIGINT) % 2 = 0 THEN sk ELSE '' END AS sk, pos, row_key, dt, day, user_id, event_type,
+              value + 1 AS value, props FROM e)"""
+    parts = []
+    for latest in (True, False):
+        body = _event_cells(latest).split("c AS (\n", 1)[1].split(")\n\nSELECT", 1)[0]
+        parts += [body.replace(" FROM e", ", 0 AS sno FROM e"), body.replace(" FROM e", ", 1 AS sno FROM e2")]
+    return ("WITH " + _EVENTS + "," + second + ",\nc AS (\n" + "\nUNION ALL\n".join(parts) + ")\n"
+            + _last("c", "dt DESC, sk DESC, pos DESC, seq DESC, sno DESC"))
+
+
 _DIRTY = r"""
 d AS (
   SELECT CAST(event_id AS VARCHAR) AS row_key, event_id, strftime(ts, '%Y-%m-%d') AS day,
@@ -230,6 +242,22 @@ def _wide() -> str:
     return f"SELECT row_key,\n  {cols}\nFROM ({cells}) t GROUP BY row_key"
 
 
+_WIDE_TYPES = {"balance": "v_double", "zone": "v_float", "isVip": "v_bool", "isBuilder": "v_bool", "visits": "v_int",
+               "minutes": "v_int"}
+
+
+def _wide_typed() -> str:
+    latest = [r for r in _two(_CUSTOMER_COLS) if r[0] == _L]
+    cells = _customers(latest, [r for r in _DIRECTORY_ROWS if r[0] == _L])
+    slot = {n: "v_string" for n in _WIDE} | _WIDE_TYPES
+    cols = []
+    for n in _WIDE:
+        cols.append(f"max({slot[n]}) FILTER (WHERE qualifier = '{n}') AS \"{n}\"")
+        if slot[n] != "v_string":
+            cols.append(f"max(v_string) FILTER (WHERE qualifier = '{n}') AS \"{n}_text\"")
+    return "SELECT row_key,\n  " + ",\n  ".join(cols) + f"\nFROM ({cells}) t GROUP BY row_key"
+
+
 _TWINS = f"""
 WITH t AS (SELECT CAST(s_suppkey AS VARCHAR) AS row_key, s_suppkey, s_name, CAST(s_nationkey AS VARCHAR) AS n
            FROM supplier)
@@ -415,4 +443,21 @@ SELECT row_key AS source_key, 'dirty' AS page_model, 0 AS item_pos,
          CASE event_id % 97 WHEN 0 THEN body || ',' WHEN 1 THEN body || '}} x 1.50'
                             WHEN 2 THEN body || '}}{{"id":2.50}}' ELSE '' END END AS raw
 FROM j WHERE reason IS NOT NULL""",
+    "history_lookup_many": "SELECT * FROM (" + _event_cells(latest=False)
+        + """) WHERE family = 'amount' AND row_key IN (
+  SELECT CAST(user_id AS VARCHAR) || event_type FROM events WHERE event_type = 'purchase' AND value > 20)""",
+    "fanin_ties": _two_sites(),
+    "latest_wide_typed": _wide_typed(),
+    "sort_stable": """
+SELECT o_orderkey, o_orderstatus, row_number() OVER (ORDER BY o_orderstatus DESC NULLS LAST, o_orderkey) AS rank
+FROM orders""",
+    "lenient_timestamp": """
+SELECT o_orderkey,
+       CASE WHEN o_orderkey % 10 = 0 THEN (year(o_orderdate) + 1) || '-01-05 00:00:00'
+            WHEN o_orderkey % 10 = 1 THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS ts,
+       strftime(make_timestamp(year(o_orderdate) + 1, 2, 1, 2, 2, 1)
+                + to_days(CAST(o_orderkey % 400 AS INTEGER)), '%Y-%m-%d %H:%M:%S') AS late_ts
+FROM orders""",
 }
+ORACLE["store_update"] = ORACLE["upsert_overwrites"]
+ORACLE["store_backfill"] = ORACLE["backfill_upsert"]

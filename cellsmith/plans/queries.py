@@ -17,10 +17,11 @@ from cellsmith.operators.backfill import backfill
 from cellsmith.operators.cells import Wanted
 from cellsmith.operators.keys import regex_matches as _regex_matches
 from cellsmith.plans import specs
-from cellsmith.plans.job import backfill_job, read_output, run_job, run_spec
+from cellsmith.plans.job import backfill_job, backfill_store, read_output, run_job, run_spec, update_store
 from cellsmith.session import work_path
 from cellsmith.sources import views
 from cellsmith.sources.pages import read_cells, read_history
+from cellsmith.sources.store import create_store
 from cellsmith.sources.sinks import write_cells
 from cellsmith.spec import parse_subfields
 
@@ -248,6 +249,72 @@ def backfill_upsert(spark, sf_dir):
     return merge.cell_values(read_output(spark, two, "parts"))
 
 
+def store_update(spark, sf_dir):
+    """The two runs of ``upsert_overwrites`` on a stored table that is updated where it
+    stands: the second reads and writes the folders that it touches alone."""
+    pages = views.event_pages(spark, sf_dir)
+    store = create_store(spark, work_path(spark, "store"), buckets=8, period=4)
+    update_store(store, {"event_pages": pages}, specs.EVENTS)
+    update_store(store, {"event_pages": pages.where(F.col("download_time") < MIDPOINT_MS)}, specs.EVENTS_RETYPED)
+    return merge.cell_values(store.cells("events_clean"))
+
+
+def store_backfill(spark, sf_dir):
+    """The backfill of a stored table in two runs, the second of the texts written since the first."""
+    texts = views.token_history_cells(spark, sf_dir).withColumn("output_table", F.lit("parts"))
+    typed = views.typed_history_cells(spark, sf_dir).withColumn("output_table", F.lit("parts"))
+    subfields = parse_subfields(fixed.BACKFILL_SUBFIELDS)
+    store = create_store(spark, work_path(spark, "store"), buckets=8)
+    first = F.col("qualifier") < "2024-02"
+    store.upsert(typed.unionByName(texts.where(first)))
+    backfill_store(store, "parts", fixed.SUBFIELD_ARRAY_KEY, subfields)
+    store.upsert(texts.where(~first))
+    backfill_store(store, "parts", fixed.SUBFIELD_ARRAY_KEY, subfields)
+    return merge.cell_values(store.cells("parts"))
+
+
+def history_lookup_many(spark, sf_dir):
+    """Every day of one column for all rows that have a purchase above 20, from the stored table."""
+    store = create_store(spark, work_path(spark, "store"), buckets=8)
+    store.upsert(_events_clean(spark, sf_dir).cells.withColumn("output_table", F.lit("events")))
+    keys = views.table(spark, sf_dir, "events").where("event_type = 'purchase' AND value > 500") \
+        .select(F.concat("user_id", "event_type").alias("row_key"))
+    return merge.cell_values(store.lookup("events", keys, LOOKUP_COLUMN))
+
+
+def fanin_ties(spark, sf_dir):
+    """Two sites that write one table, alike in time and key for half of their pages: there
+    the later one of the spec wins, elsewhere the greater source key."""
+    pages = {"event_pages": views.event_pages(spark, sf_dir),
+             "second_event_pages": views.second_event_pages(spark, sf_dir)}
+    return _merged(run_spec(pages, specs.TWO_SITES)["events_clean"].cells)
+
+
+def latest_wide_typed(spark, sf_dir):
+    """The customer rows with every latest column in its type, and its text where that did not parse."""
+    cells = _customer_clean(spark, sf_dir, Wanted(history=frozenset())).cells
+    types = merge.wide_types([m for t in specs.CUSTOMERS for m in t.models])
+    wide = merge.latest_wide_typed(cells, {n: types[n] for n in WIDE_NAMES})
+    return wide.select(*[F.col(n).cast("double").alias(n) if t == "float" else F.col(n) for n, t in wide.dtypes])
+
+
+def sort_stable(spark, sf_dir):
+    """Orders sorted by status (three values, descending), equal ones in input order; global rank."""
+    o = records.with_input_position(views.table(spark, sf_dir, "orders"))
+    ranked = records.with_global_rank(o, records.stable_order("o_orderstatus", "desc"), "rank")
+    return ranked.select("o_orderkey", "o_orderstatus", "rank")
+
+
+def lenient_timestamp(spark, sf_dir):
+    """Loose date-time text whose parts roll over."""
+    t = views.order_date_texts(spark, sf_dir)
+    late = F.concat_ws(" ", F.year("o_orderdate") , F.lit("14"), F.col("o_orderkey") % 400, F.lit("25:61:61"))
+    o = views.table(spark, sf_dir, "orders").select("o_orderkey", late.alias("late"))
+    both = t.join(o, "o_orderkey")
+    return both.select("o_orderkey", F.expr(tx.normalize_timestamp("text", lenient=True)).alias("ts"),
+                       F.expr(tx.normalize_timestamp("late", lenient=True)).alias("late_ts"))
+
+
 LOOKUP_KEY, LOOKUP_COLUMN = "0click", "amount"
 
 
@@ -340,6 +407,13 @@ QUERIES = {
     "upsert_overwrites": upsert_overwrites,
     "backfill_upsert": backfill_upsert,
     "history_lookup": history_lookup,
+    "store_update": store_update,
+    "store_backfill": store_backfill,
+    "history_lookup_many": history_lookup_many,
+    "fanin_ties": fanin_ties,
+    "latest_wide_typed": latest_wide_typed,
+    "sort_stable": sort_stable,
+    "lenient_timestamp": lenient_timestamp,
     "regex_matches": regex_matches,
     "sort_records": sort_records,
     "distinct_sorted": distinct_sorted,

@@ -9,6 +9,11 @@ PAGE_SCHEMA = ("source_key STRING, page_model STRING, data STRING, propertys STR
                "download_time BIGINT, request_url STRING")
 PAGE_COLUMNS = ["source_key", "page_model", "data", "propertys", "download_time", "request_url"]
 
+#: Stored columns of a cell but those that are folders: names that look like numbers stay texts.
+CELL_SCHEMA = ("row_key STRING, qualifier STRING, vtype STRING, v_string STRING, v_int INT, v_long BIGINT, "
+               "v_float FLOAT, v_double DOUBLE, v_bool BOOLEAN, download_time BIGINT, source_key STRING, "
+               "item_pos INT, put_seq INT, source_no INT")
+
 
 def read_pages(spark: SparkSession, path_or_df, fmt: str = "parquet") -> DataFrame:
     """Raw pages with the fixed six-column projection (pruned at the scan)."""
@@ -28,7 +33,7 @@ def read_pages(spark: SparkSession, path_or_df, fmt: str = "parquet") -> DataFra
 
 def read_cells(spark: SparkSession, path: str) -> DataFrame:
     """A cell table written by :func:`cellsmith.sources.sinks.write_cells`."""
-    return spark.read.parquet(path).drop("period")
+    return spark.read.schema(f"{CELL_SCHEMA}, family STRING, period STRING").parquet(path).drop("period")
 
 
 def read_history(cells: DataFrame, column: str) -> DataFrame:

@@ -61,9 +61,20 @@ def _pages(df: DataFrame, source_key: Column, model: Column, data: Column,
 # ---------------------------------------------------------------------------
 def event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One detail page per event: model = event type, data = the event as JSON."""
-    e = _dealt(table(spark, sf_dir, "events"), "event_id")
+    return _event_pages(spark, sf_dir, F.col("event_id"), F.col("value"))
+
+
+def second_event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Another site's pages of the same events with other values. Every second one has the same time and
+    source key as in :func:`event_pages`, the others a key that sorts before it."""
+    key = F.when(F.col("event_id") % 2 == 0, F.col("event_id").cast("string")).otherwise(F.lit(""))
+    return _event_pages(spark, sf_dir, key, F.col("value") + 1)
+
+
+def _event_pages(spark: SparkSession, sf_dir: str, key: Column, value: Column) -> DataFrame:
+    e = _dealt(table(spark, sf_dir, "events"), "event_id").withColumn("_key", key).withColumn("value", value)
     base = _obj(F.col("user_id"), F.col("event_type"), F.col("value"))
-    return _pages(e, F.col("event_id"), F.col("event_type"),
+    return _pages(e, F.col("_key"), F.col("event_type"),
                   _with_raw(base, "props", F.col("props")), F.lit(None), epoch_ms("ts"))
 
 
@@ -315,7 +326,7 @@ def token_history_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(None).cast("boolean").alias("v_bool"),
                     F.lit(None).cast("bigint").alias("download_time"),
                     F.col("row_key").alias("source_key"), F.lit(0).alias("item_pos"),
-                    F.lit(0).alias("put_seq"))
+                    F.lit(0).alias("put_seq"), F.lit(0).alias("source_no"))
 
 
 def typed_history_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -332,7 +343,7 @@ def typed_history_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
                     none("string", "v_string"), F.col("v").alias("v_int"), none("bigint", "v_long"),
                     none("float", "v_float"), none("double", "v_double"), none("boolean", "v_bool"),
                     F.lit(4102444800000).alias("download_time"), F.col("row_key").alias("source_key"),
-                    F.lit(0).alias("item_pos"), F.lit(0).alias("put_seq"))
+                    F.lit(0).alias("item_pos"), F.lit(0).alias("put_seq"), F.lit(0).alias("source_no"))
 
 
 def odd_texts(spark: SparkSession, sf_dir: str) -> DataFrame:

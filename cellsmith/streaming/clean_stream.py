@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cellsmith.operators.cells import cells_from_items, clean, rejects_from_items
 from cellsmith.operators.merge import latest, merge_cells
-from cellsmith.sources.pages import PAGE_SCHEMA
+from cellsmith.sources.pages import CELL_SCHEMA, PAGE_SCHEMA, read_cells
 from cellsmith.sources.sinks import write_cells
 from cellsmith.spec import ModelSpec, Vocab
 
@@ -60,7 +60,8 @@ def start_clean_stream(pages: DataFrame, models: list[ModelSpec], cells_path: st
 
 
 def read_cell_log(spark: SparkSession, cells_path: str) -> DataFrame:
-    return spark.read.parquet(cells_path).drop("batch_id", "period")
+    schema = f"{CELL_SCHEMA}, batch_id BIGINT, family STRING, period STRING"
+    return spark.read.schema(schema).parquet(cells_path).drop("batch_id", "period")
 
 
 def read_latest(spark: SparkSession, cells_path: str) -> DataFrame:
@@ -71,4 +72,4 @@ def read_latest(spark: SparkSession, cells_path: str) -> DataFrame:
 def compact(spark: SparkSession, cells_path: str, out_path: str) -> DataFrame:
     """Merge the whole cell log into one snapshot at a new path."""
     write_cells(merge_cells(read_cell_log(spark, cells_path)), out_path)
-    return spark.read.parquet(out_path).drop("period")
+    return read_cells(spark, out_path)

@@ -103,7 +103,7 @@ def test_job_one_source_two_outputs(spark):
 def test_job_keeps_names_apart_and_earlier_cells(spark):
     m = detail_model({"v": {"name": "v", "type": "String"}})
     page = lambda i, v, t: (str(i), "m", json.dumps({"id": i, "v": v}), None, t)
-    names = ["店铺", "菜单", "a:b", "a_b", "1"]
+    names = ["店铺", "菜单", "a:b", "a_b", "1", "007"]
     spec = [TableSpec(f"s{n}", n, (m,)) for n in names]
     root = tempfile.mkdtemp(prefix="cellsmith-spec-")
     first = {f"s{n}": pages_df(spark, [page(1, n, 50), page(2, n, 50)]) for n in names}
@@ -132,7 +132,7 @@ def test_backfill_overwrites_the_table_it_read(spark):
     cells = spark.createDataFrame(
         [(*t, 10, "s", 0, 0, "o") for t in text],
         "row_key string, family string, qualifier string, vtype string, v_string string, v_int int, "
-        "download_time bigint, source_key string, item_pos int, put_seq int, output_table string")
+        "download_time bigint, source_key string, item_pos int, put_seq int, output_table string").withColumn("source_no", F.lit(0))
     cells = cells.selectExpr("*", "CAST(NULL AS BIGINT) AS v_long", "CAST(NULL AS FLOAT) AS v_float",
                              "CAST(NULL AS DOUBLE) AS v_double", "CAST(NULL AS BOOLEAN) AS v_bool")
     root = tempfile.mkdtemp(prefix="cellsmith-fill-")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 
+from pyspark.sql import functions as F
+
 from cellsmith.operators import merge
 from cellsmith.operators.cells import clean
 from cellsmith.plans import specs
@@ -52,10 +54,15 @@ def test_lookup_reads_one_family_and_skips_files(spark):
     assert "amount" in plan.split("PartitionFilters:")[1].split("]")[0]
     assert "EqualTo(row_key,0click)" in plan and "from_json" not in plan
     assert hit.count() == merge.lookup_history(cells, "0click", "amount").count()
-    # files of a folder hold ranges of row keys
-    files = spark.read.parquet(f"{root}/cells").where("family = 'amount'").selectExpr(
-        "period", "input_file_name() AS f", "row_key").groupBy("period", "f").agg({"row_key": "max"})
-    assert files.count() > 1
+    # files of a folder hold ranges of row keys that do not overlap
+    write_cells(merge.merge_cells(cells), f"{root}/small", files=6)
+    files = spark.read.parquet(f"{root}/small").where("family = 'amount'").groupBy(
+        "period", F.input_file_name()).agg(F.min("row_key").alias("lo"), F.max("row_key").alias("hi")).collect()
+    periods = {r.period for r in files}
+    assert len(files) > len(periods)
+    for p in periods:
+        ranges = sorted((r.lo, r.hi) for r in files if r.period == p)
+        assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:], strict=False))
 
 
 def test_reject_plan_does_not_grow_with_columns(spark):
