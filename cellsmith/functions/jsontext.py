@@ -23,14 +23,18 @@ _OPEN = "\u0001"
 _CLOSE = "\u0003"
 # A JSON string literal in either kind of quotes (group 1) or a bare number
 # (group 2). Strings are consumed whole so digits inside them are never touched.
-_NUMBER = r"-?[0-9][0-9.eE+\-]*+"
-_TOKEN = (r'("[^"\\]*+(?:\\.[^"\\]*+)*+"|' + r"'[^'\\]*+(?:\\.[^'\\]*+)*+')|(" + _NUMBER + ")")
+_NUMBER = r"-?[0-9]++(?:\.[0-9]++)?+(?:[eE][+\-]?[0-9]++)?+"
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|' + r"'[^'\\]*+(?:\\.[^'\\]*+)*+'"
+# ``1-2``, ``1.2.3`` and ``1e+`` are no numbers, nor is a part of them.
+_TOKEN = f"({_STRING})|((?<![0-9.eE+\\-]){_NUMBER}(?![0-9.eE+\\-]))"
+_NO_BRACKET = "(?s)" + _STRING + r"""|[^\[\]{}"']++"""
 # Inside nested JSON text the parser re-escapes the marks as six characters
 # each (backslash-u-0002 / backslash-u-0004); text that was not parsed has them
-# raw. Either way only a whole marked number is restored, so a source text that
-# begins with U+0002 keeps its characters.
+# raw. Either way only a whole marked number is restored. The source's own control
+# characters U+0001 to U+0004 are written as escapes before numbers are marked.
 ESC_OPEN = '"\\u0002'
-_MARKED = ('"(?:\\\\u0002|' + NUM_MARK + ")(" + _NUMBER + ")(?:\\\\u0004|" + NUM_END + ')"')
+_MARKED = '"\\\\u0002(' + _NUMBER + ')\\\\u0004"'
+_MARKED_RAW = '"(?:\\\\u0002|' + NUM_MARK + ")(" + _NUMBER + ")(?:\\\\u0004|" + NUM_END + ')"'
 _MARKED_NUMBER = "^" + NUM_MARK + _NUMBER + NUM_END + r"\z"
 
 CORRUPT = "_corrupt"
@@ -41,20 +45,41 @@ _RECORD_OPTS = ("map('allowUnquotedControlChars', 'true', 'mode', 'PERMISSIVE',
 
 def mark_numbers(x: str) -> str:
     """Quote every bare number of a JSON text between the number marks."""
+    for c in (_OPEN, NUM_MARK, _CLOSE, NUM_END):  # the text's own ones, as escapes
+        x = f"replace({x}, {q(c)}, {q(f'{chr(92)}u{ord(c):04x}')})"
     s = f"regexp_replace({x}, {q(_TOKEN)}, {q('$1' + _OPEN + '$2' + _CLOSE)})"
     s = f"replace({s}, {q(_OPEN + _CLOSE)}, '')"  # after a string: nothing
     s = f"replace({s}, {q(_OPEN)}, {q(chr(34) + NUM_MARK)})"
     return f"replace({s}, {q(_CLOSE)}, {q(NUM_END + chr(34))})"
 
 
-def unmark(x: str) -> str:
-    """Field text as the source had it: number text without its marks."""
+def unmark(x: str, parsed: bool = True) -> str:
+    """Field text as the source had it: number text without its marks. ``parsed`` False: of a
+    marked text that no parser has read."""
+    if not parsed:
+        return (f"(CASE WHEN contains({x}, {q(NUM_MARK)}) OR contains({x}, {q(ESC_OPEN)}) "
+                f"THEN regexp_replace({x}, {q(_MARKED_RAW)}, '$1') ELSE {x} END)")
     return (f"(CASE WHEN startswith({x}, {q(NUM_MARK)}) AND {x} RLIKE {q(_MARKED_NUMBER)} "
             f"THEN substring({x}, 2, length({x}) - 2) "
-            f"WHEN contains({x}, {q(ESC_OPEN)}) OR contains({x}, {q(chr(34) + NUM_MARK)}) "
+            f"WHEN contains({x}, {q(ESC_OPEN)}) "
             f"THEN regexp_replace({x}, {q(_MARKED)}, '$1') ELSE {x} END)")
 
 
+def closed(marked: str) -> str:
+    """Whether every closing bracket of the text closes one that the text opened. A text that closes
+    others could end the array that :func:`_parse_alone` puts around it, and go on beyond it.
+
+    Strings and all that is no bracket go first, then the innermost pairs, three times; only deeper
+    texts are counted bracket by bracket.
+    """
+    s = f"regexp_replace({marked}, {q(_NO_BRACKET)}, '')"
+    for _ in range(3):
+        s = f"regexp_replace({s}, {q(r'\[\]|\{\}')}, '')"
+    fold = ("aggregate(split(s, ''), 0, (a, c) -> CASE WHEN a < 0 THEN a WHEN c IN ('[', '{') THEN a + 1 "
+            "WHEN c IN (']', '}') THEN a - 1 ELSE a END) = 0")
+    return f"(NOT contains({marked}, ']') OR transform(array({s}), s -> s = '' OR {fold})[0])"
+
+
 def _parse_alone(marked: str, fields: str) -> str:
     """Parse ``marked`` as the only element of an array, so that an empty text,
     a second value and text after the object do not pass for a document."""

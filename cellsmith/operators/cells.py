@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from cellsmith import fixed
 from cellsmith.functions import arrays, coerce as co
-from cellsmith.functions.jsontext import (ESC_OPEN, NUM_MARK, field_names, mark_numbers, parse_items,
+from cellsmith.functions.jsontext import (ESC_OPEN, NUM_MARK, closed, field_names, mark_numbers, parse_items,
                                           parse_object_array, parse_record, parse_text_array,
                                           parse_text_map, sole, unmark)
 from cellsmith.functions.sqltext import field, ident, isin, q
@@ -86,7 +86,8 @@ def item_frame(pages: DataFrame, models: list[ModelSpec], zone: str | None = Non
     """One row per item (list models) or per page (detail models) and model.
 
     Columns: source_key, page_model, mi (the model's index in ``models``),
-    download_time, day, item_pos, item (marked item text), rec (the item's
+    download_time, day, item_pos, src (a detail page's own text), found (a list item as it
+    was found), item (marked item text), rec (the item's
     wanted keys as marked texts; NULL if the item is not one well-formed object), props (map, list models), page_reason.
     """
     names = list(dict.fromkeys(m.name for m in models))
@@ -94,7 +95,7 @@ def item_frame(pages: DataFrame, models: list[ModelSpec], zone: str | None = Non
     index, many = _model_index(models)
     p = pages.select(*PAGE_COLUMNS).where(F.col("page_model").isin(names))
     p = p.selectExpr(*PAGE_COLUMNS, f"explode({index}) AS mi" if many else f"{index} AS mi")
-    p = p.selectExpr("source_key", "page_model", "mi", "download_time", "propertys",
+    p = p.selectExpr("source_key", "page_model", "mi", "download_time", "propertys", "data",
                      f"{mark_numbers('data')} AS mdata")
 
     null_data = ("mdata IS NULL", _reason("'null_data'", None, None))
@@ -110,15 +111,15 @@ def item_frame(pages: DataFrame, models: list[ModelSpec], zone: str | None = Non
                    for k, (path, v) in enumerate(paths.items())],
             f"CASE WHEN {is_list} AND propertys IS NOT NULL "
             f"THEN {parse_text_map(mark_numbers('propertys'))} END AS props")
-        good = " ".join(f"WHEN {_of(v)} THEN {sole(f'doc{k}')} IS NOT NULL" for k, v in enumerate(paths.values()))
+        good = " ".join(f"WHEN {_of(v)} THEN {sole(f'doc{k}')} IS NOT NULL AND {closed('mdata')}" for k, v in enumerate(paths.values()))
         items = " ".join(f"WHEN {_of(v)} THEN {sole(f'doc{k}')}.{ident(path)}" for k, (path, v) in enumerate(paths.items()))
-        p = p.selectExpr("source_key", "page_model", "mi", "download_time", "propertys", "mdata", "props",
+        p = p.selectExpr("source_key", "page_model", "mi", "download_time", "propertys", "data", "mdata", "props",
                          f"CASE {good} END AS good", f"CASE {items} END AS found")
-        items = f"CASE WHEN {is_list} THEN found ELSE array(mdata) END"
+        items = f"CASE WHEN {is_list} THEN CASE WHEN good THEN found END ELSE array(mdata) END"
         bad_props = "(propertys IS NOT NULL AND props IS NULL AND trim(propertys) NOT IN ('null', ''))"
         branches = [
             null_data, null_dt,
-            (f"{is_list} AND NOT good", _reason("'bad_data_json'", None, unmark("mdata"))),
+            (f"{is_list} AND NOT good", _reason("'bad_data_json'", None, "data")),
             (f"{is_list} AND {bad_props}", _reason("'bad_propertys_json'", "propertys", "propertys")),
             (f"{is_list} AND exists(map_values(props), v -> v IS NULL)",
              _reason("'null_property'", "propertys", "propertys")),
@@ -129,23 +130,27 @@ def item_frame(pages: DataFrame, models: list[ModelSpec], zone: str | None = Non
         branches = [null_data, null_dt]
     page_reason = "CASE " + " ".join(f"WHEN {c} THEN {v}" for c, v in branches) + " END"
 
-    x = p.selectExpr("source_key", "page_model", "mi", "download_time", "props",
+    # the source text of a detail page; a list page's would be repeated on every item
+    src = f"CASE WHEN NOT {is_list} THEN data END" if lists else "data"
+    x = p.selectExpr("source_key", "page_model", "mi", "download_time", "props", f"{src} AS src",
                      f"{page_reason} AS page_reason",
-                     f"posexplode_outer({items}) AS (item_pos, item)")
+                     f"posexplode_outer({items}) AS (item_pos, found)")
     # Pages with no items and nothing wrong write nothing.
     x = x.where("item_pos IS NOT NULL OR page_reason IS NOT NULL")
-    base = ["source_key", "page_model", "mi", "download_time", "props", "page_reason"]
+    base = ["source_key", "page_model", "mi", "download_time", "props", "page_reason", "src", "found"]
+    # An item may be an object or a string holding one. An object item's
+    # text was rendered from the marked page, so its numbers already carry
+    # the (escaped) mark; a string item's JSON was opaque to that pass and
+    # is marked now. An object without numbers is marked again: a no-op.
+    item = "found"
     if lists:
-        # An item may be an object or a string holding one. An object item's
-        # text was rendered from the marked page, so its numbers already carry
-        # the (escaped) mark; a string item's JSON was opaque to that pass and
-        # is marked now. An object without numbers is marked again: a no-op.
-        x = x.selectExpr(*base, "item_pos", f"CASE WHEN {is_list} AND NOT contains(item, {q(ESC_OPEN)}) "
-                         f"THEN {mark_numbers('item')} ELSE item END AS item")
+        item = (f"CASE WHEN {is_list} AND NOT contains(found, {q(ESC_OPEN)}) AND NOT startswith(found, {q(NUM_MARK)}) "
+                f"THEN {mark_numbers('found')} ELSE found END")
+    x = x.selectExpr(*base, "CAST(item_pos AS INT) AS item_pos", f"{item} AS item")
     keys = list(dict.fromkeys(k for m in models for k in m.field_keys())) or [""]
-    x = x.selectExpr(*base, "CAST(item_pos AS INT) AS item_pos", "item",
+    x = x.selectExpr(*base, "item_pos", "item",
                      f"{day_of('download_time', zone)} AS day", f"{parse_record('item', keys)} AS doc")
-    return x.selectExpr(*base, "item_pos", "item", "day", f"{sole('doc')} AS rec")
+    return x.selectExpr(*base, "item_pos", "item", "day", f"CASE WHEN {closed('item')} THEN {sole('doc')} END AS rec")
 
 
 # ---------------------------------------------------------------------------
@@ -252,7 +257,7 @@ def _value_layer(nm: _Names, i: int, m: ModelSpec, vocab: Vocab) -> list[str]:
 def model_key(nm: _Names, m: ModelSpec) -> str:
     """Row key of model ``m``: regex over the item text, else composite + CJK hash."""
     if m.uses_regex_key:
-        return regex_key(unmark("item"), m.rowkey_regex)
+        return regex_key(unmark("found"), m.rowkey_regex)
     return safe_key(concat_key([nm.text(k) for k in m.rowkey_columns]))
 
 
@@ -324,9 +329,9 @@ def model_cells(nm: _Names, i: int, m: ModelSpec, wanted: Wanted) -> tuple[str,
     # positions keep the write order without another pass over the array.
     cells = _EMPTY_CELLS if not parts else parts[0] if len(parts) == 1 else "concat(" + ", ".join(parts) + ")"
 
-    item_reason = (f"CASE WHEN item IS NULL THEN {_reason(q('null_item'), None, None)} "
+    item_reason = (f"CASE WHEN found IS NULL THEN {_reason(q('null_item'), None, None)} "
                    f"WHEN rec IS NULL THEN "
-                   f"{_reason(q('bad_item_json' if m.is_list else 'bad_data_json'), None, unmark('item'))} END")
+                   f"{_reason(q('bad_item_json' if m.is_list else 'bad_data_json'), None, unmark('found') if m.is_list else 'src')} END")
     key_reason = f"CASE WHEN _key{i} = '' THEN {_reason(q('empty_row_key'), None, None)} END"
     return cells, "coalesce(" + ", ".join([item_reason, key_reason] + reasons) + ")"
 

@@ -88,7 +88,7 @@ d AS (
       [event_id % 11 + 1] AS flag
   FROM events),
 dr AS (
-  SELECT *, CASE WHEN event_id % 97 < 4 THEN 'bad_data_json'
+  SELECT *, CASE WHEN event_id % 97 < 11 THEN 'bad_data_json'
                  WHEN r = '.' THEN 'int_only_dots'
                  WHEN flag = 'maybe' THEN 'bad_boolean' END AS reason
   FROM d),
@@ -441,7 +441,12 @@ SELECT row_key AS source_key, 'dirty' AS page_model, 0 AS item_pos,
          AS source_field, reason,
        CASE reason WHEN 'int_only_dots' THEN r WHEN 'bad_boolean' THEN flag ELSE
          CASE event_id % 97 WHEN 0 THEN body || ',' WHEN 1 THEN body || '}} x 1.50'
-                            WHEN 2 THEN body || '}}{{"id":2.50}}' ELSE '' END END AS raw
+                            WHEN 2 THEN body || '}}{{"id":2.50}}' WHEN 3 THEN ''
+                            WHEN 4 THEN body || '}}],"e":[{{"id":7}}' WHEN 5 THEN body || '}}],"d":[{{"id":7}}'
+                            WHEN 6 THEN body || '}}]}}' WHEN 7 THEN body || ',"n":1-2}}'
+                            WHEN 8 THEN body || ',"n":1.2.3}}' WHEN 9 THEN body || ',"n":1e+}}'
+                            ELSE body || ',"n":"p' || chr(1) || 'q' || chr(2) || 'r' || chr(3) || 's' || chr(4) || '"'
+         END END AS raw
 FROM j WHERE reason IS NOT NULL""",
     "history_lookup_many": "SELECT * FROM (" + _event_cells(latest=False)
         + """) WHERE family = 'amount' AND row_key IN (

@@ -277,7 +277,7 @@ def history_lookup_many(spark, sf_dir):
     """Every day of one column for all rows that have a purchase above 20, from the stored table."""
     store = create_store(spark, work_path(spark, "store"), buckets=8)
     store.upsert(_events_clean(spark, sf_dir).cells.withColumn("output_table", F.lit("events")))
-    keys = views.table(spark, sf_dir, "events").where("event_type = 'purchase' AND value > 500") \
+    keys = views.table(spark, sf_dir, "events").where("event_type = 'purchase' AND value > 20") \
         .select(F.concat("user_id", "event_type").alias("row_key"))
     return merge.cell_values(store.lookup("events", keys, LOOKUP_COLUMN))
 

@@ -124,9 +124,13 @@ def dirty_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                       for x in (F.lit(f',"{k}":'), raw)],
                     F.lit(',"flag":'), _json_string(flag))
     k = F.col("event_id") % 97
-    data = F.when(k == 0, F.concat(data, F.lit(","))).when(k == 1, F.concat(data, F.lit("} x 1.50"))) \
-        .when(k == 2, F.concat(data, F.lit('}{"id":2.50}'))).when(k == 3, F.lit("")) \
-        .otherwise(F.concat(data, F.lit("}")))
+    out = F.when(k == 0, F.concat(data, F.lit(","))).when(k == 1, F.concat(data, F.lit("} x 1.50"))) \
+        .when(k == 2, F.concat(data, F.lit('}{"id":2.50}'))).when(k == 3, F.lit(""))
+    # brackets that close what the document did not open, texts that are no numbers, control characters
+    for n, tail in enumerate(['}],"e":[{"id":7}', '}],"d":[{"id":7}', '}]}', ',"n":1-2}', ',"n":1.2.3}', ',"n":1e+}',
+                              ',"n":"p\u0001q\u0002r\u0003s\u0004"'], 4):
+        out = out.when(k == n, F.concat(data, F.lit(tail)))
+    data = out.otherwise(F.concat(data, F.lit("}")))
     return _pages(e, F.col("event_id"), F.lit("dirty"), data, F.lit(None), epoch_ms("ts"))
 
 
