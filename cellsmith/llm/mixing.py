@@ -29,8 +29,9 @@ def word_count(text: Column) -> Column:
 
 
 def draw(id_col: Column, seed: int) -> Column:
-    """A document's place in the seeded order of its source, 0 to 2**32 - 1."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), id_col), 32)
+    """A document's place in the seeded order of its source, 0 to 2**32 - 1: the front of the MD5 of seed and id."""
+    text = F.concat_ws(":", F.lit(seed).cast("string"), id_col.cast("string"))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
 
 
 def water_level(sources: DataFrame, budget: float, max_epochs: float) -> float:

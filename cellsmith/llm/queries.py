@@ -213,6 +213,36 @@ SELECT j.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ba
        failed AS rule_failed, r.rate AS host_rate,
        NOT failed AND NOT (j.source IS NOT NULL AND r.rate > 0.6) AS kept
 FROM j JOIN r ON j.source IS NOT DISTINCT FROM r.source
+""",
+    "op8_mixing": r"""
+WITH sizes AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         ('0x' || left(md5(concat_ws(':', '17', doc_id::VARCHAR)), 8))::BIGINT AS u FROM documents),
+sources AS (
+  SELECT source, size, 2.0::DOUBLE * size AS clamp,
+         [3.0, 1.0, 2.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS weight
+  FROM (SELECT source, sum(size)::BIGINT AS size FROM sizes GROUP BY source)),
+-- the level if exactly the sources with a smaller clamp per weight are clamped; right where it lies below its own
+levels AS (
+  SELECT clamp / weight AS ratio, (1.5::DOUBLE * sum(size) OVER () - coalesce(sum(clamp) OVER under, 0))
+         / (sum(weight) OVER () - coalesce(sum(weight) OVER under, 0)) AS level
+  FROM sources
+  WINDOW under AS (ORDER BY clamp / weight RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW EXCLUDE GROUP)),
+plan AS (
+  SELECT source, size, least(weight * (SELECT arg_min(level, ratio) FROM levels WHERE level <= ratio), clamp) AS target
+  FROM sources),
+drawn AS (
+  SELECT s.doc_id, s.size, p.size AS source_size, p.target, s.source,
+         CASE WHEN p.size > 0 THEN floor(p.target / p.size)::BIGINT ELSE 0 END AS whole,
+         sum(s.size) OVER (PARTITION BY s.source ORDER BY s.u RANGE UNBOUNDED PRECEDING)::BIGINT AS upto
+  FROM sizes s JOIN plan p ON s.source IS NOT DISTINCT FROM p.source),
+-- of all fronts of a source's order, the empty one included, the one whose words come nearest to the rest
+fronts AS (
+  SELECT DISTINCT source, upto, target - whole * source_size AS rest FROM drawn
+  UNION SELECT source, 0, target - whole * source_size FROM drawn),
+nearest AS (SELECT source, arg_min(upto, (abs(upto - rest), upto)) AS words FROM fronts GROUP BY source)
+SELECT doc_id, size, source_size, target, (whole + (upto <= words)::BIGINT) * size AS taken
+FROM drawn JOIN nearest ON drawn.source IS NOT DISTINCT FROM nearest.source
 """,
     "op11_merkle_manifest": f"""
 WITH RECURSIVE {_TAB},
