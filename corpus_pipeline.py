@@ -41,7 +41,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality_rules", quality_rules), ("line_dedup", dedup_lines), ("near_dedup", near_dedup),
           ("mixing", mix_sources), ("packing", pack)]
 
-#: Min hashes, seeded draws and token ids have no SQL; tests/llm/test_pipeline.py holds every stage
+#: Min hashes and token ids have no SQL; tests/llm/test_pipeline.py holds every stage
 #: against plain Python instead.
 ORACLE_SQL = None
 
