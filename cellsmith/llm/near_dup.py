@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellsmith.llm.common import cut, hashed_words, mix64, partitions, stream64, windows64
-from cellsmith.llm.graph import components
+from cellsmith.llm.graph import components, joined
 
 WORDS = 5
 TREES, FIRST, DEPTH, REACH = 24, 3, 6, 8
@@ -58,7 +58,9 @@ GROUP_ESTIMATE = 0.8
 #: Counters of the shingles' frequency in crowds; it only orders them.
 CROWD_BUCKETS = 1 << 20
 #: Classes that are compared at a time of those that share a shingle.
-CROWD_CHUNK = 2000
+CROWD_CHUNK = 500
+#: Pairs that a task holds before it hands them on.
+_PAIRS = 100_000
 #: Rows of an open run that are held back until the run ends.
 _HELD = 100_000
 _N = TREES * FIRST
@@ -340,30 +342,46 @@ def _possible(size: np.ndarray, place: np.ndarray, percent: int) -> np.ndarray:
     return (size - place)[:, None].clip(max=size - place) >= least
 
 
+def _ordered(fp: np.ndarray, left: list[np.ndarray], right: list[np.ndarray]) -> pa.RecordBatch:
+    """The pairs of rows as (a, b) with a < b; repeated ones go in the distinct that follows."""
+    x, y = fp[np.concatenate(left)], fp[np.concatenate(right)]
+    low = x < y
+    return pa.RecordBatch.from_arrays([pa.array(np.where(low, x, y), pa.binary()),
+                                       pa.array(np.where(low, y, x), pa.binary())], ["a", "b"])
+
+
 def _crowd_pairs(percent: int):
     """Pairs of classes in the sorted groups (token, x, y) that may be of the threshold."""
 
-    def pairs(t: pa.Table) -> set[tuple[bytes, bytes]]:
-        found = set()
+    def pairs(t: pa.Table) -> Iterator[pa.RecordBatch]:
         group = np.stack([t[c].to_numpy() for c in ("token", "x", "y")], 1)
         cuts = np.concatenate([[0], np.flatnonzero((group[1:] != group[:-1]).any(1)) + 1, [len(group)]])
         size, place, chunk = (t[c].to_numpy() for c in ("size", "place", "chunk"))
         fp, comp = (np.array(t[c].to_pylist(), object) for c in ("fp", "comp"))
+        comp = np.unique(comp, return_inverse=True)[1]
+        left, right, n = [], [], 0
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             if b - a < 2:
                 continue
             kinds, kind = np.unique(np.stack([size[a:b], place[a:b]], 1), axis=0, return_inverse=True)
             may = _possible(kinds[:, 0], kinds[:, 1], percent)
             kind = kind.ravel()
-            c, d, f = comp[a:b], chunk[a:b], fp[a:b]
+            c, d = comp[a:b], chunk[a:b]
             apart = group[a, 1] != group[a, 2]
             for i in np.flatnonzero(may.any(1)[kind]).tolist():
-                j = np.flatnonzero(may[kind[i], kind[i + 1:]]) + i + 1
-                j = j[c[j] != c[i]]
+                ok = may[kind[i], kind[i + 1:]] & (c[i + 1:] != c[i])
                 if apart:
-                    j = j[d[j] != d[i]]
-                found.update((x, f[i]) if x < f[i] else (f[i], x) for x in f[j])
-        return found
+                    ok &= d[i + 1:] != d[i]
+                j = np.flatnonzero(ok) + a + i + 1
+                if len(j):
+                    left.append(np.full(len(j), a + i))
+                    right.append(j)
+                    n += len(j)
+                if n >= _PAIRS:
+                    yield _ordered(fp, left, right)
+                    left, right, n = [], [], 0
+        if n:
+            yield _ordered(fp, left, right)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -378,9 +396,8 @@ def _crowd_pairs(percent: int):
                 end = np.flatnonzero((group[1:] != group[:-1]).any(1))
                 done = int(end[-1]) + 1 if len(end) else 0
                 t, held = t.slice(0, done), t.slice(done)
-            if found := pairs(t) if t.num_rows else None:
-                a, b = zip(*found, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+            if t.num_rows:
+                yield from pairs(t)
 
     return run
 
@@ -474,12 +491,10 @@ def near_duplicates(docs: DataFrame, *, percent: int = PERCENT, id_col: str = "d
     failed = cut(star.join(links, ["a", "b"], "left_anti"), "failed")
     loose = failed.select("b").distinct()
     again = star.join(loose, "b").select(F.col("a").alias("fp")).union(loose.select(F.col("b").alias("fp")))
-    whole = components(links)
+    whole = cut(components(links), "whole")
     alone = classes.drop("comp").join(again, "fp").join(whole.select(F.col("node").alias("fp"), "root"), "fp", "left") \
         .withColumn("comp", F.coalesce("root", "fp")).drop("root")
     more, crowds2 = candidates(cut(alone, "alone"), REACH, LEAST_ESTIMATE, crowds=True)
-    joined = lambda whole, links: components(
-        whole.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links))
     whole = joined(whole, confirmed(cut(more, "more"), texts, percent))
 
     # long runs, in which not all are neighbours: what is not connected yet is joined exactly

@@ -114,3 +114,33 @@ def test_components_of_paths_and_stars(spark):
     got = {r.node: r.root for r in graph.components(df).collect()}
     assert got == {i: 0 for i in range(61)} | {k: 100 for k in range(100, 140)}
     assert graph.components(df.limit(0)).count() == 0
+
+
+def test_components_in_many_chunks_and_joined(spark):
+    r = random.Random(8)
+    first = [(i, i + 1) for i in range(0, 90) if i % 10] + [(r.randrange(200, 300), r.randrange(200, 300)) for _ in range(70)]
+    then = [(9, 11), (50, 51), (400, 401), (401, 15), (3, 250), (3, 3), (600, 601)]
+
+    def want(links):
+        up = {}
+
+        def root(x):
+            while up.setdefault(x, x) != x:
+                x = up[x]
+            return x
+
+        for a, b in links:
+            if a != b:
+                a, b = root(a), root(b)
+                up[max(a, b)] = min(a, b)
+        return {x: root(x) for x in up}
+
+    df = lambda links: spark.createDataFrame(links, "a long, b long")
+    got = lambda out: {x.node: x.root for x in out.collect()}
+    for chunk in (7, 10 ** 6):
+        whole = graph.components(df(first), chunk)
+        assert got(whole) == want(first) and whole.count() == len(want(first))
+        more = graph.joined(whole, df(then), chunk)
+        assert got(more) == want(first + then) and more.count() == len(want(first + then))
+    assert got(graph.joined(whole, df(then).limit(0))) == want(first)
+    assert got(graph.joined(whole.limit(0), df(then))) == want(then)
