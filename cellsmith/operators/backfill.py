@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from cellsmith.functions import coerce as co
-from cellsmith.functions.arrays import map_tokens, token_key, token_val
+from cellsmith.functions.arrays import map_tokens
 from cellsmith.functions.sqltext import q
 from cellsmith.operators.cells import CELL_FIELDS, CleanResult
 from cellsmith.spec import SubField
@@ -22,8 +22,8 @@ from cellsmith.spec import SubField
 
 def backfill(history: DataFrame, subfields: dict[str, SubField]) -> CleanResult:
     subs = list(subfields.values())
-    def typed(t: str) -> str:
-        k, v = token_key(t), token_val(t)
+
+    def typed(k: str, v: str) -> str:
         return "CASE " + " ".join(
             f"WHEN {k} = {q(s.source)} THEN named_struct('name', {q(s.name)}, "
             f"'val', {co.strict_parse(v, s.type)}, 'key', {k}, 'raw', {v})" for s in subs) + " END"

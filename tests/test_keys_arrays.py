@@ -132,3 +132,16 @@ def test_item_array_shapes(spark):
                   res.cells.select("source_key", "row_key").distinct().collect()) == [("ok", "2")]
     assert sorted((r.source_key, r.reason) for r in res.rejects.collect()) == [
         ("num", "bad_item_json"), ("obj", "bad_data_json"), ("str", "bad_data_json")]
+
+
+def test_tokens_are_split_once_and_need_exactly_two_parts(spark):
+    from cellsmith.functions.arrays import map_tokens
+    sql = map_tokens("t", lambda k, v: f"named_struct('k', {k}, 'v', {v})")
+    assert sql.count("split(") == 2 and "locate(" not in sql
+    df = spark.createDataFrame([("a:1  b:  :c  d:e:f  g:h::  i  a:2,3    x:y ",), (None,), ("",)], "t string")
+    got = [r.x for r in df.selectExpr(f"{sql} AS x").collect()]
+    assert [tuple(x) if x else None for x in got[0]] == [
+        ("a", "1"), None, ("", "c"), None, ("g", "h"), None, ("a", "2,3"), None, ("x", "y ")]
+    assert got[1] is None and got[2] == [None]
+    bare = map_tokens("t", lambda k, v: k, skip_commas=True)
+    assert df.selectExpr(f"{bare} AS x").first().x == ["a", None, "", None, "g", None, None, None, "x"]

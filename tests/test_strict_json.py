@@ -56,3 +56,25 @@ def test_closed_counts_deep_texts(spark):
     got = [r.c for r in df.select(F.expr(closed(mark_numbers("t"))).alias("c")).collect()]
     # an opening bracket that nothing closes is left to the parser
     assert [bool(c) for c in got] == [w for _, w in texts]
+
+
+def test_numbers_are_marked_in_one_pass(spark):
+    from cellsmith.functions.jsontext import NUM_END, NUM_MARK, mark_numbers
+    sql = mark_numbers("x")
+    assert sql.count("regexp_replace(") == 1 and sql.count("replace(") == 5  # four of them where control characters are
+    one = lambda n: f'"{NUM_MARK}{n}{NUM_END}"'
+    want = {'{"a1":1,"b":[-2.50,"3"]}': f'{{"a1":{one(1)},"b":[{one("-2.50")},"3"]}}',
+            "1-2 1.2.3 1e+ 7": f"1-2 1.2.3 1e+ {one(7)}", '"5': f'"{one(5)}', "'6' -": "'6' -", "": "",
+            '"p\u0002q" 8': f'"p\\u0002q" {one(8)}', "no number " * 50000: "no number " * 50000}
+    df = spark.createDataFrame([(k,) for k in want], "x string")
+    assert {r.x: r.y for r in df.selectExpr("x", f"{sql} AS y").collect()} == want
+
+
+def test_closed_tells_common_texts_by_one_match(spark):
+    from cellsmith.functions.jsontext import _PAIRED, closed
+    from cellsmith.functions.sqltext import q
+    texts = {'{"lines":[{"a":"]","s":["x"]}]}': (True, True), "[[[[]]]]": (True, True), "[[[[[]]]]]": (True, False),
+             "[1]]": (False, False), "[}": (True, False), '["]': (True, False), "{": (True, False)}
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    got = {r.x: (r.c, r.p) for r in df.selectExpr("x", f"{closed('x')} AS c", f"x RLIKE {q(_PAIRED)} AS p").collect()}
+    assert got == texts
