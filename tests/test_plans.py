@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from cellsmith.operators import merge
@@ -91,3 +92,18 @@ def test_no_query_deals_rows_round_robin(spark):
     from cellsmith.plans.queries import QUERIES
     for name in ("clean_latest", "list_items", "model_fanin", "rejects"):
         assert "RoundRobin" not in _plan(QUERIES[name](spark, "/root/testdata/sf0.001")), name
+
+
+@pytest.mark.parametrize("name", ["events", "part"])
+def test_rows_of_a_large_row_group_are_dealt_to_tasks_of_bounded_size(spark, tmp_path, monkeypatch, name):
+    rows = 4000
+    key = {"events": "id AS event_id, TIMESTAMP_NTZ'2024-01-02 00:00:00' AS ts, id AS user_id, 'view' AS event_type, "
+                     "1.5D AS value, '{}' AS props",
+           "part": "id AS p_partkey, 'n' AS p_name, 'b' AS p_brand, 't' AS p_type, CAST(id % 50 AS INT) AS p_size, "
+                   "2.5D AS p_retailprice"}[name]
+    spark.range(rows).selectExpr(*key.split(", ")).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    monkeypatch.setattr(views, "TASK_ROWS", 100)
+    view = views.event_pages if name == "events" else views.token_history_cells
+    sizes = view(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
+    made = rows if name == "events" else 2 * rows
+    assert sum(r["count"] for r in sizes) == made and max(r["count"] for r in sizes) < 3 * made / (rows / 100)
