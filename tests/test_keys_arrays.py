@@ -145,3 +145,37 @@ def test_tokens_are_split_once_and_need_exactly_two_parts(spark):
     assert got[1] is None and got[2] == [None]
     bare = map_tokens("t", lambda k, v: k, skip_commas=True)
     assert df.selectExpr(f"{bare} AS x").first().x == ["a", None, "", None, "g", None, None, None, "x"]
+
+
+def test_one_match_tells_that_no_token_fails(spark):
+    from cellsmith.functions import arrays, coerce as co
+    from cellsmith.functions.sqltext import q
+    types = {"n": "int", "f": "float", "d": "double", "b": "boolean", "s": "String", "": "int"}
+    values = ["", "1", "-12", "+7", "1.5", "x", "9999999999", "1e5", "TRUE", "fAlse", "null", " 1", "1 ", "1,2", "NaN", "1:2", "5:", ":", "."]
+    texts = [f"{a}{k}:{v}{b}" for k in [*types, "z"] for v in values for a in ("", " ", "  ", "   ", "z:1  ", "z:1    ", "n:1  s:x   ")
+             for b in ("", "  ", " ", "  n:2", "   d:1.5", "\n")]
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string")
+
+    def typed(sure):
+        def token(k, v):
+            named = " ".join(f"WHEN {k} = {q(n)} THEN named_struct('name', {q(n)}, 'val', {co.strict_parse(v, t, sure)})"
+                             for n, t in types.items())
+            return f"CASE WHEN {v} NOT IN ('', 'null') THEN CASE {named} END END"
+        return arrays.map_tokens("t", token)
+
+    rows = df.selectExpr("t", f"{arrays.sure_tokens('t', types)} AS sure", f"{typed(False)} AS a", f"{typed(True)} AS b").collect()
+    for r in rows:
+        if r.sure:
+            assert r.a == r.b and not any(x is not None and x.val is None for x in r.a), r
+    assert sum(bool(r.sure) for r in rows) > 500
+    assert rows[-1].sure is None
+
+
+def test_list_cells_need_no_token_typed(spark, monkeypatch):
+    from cellsmith.operators.cells import Wanted, clean
+    from cellsmith.plans import specs
+    from cellsmith.sources import views
+    pages = views.line_pages(spark, "/root/testdata/sf0.001")
+    only = clean(pages, list(specs.LINES[0].models), wanted=Wanted(latest=frozenset(["title"]), history=frozenset()))
+    plan = only.cells._jdf.queryExecution().optimizedPlan().toString()
+    assert "original_price|" in plan  # the one match

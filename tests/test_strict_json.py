@@ -78,3 +78,17 @@ def test_closed_tells_common_texts_by_one_match(spark):
     df = spark.createDataFrame([(t,) for t in texts], "x string")
     got = {r.x: (r.c, r.p) for r in df.selectExpr("x", f"{closed('x')} AS c", f"x RLIKE {q(_PAIRED)} AS p").collect()}
     assert got == texts
+
+
+def test_flat_texts_are_judged_by_their_parse(spark):
+    from cellsmith.functions.jsontext import closed, flat, parse_record, sole
+    texts = ['{"id":"1"}', '{"id":"}"}', '{"id":"1"', '{"id":"1","a":["x"]}', '{"id":"1","a":"x"]}', '{"id":"x}',
+             '{"id":{"b":"1"}', '{"id":"1"}],"d":[{"id":"7"}', '],"d":[{"id":"7"}', '{"id":"1"}]}', '{}', '', ' {"id":"1"}',
+             '{"id":"1"} ', '{"id":"1"],"d":[{"id":"7"}', '{"id":]}', "{'id':'}'}", '{"id":"\\"}', '{"id":"1"]}]}']
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    df = df.selectExpr("t", f"{parse_record('t', ['id'])} AS doc").selectExpr(
+        "t", f"CASE WHEN {closed('t')} THEN {sole('doc')} END AS a",
+        f"CASE WHEN {flat('t')} OR {closed('t')} THEN {sole('doc')} END AS b", f"{flat('t')} AS f")
+    rows = df.collect()
+    assert all(r.a == r.b for r in rows), rows
+    assert [r.f for r in rows[:5]] == [True, False, False, True, True]
