@@ -11,7 +11,7 @@ reaches the exchange as one row per map task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellsmith import fixed
@@ -23,8 +23,24 @@ ORDER = ["download_time", "source_key", "item_pos", "put_seq", "source_no"]
 VALUES = [n for n, _ in VALUE_FIELDS]
 
 
-def merge_cells(cells: DataFrame, key: list[str] = CELL_KEY, before: list[str] = ()) -> DataFrame:
-    """One cell per ``key``: the last write. Columns ``before`` come ahead of the order."""
+#: Cells that one task merges or sorts, a few hundred MB of them.
+TASK_CELLS = 500_000
+
+
+def tasks_for(spark: SparkSession, cells: int) -> int | None:
+    """Tasks of some :data:`TASK_CELLS` cells each; None where ``spark.sql.shuffle.partitions`` are as many."""
+    n = -(-cells // TASK_CELLS)
+    return n if n > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+
+
+def merge_cells(cells: DataFrame, key: list[str] = CELL_KEY, before: list[str] = (), tasks: int | None = None) -> DataFrame:
+    """One cell per ``key``: the last write. Columns ``before`` come ahead of the order.
+
+    ``tasks`` (of :func:`tasks_for`): the cells are dealt to so many by ``key`` and merged there, so that a
+    task's size does not grow with the table. Without, they are merged in the tasks that made
+    them first, and the number of tasks after the exchange is the session's."""
+    if tasks:
+        cells = cells.repartition(tasks, *key)
     last = F.max_by(F.struct(*VALUES, *ORDER), F.struct(*before, *ORDER)).alias("w")
     out = cells.groupBy(*key).agg(last)
     return out.select(*key, *[F.col("w")[c].alias(c) for c in VALUES + ORDER])
@@ -40,7 +56,7 @@ def history(cells: DataFrame) -> DataFrame:
     return merge_cells(cells.where(F.col("family") != fixed.LATEST_FAMILY))
 
 
-def upsert_cells(existing: DataFrame, new: DataFrame, key: list[str] = CELL_KEY) -> DataFrame:
+def upsert_cells(existing: DataFrame, new: DataFrame, key: list[str] = CELL_KEY, tasks: int | None = None) -> DataFrame:
     """Existing merged cells overwritten by the cells written now, whatever their
     download times; other cells stay.
 
@@ -48,7 +64,7 @@ def upsert_cells(existing: DataFrame, new: DataFrame, key: list[str] = CELL_KEY)
     """
     cols = [*key, *VALUES, *ORDER]
     both = existing.select(*cols, F.lit(0).alias("batch")).unionByName(new.select(*cols, F.lit(1).alias("batch")))
-    return merge_cells(both, key, ["batch"])
+    return merge_cells(both, key, ["batch"], tasks)
 
 
 def cell_text(prefix: str = "") -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cellsmith.operators.backfill import backfill
 from cellsmith.operators.cells import CleanResult, Wanted, cells_from_items, clean, rejects_from_items
-from cellsmith.operators.merge import CELL_KEY, merge_cells, upsert_cells
+from cellsmith.operators.merge import CELL_KEY, merge_cells, tasks_for, upsert_cells
 from cellsmith.session import cut
 from cellsmith.sources.pages import CELL_SCHEMA, read_history
 from cellsmith.sources.sinks import MONTH, write_cells
@@ -65,14 +65,17 @@ def run_job(spark: SparkSession, pages_by_table: dict[str, DataFrame], spec: lis
     """
     if existing_root is not None and existing_root.rstrip("/") == out_root.rstrip("/"):
         raise ValueError("write the new tables to a new path, not the one being read")
-    staged = _staged_items(pages_by_table, spec, vocab, zone)
+    staged, n = _staged_items(pages_by_table, spec, vocab, zone)
     key = ["output_table", *CELL_KEY]
     cells = cells_from_items(staged, extra=("output_table",))
     if existing_root is None:
-        merged = merge_cells(cells, key)
+        tasks = tasks_for(spark, n)
+        merged = merge_cells(cells, key, tasks=tasks)
     else:
-        merged = upsert_cells(_stored(spark, existing_root), cells, key)
-    write_cells(merged, f"{out_root}/cells", by=["output_table"], period=period)
+        old = _stored(spark, existing_root)
+        tasks = tasks_for(spark, n + old.count())
+        merged = upsert_cells(old, cells, key, tasks)
+    write_cells(merged, f"{out_root}/cells", by=["output_table"], period=period, files=tasks)
     rejects_from_items(staged, extra=("output_table",)).write.partitionBy("output_table") \
         .parquet(f"{out_root}/rejects")
 
@@ -102,24 +105,25 @@ def _metrics(i: int) -> list[Column]:
 
 
 def _staged_items(pages_by_table: dict[str, DataFrame], spec: list[TableSpec], vocab: Vocab | None,
-                  zone: str | None, counts: list[ModelCount] | None = None) -> DataFrame:
-    """All sources' items with their output table, written to the shared folder. ``counts`` gets a row a
-    model, counted in the same pass."""
-    items = []
+                  zone: str | None, counts: list[ModelCount] | None = None) -> tuple[DataFrame, int]:
+    """All sources' items with their output table, written to the shared folder, and the number of
+    their cells (empty ones included). ``counts`` gets a row a model, counted in the same pass."""
+    items, n = [], 0
     for source, pairs in _by_source(spec).items():
         res = clean(pages_by_table[source], [m for m, _, _ in pairs], vocab=vocab, zone=zone,
                     ordinals=[n for _, _, n in pairs]).items
         output = F.element_at(F.array(*[F.lit(o) for _, o, _ in pairs]), F.col("model_index") + 1)
         res = res.withColumn("output_table", output)
-        if counts is not None:
-            seen = Observation()
-            res = res.observe(seen, *[m for i in range(len(pairs)) for m in _metrics(i)])
+        seen = Observation()
+        cells = F.sum(F.when(F.col("cells").isNotNull(), F.size("cells"))).alias("n")
+        res = res.observe(seen, cells, *[m for i in range(len(pairs)) if counts is not None for m in _metrics(i)])
         items.append(cut(res, "items"))
+        got = seen.get
+        n += got["n"] or 0
         if counts is not None:
-            got = seen.get
             counts.extend(ModelCount(source, m.name, o, *(got[f"{c}{i}"] for c in ("pages", "items", "cells", "rejects")))
                           for i, (m, o, _) in enumerate(pairs))
-    return reduce(DataFrame.unionByName, items)
+    return reduce(DataFrame.unionByName, items), n
 
 
 def update_store(store: CellStore, pages_by_table: dict[str, DataFrame], spec: list[TableSpec],
@@ -133,12 +137,12 @@ def update_store(store: CellStore, pages_by_table: dict[str, DataFrame], spec: l
     anything is written.
     """
     counts: list[ModelCount] = []
-    staged = _staged_items(pages_by_table, spec, vocab, zone, counts)
+    staged, n = _staged_items(pages_by_table, spec, vocab, zone, counts)
     if max_reject_share is not None:
         bad = [c for c in counts if c.rejects > max_reject_share * max(c.items, c.pages)]
         if bad:
             raise ValueError(f"too many rejects, nothing was written: {bad}")
-    batch = store.upsert(cells_from_items(staged, extra=("output_table",)))
+    batch = store.upsert(cells_from_items(staged, extra=("output_table",)), tasks_for(store.spark, n))
     rejects_from_items(staged, extra=("output_table",)).withColumn("batch", F.lit(batch).cast("long")) \
         .write.mode("append").partitionBy("batch", "output_table").parquet(f"{store.root}/rejects")
     return counts
@@ -153,9 +157,10 @@ def backfill_store(store: CellStore, output_table: str, column: str, subfields:
     name, last = f"backfill {output_table} {column}", store.last_batch()
     new = store.changes(store.mark(name)).where((F.col("batch") <= last) & (F.col("output_table") == output_table)
                                                 & (F.col("family") == column))
-    latest = merge_cells(new, KEY, ["batch"])
+    texts = new.count()
+    latest = merge_cells(new, KEY, ["batch"], tasks_for(store.spark, texts))
     res = backfill(read_history(latest, column), subfields)
-    store.upsert(res.cells.withColumn("output_table", F.lit(output_table)))
+    store.upsert(res.cells.withColumn("output_table", F.lit(output_table)), tasks_for(store.spark, texts * len(subfields)))
     store.set_mark(name, last)
     return res.rejects
 
@@ -170,7 +175,9 @@ def backfill_job(spark: SparkSession, existing_root: str, output_table: str, col
     res = backfill(read_history(stored.where(F.col("output_table") == output_table), column), subfields)
     new = res.cells.withColumn("output_table", F.lit(output_table))
     key = ["output_table", *CELL_KEY]
-    write_cells(upsert_cells(stored, new, key), f"{out_root}/cells", by=["output_table"], period=period)
+    texts = stored.where((F.col("output_table") == output_table) & (F.col("family") == column)).count()
+    tasks = tasks_for(spark, stored.count() + texts * len(subfields))
+    write_cells(upsert_cells(stored, new, key, tasks), f"{out_root}/cells", by=["output_table"], period=period, files=tasks)
     res.rejects.withColumn("output_table", F.lit(output_table)).write.partitionBy("output_table") \
         .parquet(f"{out_root}/rejects")
 

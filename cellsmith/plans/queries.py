@@ -43,18 +43,29 @@ def _both(*names: str) -> Wanted:
     return Wanted(latest=frozenset(names), history=frozenset(names))
 
 
-def _merged(cells: DataFrame) -> DataFrame:
-    return merge.cell_values(merge.merge_cells(cells))
+def _merged(cells: DataFrame, tasks: int | None = None) -> DataFrame:
+    return merge.cell_values(merge.merge_cells(cells, tasks=tasks))
+
+
+def _tasks(spark: SparkSession, sf_dir: str, cells_by_table: dict[str, int]) -> int | None:
+    """Tasks that merge the cells of tables whose rows become at most so many each."""
+    return merge.tasks_for(spark, sum(views.table(spark, sf_dir, t).count() * n for t, n in cells_by_table.items()))
+
+
+def _buckets(spark: SparkSession, sf_dir: str, cells_by_table: dict[str, int]) -> int:
+    """Buckets of a store for the cells of such tables: an update merges one in a task."""
+    cells = sum(views.table(spark, sf_dir, t).count() * n for t, n in cells_by_table.items())
+    return max(8, -(-cells // merge.TASK_CELLS))
 
 
 def clean_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event pages (five models, one pass) -> merged latest cells."""
-    return _merged(_events_clean(spark, sf_dir, wanted=_only_latest()).cells)
+    return _merged(_events_clean(spark, sf_dir, wanted=_only_latest()).cells, _tasks(spark, sf_dir, {"events": 4}))
 
 
 def clean_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event pages -> merged daily history cells (incl. download-time cells)."""
-    return _merged(_events_clean(spark, sf_dir, wanted=_only_history()).cells)
+    return _merged(_events_clean(spark, sf_dir, wanted=_only_history()).cells, _tasks(spark, sf_dir, {"events": 5}))
 
 
 def _dirty_clean(spark: SparkSession, sf_dir: str, wanted=Wanted()):
@@ -63,7 +74,7 @@ def _dirty_clean(spark: SparkSession, sf_dir: str, wanted=Wanted()):
 
 
 def _coerced(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return _merged(_dirty_clean(spark, sf_dir, _both(name)).cells)
+    return _merged(_dirty_clean(spark, sf_dir, _both(name)).cells, _tasks(spark, sf_dir, {"events": 2}))
 
 
 def coerce_int(spark, sf_dir):
@@ -91,7 +102,7 @@ def coerce_boolean(spark, sf_dir):
     """Boolean words by vocabulary (incl. a special key) on order pages."""
     pages = views.order_pages(spark, sf_dir)
     res = run_spec({"order_pages": pages}, specs.BOOL_WORDS, wanted=_both("statusFlag", "soldOut"))["order_flags"]
-    return _merged(res.cells)
+    return _merged(res.cells, _tasks(spark, sf_dir, {"orders": 4}))
 
 
 def rejects(spark, sf_dir):
@@ -115,17 +126,17 @@ def _line_clean(spark: SparkSession, sf_dir: str, wanted: Wanted, spec=specs.LIN
 
 def list_items(spark, sf_dir):
     """List pages exploded into items, keyed by regex, typed, merged (latest)."""
-    return _merged(_line_clean(spark, sf_dir, _only_latest(*LINE_COLUMNS)).cells)
+    return _merged(_line_clean(spark, sf_dir, _only_latest(*LINE_COLUMNS)).cells, _tasks(spark, sf_dir, {"lineitem": 14}))
 
 
 def list_history(spark, sf_dir):
     """History cells of the ``isMulti`` list columns only."""
-    return _merged(_line_clean(spark, sf_dir, _only_history(*LINE_COLUMNS)).cells)
+    return _merged(_line_clean(spark, sf_dir, _only_history(*LINE_COLUMNS)).cells, _tasks(spark, sf_dir, {"lineitem": 11}))
 
 
 def list_properties(spark, sf_dir):
     """Page properties melted onto every item (empty texts dropped)."""
-    return _merged(_line_clean(spark, sf_dir, _only_latest(*LINE_PROPERTIES)).cells)
+    return _merged(_line_clean(spark, sf_dir, _only_latest(*LINE_PROPERTIES)).cells, _tasks(spark, sf_dir, {"lineitem": 6}))
 
 
 def regex_key(spark, sf_dir):
@@ -137,24 +148,25 @@ def string_items(spark, sf_dir):
     """Items that are objects and items that are strings holding one; the key regex
     reads a bare number in either."""
     return _merged(_line_clean(spark, sf_dir, Wanted(), specs.LINES_BY_CODE).cells.where(
-        F.col("qualifier").isin("lineNo", "title", "discountText")))
+        F.col("qualifier").isin("lineNo", "title", "discountText")), _tasks(spark, sf_dir, {"lineitem": 4}))
 
 
 def subfields(spark, sf_dir):
     """Token sub-fields of the first ``specfoods`` text, strictly typed (latest and history)."""
-    return _merged(_line_clean(spark, sf_dir, _both(*SUBFIELD_NAMES)).cells)
+    return _merged(_line_clean(spark, sf_dir, _both(*SUBFIELD_NAMES)).cells, _tasks(spark, sf_dir, {"lineitem": 22}))
 
 
 def subfield_bool(spark, sf_dir):
     """Negated boolean sub-field (``sold_out`` -> ``isAvailable``), latest and history."""
-    return _merged(_line_clean(spark, sf_dir, _both("isAvailable")).cells)
+    return _merged(_line_clean(spark, sf_dir, _both("isAvailable")).cells, _tasks(spark, sf_dir, {"lineitem": 3}))
 
 
 def download_time_cells(spark, sf_dir):
     """``downloadTime:<day>`` cells: list pages with ``recordTime`` and detail pages."""
     wanted = _only_history(fixed.DOWNLOAD_TIME_FAMILY)
     lines = _line_clean(spark, sf_dir, wanted, specs.LINES_TIMED).cells
-    return _merged(lines.unionByName(_customer_clean(spark, sf_dir, wanted, specs.CUSTOMERS[:1]).cells))
+    return _merged(lines.unionByName(_customer_clean(spark, sf_dir, wanted, specs.CUSTOMERS[:1]).cells),
+                   _tasks(spark, sf_dir, {"lineitem": 2, "customer": 1}))
 
 
 def _customer_clean(spark: SparkSession, sf_dir: str, wanted=Wanted(), spec=specs.CUSTOMERS):
@@ -165,7 +177,7 @@ def _customer_clean(spark: SparkSession, sf_dir: str, wanted=Wanted(), spec=spec
 
 def model_fanin(spark, sf_dir):
     """Customer detail and list pages (two sources, two models) -> one table, all cells."""
-    return _merged(_customer_clean(spark, sf_dir).cells)
+    return _merged(_customer_clean(spark, sf_dir).cells, _tasks(spark, sf_dir, {"customer": 35}))
 
 
 def multi_output(spark, sf_dir):
@@ -183,7 +195,7 @@ def cjk_key_md5(spark, sf_dir):
 
 
 def _customer_column(spark, sf_dir, name: str) -> DataFrame:
-    return _merged(_customer_clean(spark, sf_dir, _both(name), specs.CUSTOMERS[:1]).cells)
+    return _merged(_customer_clean(spark, sf_dir, _both(name), specs.CUSTOMERS[:1]).cells, _tasks(spark, sf_dir, {"customer": 2}))
 
 
 def array_spaced(spark, sf_dir):
@@ -213,7 +225,8 @@ def latest_wide(spark, sf_dir):
 def backfill_tokens(spark, sf_dir):
     """Stored token-text history -> typed history cells on the same days."""
     hist = read_history(views.token_history_cells(spark, sf_dir), fixed.SUBFIELD_ARRAY_KEY)
-    return _merged(backfill(hist, parse_subfields(fixed.BACKFILL_SUBFIELDS)).cells)
+    tasks = _tasks(spark, sf_dir, {"part": 2 * len(fixed.BACKFILL_SUBFIELDS)})
+    return _merged(backfill(hist, parse_subfields(fixed.BACKFILL_SUBFIELDS)).cells, tasks)
 
 
 MIDPOINT_MS = 1705622400000  # 2024-01-19 00:00:00 UTC: events before it form the snapshot
@@ -222,9 +235,10 @@ MIDPOINT_MS = 1705622400000  # 2024-01-19 00:00:00 UTC: events before it form th
 def upsert_merge(spark, sf_dir):
     """Snapshot of early events upserted with the later ones (all families)."""
     cells = _events_clean(spark, sf_dir).cells
-    old = merge.merge_cells(cells.where(F.col("download_time") < MIDPOINT_MS))
+    tasks = _tasks(spark, sf_dir, {"events": 9})
+    old = merge.merge_cells(cells.where(F.col("download_time") < MIDPOINT_MS), tasks=tasks)
     new = cells.where(F.col("download_time") >= MIDPOINT_MS)
-    return merge.cell_values(merge.upsert_cells(old, new))
+    return merge.cell_values(merge.upsert_cells(old, new, tasks=tasks))
 
 
 def upsert_overwrites(spark, sf_dir):
@@ -244,7 +258,8 @@ def backfill_upsert(spark, sf_dir):
     overwrite typed cells of the same days, whatever their download times."""
     stored = views.token_history_cells(spark, sf_dir).unionByName(views.typed_history_cells(spark, sf_dir))
     one, two = work_path(spark, "stored"), work_path(spark, "filled")
-    write_cells(stored.withColumn("output_table", F.lit("parts")), f"{one}/cells", by=["output_table"])
+    write_cells(stored.withColumn("output_table", F.lit("parts")), f"{one}/cells", by=["output_table"],
+                files=_tasks(spark, sf_dir, {"part": 4}))
     backfill_job(spark, one, "parts", fixed.SUBFIELD_ARRAY_KEY, parse_subfields(fixed.BACKFILL_SUBFIELDS), two)
     return merge.cell_values(read_output(spark, two, "parts"))
 
@@ -253,7 +268,7 @@ def store_update(spark, sf_dir):
     """The two runs of ``upsert_overwrites`` on a stored table that is updated where it
     stands: the second reads and writes the folders that it touches alone."""
     pages = views.event_pages(spark, sf_dir)
-    store = create_store(spark, work_path(spark, "store"), buckets=8, period=4)
+    store = create_store(spark, work_path(spark, "store"), _buckets(spark, sf_dir, {"events": 9}), period=4)
     update_store(store, {"event_pages": pages}, specs.EVENTS)
     update_store(store, {"event_pages": pages.where(F.col("download_time") < MIDPOINT_MS)}, specs.EVENTS_RETYPED)
     return merge.cell_values(store.cells("events_clean"))
@@ -264,19 +279,20 @@ def store_backfill(spark, sf_dir):
     texts = views.token_history_cells(spark, sf_dir).withColumn("output_table", F.lit("parts"))
     typed = views.typed_history_cells(spark, sf_dir).withColumn("output_table", F.lit("parts"))
     subfields = parse_subfields(fixed.BACKFILL_SUBFIELDS)
-    store = create_store(spark, work_path(spark, "store"), buckets=8)
+    store = create_store(spark, work_path(spark, "store"), _buckets(spark, sf_dir, {"part": 2 * len(subfields) + 4}))
     first = F.col("qualifier") < "2024-02"
-    store.upsert(typed.unionByName(texts.where(first)))
+    store.upsert(typed.unionByName(texts.where(first)), _tasks(spark, sf_dir, {"part": 3}))
     backfill_store(store, "parts", fixed.SUBFIELD_ARRAY_KEY, subfields)
-    store.upsert(texts.where(~first))
+    store.upsert(texts.where(~first), _tasks(spark, sf_dir, {"part": 1}))
     backfill_store(store, "parts", fixed.SUBFIELD_ARRAY_KEY, subfields)
     return merge.cell_values(store.cells("parts"))
 
 
 def history_lookup_many(spark, sf_dir):
     """Every day of one column for all rows that have a purchase above 20, from the stored table."""
-    store = create_store(spark, work_path(spark, "store"), buckets=8)
-    store.upsert(_events_clean(spark, sf_dir).cells.withColumn("output_table", F.lit("events")))
+    store = create_store(spark, work_path(spark, "store"), _buckets(spark, sf_dir, {"events": 9}))
+    store.upsert(_events_clean(spark, sf_dir).cells.withColumn("output_table", F.lit("events")),
+                 _tasks(spark, sf_dir, {"events": 9}))
     keys = views.table(spark, sf_dir, "events").where("event_type = 'purchase' AND value > 20") \
         .select(F.concat("user_id", "event_type").alias("row_key"))
     return merge.cell_values(store.lookup("events", keys, LOOKUP_COLUMN))
@@ -287,7 +303,7 @@ def fanin_ties(spark, sf_dir):
     the later one of the spec wins, elsewhere the greater source key."""
     pages = {"event_pages": views.event_pages(spark, sf_dir),
              "second_event_pages": views.second_event_pages(spark, sf_dir)}
-    return _merged(run_spec(pages, specs.TWO_SITES)["events_clean"].cells)
+    return _merged(run_spec(pages, specs.TWO_SITES)["events_clean"].cells, _tasks(spark, sf_dir, {"events": 18}))
 
 
 def latest_wide_typed(spark, sf_dir):
@@ -321,7 +337,8 @@ LOOKUP_KEY, LOOKUP_COLUMN = "0click", "amount"
 def history_lookup(spark, sf_dir):
     """Every day of one column of one row, from the stored cell table."""
     path = work_path(spark, "cells")
-    write_cells(merge.merge_cells(_events_clean(spark, sf_dir).cells), path)
+    tasks = _tasks(spark, sf_dir, {"events": 9})
+    write_cells(merge.merge_cells(_events_clean(spark, sf_dir).cells, tasks=tasks), path, files=tasks)
     return merge.cell_values(merge.lookup_history(read_cells(spark, path), LOOKUP_KEY, LOOKUP_COLUMN))
 
 

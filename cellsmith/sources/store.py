@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from cellsmith import fixed
 from cellsmith.functions.sqltext import ident, q
-from cellsmith.operators.merge import CELL_KEY, merge_cells
+from cellsmith.operators.merge import CELL_KEY, merge_cells, tasks_for
 from cellsmith.session import cut
 from cellsmith.sources.pages import CELL_SCHEMA
 from cellsmith.sources.sinks import MONTH
@@ -105,10 +105,10 @@ class CellStore:
         both = old.join(new, [*KEY, "period"], "full").withColumn("_cell", F.coalesce("_new", "_old"))
         return both.select(*[F.col("_cell")[c].alias(c) if c in rest else F.col(c) for c in _COLUMNS], *FOLDERS)
 
-    def upsert(self, cells: DataFrame) -> int:
+    def upsert(self, cells: DataFrame, tasks: int | None = None) -> int:
         """Write ``cells`` (with ``output_table``) over the stored ones, whatever their times, and
-        log them; the number of the update."""
-        staged = cut(merge_cells(cells, KEY).withColumn("period", self._period()), "new")
+        log them; the number of the update. ``tasks`` as in :func:`cellsmith.operators.merge.merge_cells`."""
+        staged = cut(merge_cells(cells, KEY, tasks=tasks).withColumn("period", self._period()), "new")
         batch = self.last_batch() + 1
         staged.select(*_COLUMNS, F.lit(batch).cast("long").alias("batch"), "output_table", "family") \
             .write.mode("append").partitionBy("batch", "output_table", "family").parquet(f"{self.root}/changes")
@@ -123,7 +123,8 @@ class CellStore:
 
     def rebuild(self) -> None:
         """Write the whole table anew from the logged changes, the later update over the earlier."""
-        cells = merge_cells(self.changes(), KEY, ["batch"]).withColumn("period", self._period())
+        changes = self.changes()
+        cells = merge_cells(changes, KEY, ["batch"], tasks_for(self.spark, changes.count())).withColumn("period", self._period())
         cells = cells.repartition(self.buckets, "row_key", "qualifier").select(*_COLUMNS, *FOLDERS)
         with _configured(self.spark, **{"spark.sql.sources.partitionOverwriteMode": "static"}):
             cells.write.mode("overwrite").insertInto(self.table)

@@ -107,3 +107,26 @@ def test_rows_of_a_large_row_group_are_dealt_to_tasks_of_bounded_size(spark, tmp
     sizes = view(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
     made = rows if name == "events" else 2 * rows
     assert sum(r["count"] for r in sizes) == made and max(r["count"] for r in sizes) < 3 * made / (rows / 100)
+
+
+@pytest.mark.parametrize("name", ["clean_history", "upsert_overwrites", "history_lookup", "backfill_tokens",
+                                  "store_update", "history_lookup_many"])
+def test_tasks_that_merge_follow_the_cells(spark, monkeypatch, name):
+    from cellsmith.plans import queries
+    sf = "/root/testdata/sf0.001"
+    before = queries.QUERIES[name](spark, sf).collect()
+    seen, dealt = [], merge.merge_cells
+
+    def watched(cells, key=merge.CELL_KEY, before=(), tasks=None):
+        out = dealt(cells, key, before, tasks)
+        seen.append((tasks, _plan(out)))
+        return out
+
+    monkeypatch.setattr(merge, "TASK_CELLS", 300)
+    for module in (merge, "cellsmith.plans.job", "cellsmith.sources.store"):
+        monkeypatch.setattr(*((module, "merge_cells") if module is merge else (f"{module}.merge_cells",)), watched)
+    after = queries.QUERIES[name](spark, sf).collect()
+    assert sorted(map(str, before)) == sorted(map(str, after))
+    # but for the lookup in the stored table, every merge is dealt to more tasks than the session's 8
+    many = [p for n, p in seen if n and n > 8 and "REPARTITION_BY_NUM" in p]
+    assert many and len(many) >= len(seen) - (name == "history_lookup")
