@@ -28,19 +28,22 @@ TASK_CELLS = 500_000
 
 
 def tasks_for(spark: SparkSession, cells: int) -> int | None:
-    """Tasks of some :data:`TASK_CELLS` cells each; None where ``spark.sql.shuffle.partitions`` are as many."""
+    """Tasks of some :data:`TASK_CELLS` cells each; None where the session's make no larger ones: its
+    shuffle partitions may be joined again to as many as it has cores."""
     n = -(-cells // TASK_CELLS)
-    return n if n > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+    least = min(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return n if n > least else None
 
 
 def merge_cells(cells: DataFrame, key: list[str] = CELL_KEY, before: list[str] = (), tasks: int | None = None) -> DataFrame:
     """One cell per ``key``: the last write. Columns ``before`` come ahead of the order.
 
-    ``tasks`` (of :func:`tasks_for`): the cells are dealt to so many by ``key`` and merged there, so that a
-    task's size does not grow with the table. Without, they are merged in the tasks that made
+    ``tasks`` (of :func:`tasks_for`): the cells are dealt to so many by row key and qualifier and merged there,
+    so that a task's size does not grow with the table. (Dealt by a column that is one literal, as an output table or
+    a family may be, they would be exchanged again, as Spark leaves literals out of the grouping.) Without, they are merged in the tasks that made
     them first, and the number of tasks after the exchange is the session's."""
     if tasks:
-        cells = cells.repartition(tasks, *key)
+        cells = cells.repartition(tasks, *([k for k in key if k in ("row_key", "qualifier")] or key))
     last = F.max_by(F.struct(*VALUES, *ORDER), F.struct(*before, *ORDER)).alias("w")
     out = cells.groupBy(*key).agg(last)
     return out.select(*key, *[F.col("w")[c].alias(c) for c in VALUES + ORDER])

@@ -45,11 +45,12 @@ def _json_string(c: Column) -> Column:
 TASK_ROWS = 50_000
 
 
-def _dealt(df: DataFrame, *keys: str) -> DataFrame:
+def _dealt(df: DataFrame, *keys: str, share: int = 1) -> DataFrame:
     """Rows dealt by ``keys`` to tasks of some :data:`TASK_ROWS` rows each, whatever the row groups of the
-    files (a row group is one task, and may hold a million rows)."""
+    files (a row group is one task, and may hold a million rows). ``share``: so many times fewer rows,
+    where one becomes as many times more cells."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(max(cores, -(-df.count() // TASK_ROWS)), *keys)
+    return df.repartition(max(cores, -(-df.count() * share // TASK_ROWS)), *keys)
 
 
 def _pages(df: DataFrame, source_key: Column, model: Column, data: Column,
@@ -322,7 +323,7 @@ def _part_token_texts() -> tuple[Column, Column]:
 
 def token_history_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two stored ``specfoods:<day>`` text cells per part (cell-table schema)."""
-    p = _dealt(table(spark, sf_dir, "part"), "p_partkey", "p_name")
+    p = _dealt(table(spark, sf_dir, "part"), "p_partkey", "p_name", share=3)  # up to 24 tokens a part
     a, b = _part_token_texts()
     day_a = F.concat(F.lit("2024-01-"), F.lpad((F.col("p_size") % 28 + 1).cast("string"), 2, "0"))
     rows = F.array(F.struct(day_a.alias("day"), a.alias("text")),

@@ -130,3 +130,23 @@ def test_tasks_that_merge_follow_the_cells(spark, monkeypatch, name):
     # but for the lookup in the stored table, every merge is dealt to more tasks than the session's 8
     many = [p for n, p in seen if n and n > 8 and "REPARTITION_BY_NUM" in p]
     assert many and len(many) >= len(seen) - (name == "history_lookup")
+
+
+def test_merges_are_dealt_where_joined_partitions_would_grow(spark, monkeypatch):
+    monkeypatch.setattr(merge, "TASK_CELLS", 10)
+    cores = spark.sparkContext.defaultParallelism
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", str(50 * cores))
+        assert merge.tasks_for(spark, 10 * cores) is None
+        assert merge.tasks_for(spark, 20 * cores) == 2 * cores  # Spark would join 50 partitions a core to one a core
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_tasks_of_token_texts_hold_fewer_parts(spark, monkeypatch, tmp_path):
+    spark.range(3000).selectExpr("id AS p_partkey", "'n' AS p_name", "'b' AS p_brand", "'t' AS p_type", "CAST(id % 50 AS INT) AS p_size",
+                                 "2.5D AS p_retailprice").write.parquet(f"{tmp_path}/part.parquet")
+    monkeypatch.setattr(views, "TASK_ROWS", 300)
+    sizes = views.token_history_cells(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in sizes) == 6000 and max(r["count"] for r in sizes) < 400  # two texts a part
