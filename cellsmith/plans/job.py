@@ -14,7 +14,7 @@ from cellsmith.operators.merge import CELL_KEY, merge_cells, tasks_for, upsert_c
 from cellsmith.session import cut
 from cellsmith.sources.pages import CELL_SCHEMA, read_history
 from cellsmith.sources.sinks import MONTH, write_cells
-from cellsmith.sources.store import KEY, CellStore
+from cellsmith.sources.store import KEY, CellStore, file_tasks
 from cellsmith.spec import ModelSpec, SubField, TableSpec, Vocab
 
 
@@ -75,7 +75,8 @@ def run_job(spark: SparkSession, pages_by_table: dict[str, DataFrame], spec: lis
         old = _stored(spark, existing_root)
         tasks = tasks_for(spark, n + old.count())
         merged = upsert_cells(old, cells, key, tasks)
-    write_cells(merged, f"{out_root}/cells", by=["output_table"], period=period, files=tasks)
+    with file_tasks(spark):
+        write_cells(merged, f"{out_root}/cells", by=["output_table"], period=period, files=tasks)
     rejects_from_items(staged, extra=("output_table",)).write.partitionBy("output_table") \
         .parquet(f"{out_root}/rejects")
 
@@ -177,7 +178,8 @@ def backfill_job(spark: SparkSession, existing_root: str, output_table: str, col
     key = ["output_table", *CELL_KEY]
     texts = stored.where((F.col("output_table") == output_table) & (F.col("family") == column)).count()
     tasks = tasks_for(spark, stored.count() + texts * len(subfields))
-    write_cells(upsert_cells(stored, new, key, tasks), f"{out_root}/cells", by=["output_table"], period=period, files=tasks)
+    with file_tasks(spark):
+        write_cells(upsert_cells(stored, new, key, tasks), f"{out_root}/cells", by=["output_table"], period=period, files=tasks)
     res.rejects.withColumn("output_table", F.lit(output_table)).write.partitionBy("output_table") \
         .parquet(f"{out_root}/rejects")
 

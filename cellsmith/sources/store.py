@@ -54,6 +54,14 @@ def _configured(spark: SparkSession, **settings: str) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+@contextmanager
+def file_tasks(spark: SparkSession) -> Iterator[None]:
+    """What runs within reads a file a task. Files written between steps hold what one task made, and Spark
+    would join those up to 128 MB, which are many million cells, in a task that sorts them."""
+    with _configured(spark, **{"spark.sql.files.maxPartitionBytes": spark.conf.get("spark.sql.files.openCostInBytes")}):
+        yield
+
+
 @dataclass(frozen=True)
 class CellStore:
     """An opened store; see :func:`create_store` and :func:`open_store`."""
@@ -108,6 +116,10 @@ class CellStore:
     def upsert(self, cells: DataFrame, tasks: int | None = None) -> int:
         """Write ``cells`` (with ``output_table``) over the stored ones, whatever their times, and
         log them; the number of the update. ``tasks`` as in :func:`cellsmith.operators.merge.merge_cells`."""
+        with file_tasks(self.spark):
+            return self._upsert(cells, tasks)
+
+    def _upsert(self, cells: DataFrame, tasks: int | None) -> int:
         staged = cut(merge_cells(cells, KEY, tasks=tasks).withColumn("period", self._period()), "new")
         batch = self.last_batch() + 1
         staged.select(*_COLUMNS, F.lit(batch).cast("long").alias("batch"), "output_table", "family") \
@@ -126,7 +138,7 @@ class CellStore:
         changes = self.changes()
         cells = merge_cells(changes, KEY, ["batch"], tasks_for(self.spark, changes.count())).withColumn("period", self._period())
         cells = cells.repartition(self.buckets, "row_key", "qualifier").select(*_COLUMNS, *FOLDERS)
-        with _configured(self.spark, **{"spark.sql.sources.partitionOverwriteMode": "static"}):
+        with _configured(self.spark, **{"spark.sql.sources.partitionOverwriteMode": "static"}), file_tasks(self.spark):
             cells.write.mode("overwrite").insertInto(self.table)
         self.spark.catalog.refreshTable(self.table)
 

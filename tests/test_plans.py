@@ -144,6 +144,38 @@ def test_merges_are_dealt_where_joined_partitions_would_grow(spark, monkeypatch)
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
+@pytest.mark.parametrize("name", ["store_update", "history_lookup_many"])
+def test_written_cells_are_read_a_file_a_task(spark, monkeypatch, name):
+    from cellsmith.plans import queries
+    from cellsmith.sources.store import CellStore
+    monkeypatch.setattr(merge, "TASK_CELLS", 300)
+    seen, merged = [], CellStore.merged
+
+    def watched(self, new, folders):
+        seen.append((new.rdd.getNumPartitions(), len(new.inputFiles())))
+        return merged(self, new, folders)
+
+    monkeypatch.setattr(CellStore, "merged", watched)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    queries.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    assert seen and all(tasks >= files > 8 for tasks, files in seen)
+
+
+def test_items_of_a_job_are_read_a_file_a_task(spark, monkeypatch, tmp_path):
+    from cellsmith.plans import job
+    seen, write = [], job.write_cells
+
+    def watched(cells, *args, **kwargs):
+        seen.append(cells.sparkSession.conf.get("spark.sql.files.maxPartitionBytes"))
+        write(cells, *args, **kwargs)
+
+    monkeypatch.setattr(job, "write_cells", watched)
+    pages = views.event_pages(spark, "/root/testdata/sf0.001")
+    job.run_job(spark, {"event_pages": pages}, specs.EVENTS, f"{tmp_path}/out")
+    assert seen == [spark.conf.get("spark.sql.files.openCostInBytes")]
+
+
 def test_tasks_of_token_texts_hold_fewer_parts(spark, monkeypatch, tmp_path):
     spark.range(3000).selectExpr("id AS p_partkey", "'n' AS p_name", "'b' AS p_brand", "'t' AS p_type", "CAST(id % 50 AS INT) AS p_size",
                                  "2.5D AS p_retailprice").write.parquet(f"{tmp_path}/part.parquet")
