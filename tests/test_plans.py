@@ -182,3 +182,22 @@ def test_tasks_of_token_texts_hold_fewer_parts(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(views, "TASK_ROWS", 300)
     sizes = views.token_history_cells(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
     assert sum(r["count"] for r in sizes) == 6000 and max(r["count"] for r in sizes) < 400  # two texts a part
+
+
+@pytest.mark.parametrize("name", ["subfields", "list_items", "list_history", "list_properties", "string_items", "subfield_bool",
+                                  "download_time_cells"])
+def test_items_are_dealt_before_their_cells_are_made(spark, monkeypatch, name):
+    from cellsmith.plans import queries
+    sf = "/root/testdata/sf0.001"
+    before = queries.QUERIES[name](spark, sf).collect()
+    monkeypatch.setattr(merge, "TASK_CELLS", 300)
+    df = queries.QUERIES[name](spark, sf)
+    assert sorted(map(str, before)) == sorted(map(str, df.collect()))
+    # one exchange between the cleaning and the merge, of items by row key; the cells are made behind it
+    lines = df._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    dealt = [k for k, line in enumerate(lines) if "RepartitionByExpression [row_key" in line]
+    made = [k for k, line in enumerate(lines) if "Generate posexplode(cells" in line]
+    assert len(dealt) == 1 and made and max(made) < dealt[0]
+    assert "qualifier" not in lines[dealt[0]]
+    plan = _plan(df)
+    assert plan.split("== Initial Plan ==")[-1].count("Exchange hashpartitioning(row_key") == 1
