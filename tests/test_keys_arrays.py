@@ -179,3 +179,34 @@ def test_list_cells_need_no_token_typed(spark, monkeypatch):
     only = clean(pages, list(specs.LINES[0].models), wanted=Wanted(latest=frozenset(["title"]), history=frozenset()))
     plan = only.cells._jdf.queryExecution().optimizedPlan().toString()
     assert "original_price|" in plan  # the one match
+
+
+def test_token_maps_hold_the_tokens(spark):
+    from cellsmith.functions import arrays
+    whole = ["stock:5  price:1.5  sold_out:True", "stock:5  specs:    name:x  name:y", "stock:  price:null", ":v  stock:1", "stock:5  stock:6"]
+    other = ["stock:5  price", "a:1:2  stock:5", "stock:5::", 'name:"  stock:5', "name:\\  stock:5", "  stock:5", "stock:5  ", "stock:5      price:1", ""]
+    df = spark.createDataFrame([(t,) for t in whole + other + ["a:1   stock:5"]], "t string")
+    tokens = arrays.map_tokens("t", lambda k, v: f"named_struct('k', {k}, 'v', {v})")
+    rows = df.selectExpr("t", f"{arrays.token_map('t')} AS m", f"map_entries({arrays.token_map('t')}) AS e", f"{tokens} AS a").collect()
+    for r in rows:
+        if r.m is not None:  # a key alone has an empty value there, which is blank
+            assert [(x.key, x.value) for x in r.e if x.value] == [(x.k, x.v) for x in r.a if x is not None], r.t
+    assert [r.t for r in rows if r.m is None] == other
+    assert [x.key for x in rows[-1].e] == ["a", " stock"]  # the third space belongs to the key
+
+
+def test_repeated_sub_fields_keep_every_token(spark):
+    from cellsmith.operators.cells import clean
+    subs = {"stock": {"name": "stock", "type": "int"}, "price": {"name": "currentPrice", "type": "double"}, "sku_id": {"name": "sku", "type": "String"}}
+    m = list_model({"specfoods": {"name": "specfoods", "type": "Array", "subColumns": subs}})
+    texts = {"once": "name:a  name:b  sku_id:7  stock:5  price:1.5", "twice": "sku_id:7  stock:5  sku_id:8  price:",
+             "blank": "stock:5  stock:", "bad": "stock:5  price:x"}
+    pages = pages_df(spark, [(k, "m", '{"foods":[{"id":"%s","specfoods":["%s"]}]}' % (k, t)) for k, t in texts.items()])
+    res = clean(pages, [m])
+    got = {k: sorted((r.put_seq, r.qualifier, r.v_string, r.v_int, r.v_double) for r in res.cells.where("family = 'content'").collect()
+                     if r.row_key == k) for k in texts}
+    value = {k: sorted(x[1:] for x in v) if k == "once" else [x[1:] for x in v] for k, v in got.items()}
+    assert value == {"once": [("currentPrice", None, None, 1.5), ("sku", "7", None, None), ("stock", None, 5, None)],
+                     "twice": [("sku", "7", None, None), ("stock", None, 5, None), ("sku", "8", None, None)],
+                     "blank": [("stock", None, 5, None)], "bad": []}
+    assert [(r.source_key, r.reason) for r in res.rejects.collect()] == [("bad", "bad_subfield")]

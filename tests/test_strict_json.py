@@ -92,3 +92,71 @@ def test_flat_texts_are_judged_by_their_parse(spark):
     rows = df.collect()
     assert all(r.a == r.b for r in rows), rows
     assert [r.f for r in rows[:5]] == [True, False, False, True, True]
+
+
+PLAIN_PAGES = [
+    # page, whether it is rendered as it stands, and whether its items are
+    ('{"foods":[{"id":"a","v":1.5,"specfoods":["stock:5"]}]}', True, [True]),
+    ('{"foods":[{"id":"a","v":1.5},{"id":"b","v":[2.0,{"w":3}]}]}', True, [True, True]),
+    ('{"n":1,"foods":[{"id":"a","v":12.0}],"m":"x"}', True, [True]),
+    ('{"foods":[{"id":"a","v":1.50}]}', False, [False]), ('{"foods":[{"id":"a","v":1E3}]}', False, [False]),
+    ('{"foods":[{"id":"a","v":10000000.0}]}', False, [False]), ('{"foods":[{"id":"a","v":-0}]}', False, [False]),
+    ('{"foods":[{"id":"a","v":007}]}', False, [False]), ('{"foods": [{"id":"a","v":1}]}', False, [False]),
+    ("{'foods':[{'id':'a','v':1}]}", False, [False]), ('{"foods":[{"id":"a","v":"\\u0041"}]}', False, [False]),
+    ('{"foods":[{"id":"a","v":1}]} x', False, None), ('{"foods":[{"id":"a","v":1}]}{"foods":[]}', False, None),
+    ('{"foods":[{"id":"a","v":1}]}],"d":[{"foods":[]}', False, None), ('{"foods":[{"id":"a","v":1}]}]}', False, None),
+    ('{"foods":[{"id":"a","v":1}]', False, None), ('{"foods":[{"id":"a","v":"\\u00021\\u0004"}]}', False, [False]),
+    ('{"foods":["{\\"id\\":\\"a\\",\\"v\\":1.5}",{"id":"b","v":2}]}', True, [True, True]),
+    ('{"foods":["{\\"id\\":\\"a\\",\\"v\\":1.50}",{"id":"b","v":2}]}', True, [False, True]),
+    ('{"foods":["{\\"id\\":\\"a\\"}],\\"d\\":[{\\"id\\":\\"b\\"}"]}', True, [False]), ('{"foods":["{}]}"]}', True, [False]),
+    ('{"foods":["{\'id\':\'a\',\'v\':1.50}"]}', True, [False]), ('{"foods":[5,"x",null]}', True, [False, False, False]),
+    ('{"foods":[{"id":"a","specfoods":[1,"stock:5"]}]}', True, [False]),
+    ('{"foods":[{"id":"a","specfoods":["stock:5"],"specfoods":[1]}]}', True, [False]),
+]
+
+
+def _food_model():
+    subs = {"stock": {"name": "stock", "type": "int"}, "sku_id": {"name": "sku", "type": "String"}}
+    return list_model({"v": {"name": "v", "type": "String"}, "specfoods": {"name": "specfoods", "type": "Array", "subColumns": subs}})
+
+
+def test_texts_that_are_rendered_as_they_stand_need_no_marks(spark):
+    from cellsmith.operators.cells import item_frame
+    pages = pages_df(spark, [(str(k), "m", t) for k, (t, _, _) in enumerate(PLAIN_PAGES)])
+    rows = item_frame(pages, [_food_model()]).orderBy("source_key", "item_pos").collect()
+    for k, (text, plain, clear) in enumerate(PLAIN_PAGES):
+        mine = [r for r in rows if r.source_key == str(k)]
+        assert {r.plain for r in mine} == {plain}, text
+        if clear is None:
+            assert [r.page_reason.reason for r in mine] == ["bad_data_json"], text
+        else:
+            assert [r.clear for r in mine] == clear, text
+            # where nothing was marked the item is what was found, and marks stand in no other
+            assert all(r.item == r.found for r in mine if r.clear), text
+
+
+def test_pages_cleaned_with_and_without_marks_give_the_same_rows(spark, monkeypatch):
+    from cellsmith.operators import cells as ops
+    pages = pages_df(spark, [(str(k), "m", t, p) for k, (t, _, _) in enumerate(PLAIN_PAGES)
+                             for p in ('{"a":1.10,"b":7}', '{"a":007}', '{"a":null}', '{"a":-0,"b":[1,2.50]}')])
+
+    def rows():
+        res = clean(pages, [_food_model()])
+        return [sorted(map(str, df.collect())) for df in (res.cells, res.rejects, res.items.select("source_key", "item_pos", "row_key"))]
+
+    fast = rows()
+    monkeypatch.setattr(ops, "NUM_MARK_ESCAPE", "")  # every text contains it, so that all are marked
+    monkeypatch.setattr(ops, "mark_inexact", mark_numbers)
+    assert not ops.item_frame(pages, [_food_model()]).where("plain OR clear").count()
+    assert rows() == fast and all(fast)
+
+
+def test_arrays_of_one_string_are_told_without_a_parse(spark):
+    from cellsmith.functions.jsontext import _OPTS, parse_text_array
+    texts = ['["a:1  b:2"]', '[""]', '["规"]', '["a","b"]', '["a\\"b"]', '["a\\\\"]', '["a"', '["a]', '["a"]]', '["a"] ', ' ["a"]', '[]', '["',
+             '["]', '"]', 'x', '', '[1]', '["a"b"]', '["\u00021\u0004"]', None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    old = f"CASE WHEN startswith(ltrim(t), '[') THEN from_json(t, 'array<string>', {_OPTS}) END"
+    rows = df.selectExpr("t", f"{parse_text_array('t')} AS a", f"{old} AS b").collect()
+    assert all(r.a == r.b for r in rows), rows
+    assert [r.a for r in rows[:3]] == [["a:1  b:2"], [""], ["规"]]
